@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from odsflow.operators.conform import Field, conform
 from odsflow.operators.quality import BudgetExceeded, ErrorBudget, Rule, enforce_budget, split_good_bad, with_reasons
-from odsflow.session import file_system
+from odsflow.session import delete_folder
 
 CHANNELS = 3
 AUDIT_SCHEMA = (
@@ -47,11 +47,6 @@ class Audit:
     seconds: float | None = None
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    fs, target = file_system(spark, path)
-    fs.delete(target, True)
-
-
 def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     """Copies one table; the error budget is checked before the target is touched."""
     started = time.monotonic()
@@ -69,7 +64,7 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
         job.write_rejects(rejects)
     job.write(good)
     if job.stage:
-        _drop_folder(spark, job.stage)
+        delete_folder(spark, job.stage)
     return Audit(job.name, "success", total, total - bad, bad, seconds=round(time.monotonic() - started, 3))
 
 

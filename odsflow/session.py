@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the jobs expect; `conf` keys use `_` for `.`-free extras.
+def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings the jobs expect; `conf` adds or replaces settings.
 
     The number of shuffle partitions is a start value only: AQE merges small ones, so a
     cluster should set `spark.sql.shuffle.partitions` high (2-4 per core).
@@ -25,7 +25,7 @@ def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
     }
-    settings.update(conf)
+    settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -55,6 +55,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as named in `spark.checkpoint.dir`.
 

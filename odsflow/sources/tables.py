@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from odsflow.session import is_directory
 
@@ -25,7 +26,7 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
 
 
 def read_text_table(
-    spark: SparkSession, path: str, schema: str, delimiter: str = ",", line_breaks: bool = False
+    spark: SparkSession, path: str, schema: str | StructType, delimiter: str = ",", line_breaks: bool = False
 ) -> DataFrame:
     """Delimited text as written by `sinks.tables.overwrite_text`.
 

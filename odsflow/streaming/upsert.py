@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from odsflow.operators.changes import latest_per_key, live_rows, merge_state
-from odsflow.session import child_names, path_exists
+from odsflow.session import child_names, delete_folder, path_exists
 from odsflow.sinks.jdbc import jdbc_upsert
 from odsflow.streaming.triggers import FLUSH_SECONDS, trigger_options
 
@@ -36,6 +36,11 @@ def write_batch(changes: DataFrame, batch_id: int, root: str, keys: list[str], o
         latest_per_key(changes, keys, order).write.mode("overwrite").parquet(folder)
 
 
+def load_snapshot(snapshot: DataFrame, root: str) -> None:
+    """The first full copy (one row per key, lowest sequence) as the base below all batches."""
+    snapshot.write.mode("overwrite").parquet(f"{root}/base/upto=-1")
+
+
 def full_state(spark: SparkSession, root: str, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key ever seen, deleted keys included."""
     bases = _finished(spark, f"{root}/base", "upto")
@@ -65,6 +70,19 @@ def compact(spark: SparkSession, root: str, keys: list[str], order: list[str]) -
     return batches[-1]
 
 
+def drop_superseded(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Deletes bases older than the newest `keep` ones and the batches those already hold."""
+    bases = _finished(spark, f"{root}/base", "upto")
+    if len(bases) <= keep:
+        return 0
+    oldest_kept = bases[-keep]
+    old = [f"{root}/base/upto={b}" for b in bases[:-keep]]
+    old += [f"{root}/changes/batch_id={b}" for b in _finished(spark, f"{root}/changes", "batch_id") if b <= oldest_kept]
+    for folder in old:
+        delete_folder(spark, folder)
+    return len(old)
+
+
 def upsert_stream(
     changes: DataFrame,
     root: str,
