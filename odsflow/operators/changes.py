@@ -5,6 +5,9 @@ A change row has `op` (I, U or D), the sequence columns that order it, and the t
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("insert", "update", "delete")
@@ -100,6 +103,11 @@ def latest_state(changes: DataFrame, keys: list[str], order: list[str]) -> DataF
     return live_rows(latest_per_key(changes, keys, order))
 
 
+def _same(keys: list[str], other: str) -> Column:
+    """Equal keys, NULL counting as a value, as it does in a grouping."""
+    return reduce(and_, [F.col(key).eqNullSafe(F.col(f"{other}.{key}")) for key in keys])
+
+
 def merge_state(base: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """State after the changes; both sides hold one row per key, tombstones included.
 
@@ -108,18 +116,15 @@ def merge_state(base: DataFrame, changes: DataFrame, keys: list[str], order: lis
     base is read in place and not shuffled; above it Spark sort-merges.
     """
     columns = base.columns
-    change = changes.select(*keys, F.struct(*columns).alias("_change"))
+    change = changes.select(F.struct(*columns).alias("_change"))
     newer = F.col("_change").isNotNull() & (
         F.struct(*[F.col(f"_change.{c}") for c in order]) > F.struct(*[F.col(c) for c in order])
     )
-    kept = base.join(change, keys, "left").select(
+    kept = base.join(change, _same(keys, "_change"), "left").select(
         *[F.when(newer, F.col(f"_change.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    known = base.select(*keys).join(changes.select(*keys), keys, "left_semi")
-    added = changes.select(*columns).join(known, keys, "left_anti")
+    change_keys = changes.select(F.struct(*keys).alias("_key"))
+    known = base.select(*keys).join(change_keys, _same(keys, "_key"), "left_semi")
+    known_keys = known.select(F.struct(*keys).alias("_key"))
+    added = changes.select(*columns).join(known_keys, _same(keys, "_key"), "left_anti")
     return kept.unionByName(added)
-
-
-def snapshot_rows(df: DataFrame, order: dict[str, Column]) -> DataFrame:
-    """A full snapshot as inserts; `order` gives each sequence column its lowest value."""
-    return df.select(F.lit("I").alias("op"), *[value.alias(name) for name, value in order.items()], *df.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odsflow.sources.tables import read_table, stream_table
 
 MONEY = "decimal(18,2)"
+FILES_PER_TRIGGER = 1000  # bounds a micro-batch while a long history is read for the first time
 
 
 def ods_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,4 +129,4 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_table(spark, folder, "events")
+    return stream_table(spark, folder, "events", FILES_PER_TRIGGER)

@@ -7,9 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.operators.conform import Field, conform
+from odsflow.operators.conform import Field, conform, fields_from_metadata
+from odsflow.operators.metadata import exclude_names
 from odsflow.operators.quality import BudgetExceeded, ErrorBudget, Rule, enforce_budget, split_good_bad, with_reasons
 from odsflow.session import delete_folder
 
@@ -47,6 +48,33 @@ class Audit:
     seconds: float | None = None
 
 
+def jobs_from_columns(
+    columns: DataFrame,
+    reader: Callable[[str], Callable[[SparkSession], DataFrame]],
+    writer: Callable[[str], Callable[[DataFrame], None]],
+    only: list[str] | None = None,
+    exclude: list[str] = (),
+    dialect: str = "mysql",
+    mode: str = "lossless",
+    budget: ErrorBudget = ErrorBudget(),
+) -> list[CopyJob]:
+    """One job per table of a metadata listing (all, or the named ones; minus the excluded).
+
+    `columns` has the shape of `fields_from_metadata` plus table_name and ordinal_position; its size
+    is that of the source's data dictionary, so it may come to the driver.
+    """
+    wanted = exclude_names(columns, "table_name", list(exclude))
+    if only is not None:
+        wanted = wanted.filter(F.lower("table_name").isin([name.lower() for name in only]))
+    tables: dict[str, list[dict]] = {}
+    for row in wanted.orderBy("table_name", "ordinal_position").toLocalIterator():
+        tables.setdefault(row["table_name"].lower(), []).append(row.asDict())
+    return [
+        CopyJob(name, reader(name), writer(name), fields_from_metadata(rows, dialect, mode), mode=mode, budget=budget)
+        for name, rows in tables.items()
+    ]
+
+
 def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     """Copies one table; the error budget is checked before the target is touched."""
     started = time.monotonic()

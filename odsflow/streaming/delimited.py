@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from odsflow.functions.text import split_name_age
-from odsflow.streaming.triggers import trigger_options
+from odsflow.sinks.jdbc import jdbc_append, jdbc_execute
+from odsflow.streaming.triggers import FLUSH_SECONDS, trigger_options
 
 
 def parse_lines(lines: DataFrame, delimiter: str = "#") -> DataFrame:
@@ -37,5 +38,33 @@ def append_lines(
     )
 
 
+def append_lines_jdbc(
+    lines: DataFrame,
+    url: str,
+    table: str,
+    checkpoint: str,
+    properties: dict[str, str] | None = None,
+    delimiter: str = "#",
+    seconds: int | None = FLUSH_SECONDS,
+) -> StreamingQuery:
+    """Appends good lines to a database table that has a `batch_id` column.
+
+    The database does not know Spark's batches, so each one first deletes what an earlier try of it
+    left behind.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        good = batch.filter(~F.col("rejected")).select("name", "age", F.lit(batch_id).alias("batch_id"))
+        jdbc_execute(batch.sparkSession, url, f"DELETE FROM {table} WHERE batch_id = {batch_id}", properties)
+        jdbc_append(good, url, table, properties)
+
+    return (
+        parse_lines(lines, delimiter)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_options(seconds))
+        .start()
+    )
+
+
 def read_lines(spark: SparkSession, target: str, rejected: bool = False) -> DataFrame:
     return spark.read.parquet(target).filter(F.col("rejected") == rejected).drop("rejected")

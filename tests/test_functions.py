@@ -1,0 +1,154 @@
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from odsflow.functions.ranges import even_edges, quantile_edges, range_predicates, slice_number
+from odsflow.functions.text import distinct_chars, scrub, split_name_age, yes_flag
+from odsflow.functions.types import base_word, spark_type, target_type, type_digits
+
+
+def test_scrub_and_flags(spark):
+    rows = spark.createDataFrame([("it's\nso", "YES"), (None, None), ("a''b", "y"), ("", "NO")], "t string, f string")
+    got = rows.select(scrub(F.col("t")).alias("t"), yes_flag(F.col("f")).alias("f")).collect()
+    assert [tuple(r) for r in got] == [("it\\'s so", 1), ("", 0), ("a\\'\\'b", 1), ("", 0)]
+
+
+def test_distinct_chars_keep_first_seen_order(spark):
+    rows = spark.createDataFrame([("abbbbcdddefddggg",), ("",), (None,), ("ñandúñ",)], "t string")
+    assert [r[0] for r in rows.select(distinct_chars(F.col("t"))).collect()] == ["abcdefg", "", None, "ñandú"]
+
+
+@pytest.mark.parametrize(
+    "line, name, age, ok",
+    [
+        ("ann#31", "ann", 31, True),
+        ("#31", "", 31, True),
+        ("ann", "ann", None, False),
+        ("ann#", "ann", None, False),
+        ("ann#x", "ann", None, False),
+        ("ann#99999999999", "ann", None, False),
+        ("ann#31#extra", "ann", 31, False),
+        ("ann#31#", "ann", 31, False),
+        ("", "", None, False),
+        (None, None, None, False),
+    ],
+)
+def test_split_name_age(spark, line, name, age, ok):
+    row = spark.createDataFrame([(line,)], "v string").select(split_name_age(F.col("v")).alias("p")).first()["p"]
+    assert (row["name"], row["age"], row["ok"]) == (name, age, ok)
+
+
+def test_delimiter_is_no_pattern(spark):
+    row = spark.createDataFrame([("a|5",)], "v string").select(split_name_age(F.col("v"), "|").alias("p")).first()["p"]
+    assert row["ok"] and row["age"] == 5
+
+
+@pytest.mark.parametrize(
+    "text, target, expected",
+    [
+        ("decimal(10,2)", "hive", "DECIMAL(10,2)"),
+        ("decimal", "hive", "DECIMAL"),
+        ("decimal(10)", "hive", "DECIMAL"),
+        ("INT(10) unsigned", "hive", "INT"),
+        ("geometry", "hive", "STRING"),
+        ("geometry", "doris", "VARCHAR"),
+        ("geometry", "postgres", "VARCHAR(255)"),
+        ("varchar(20)", "postgres", "VARCHAR(20)"),
+        ("varchar", "postgres", "VARCHAR(255)"),
+        ("numeric(8, 3)", "postgres", "NUMERIC(8,3)"),
+        ("double(8,3)", "postgres", "DOUBLE PRECISION"),
+        ("enum('x','y')", "postgres", "VARCHAR(255)"),
+        ("mediumint(9)", "postgres_copy", "INT4"),
+        ("bit(1)", "hive_copy", "BOOLEAN"),
+        ("NUMBER(10)", "odps", "INT"),
+        ("NUMBER(11)", "odps", "BIGINT"),
+        ("NUMBER(11,0)", "odps", "BIGINT"),
+        ("NUMBER(5,2)", "odps", "DOUBLE"),
+        ("NUMBER", "odps", "BIGINT"),
+        ("DOUBLE PRECISION", "odps", "DOUBLE"),
+        ("TIMESTAMP(6)", "odps", "DATETIME"),
+        ("LONG RAW", "odps", "STRING"),
+        ("NUMBER(5,2)", "odps_copy", "double"),
+        ("CLOB", "odps_copy", "string"),
+        (None, "hive", "STRING"),
+        ("", "hive", "STRING"),
+    ],
+)
+def test_target_type(spark, text, target, expected):
+    row = spark.createDataFrame([(text,)], "t string").select(target_type(F.col("t"), target)).first()
+    assert row[0] == expected
+
+
+def test_type_parts(spark):
+    df = spark.createDataFrame([(" Decimal( 10 , 2 ) unsigned",), ("enum('a(1)','b')",)], "t string")
+    got = df.select(base_word(F.col("t")), type_digits(F.col("t"))).collect()
+    assert tuple(got[0]) == ("decimal", "10,2")
+    assert got[1][0] == "enum"
+
+
+@pytest.mark.parametrize(
+    "text, dialect, mode, expected",
+    [
+        ("int(10) unsigned", "mysql", "lossless", "bigint"),
+        ("int unsigned", "mysql", "reference", "int"),
+        ("bigint(20) unsigned", "mysql", "lossless", "decimal(20,0)"),
+        ("tinyint(1)", "mysql", "lossless", "tinyint"),
+        ("decimal(10,2)", "mysql", "lossless", "decimal(10,2)"),
+        ("decimal(65,2)", "mysql", "lossless", "string"),
+        ("decimal", "mysql", "lossless", "decimal(10,0)"),
+        ("bit(1)", "mysql", "lossless", "boolean"),
+        ("bit(8)", "mysql", "lossless", "binary"),
+        ("enum('a','b')", "mysql", "lossless", "string"),
+        ("geometry", "mysql", "lossless", "string"),
+        ("time", "mysql", "lossless", "string"),
+        ("NUMBER(10)", "oracle", "reference", "int"),
+        ("NUMBER(10)", "oracle", "lossless", "bigint"),
+        ("NUMBER(9)", "oracle", "lossless", "int"),
+        ("NUMBER(19)", "oracle", "lossless", "decimal(19,0)"),
+        ("NUMBER(10,2)", "oracle", "reference", "double"),
+        ("NUMBER(10,2)", "oracle", "lossless", "decimal(10,2)"),
+        ("NUMBER(2,5)", "oracle", "lossless", "decimal(5,5)"),
+        ("NUMBER(8,-2)", "oracle", "lossless", "bigint"),
+        ("NUMBER", "oracle", "reference", "bigint"),
+        ("NUMBER", "oracle", "lossless", "decimal(38,10)"),
+        ("TIMESTAMP(6)", "oracle", "lossless", "timestamp"),
+        ("SDO_GEOMETRY", "oracle", "lossless", "string"),
+    ],
+)
+def test_spark_type(text, dialect, mode, expected):
+    assert spark_type(text, dialect, mode) == expected
+
+
+def test_spark_type_takes_precision_from_metadata():
+    assert spark_type("NUMBER", "oracle", "lossless", 12, 4) == "decimal(12,4)"
+    with pytest.raises(ValueError):
+        spark_type("int", mode="other")
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(-1000, 1000), st.integers(0, 5000), st.integers(1, 20))
+def test_even_edges_are_inside_and_rising(low, width, slices):
+    edges = even_edges(low, low + width, slices)
+    assert len(edges) < slices and edges == sorted(set(edges))
+    assert all(low < edge <= low + width for edge in edges)
+
+
+@pytest.mark.parametrize("edges", [[], [5], even_edges(0, 99, 8)])
+def test_predicates_take_every_row_once(spark, edges):
+    rows = spark.range(-20, 150).select(F.col("id").alias("k")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    hits = sum((F.when(F.expr(p), 1).otherwise(0) for p in range_predicates("k", edges)), F.lit(0))
+    assert rows.filter(hits != 1).count() == 0
+    for number, predicate in enumerate(range_predicates("k", edges)):
+        assert rows.filter(predicate).filter(slice_number(F.col("k"), edges) != number).count() == 0
+
+
+def test_quantile_edges_even_out_skew(spark):
+    rows = spark.range(0, 4000).select((F.pow(F.col("id") / 4000, 6) * 1000000).cast("bigint").alias("k"))
+    sizes = [
+        r["count"] for r in rows.groupBy(slice_number(F.col("k"), quantile_edges(rows, "k", 8)).alias("s")).count().collect()
+    ]
+    assert max(sizes) < 2 * 4000 / 8 + 500
+    assert sum(sizes) == 4000
+    assert quantile_edges(rows.limit(0), "k", 8) == []
