@@ -7,6 +7,8 @@ data before it writes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -86,23 +88,33 @@ def key_violations(df: DataFrame, keys: list[str], primary: bool = True) -> Data
     return counted.filter((F.col("row_cnt") > 1) | has_null) if primary else counted.filter("row_cnt > 1")
 
 
+def fits_budget(total, bad, budget: ErrorBudget):
+    """Whether the counts (numbers or columns) stay within both limits."""
+    fits = []
+    if budget.records is not None:
+        fits.append(bad <= budget.records)
+    if budget.share is not None:
+        fits.append(bad <= total * budget.share)
+    return reduce(and_, fits) if fits else None
+
+
 def budget_report(df: DataFrame, budget: ErrorBudget) -> DataFrame:
     """One row: total_rows, bad_rows, within_budget. Reads only the columns the rules need."""
     counted = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_bad()).alias("bad_rows"),
     )
-    fits = F.lit(True)
-    if budget.records is not None:
-        fits = fits & (F.col("bad_rows") <= budget.records)
-    if budget.share is not None:
-        fits = fits & (F.col("bad_rows") <= F.col("total_rows") * F.lit(budget.share))
-    return counted.withColumn("within_budget", fits)
+    fits = fits_budget(F.col("total_rows"), F.col("bad_rows"), budget)
+    return counted.withColumn("within_budget", F.lit(True) if fits is None else fits)
+
+
+def check_counts(total: int, bad: int, budget: ErrorBudget) -> tuple[int, int]:
+    if fits_budget(total, bad, budget) is False:
+        raise BudgetExceeded(total, bad, budget)
+    return total, bad
 
 
 def enforce_budget(df: DataFrame, budget: ErrorBudget) -> tuple[int, int]:
     """(total, bad), or BudgetExceeded; to be called before anything is written."""
     row = budget_report(df, budget).first()
-    if not row["within_budget"]:
-        raise BudgetExceeded(row["total_rows"], row["bad_rows"], budget)
-    return row["total_rows"], row["bad_rows"]
+    return check_counts(row["total_rows"], row["bad_rows"], budget)

@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.operators.conform import Field, conform, fields_from_metadata
 from odsflow.operators.metadata import exclude_names
-from odsflow.operators.quality import BudgetExceeded, ErrorBudget, Rule, enforce_budget, split_good_bad, with_reasons
+from odsflow.operators.quality import (
+    REASONS, BudgetExceeded, ErrorBudget, Rule, check_counts, enforce_budget, is_bad, split_good_bad, with_reasons,
+)
 from odsflow.session import delete_folder
+from odsflow.sinks.tables import columns_ddl, create_if_absent
 
 CHANNELS = 3
+BAD = "_bad"
 AUDIT_SCHEMA = (
     "table_name string, status string, rows_in bigint, rows_out bigint, rejected bigint, "
     "error string, seconds double"
@@ -75,6 +79,17 @@ def jobs_from_columns(
     ]
 
 
+def _stage(spark: SparkSession, checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Writes the checked rows once, good and bad apart, so that each later step reads only its part."""
+    marked = checked.withColumn(BAD, is_bad())
+    marked.write.mode("overwrite").partitionBy(BAD).parquet(path)
+    staged = spark.read.schema(marked.schema).parquet(path)
+    counts = {row[BAD]: row["count"] for row in staged.groupBy(BAD).count().collect()}
+    bad = counts.get(True, 0)
+    good, rejects = staged.filter(~F.col(BAD)).drop(BAD, REASONS), staged.filter(F.col(BAD)).drop(BAD)
+    return good, rejects, bad + counts.get(False, 0), bad
+
+
 def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     """Copies one table; the error budget is checked before the target is touched."""
     started = time.monotonic()
@@ -84,10 +99,11 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     checked = conform(source, job.fields, job.mode) if job.fields else source
     checked = with_reasons(checked, list(job.rules))
     if job.stage:
-        checked.write.mode("overwrite").parquet(job.stage)
-        checked = spark.read.schema(checked.schema).parquet(job.stage)
-    total, bad = enforce_budget(checked, job.budget)
-    good, rejects = split_good_bad(checked)
+        good, rejects, total, bad = _stage(spark, checked, job.stage)
+        check_counts(total, bad, job.budget)
+    else:
+        total, bad = enforce_budget(checked, job.budget)
+        good, rejects = split_good_bad(checked)
     if bad and job.write_rejects:
         job.write_rejects(rejects)
     job.write(good)
@@ -116,3 +132,29 @@ def copy_many(spark: SparkSession, jobs: list[CopyJob], channels: int = CHANNELS
 def tally(audit: DataFrame) -> DataFrame:
     """Tables per status."""
     return audit.groupBy("status").count().withColumnRenamed("count", "table_cnt")
+
+
+def create_tables(
+    spark: SparkSession, jobs: list[CopyJob], fmt: str = "parquet", folder: str | None = None,
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Creates the declared table of each job in the session catalog unless it is there; audit rows.
+
+    Partition columns (such as `dt`) are added as text columns when a table does not declare them.
+    """
+    rows = []
+    for job in jobs:
+        try:
+            if not job.fields:
+                rows.append((job.name, "skipped", None, None, None, "no columns", None))
+                continue
+            declared = {f.name for f in job.fields}
+            extra = [Field(name, "string") for name in partition_by or [] if name not in declared]
+            create_if_absent(
+                spark, job.name, columns_ddl(job.fields + extra), f"{folder}/{job.name}" if folder else None,
+                fmt, partition_by,
+            )
+            rows.append((job.name, "success", None, None, None, None, None))
+        except Exception as error:  # one table must not stop the rest
+            rows.append((job.name, "failed", None, None, None, str(error).splitlines()[0], None))
+    return spark.createDataFrame(rows, AUDIT_SCHEMA)

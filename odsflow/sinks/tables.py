@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from odsflow.operators.conform import Field
+
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
+DROP_AT_ONCE = 500
 
 
 def overwrite_text(df: DataFrame, path: str, delimiter: str = ",", max_rows_per_file: int = 0) -> None:
@@ -72,6 +75,31 @@ def save_bucketed(
     writer.format("parquet").saveAsTable(table)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def columns_ddl(fields: list[Field]) -> str:
+    """Declared columns as Spark DDL with NOT NULL, DEFAULT and COMMENT."""
+    lines = []
+    for item in fields:
+        line = f"`{item.name}` {item.type}"
+        if item.required:
+            line += " NOT NULL"
+        if item.default is not None:
+            word = item.default.upper()
+            if word in ("CURRENT_TIMESTAMP", "NOW()"):
+                line += " DEFAULT CURRENT_TIMESTAMP()"
+            elif word == "NULL":
+                line += " DEFAULT NULL"
+            else:
+                line += f" DEFAULT CAST({_quoted(item.default)} AS {item.type})"
+        if item.comment:
+            line += f" COMMENT {_quoted(item.comment)}"
+        lines.append(line)
+    return ", ".join(lines)
+
+
 def create_if_absent(
     spark: SparkSession,
     table: str,
@@ -88,8 +116,7 @@ def create_if_absent(
     if path:
         statement += f" LOCATION '{path}'"
     if comment:
-        escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
-        statement += f" COMMENT '{escaped}'"
+        statement += f" COMMENT {_quoted(comment)}"
     spark.sql(statement)
 
 
@@ -111,6 +138,7 @@ def drop_expired(spark: SparkSession, table: str, day: str, as_of: str, days: in
         .filter(F.col("value").try_cast("date") < F.date_sub(F.lit(as_of).cast("date"), days))
     )
     values = [row["value"] for row in expired.toLocalIterator()]
-    for value in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day}='{value}')")
+    for start in range(0, len(values), DROP_AT_ONCE):
+        parts = ", ".join(f"PARTITION ({day}='{value}')" for value in values[start:start + DROP_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return len(values)

@@ -1,15 +1,15 @@
 import datetime as dt
-import threading
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from odsflow.functions.text import yes_flag
 from odsflow.operators.conform import Field
 from odsflow.operators.metadata import catalog_columns, column_inventory, exclude_names, ordered_columns, tidy_columns
-from odsflow.operators.quality import ErrorBudget, in_domain, not_null
-from odsflow.plans.jobs import CopyJob, copy_many, copy_table, jobs_from_columns, tally
-from odsflow.plans.steps import Step, read_steps, run_steps
+from odsflow.operators.quality import ErrorBudget, not_null
+from odsflow.plans.config import read_source, run_copies, run_etl
+from odsflow.plans.jobs import CopyJob, copy_many, copy_table, create_tables, jobs_from_columns, tally
+from odsflow.plans.steps import read_steps, run_steps
 from odsflow.session import scratch_path, shared_folder
 from odsflow.sinks import tables as sink
 from odsflow.sources.incremental import incremental_load, read_mark, slice_writer
@@ -342,3 +342,64 @@ def test_shared_folder_comes_from_the_session():
 
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+# --- declared tables and JSON jobs -------------------------------------------------------------
+
+
+def test_tables_are_created_from_the_dictionary(spark, dictionary, tmp_path):
+    columns = dictionary[0].filter("table_schema = 'ods' AND table_name = 'Users'").withColumn(
+        "table_name", F.lit("users_made"))
+    jobs = jobs_from_columns(columns, lambda n: None, lambda n: None)
+    bad = CopyJob("bad_made", None, None, [Field("x", "nonsense")])
+    empty = CopyJob("empty_made", None, None, None)
+    for _ in range(2):
+        audit = create_tables(spark, [*jobs, bad, empty], folder=str(tmp_path), partition_by=["dt"])
+        assert {r["table_name"]: r["status"] for r in audit.collect()} == {
+            "users_made": "success", "bad_made": "failed", "empty_made": "skipped"}
+    try:
+        spark.sql("INSERT INTO users_made (id, dt) VALUES (7, '2024-01-01')")
+        row = spark.table("users_made").first()
+        assert (row["id"], row["name"], row["dt"]) == (7, "none", "2024-01-01")
+        assert spark.table("users_made").schema["name"].metadata["comment"] == "it's\nhers"
+    finally:
+        spark.sql("DROP TABLE users_made")
+
+
+def test_copies_from_a_json_file(spark, tmp_path, folder):
+    copies = [
+        {"name": "orders",
+         "source": {"kind": "parquet", "path": f"{folder}/orders.parquet", "columns": ["o_orderkey", "o_orderdate"],
+                    "above": ["o_orderdate", "2000-01-01 00:00:00"]},
+         "columns": [{"name": "id", "source": "o_orderkey", "type": "bigint", "required": True},
+                     {"name": "day", "source": "o_orderdate", "type": "date"}],
+         "sink": {"kind": "orc", "path": str(tmp_path / "orders")}},
+        {"name": "nation",
+         "source": {"kind": "parquet", "path": f"{folder}/nation.parquet"},
+         "columns": [{"name": "n_name", "type": "string", "domain": ["CHINA"]}],
+         "budget": {"records": 100, "share": None},
+         "sink": {"kind": "text", "path": str(tmp_path / "nation"), "delimiter": "#"},
+         "rejects": {"kind": "parquet", "path": str(tmp_path / "rejects")}},
+        {"name": "odd", "source": {"kind": "parquet", "path": f"{folder}/nation.parquet"}, "sink": {"kind": "odd"}},
+    ]
+    (tmp_path / "jobs.json").write_text(json.dumps({"channels": 2, "copies": copies}))
+    audit = {r["table_name"]: r for r in run_copies(spark, str(tmp_path / "jobs.json")).collect()}
+    expected = read_table(spark, folder, "orders").filter("o_orderdate > '2000-01-01'").count()
+    assert (audit["orders"]["status"], audit["orders"]["rows_out"]) == ("success", expected)
+    assert spark.read.orc(str(tmp_path / "orders")).count() == expected
+    assert audit["nation"]["rejected"] == spark.read.parquet(str(tmp_path / "rejects")).count()
+    assert audit["odd"]["status"] == "failed" and "odd" in audit["odd"]["error"]
+
+
+def test_etl_from_a_json_file(spark, tmp_path, folder):
+    config = {
+        "sources": {"ods_x": {"kind": "parquet", "path": f"{folder}/orders.parquet"}},
+        "steps": [{"view": "dws_x", "sql": "SELECT o_orderstatus, count(*) AS n FROM ods_x GROUP BY o_orderstatus"}],
+        "sink": {"kind": "parquet_overwrite", "path": str(tmp_path / "out")},
+    }
+    (tmp_path / "etl.json").write_text(json.dumps(config))
+    for _ in range(2):
+        run_etl(spark, str(tmp_path / "etl.json"))
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("n")).first()[0] == 1500
+    with pytest.raises(ValueError):
+        read_source(spark, {"kind": "tape"})
