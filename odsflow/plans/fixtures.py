@@ -73,28 +73,29 @@ def raw_feed(events: DataFrame) -> DataFrame:
         F.when(name == "signup", "insert").when(name == "error", "delete").when(name == "click", "ddl")
         .otherwise("update")
     )
-    amount = F.col("value").cast(MONEY)
+    prepared = events.select(
+        "event_id", "user_id", kind.alias("kind"), (name == "purchase").alias("two_rows"),
+        F.col("value").cast(MONEY).alias("amount"),
+    )
+    updated = F.col("kind") == "update"
 
     def row(user_shift: int, amount_shift: int):
-        return F.struct(
-            (F.col("user_id") + user_shift).alias("user_id"),
-            (amount + F.lit(amount_shift)).cast(MONEY).alias("amount"),
-        )
+        amount = (F.col("amount") + F.lit(amount_shift)).cast(MONEY) if amount_shift else F.col("amount")
+        return F.struct((F.col("user_id") + user_shift).alias("user_id"), amount.alias("amount"))
 
     def change(shift: int):
-        none = F.lit(None)
         return F.struct(
-            F.when(kind != "update", row(shift, 0)).otherwise(none).alias("values"),
-            F.when(kind == "update", row(shift, -1)).otherwise(none).alias("before_values"),
-            F.when(kind == "update", row(shift, 0)).otherwise(none).alias("after_values"),
+            F.when(~updated, row(shift, 0)).alias("values"),
+            F.when(updated, row(shift, -1)).alias("before_values"),
+            F.when(updated, row(shift, 0)).alias("after_values"),
         )
 
-    return events.select(
-        kind.alias("kind"),
+    return prepared.select(
+        "kind",
         F.when(F.col("user_id") % 10 == 0, "archive").otherwise("shop").alias("db"),
         F.lit("accounts").alias("tbl"),
         F.col("event_id").alias("seq"),
-        F.when(name == "purchase", F.array(change(0), change(100000))).otherwise(F.array(change(0))).alias("rows"),
+        F.when(F.col("two_rows"), F.array(change(0), change(100000))).otherwise(F.array(change(0))).alias("rows"),
     )
 
 

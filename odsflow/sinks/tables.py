@@ -18,12 +18,15 @@ DROP_AT_ONCE = 500
 def overwrite_text(df: DataFrame, path: str, delimiter: str = ",", max_rows_per_file: int = 0) -> None:
     """Delimited text, replaced each run. Fields holding the delimiter, quotes or line feeds are quoted.
 
-    Text cannot tell an empty string from NULL (both read back as NULL); use ORC or parquet where
-    that matters. `max_rows_per_file` bounds the files a multi-line reader cannot split.
+    NULL is written as \\N, so a text that is just \\N reads back as NULL; all others survive, with
+    their blanks. `max_rows_per_file` bounds the files a multi-line reader cannot split.
     """
     (
         df.write.mode("overwrite")
-        .options(sep=delimiter, escape='"', nullValue="\\N", maxRecordsPerFile=max_rows_per_file)
+        .options(
+            sep=delimiter, escape='"', nullValue="\\N", maxRecordsPerFile=max_rows_per_file,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
         .csv(path)
     )
 
