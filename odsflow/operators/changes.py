@@ -83,12 +83,13 @@ def alerts(rows: DataFrame) -> DataFrame:
 def latest_per_key(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last change of every key, deletes included.
 
-    `max_by` reduces on the map side, so one hot key costs one row per task in the shuffle.
+    The largest struct led by the order columns: it reduces on the map side, so one hot key costs one
+    row per task in the shuffle, and equal sequences still give the same row on every run.
     """
-    rest = [c for c in changes.columns if c not in keys]
+    rest = [c for c in changes.columns if c not in keys and c not in order]
     return (
         changes.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
+        .agg(F.max(F.struct(*order, *rest)).alias("_last"))
         .select(*keys, "_last.*")
         .select(*changes.columns)
     )

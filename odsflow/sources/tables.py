@@ -34,6 +34,6 @@ def read_text_table(
     """
     return (
         spark.read.schema(schema)
-        .options(sep=delimiter, escape='"', nullValue="\\N", multiLine=line_breaks)
+        .options(sep=delimiter, escape='"', nullValue="\\N", multiLine=line_breaks, lineSep="\n")
         .csv(path)
     )

@@ -23,7 +23,7 @@ from odsflow.streaming.triggers import trigger_options
 def test_text_round_trip_with_awkward_fields(spark, tmp_path):
     path, schema = str(tmp_path / "text"), "id int, s string"
     rows = [(1, "a,b"), (2, 'say "hi"'), (3, "two\nlines"), (4, None), (5, "\\N?"), (6, "it's"), (7, ""),
-            (8, "  both ends "), (9, '""'), (10, "\\")]
+            (8, "  both ends "), (9, '""'), (10, "\\"), (11, "a\r\nb\rc")]
     df = spark.createDataFrame(rows, schema)
     for _ in range(2):  # replaced, not appended
         sink.overwrite_text(df, path, max_rows_per_file=2)
