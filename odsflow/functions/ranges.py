@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -12,13 +14,17 @@ def even_edges(lower: int, upper: int, slices: int) -> list[int]:
     return sorted({edge for edge in edges if edge > lower})
 
 
-def quantile_edges(df: DataFrame, column: str, slices: int, accuracy: int = 10000) -> list:
-    """Inner edges at the quantiles of a column, so that skewed keys still give even slices."""
+def quantiles(df: DataFrame, column: str, slices: int, accuracy: int = 10000) -> list:
+    """The values that cut a column into `slices` equally full parts; a hot value comes up repeatedly."""
     shares = [i / slices for i in range(1, slices)]
     if not shares:
         return []
-    found = df.agg(F.percentile_approx(column, shares, accuracy).alias("edges")).first()["edges"]
-    return sorted(set(found or []))
+    return df.agg(F.percentile_approx(column, shares, accuracy).alias("cuts")).first()["cuts"] or []
+
+
+def quantile_edges(df: DataFrame, column: str, slices: int, accuracy: int = 10000) -> list:
+    """Inner edges at the quantiles of a column, so that skewed keys still give even slices."""
+    return sorted(set(quantiles(df, column, slices, accuracy)))
 
 
 def range_predicates(column: str, edges: list) -> list[str]:
@@ -33,6 +39,24 @@ def range_predicates(column: str, edges: list) -> list[str]:
     return [first, *middle, f"{column} >= {edges[-1]}"]
 
 
+def skewed_predicates(column: str, cuts: list, salt: str) -> list[str]:
+    """Predicates from `quantiles` that also cut a hot value: each row still falls under exactly one.
+
+    A value found several times fills that many slices by itself; its rows are spread by the whole
+    number column `salt` (a key of the table), which has to be free of NULLs.
+    """
+    counts = Counter(cuts)
+    hot = {value: times for value, times in sorted(counts.items()) if times > 1}
+    if not hot:
+        return range_predicates(column, sorted(counts))
+    listed = ", ".join(str(value) for value in hot)
+    others = f"({column} IS NULL OR {column} NOT IN ({listed}))"
+    ranges = [f"({predicate}) AND {others}" for predicate in range_predicates(column, sorted(counts))]
+    spread = [f"{column} = {value} AND MOD(ABS({salt}), {times}) = {part}"
+              for value, times in hot.items() for part in range(times)]
+    return ranges + spread
+
+
 def slice_number(column: Column, edges: list) -> Column:
     """Number of the slice (from 0) that `range_predicates` puts a row in."""
     passed = F.lit(0)

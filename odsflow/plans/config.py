@@ -8,6 +8,9 @@ A table copy:
      "sink": {"kind": "orc", "path": "..."},
      "budget": {"records": 0, "share": 0.02}}
 
+With `"incremental": {"column": "changed_at", "marks": "..."}` only rows above the stored mark are read; the
+sink kind `slices` keeps such loads apart, so that a repeated one replaces itself.
+
 An ETL: `{"sources": {view: source}, "steps": [{"view", "sql"}], "sink": {...}}`.
 """
 
@@ -20,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.operators.conform import Field
 from odsflow.operators.quality import ErrorBudget
-from odsflow.plans.jobs import CHANNELS, CopyJob, copy_many
+from odsflow.plans.jobs import CHANNELS, CopyJob, Incremental, copy_many
 from odsflow.plans.steps import Step, run_steps
 from odsflow.sinks import jdbc as jdbc_sink, tables as table_sink
 from odsflow.sources import jdbc as jdbc_source
-from odsflow.sources.incremental import rows_above
+from odsflow.sources.incremental import rows_above, slice_writer
 
 FILE_KINDS = ("parquet", "orc", "csv", "json")
 
@@ -74,16 +77,24 @@ def write_sink(df: DataFrame, entry: dict) -> None:
 
 def copy_job(entry: dict) -> CopyJob:
     fields = [Field(**{**column, "domain": tuple(column.get("domain", ()))}) for column in entry.get("columns", [])]
-    rejects = entry.get("rejects")
+    rejects, incremental = entry.get("rejects"), entry.get("incremental")
+
+    def write(df: DataFrame, *start: str) -> None:
+        if entry["sink"]["kind"] == "slices":  # one partition per incremental load, replaced by a rerun
+            slice_writer(entry["sink"]["path"])(df, *start)
+        else:
+            write_sink(df, entry["sink"])
+
     return CopyJob(
         name=entry["name"],
         read=lambda spark: read_source(spark, entry["source"]),
-        write=lambda df: write_sink(df, entry["sink"]),
+        write=write,
         fields=fields or None,
         mode=entry.get("mode", "lossless"),
         budget=ErrorBudget(**entry.get("budget", {})),
         write_rejects=(lambda df: write_sink(df, rejects)) if rejects else None,
         stage=entry.get("stage"),
+        incremental=Incremental(**incremental) if incremental else None,
     )
 
 

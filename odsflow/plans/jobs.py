@@ -16,6 +16,7 @@ from odsflow.operators.quality import (
 )
 from odsflow.session import delete_folder
 from odsflow.sinks.tables import columns_ddl, create_if_absent
+from odsflow.sources.incremental import FIRST_LOAD, as_mark, read_mark, rows_above, rows_between, store_mark
 
 CHANNELS = 3
 BAD = "_bad"
@@ -25,20 +26,30 @@ AUDIT_SCHEMA = (
 )
 
 
+@dataclass(frozen=True)
+class Incremental:
+    """The column whose largest loaded value is the mark, and the folder of the stored marks."""
+
+    column: str
+    marks: str
+
+
 @dataclass(frozen=True)
 class CopyJob:
-    """One table. `stage` names a shared folder to read the source only once (for databases, whose
+    """One table. `write` gets the good rows; for an incremental job also the mark they start after
+    (see `sources.incremental.slice_writer`). `stage` names a shared folder to read the source only once (for databases, whose
     rows may change between two reads); without it the gate and the write each scan the source."""
 
     name: str
     read: Callable[[SparkSession], DataFrame]
-    write: Callable[[DataFrame], None]
+    write: Callable[..., None]
     fields: list[Field] | None = None
     rules: tuple[Rule, ...] = ()
     mode: str = "lossless"
     budget: ErrorBudget = ErrorBudget()
     write_rejects: Callable[[DataFrame], None] | None = None
     stage: str | None = None
+    incremental: Incremental | None = None
 
 
 @dataclass(frozen=True)
@@ -61,9 +72,13 @@ def jobs_from_columns(
     dialect: str = "mysql",
     mode: str = "lossless",
     budget: ErrorBudget = ErrorBudget(),
+    mark_columns: dict[str, str] | None = None,
+    marks: str | None = None,
 ) -> list[CopyJob]:
     """One job per table of a metadata listing (all, or the named ones; minus the excluded).
 
+    Tables in `mark_columns` load incrementally by that column, all others in full.
+
     `columns` has the shape of `fields_from_metadata` plus table_name and ordinal_position; its size
     is that of the source's data dictionary, so it may come to the driver.
     """
@@ -73,12 +88,26 @@ def jobs_from_columns(
     tables: dict[str, list[dict]] = {}
     for row in wanted.orderBy("table_name", "ordinal_position").toLocalIterator():
         tables.setdefault(row["table_name"].lower(), []).append(row.asDict())
+    by_mark = {name.lower(): Incremental(column, marks) for name, column in (mark_columns or {}).items()}
     return [
-        CopyJob(name, reader(name), writer(name), fields_from_metadata(rows, dialect, mode), mode=mode, budget=budget)
+        CopyJob(
+            name, reader(name), writer(name), fields_from_metadata(rows, dialect, mode), mode=mode, budget=budget,
+            incremental=by_mark.get(name),
+        )
         for name, rows in tables.items()
     ]
 
 
+def _new_rows(spark: SparkSession, job: CopyJob, source: DataFrame) -> tuple[str | None, str | None, DataFrame]:
+    """(stored mark, new mark, rows between them). The new mark is taken first, so rows that appear
+    in the source during the load wait for the next one."""
+    column = job.incremental.column
+    stored = read_mark(spark, job.incremental.marks, job.name, column)
+    above = as_mark(source, column, stored)
+    mark = rows_above(source, column, above).agg(F.max(column).cast("string")).first()[0]
+    return stored, mark, rows_between(source, column, above, as_mark(source, column, mark))
+
+
 def _stage(spark: SparkSession, checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame, int, int]:
     """Writes the checked rows once, good and bad apart, so that each later step reads only its part."""
     marked = checked.withColumn(BAD, is_bad())
@@ -96,6 +125,9 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     source = job.read(spark)
     if not source.columns:
         return Audit(job.name, "skipped", error="no columns")
+    stored, mark = None, None
+    if job.incremental:
+        stored, mark, source = _new_rows(spark, job, source)
     checked = conform(source, job.fields, job.mode) if job.fields else source
     checked = with_reasons(checked, list(job.rules))
     if job.stage:
@@ -106,7 +138,12 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
         good, rejects = split_good_bad(checked)
     if bad and job.write_rejects:
         job.write_rejects(rejects)
-    job.write(good)
+    if job.incremental:
+        job.write(good, stored or FIRST_LOAD)
+        if mark is not None:
+            store_mark(spark, job.incremental.marks, job.name, job.incremental.column, mark)
+    else:
+        job.write(good)
     if job.stage:
         delete_folder(spark, job.stage)
     return Audit(job.name, "success", total, total - bad, bad, seconds=round(time.monotonic() - started, 3))

@@ -1,19 +1,20 @@
-"""An ETL as configured SQL steps over named views."""
+"""An ETL as configured steps over named views, and the daily order summary built that way."""
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
 class Step:
-    """A view name and the SELECT that defines it."""
+    """A view name and what defines it: a SELECT text, or a function from the session to a frame."""
 
     view: str
-    sql: str
+    sql: str | Callable[[SparkSession], DataFrame]
 
 
 def run_steps(spark: SparkSession, sources: dict[str, DataFrame], steps: list[Step]) -> DataFrame:
@@ -26,8 +27,9 @@ def run_steps(spark: SparkSession, sources: dict[str, DataFrame], steps: list[St
     for view, df in sources.items():
         df.createOrReplaceTempView(view)
     for step in steps:
-        spark.sql(step.sql).createOrReplaceTempView(step.view)
-    return spark.table(steps[-1].view)
+        result = spark.sql(step.sql) if isinstance(step.sql, str) else step.sql(spark)
+        result.createOrReplaceTempView(step.view)
+    return result
 
 
 def read_steps(path: str) -> list[Step]:
@@ -36,21 +38,25 @@ def read_steps(path: str) -> list[Step]:
         return [Step(entry["view"], entry["sql"]) for entry in json.load(source)]
 
 
+def order_details(orders: DataFrame, success: str = "SUCCESS") -> DataFrame:
+    """Orders with a positive amount, their day and a 0/1 success flag; a NULL status is no success."""
+    return orders.filter(F.col("order_amount") > 0).withColumns({
+        "order_date": F.to_date("order_time"),
+        "is_success": F.when(F.col("order_status") == success, 1).otherwise(0),
+    })
+
+
+def orders_per_day(details: DataFrame) -> DataFrame:
+    return details.groupBy("order_date").agg(
+        F.count(F.lit(1)).alias("order_cnt"),
+        F.sum("order_amount").alias("total_amount"),
+        F.sum("is_success").alias("success_order_cnt"),
+    )
+
+
 def daily_order_steps(success: str = "SUCCESS") -> list[Step]:
-    """ods_orders -> dwd_orders (positive amounts, day, success flag) -> dws_order_day."""
-    detail = f"""
-        SELECT id, user_id, order_amount, order_status, order_time,
-               to_date(order_time) AS order_date,
-               CASE WHEN order_status = '{success}' THEN 1 ELSE 0 END AS is_success
-        FROM ods_orders
-        WHERE order_amount > 0
-    """
-    summary = """
-        SELECT order_date,
-               count(*) AS order_cnt,
-               sum(order_amount) AS total_amount,
-               sum(is_success) AS success_order_cnt
-        FROM dwd_orders
-        GROUP BY order_date
-    """
-    return [Step("dwd_orders", detail), Step("dws_order_day", summary)]
+    """ods_orders -> dwd_orders -> dws_order_day."""
+    return [
+        Step("dwd_orders", lambda spark: order_details(spark.table("ods_orders"), success)),
+        Step("dws_order_day", lambda spark: orders_per_day(spark.table("dwd_orders"))),
+    ]

@@ -30,6 +30,20 @@ def rows_above(df: DataFrame, column: str | None, mark: Column | None) -> DataFr
     return df if column is None or mark is None else df.filter(F.col(column) > mark)
 
 
+def rows_between(df: DataFrame, column: str, mark: Column | None, upper: Column | None) -> DataFrame:
+    """Rows above the mark up to the new one; the first load (no mark) also takes NULLs."""
+    df = rows_above(df, column, mark)
+    if upper is None:
+        return df
+    within = F.col(column) <= upper
+    return df.filter(within | F.col(column).isNull()) if mark is None else df.filter(within)
+
+
+def as_mark(df: DataFrame, column: str, text: str | None) -> Column | None:
+    """A stored mark as a literal of the column's type."""
+    return None if text is None else F.lit(text).cast(df.schema[column].dataType)
+
+
 def read_mark(spark: SparkSession, marks: str, table: str, column: str) -> str | None:
     if not any(name.endswith(".parquet") for name in child_names(spark, marks)):
         return None
@@ -66,15 +80,20 @@ def incremental_load(
     column: str,
     marks: str,
     write: Callable[[DataFrame, str], None],
+    overlap: Column | None = None,
 ) -> LoadResult:
     """Loads the rows above the stored mark, then stores the largest value among them.
 
     The new mark and the counts come out of the write itself (one pass over the source). `write`
     gets the rows and the start mark (`initial` at first); it has to be a file write without a
-    shuffle. Rows with a NULL in the column belong to the first load only and are counted.
+    shuffle. Rows with a NULL in the column belong to the first load only and are counted. `overlap`
+    (a number or interval) reads that far below the mark again, for rows that arrive late; `write` then
+    has to upsert by key.
     """
     stored = read_mark(spark, marks, table, column)
-    mark = None if stored is None else F.lit(stored).cast(df.schema[column].dataType)
+    mark = as_mark(df, column, stored)
+    if mark is not None and overlap is not None:
+        mark = mark - overlap
     seen = Observation()
     wanted = rows_above(df, column, mark).observe(
         seen,
@@ -84,6 +103,6 @@ def incremental_load(
     )
     write(wanted, stored or FIRST_LOAD)
     result = seen.get
-    if result["mark"] is not None:
+    if result["mark"] is not None and result["mark"] != stored:
         store_mark(spark, marks, table, column, result["mark"])
     return LoadResult(result["rows"], result["unmarked"], result["mark"] or stored)

@@ -20,6 +20,7 @@ from odsflow.sinks.jdbc import jdbc_upsert
 from odsflow.streaming.triggers import FLUSH_SECONDS, trigger_options
 
 COMPACT_EVERY = 100
+KEEP_BASES = 2
 
 
 def _finished(spark: SparkSession, folder: str, prefix: str) -> list[int]:
@@ -70,7 +71,7 @@ def compact(spark: SparkSession, root: str, keys: list[str], order: list[str]) -
     return batches[-1]
 
 
-def drop_superseded(spark: SparkSession, root: str, keep: int = 2) -> int:
+def drop_superseded(spark: SparkSession, root: str, keep: int = KEEP_BASES) -> int:
     """Deletes bases older than the newest `keep` ones and the batches those already hold."""
     bases = _finished(spark, f"{root}/base", "upto")
     if len(bases) <= keep:
@@ -90,8 +91,13 @@ def upsert_stream(
     order: list[str],
     seconds: int | None = None,
     compact_every: int = COMPACT_EVERY,
+    keep_bases: int = KEEP_BASES,
 ) -> StreamingQuery:
-    """Starts the upsert of a change stream into the lake table under `root`."""
+    """Starts the upsert of a change stream into the lake table under `root`.
+
+    Every `compact_every` batches they are folded into a new base; data older than the newest
+    `keep_bases` bases goes away, so keep two for readers still on the last one.
+    """
     spark = changes.sparkSession
     checkpoint = f"{root}/_checkpoint"
     if not path_exists(spark, checkpoint) and child_names(spark, f"{root}/changes"):
@@ -101,6 +107,7 @@ def upsert_stream(
         write_batch(batch, batch_id, root, keys, order)
         if (batch_id + 1) % compact_every == 0:
             compact(batch.sparkSession, root, keys, order)
+            drop_superseded(batch.sparkSession, root, keep_bases)
 
     return (
         changes.writeStream.foreachBatch(apply)

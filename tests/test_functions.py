@@ -1,10 +1,10 @@
-from decimal import Decimal
-
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from odsflow.functions.ranges import even_edges, quantile_edges, range_predicates, slice_number
+from odsflow.functions.ranges import (
+    even_edges, quantile_edges, quantiles, range_predicates, skewed_predicates, slice_number,
+)
 from odsflow.functions.text import distinct_chars, scrub, split_name_age, yes_flag
 from odsflow.functions.types import base_word, spark_type, target_type, type_digits
 
@@ -152,3 +152,16 @@ def test_quantile_edges_even_out_skew(spark):
     assert max(sizes) < 2 * 4000 / 8 + 500
     assert sum(sizes) == 4000
     assert quantile_edges(rows.limit(0), "k", 8) == []
+
+
+def test_hot_value_is_cut_too(spark):
+    rows = spark.range(0, 6000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 != 1, F.col("id") % 1000).alias("k")
+    )
+    predicates = skewed_predicates("k", quantiles(rows, "k", 12), "id")
+    sizes = [rows.filter(p).count() for p in predicates]
+    assert sum(sizes) == 6000
+    hits = sum((F.when(F.expr(p), 1).otherwise(0) for p in predicates), F.lit(0))
+    assert rows.filter(hits != 1).count() == 0
+    assert max(sizes) < 6000 / 12 * 2
+    assert skewed_predicates("k", [10, 20], "id") == range_predicates("k", [10, 20])

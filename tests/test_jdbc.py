@@ -103,3 +103,35 @@ def test_merge_text_keeps_the_latest_row(seed):
     for row in sorted(rows, key=lambda r: r[2:]):
         expected[row[0]] = row
     assert sorted(con.execute("SELECT * FROM t").fetchall()) == sorted(expected.values())
+
+
+# --- streams into a database, with the database calls recorded ---------------------------------
+
+
+def test_change_stream_upserts_each_batch(spark, tmp_path, monkeypatch):
+    from odsflow.streaming import upsert
+
+    calls = []
+    monkeypatch.setattr(upsert, "jdbc_upsert", lambda df, url, target, keys, order, properties: calls.append(
+        (url, target, sorted(tuple(r) for r in df.collect()))))
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.json").write_text('{"op":"I","seq":1,"id":1}\n{"op":"U","seq":2,"id":1}\n{"op":"D","seq":3,"id":2}')
+    changes = spark.readStream.schema("op string, seq bigint, id int").json(str(feed))
+    upsert.upsert_stream_jdbc(changes, URL, "t", ["id"], ["seq"], str(tmp_path / "c"), seconds=None).awaitTermination()
+    assert calls == [(URL, "t", [("D", 3, 2), ("U", 2, 1)])]
+
+
+def test_line_stream_clears_its_batch_before_it_appends(spark, tmp_path, monkeypatch):
+    from odsflow.streaming import delimited
+
+    calls = []
+    monkeypatch.setattr(delimited, "jdbc_execute", lambda s, url, statement, properties: calls.append(statement))
+    monkeypatch.setattr(delimited, "jdbc_append", lambda df, url, table, properties: calls.append(
+        sorted(tuple(r) for r in df.collect())))
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.txt").write_text("ann#31\nbad\nzoe#9\n")
+    delimited.append_lines_jdbc(
+        spark.readStream.text(str(feed)), URL, "t", str(tmp_path / "c"), seconds=None).awaitTermination()
+    assert calls == ["DELETE FROM t WHERE batch_id = 0", [("ann", 31, 0), ("zoe", 9, 0)]]

@@ -8,7 +8,9 @@ from odsflow.operators.conform import Field
 from odsflow.operators.metadata import catalog_columns, column_inventory, exclude_names, ordered_columns, tidy_columns
 from odsflow.operators.quality import ErrorBudget, not_null
 from odsflow.plans.config import read_source, run_copies, run_etl
-from odsflow.plans.jobs import CopyJob, copy_many, copy_table, create_tables, jobs_from_columns, tally
+from odsflow.plans.jobs import (
+    CopyJob, Incremental, copy_many, copy_table, create_tables, jobs_from_columns, tally,
+)
 from odsflow.plans.steps import read_steps, run_steps
 from odsflow.session import scratch_path, shared_folder
 from odsflow.sinks import tables as sink
@@ -404,3 +406,61 @@ def test_etl_from_a_json_file(spark, tmp_path, folder):
     assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("n")).first()[0] == 1500
     with pytest.raises(ValueError):
         read_source(spark, {"kind": "tape"})
+
+
+def test_incremental_copies(spark, tmp_path):
+    target, marks = str(tmp_path / "rows"), str(tmp_path / "marks")
+    fields = [Field("id", "int", required=True), Field("at", "timestamp_ntz", source="changed")]
+
+    def load(rows, name="t", budget=ErrorBudget(1, None)):
+        job = CopyJob(name, lambda s: s.createDataFrame(rows, "id string, changed string").withColumn(
+            "changed", F.col("changed").cast("timestamp_ntz")), slice_writer(target), fields, budget=budget,
+            incremental=Incremental("changed", marks))
+        return copy_many(spark, [job]).first()
+
+    first = load([("1", "2024-01-01 00:00:00"), ("x", "2024-01-05 00:00:00.123456"), ("3", None)])
+    assert (first["status"], first["rows_in"], first["rows_out"], first["rejected"]) == ("success", 3, 2, 1)
+    assert read_mark(spark, marks, "t", "changed") == "2024-01-05 00:00:00.123456"
+    over = load([("y", "2024-01-06 00:00:00"), ("z", "2024-01-07 00:00:00")])  # refused: the mark stays
+    assert over["status"] == "failed" and read_mark(spark, marks, "t", "changed") == "2024-01-05 00:00:00.123456"
+    for _ in range(2):  # nothing new the second time
+        again = load([("1", "2024-01-01 00:00:00"), ("6", "2024-01-06 00:00:00"), ("7", None)])
+    assert (again["status"], again["rows_in"]) == ("success", 0)
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 3, 6]
+
+
+def test_overlap_reads_late_rows_again(spark, tmp_path):
+    marks, seen = str(tmp_path / "marks"), []
+
+    def load(rows, overlap=None):
+        def write(df, start):
+            path = str(tmp_path / f"load{len(seen)}")
+            df.write.parquet(path)
+            seen.append(sorted(r["changed"] for r in spark.read.parquet(path).collect()))
+
+        incremental_load(spark, spark.createDataFrame(rows, "changed int"), "t", "changed", marks, write, overlap)
+
+    load([(10,), (20,)])
+    load([(10,), (17,), (20,), (30,)], F.lit(5))
+    assert seen == [[10, 20], [17, 20, 30]]
+    assert read_mark(spark, marks, "t", "changed") == "30"
+
+
+def test_incremental_copies_from_a_json_file(spark, tmp_path, folder):
+    copy = {
+        "name": "orders",
+        "source": {"kind": "parquet", "path": f"{folder}/orders.parquet", "columns": ["o_orderkey", "o_orderdate"]},
+        "incremental": {"column": "o_orderdate", "marks": str(tmp_path / "marks")},
+        "sink": {"kind": "slices", "path": str(tmp_path / "orders")},
+    }
+    (tmp_path / "jobs.json").write_text(json.dumps({"copies": [copy]}))
+    counts = [run_copies(spark, str(tmp_path / "jobs.json")).first()["rows_out"] for _ in range(2)]
+    assert counts == [1500, 0]
+    assert spark.read.parquet(str(tmp_path / "orders")).count() == 1500
+
+
+def test_dictionary_marks_incremental_tables(dictionary):
+    columns = dictionary[0].filter("table_schema = 'ods'")
+    jobs = jobs_from_columns(columns, lambda n: None, lambda n: None, mark_columns={"USERS": "changed"}, marks="m")
+    assert {j.name: j.incremental for j in jobs} == {
+        "orders": None, "users": Incremental("changed", "m"), "v_users": None}
