@@ -57,6 +57,14 @@ FEED_ROWS = """
     FROM events, (VALUES (0), (1)) AS r(row_no)
     WHERE event_type <> 'click' AND user_id % 10 <> 0 AND (row_no = 0 OR event_type = 'purchase')"""
 
+ALERTS = f"""
+    SELECT CASE op WHEN 'I' THEN 'INSERT' WHEN 'U' THEN 'UPDATE' ELSE 'DELETE' END AS event_type,
+           db, tbl, seq, row_no,
+           CASE WHEN op = 'U' THEN concat('{{"old":{{"user_id":', user_id, ',"amount":',
+                    CAST(amount - 1 AS DECIMAL(18,2)), '}},"new":{{"user_id":', user_id, ',"amount":', amount, '}}}}')
+                ELSE concat('{{"user_id":', user_id, ',"amount":', amount, '}}') END AS data
+    FROM ({FEED_ROWS})"""
+
 
 def _last_rows(changes: str) -> str:
     return f"""
@@ -251,13 +259,9 @@ ORACLES = {
                CASE WHEN op <> 'D' THEN user_id END AS new_user_id,
                CASE WHEN op <> 'D' THEN amount END AS new_amount
         FROM ({FEED_ROWS})""",
-    "change_alerts": f"""
-        SELECT CASE op WHEN 'I' THEN 'INSERT' WHEN 'U' THEN 'UPDATE' ELSE 'DELETE' END AS event_type,
-               db, tbl, seq, row_no,
-               CASE WHEN op = 'U' THEN concat('{{"old":{{"user_id":', user_id, ',"amount":',
-                        CAST(amount - 1 AS DECIMAL(18,2)), '}},"new":{{"user_id":', user_id, ',"amount":', amount, '}}}}')
-                    ELSE concat('{{"user_id":', user_id, ',"amount":', amount, '}}') END AS data
-        FROM ({FEED_ROWS})""",
+    "change_alerts": ALERTS,
+    "stream_change_alerts": ALERTS,
+    "stream_insert_append": f"SELECT ts, event_id, user_id, value FROM ({CHANGES}) WHERE op = 'I'",
     "cdc_latest_state": _last_rows(CHANGES),
     "cdc_snapshot_plus_changes": _last_rows(f"{SNAPSHOT} UNION ALL {CHANGES}"),
     "stream_cdc_upsert": _last_rows(CHANGES),

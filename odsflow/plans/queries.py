@@ -22,8 +22,9 @@ from odsflow.session import scratch_path
 from odsflow.sinks import tables as sink
 from odsflow.sources.incremental import FIRST_LOAD, incremental_load, rows_above, slice_writer
 from odsflow.sources.tables import read_table, read_text_table
+from odsflow.streaming.alerts import append_alerts
 from odsflow.streaming.delimited import append_lines, parse_lines, read_lines
-from odsflow.streaming.upsert import current_rows, load_snapshot, upsert_stream
+from odsflow.streaming.upsert import append_inserts, current_rows, load_snapshot, upsert_stream
 
 USER_KEY, EVENT_ORDER = ["user_id"], ["ts", "event_id"]
 READ_SLICES = 8
@@ -356,6 +357,23 @@ def change_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return alerts(_normalised(spark, folder))
 
 
+def stream_change_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    base = scratch_path(spark, "alerts")
+    feed = fixtures.raw_feed(fixtures.event_stream(spark, folder))
+    append_alerts(feed, f"{base}/rows", f"{base}/_checkpoint", ["shop"], ["accounts"]).awaitTermination()
+    return spark.read.schema(
+        "event_type string, db string, tbl string, seq bigint, row_no int, data string"
+    ).json(f"{base}/rows")
+
+
+def stream_insert_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Append mode: the inserted rows of a change stream, each once."""
+    base = scratch_path(spark, "inserts")
+    changes = fixtures.change_log(fixtures.event_stream(spark, folder))
+    append_inserts(changes, f"{base}/rows", f"{base}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/rows").drop("op")
+
+
 def cdc_latest_state(spark: SparkSession, folder: str) -> DataFrame:
     changes = fixtures.change_log(fixtures.events(spark, folder))
     return latest_state(changes, USER_KEY, EVENT_ORDER).drop("op")
@@ -421,6 +439,8 @@ QUERIES = {
     "stream_delimited_append": stream_delimited_append,
     "cdc_normalise": cdc_normalise,
     "change_alerts": change_alerts,
+    "stream_change_alerts": stream_change_alerts,
+    "stream_insert_append": stream_insert_append,
     "cdc_latest_state": cdc_latest_state,
     "cdc_snapshot_plus_changes": cdc_snapshot_plus_changes,
     "stream_cdc_upsert": stream_cdc_upsert,

@@ -9,11 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+SHUFFLE = "spark.sql.shuffle.partitions"
+PARTITIONS_PER_CORE = 3
+
+
 def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the jobs expect; `conf` adds or replaces settings.
 
-    The number of shuffle partitions is a start value only: AQE merges small ones, so a
-    cluster should set `spark.sql.shuffle.partitions` high (2-4 per core).
+    The number of shuffle partitions starts at three per core unless `conf` names one; AQE merges
+    the small ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -28,7 +32,10 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if SHUFFLE not in settings:
+        spark.conf.set(SHUFFLE, str(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def file_system(spark: SparkSession, path: str):

@@ -1,6 +1,7 @@
 """Incremental loads: rows above a stored high-water mark.
 
-Marks live in a small append-only parquet table (one row per load). A crash between the write of
+Marks live in small append-only parquet tables, one per table and one row per load, as text in the
+session time zone (keep it at UTC). A crash between the write of
 the rows and that of the mark repeats the load from the same start; `slice_writer` then replaces
 the slice of the first try.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from odsflow.session import child_names
 
 FIRST_LOAD = "initial"
-MARK_SCHEMA = "table_name string, column_name string, mark string, loaded_at timestamp"
+MARK_SCHEMA = "mark string, loaded_at timestamp"
 
 
 @dataclass(frozen=True)
@@ -44,22 +45,23 @@ def as_mark(df: DataFrame, column: str, text: str | None) -> Column | None:
     return None if text is None else F.lit(text).cast(df.schema[column].dataType)
 
 
+def _folder(marks: str, table: str, column: str) -> str:
+    """Each table has its own folder: loads that run side by side must not share an output folder."""
+    return f"{marks}/{table}.{column}"
+
+
 def read_mark(spark: SparkSession, marks: str, table: str, column: str) -> str | None:
-    if not any(name.endswith(".parquet") for name in child_names(spark, marks)):
+    folder = _folder(marks, table, column)
+    if not any(name.endswith(".parquet") for name in child_names(spark, folder)):
         return None
-    stored = spark.read.schema(MARK_SCHEMA).parquet(marks)
-    mine = stored.filter((F.col("table_name") == table) & (F.col("column_name") == column))
-    return mine.agg(F.max_by("mark", "loaded_at")).first()[0]
+    return spark.read.schema(MARK_SCHEMA).parquet(folder).agg(F.max_by("mark", "loaded_at")).first()[0]
 
 
 def store_mark(spark: SparkSession, marks: str, table: str, column: str, mark: str) -> None:
-    row = spark.range(1).select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(mark).alias("mark"),
-        F.current_timestamp().alias("loaded_at"),
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(mark).alias("mark"), F.current_timestamp().alias("loaded_at")
     )
-    row.write.mode("append").parquet(marks)
+    row.write.mode("append").parquet(_folder(marks, table, column))
 
 
 def slice_writer(target: str) -> Callable[[DataFrame, str], None]:

@@ -90,13 +90,15 @@ def upsert_stream(
     keys: list[str],
     order: list[str],
     seconds: int | None = None,
-    compact_every: int = COMPACT_EVERY,
+    compact_every: int | None = COMPACT_EVERY,
     keep_bases: int = KEEP_BASES,
 ) -> StreamingQuery:
     """Starts the upsert of a change stream into the lake table under `root`.
 
     Every `compact_every` batches they are folded into a new base; data older than the newest
-    `keep_bases` bases goes away, so keep two for readers still on the last one.
+    `keep_bases` bases goes away, so keep two for readers still on the last one. With None the stream
+    never stops for it: run `compact` and `drop_superseded` as a job of their own, also while the
+    stream goes on.
     """
     spark = changes.sparkSession
     checkpoint = f"{root}/_checkpoint"
@@ -105,7 +107,7 @@ def upsert_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id, root, keys, order)
-        if (batch_id + 1) % compact_every == 0:
+        if compact_every and (batch_id + 1) % compact_every == 0:
             compact(batch.sparkSession, root, keys, order)
             drop_superseded(batch.sparkSession, root, keep_bases)
 

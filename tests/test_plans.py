@@ -1,0 +1,63 @@
+"""The physical plans: what reaches the scan, how often rows are shuffled."""
+
+import pytest
+
+from odsflow.plans.queries import QUERIES
+
+
+def plan_of(spark, name, folder):
+    return QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name, pushed",
+    [
+        ("incremental_load", "GreaterThan(o_orderdate,2000-01-01T00:00)"),
+        ("retention_30d", "GreaterThanOrEqual(o_orderdate,"),
+        ("exclude_table", "IsNotNull(event_type)"),
+        ("sql_steps", "GreaterThan(l_quantity,0.0)"),
+    ],
+)
+def test_filters_reach_the_scan(spark, folder, name, pushed):
+    assert pushed in plan_of(spark, name, folder)
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("daily_order_summary", "o_orderstatus,o_totalprice,o_orderdate"),
+        ("column_read", "l_orderkey,l_partkey,l_linenumber,l_shipdate"),
+        ("key_violations", "l_orderkey,l_linenumber"),
+        ("text_scrub", "doc_id,text,lang"),
+        ("row_count", ""),
+    ],
+)
+def test_scans_read_only_what_is_used(spark, folder, name, columns):
+    scan = next(line for line in plan_of(spark, name, folder).splitlines() if "FileScan" in line)
+    read = scan.split("FileScan parquet [", 1)[1].split("]", 1)[0]
+    assert ",".join(c.split("#")[0] for c in read.split(",")) == columns
+
+
+@pytest.mark.parametrize(
+    "name, shuffles",
+    [
+        ("daily_order_summary", 1), ("key_violations", 1), ("range_split_read", 1), ("cdc_latest_state", 1),
+        ("cdc_snapshot_plus_changes", 1), ("dwd_orders", 0), ("incremental_load", 0), ("conform_types", 0),
+        ("text_scrub", 0), ("cdc_normalise", 0), ("delimited_parse", 0), ("type_lookup", 0), ("retention_30d", 0),
+        ("not_null_violations", 0), ("default_fill", 0), ("distinct_chars", 0),
+    ],
+)
+def test_shuffles(spark, folder, name, shuffles):
+    assert plan_of(spark, name, folder).count("Exchange hashpartitioning") == shuffles
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cross_joins(spark, folder, name):
+    plan = plan_of(spark, name, folder)
+    for word in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in plan
+
+
+def test_groups_are_reduced_before_the_shuffle(spark, folder):
+    for name in ("daily_order_summary", "key_violations", "cdc_latest_state", "error_budget"):
+        assert "partial_" in plan_of(spark, name, folder)
