@@ -20,6 +20,13 @@ def _lookup(values: dict[str, str], key: Column) -> Column:
     return F.element_at(F.create_map(*pairs), key)
 
 
+def from_json_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """Messages held as JSON text, as rows. A message that is no JSON stops the load: passing over
+    it would lose a change unseen."""
+    parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
+    return lines.select(parsed.alias("_row")).select("_row.*")
+
+
 def normalise_changes(
     feed: DataFrame,
     databases: list[str] | None = None,

@@ -24,6 +24,11 @@ class Field:
     domain: tuple[str, ...] = field(default=())
 
 
+def _whole(number) -> int | None:
+    """Databases return precision and scale as decimals."""
+    return None if number is None else int(number)
+
+
 def fields_from_metadata(rows: list[dict], dialect: str = "mysql", mode: str = "lossless") -> list[Field]:
     """Target columns from metadata rows (column_name, column_type, is_nullable, default, comment).
 
@@ -33,7 +38,9 @@ def fields_from_metadata(rows: list[dict], dialect: str = "mysql", mode: str = "
         Field(
             name=row["column_name"].lower(),
             source=row["column_name"],
-            type=spark_type(row["column_type"], dialect, mode, row.get("data_precision"), row.get("data_scale")),
+            type=spark_type(
+                row["column_type"], dialect, mode, _whole(row.get("data_precision")), _whole(row.get("data_scale"))
+            ),
             required=str(row.get("is_nullable") or "YES").upper() not in ("YES", "Y"),
             default=row.get("column_default"),
             comment=row.get("column_comment") or "",

@@ -12,6 +12,14 @@ With `"incremental": {"column": "changed_at", "marks": "..."}` only rows above t
 sink kind `slices` keeps such loads apart, so that a repeated one replaces itself.
 
 An ETL: `{"sources": {view: source}, "steps": [{"view", "sql"}], "sink": {...}}`.
+
+A stream, run every `seconds` (without it: once over all that is there):
+
+    {"source": {"kind": "kafka", "servers": "...", "topic": "..."},
+     "flow": {"kind": "lines", "delimiter": "#", "target": "...", "checkpoint": "..."}, "seconds": 10}
+
+Flows: `lines`, `lines_jdbc`, `changes` (lake), `changes_jdbc`, `inserts`, `alerts`; their other keys are the
+arguments of the function behind them. Messages of the last four are JSON of the schema in `source`.
 """
 
 from __future__ import annotations
@@ -20,7 +28,9 @@ import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from odsflow.operators.changes import from_json_lines
 from odsflow.operators.conform import Field
 from odsflow.operators.quality import ErrorBudget
 from odsflow.plans.jobs import CHANNELS, CopyJob, Incremental, copy_many
@@ -28,6 +38,10 @@ from odsflow.plans.steps import Step, run_steps
 from odsflow.sinks import jdbc as jdbc_sink, tables as table_sink
 from odsflow.sources import jdbc as jdbc_source
 from odsflow.sources.incremental import rows_above, slice_writer
+from odsflow.sources.kafka import kafka_lines
+from odsflow.streaming.alerts import append_alerts
+from odsflow.streaming.delimited import append_lines, append_lines_jdbc
+from odsflow.streaming.upsert import append_inserts, upsert_stream, upsert_stream_jdbc
 
 FILE_KINDS = ("parquet", "orc", "csv", "json")
 
@@ -113,3 +127,36 @@ def run_etl(spark: SparkSession, path: str) -> DataFrame:
     result = run_steps(spark, views, [Step(s["view"], s["sql"]) for s in config["steps"]])
     write_sink(result, config["sink"])
     return result
+
+
+def stream_source(spark: SparkSession, entry: dict) -> DataFrame:
+    """A topic or a folder of text files as lines; with a `schema` the lines are JSON rows."""
+    kind = entry["kind"]
+    if kind == "kafka":
+        lines = kafka_lines(spark, **_options(entry, "schema"))
+    elif kind == "files":
+        lines = spark.readStream.options(**entry.get("options", {})).text(entry["path"])
+    else:
+        raise ValueError(f"unknown stream source {kind!r}")
+    return from_json_lines(lines, entry["schema"]) if "schema" in entry else lines
+
+
+FLOWS: dict[str, Callable[..., StreamingQuery]] = {
+    "lines": append_lines,
+    "lines_jdbc": append_lines_jdbc,
+    "changes": upsert_stream,
+    "changes_jdbc": upsert_stream_jdbc,
+    "inserts": append_inserts,
+    "alerts": append_alerts,
+}
+
+
+def start_stream(spark: SparkSession, path: str) -> StreamingQuery:
+    """Starts the stream of a JSON file."""
+    with open(path, encoding="utf-8") as source:
+        config = json.load(source)
+    flow = config["flow"]
+    if flow["kind"] not in FLOWS:
+        raise ValueError(f"unknown flow {flow['kind']!r}")
+    rows = stream_source(spark, config["source"])
+    return FLOWS[flow["kind"]](rows, **_options(flow), seconds=config.get("seconds"))

@@ -82,7 +82,8 @@ def jobs_from_columns(
     `columns` has the shape of `fields_from_metadata` plus table_name and ordinal_position; its size
     is that of the source's data dictionary, so it may come to the driver.
     """
-    wanted = exclude_names(columns, "table_name", list(exclude))
+    listing = columns.toDF(*[name.lower() for name in columns.columns])  # databases differ in case
+    wanted = exclude_names(listing, "table_name", list(exclude))
     if only is not None:
         wanted = wanted.filter(F.lower("table_name").isin([name.lower() for name in only]))
     tables: dict[str, list[dict]] = {}

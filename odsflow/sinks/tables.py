@@ -6,9 +6,13 @@ AQE cuts a partition that holds most of the rows into several tasks.
 
 from __future__ import annotations
 
+import re
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.operators.conform import Field
+from odsflow.session import child_names, delete_folder
 
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
@@ -145,3 +149,18 @@ def drop_expired(spark: SparkSession, table: str, day: str, as_of: str, days: in
         parts = ", ".join(f"PARTITION ({day}='{value}')" for value in values[start:start + DROP_AT_ONCE])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return len(values)
+
+
+def delete_expired_folders(spark: SparkSession, path: str, day: str, as_of: date, days: int = 30) -> list[str]:
+    """Deletes the `day=yyyy-MM-dd` folders of a path table that are older than the retention.
+
+    Folders whose value is no date stay. Returns the names of those that went.
+    """
+    limit = as_of - timedelta(days=days)
+    gone = []
+    for name in sorted(child_names(spark, path)):
+        column, _, value = name.partition("=")
+        if column == day and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and date.fromisoformat(value) < limit:
+            delete_folder(spark, f"{path}/{name}")
+            gone.append(name)
+    return gone

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 FETCH_SIZE = "1024"
 SLICES = 8
 
-# Metadata tables, to be read with `jdbc_query`.
+# Metadata tables, to be read with `jdbc_query`; the column listings fit `plans.jobs.jobs_from_columns`.
 MYSQL_TABLES = "SELECT table_schema, table_name, table_type, table_comment FROM information_schema.tables"
 MYSQL_COLUMNS = (
     "SELECT table_schema, table_name, ordinal_position, column_name, data_type, column_type, "
@@ -21,8 +21,9 @@ MYSQL_INDEXES = (
     "FROM information_schema.statistics"
 )
 ORACLE_COLUMNS = (
-    "SELECT c.table_name, c.column_id, c.column_name, c.data_type, c.data_length, c.data_precision, "
-    "c.data_scale, c.nullable, m.comments FROM user_tab_columns c LEFT JOIN user_col_comments m "
+    "SELECT c.table_name, c.column_id AS ordinal_position, c.column_name, c.data_type AS column_type, "
+    "c.data_length, c.data_precision, c.data_scale, c.nullable AS is_nullable, m.comments AS column_comment "
+    "FROM user_tab_columns c LEFT JOIN user_col_comments m "
     "ON m.table_name = c.table_name AND m.column_name = c.column_name"
 )
 ORACLE_TABLES = (

@@ -1,13 +1,15 @@
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from odsflow.operators.conform import Field
 from odsflow.operators.metadata import catalog_columns, column_inventory, exclude_names, ordered_columns, tidy_columns
 from odsflow.operators.quality import ErrorBudget, not_null
-from odsflow.plans.config import read_source, run_copies, run_etl
+from odsflow.plans.config import read_source, run_copies, run_etl, start_stream
 from odsflow.plans.jobs import (
     CopyJob, Incremental, copy_many, copy_table, create_tables, jobs_from_columns, tally,
 )
@@ -18,6 +20,7 @@ from odsflow.sources.incremental import incremental_load, read_mark, slice_write
 from odsflow.sources.tables import read_table, read_text_table, stream_table
 from odsflow.streaming.delimited import append_lines, read_lines
 from odsflow.streaming.triggers import trigger_options
+from odsflow.streaming.upsert import current_rows
 
 # --- sinks -------------------------------------------------------------------------------------
 
@@ -121,6 +124,26 @@ def test_retention_reads_and_drops(spark, tmp_path):
         spark.sql("DROP TABLE kept_t")
 
 
+def test_retention_with_a_second_partition_column(spark, tmp_path):
+    sink.create_if_absent(spark, "kept2_t", "id INT, dt STRING, region STRING", str(tmp_path / "k"),
+                          partition_by=["dt", "region"])
+    try:
+        spark.sql("INSERT INTO kept2_t VALUES (1, '2024-01-01', 'a'), (2, '2024-01-01', 'b'), (3, '2024-02-20', 'a')")
+        assert sink.drop_expired(spark, "kept2_t", "dt", "2024-03-01", 30) == 1
+        assert [r["id"] for r in spark.table("kept2_t").collect()] == [3]
+    finally:
+        spark.sql("DROP TABLE kept2_t")
+
+
+def test_expired_folders_of_a_path_table_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = [(1, "2024-01-01"), (2, "2024-01-31"), (3, "2024-02-20"), (4, None), (5, "other")]
+    sink.append_partitioned(spark.createDataFrame(rows, "id int, dt string"), path, ["dt"])
+    assert sink.delete_expired_folders(spark, path, "dt", dt.date(2024, 3, 1), 30) == ["dt=2024-01-01"]
+    assert sink.delete_expired_folders(spark, path, "dt", dt.date(2024, 3, 1), 30) == []
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [2, 3, 4, 5]
+
+
 # --- steps, incremental, copies ----------------------------------------------------------------
 
 
@@ -464,3 +487,64 @@ def test_dictionary_marks_incremental_tables(dictionary):
     jobs = jobs_from_columns(columns, lambda n: None, lambda n: None, mark_columns={"USERS": "changed"}, marks="m")
     assert {j.name: j.incremental for j in jobs} == {
         "orders": None, "users": Incremental("changed", "m"), "v_users": None}
+
+
+def test_oracle_dictionary_in_upper_case(spark):
+    columns = spark.createDataFrame(
+        [("ORDERS", 1, "ID", "NUMBER", Decimal("10.0"), Decimal("0.0"), "N", None),
+         ("ORDERS", 2, "TOTAL", "NUMBER", Decimal("12.0"), Decimal("2.0"), "Y", "money"),
+         ("ORDERS", 3, "NOTE", "VARCHAR2", None, None, "Y", None)],
+        "TABLE_NAME string, ORDINAL_POSITION int, COLUMN_NAME string, COLUMN_TYPE string, DATA_PRECISION decimal(38,10), "
+        "DATA_SCALE decimal(38,10), IS_NULLABLE string, COLUMN_COMMENT string",
+    )
+    def types(mode):
+        job, = jobs_from_columns(columns, lambda n: None, lambda n: None, dialect="oracle", mode=mode)
+        return [(f.name, f.type, f.required, f.comment) for f in job.fields]
+
+    assert types("lossless") == [
+        ("id", "bigint", True, ""), ("total", "decimal(12,2)", False, "money"), ("note", "string", False, "")]
+    assert [t[1] for t in types("reference")] == ["int", "double", "string"]
+
+
+@pytest.mark.parametrize(
+    "flow, schema, lines, read, expected",
+    [
+        ({"kind": "lines", "target": "{0}/out", "checkpoint": "{0}/c"}, None, ["ann#31", "x"],
+         lambda s, base: read_lines(s, f"{base}/out").select("name", "age"), [("ann", 31)]),
+        ({"kind": "changes", "root": "{0}/state", "keys": ["id"], "order": ["seq"]}, "op string, seq bigint, id int",
+         ['{"op":"I","seq":1,"id":1}', '{"op":"I","seq":2,"id":2}', '{"op":"D","seq":3,"id":1}'],
+         lambda s, base: current_rows(s, f"{base}/state", ["id"], ["seq"]), [("I", 2, 2)]),
+        ({"kind": "inserts", "target": "{0}/out", "checkpoint": "{0}/c"}, "op string, seq bigint, id int",
+         ['{"op":"I","seq":1,"id":1}', '{"op":"D","seq":3,"id":1}'],
+         lambda s, base: s.read.parquet(f"{base}/out"), [("I", 1, 1)]),
+        ({"kind": "alerts", "target": "{0}/out", "checkpoint": "{0}/c", "tables": ["t"]},
+         "kind string, db string, tbl string, seq bigint, rows array<struct<values:struct<id:int>,"
+         "before_values:struct<id:int>,after_values:struct<id:int>>>",
+         ['{"kind":"insert","db":"d","tbl":"t","seq":1,"rows":[{"values":{"id":5}}]}',
+          '{"kind":"insert","db":"d","tbl":"u","seq":2,"rows":[{"values":{"id":6}}]}'],
+         lambda s, base: s.read.json(f"{base}/out").select("event_type", "data"), [("INSERT", '{"id":5}')]),
+    ],
+)
+def test_streams_from_a_json_file(spark, tmp_path, flow, schema, lines, read, expected):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.txt").write_text("\n".join(lines))
+    flow = {key: value.format(tmp_path) if isinstance(value, str) else value for key, value in flow.items()}
+    source = {"kind": "files", "path": str(tmp_path / "feed"), **({"schema": schema} if schema else {})}
+    (tmp_path / "stream.json").write_text(json.dumps({"source": source, "flow": flow}))
+    start_stream(spark, str(tmp_path / "stream.json")).awaitTermination()
+    assert [tuple(r) for r in read(spark, str(tmp_path)).collect()] == expected
+
+
+def test_broken_message_stops_the_stream(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.txt").write_text('{"op":"I","seq":1,"id":1}\nnot json')
+    config = {"source": {"kind": "files", "path": str(tmp_path / "feed"), "schema": "op string, seq bigint, id int"},
+              "flow": {"kind": "changes", "root": str(tmp_path / "s"), "keys": ["id"], "order": ["seq"]}}
+    (tmp_path / "stream.json").write_text(json.dumps(config))
+    with pytest.raises(StreamingQueryException):
+        start_stream(spark, str(tmp_path / "stream.json")).awaitTermination()
+    for part in ("source", "flow"):
+        bad = {**config, part: {**config[part], "kind": "odd"}}
+        (tmp_path / "bad.json").write_text(json.dumps(bad))
+        with pytest.raises(ValueError):
+            start_stream(spark, str(tmp_path / "bad.json"))
