@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from odsflow.session import child_names, delete_folder
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
 DROP_AT_ONCE = 500
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def overwrite_text(df: DataFrame, path: str, delimiter: str = ",", max_rows_per_file: int = 0) -> None:
@@ -132,23 +134,26 @@ def kept_days(df: DataFrame, day: str, as_of, days: int = 30) -> DataFrame:
     return df.filter(F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), days))
 
 
+def _partition_spec(name: str) -> str:
+    """`dt=2024-01-01/region=a` as listed by the catalog, as the PARTITION clause that drops it."""
+    parts = [part.split("=", 1) for part in name.split("/")]
+    values = [(k, "null" if v == NULL_PARTITION else _quoted(unquote(v))) for k, v in parts]
+    return f"PARTITION ({', '.join(f'`{k}`={v}' for k, v in values)})"
+
+
 def drop_expired(spark: SparkSession, table: str, day: str, as_of: str, days: int = 30) -> int:
     """Drops partitions older than the retention from the catalog and says how many went.
 
     Only partition names travel to the driver. Files of an external table stay for its owner.
     """
-    spec = F.regexp_extract("partition", rf"(?:^|/){day}=([^/]+)", 1)
-    expired = (
-        spark.sql(f"SHOW PARTITIONS {table}")
-        .select(spec.alias("value"))
-        .distinct()
-        .filter(F.col("value").try_cast("date") < F.date_sub(F.lit(as_of).cast("date"), days))
+    value = F.regexp_extract("partition", rf"(?:^|/){day}=([^/]+)", 1)
+    expired = spark.sql(f"SHOW PARTITIONS {table}").filter(
+        value.try_cast("date") < F.date_sub(F.lit(as_of).cast("date"), days)
     )
-    values = [row["value"] for row in expired.toLocalIterator()]
-    for start in range(0, len(values), DROP_AT_ONCE):
-        parts = ", ".join(f"PARTITION ({day}='{value}')" for value in values[start:start + DROP_AT_ONCE])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    return len(values)
+    specs = [_partition_spec(row["partition"]) for row in expired.toLocalIterator()]
+    for start in range(0, len(specs), DROP_AT_ONCE):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[start:start + DROP_AT_ONCE])}")
+    return len(specs)
 
 
 def delete_expired_folders(spark: SparkSession, path: str, day: str, as_of: date, days: int = 30) -> list[str]:

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -165,3 +168,22 @@ def test_hot_value_is_cut_too(spark):
     assert rows.filter(hits != 1).count() == 0
     assert max(sizes) < 6000 / 12 * 2
     assert skewed_predicates("k", [10, 20], "id") == range_predicates("k", [10, 20])
+
+
+def test_text_functions_against_plain_python(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab#17 -+'\n\té") for _ in range(rng.randrange(12))) for _ in range(800)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", scrub(F.col("t")).alias("s"), distinct_chars(F.col("t")).alias("d"),
+                    split_name_age(F.col("t")).alias("p")).collect()
+    good = 0
+    for row in got:
+        text, fields = row["t"], row["t"].split("#")
+        assert row["s"] == text.replace("'", "\\'").replace("\n", " ")
+        assert row["d"] == "".join(dict.fromkeys(text))
+        ok = len(fields) == 2 and re.fullmatch(r"\s*[+-]?\d{1,9}\s*", fields[1]) is not None
+        assert row["p"]["ok"] == ok, text
+        if ok:
+            good += 1
+            assert (row["p"]["name"], row["p"]["age"]) == (fields[0], int(fields[1]))
+    assert good > 5

@@ -128,8 +128,9 @@ def test_retention_with_a_second_partition_column(spark, tmp_path):
     sink.create_if_absent(spark, "kept2_t", "id INT, dt STRING, region STRING", str(tmp_path / "k"),
                           partition_by=["dt", "region"])
     try:
-        spark.sql("INSERT INTO kept2_t VALUES (1, '2024-01-01', 'a'), (2, '2024-01-01', 'b'), (3, '2024-02-20', 'a')")
-        assert sink.drop_expired(spark, "kept2_t", "dt", "2024-03-01", 30) == 1
+        spark.sql("INSERT INTO kept2_t VALUES (1, '2024-01-01', 'a'), (2, '2024-01-01', 'it''s: /b'), "
+                  "(4, '2024-01-01', NULL), (3, '2024-02-20', 'a')")
+        assert sink.drop_expired(spark, "kept2_t", "dt", "2024-03-01", 30) == 3
         assert [r["id"] for r in spark.table("kept2_t").collect()] == [3]
     finally:
         spark.sql("DROP TABLE kept2_t")
