@@ -49,17 +49,17 @@ def row_count(spark: SparkSession, folder: str) -> DataFrame:
 
 SHIPPING_STEPS = [
     Step("dwd_shipments", """
-        SELECT date_format(l_shipdate, 'yyyy-MM') AS ship_month, l_returnflag,
+        SELECT trunc(l_shipdate, 'MM') AS month_start, l_returnflag,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
         FROM ods_lineitem WHERE l_quantity > 0"""),
     Step("dwm_month_flag", """
-        SELECT ship_month, l_returnflag, count(*) AS line_cnt, sum(amount) AS amount
-        FROM dwd_shipments GROUP BY ship_month, l_returnflag"""),
+        SELECT month_start, l_returnflag, count(*) AS line_cnt, sum(amount) AS amount
+        FROM dwd_shipments GROUP BY month_start, l_returnflag"""),
     Step("dws_ship_month", """
-        SELECT ship_month, CAST(sum(line_cnt) AS BIGINT) AS line_cnt,
+        SELECT date_format(month_start, 'yyyy-MM') AS ship_month, CAST(sum(line_cnt) AS BIGINT) AS line_cnt,
                CAST(sum(CASE WHEN l_returnflag = 'R' THEN line_cnt ELSE 0 END) AS BIGINT) AS returned_cnt,
                CAST(sum(amount) AS DECIMAL(28,2)) AS total_amount
-        FROM dwm_month_flag GROUP BY ship_month"""),
+        FROM dwm_month_flag GROUP BY month_start"""),
 ]
 
 
