@@ -36,9 +36,13 @@ class Incremental:
 
 @dataclass(frozen=True)
 class CopyJob:
-    """One table. `write` gets the good rows; for an incremental job also the mark they start after
-    (see `sources.incremental.slice_writer`). `stage` names a shared folder to read the source only once (for databases, whose
-    rows may change between two reads); without it the gate and the write each scan the source."""
+    """One table.
+
+    `write` gets the good rows; for an incremental job also the mark they start after (see
+    `sources.incremental.slice_writer`). `stage` names a shared folder to read the source only once
+    (for databases, whose rows may change between two reads); without it the gate and the write each
+    scan the source.
+    """
 
     name: str
     read: Callable[[SparkSession], DataFrame]
@@ -131,32 +135,38 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
         stored, mark, source = _new_rows(spark, job, source)
     checked = conform(source, job.fields, job.mode) if job.fields else source
     checked = with_reasons(checked, list(job.rules))
-    if job.stage:
-        good, rejects, total, bad = _stage(spark, checked, job.stage)
-        check_counts(total, bad, job.budget)
-    else:
-        total, bad = enforce_budget(checked, job.budget)
-        good, rejects = split_good_bad(checked)
-    if bad and job.write_rejects:
-        job.write_rejects(rejects)
-    if job.incremental:
-        job.write(good, stored or FIRST_LOAD)
-        if mark is not None:
-            store_mark(spark, job.incremental.marks, job.name, job.incremental.column, mark)
-    else:
-        job.write(good)
-    if job.stage:
-        delete_folder(spark, job.stage)
+    try:
+        if job.stage:
+            good, rejects, total, bad = _stage(spark, checked, job.stage)
+            check_counts(total, bad, job.budget)
+        else:
+            total, bad = enforce_budget(checked, job.budget)
+            good, rejects = split_good_bad(checked)
+        if bad and job.write_rejects:
+            job.write_rejects(rejects)
+        if job.incremental:
+            job.write(good, stored or FIRST_LOAD)
+            if mark is not None:
+                store_mark(spark, job.incremental.marks, job.name, job.incremental.column, mark)
+        else:
+            job.write(good)
+    finally:
+        if job.stage:
+            delete_folder(spark, job.stage)
     return Audit(job.name, "success", total, total - bad, bad, seconds=round(time.monotonic() - started, 3))
 
 
+def _first_line(error: Exception) -> str:
+    return (str(error).strip() or type(error).__name__).splitlines()[0]
+
+
 def _copy_or_report(spark: SparkSession, job: CopyJob) -> Audit:
     try:
         return copy_table(spark, job)
     except BudgetExceeded as over:
         return Audit(job.name, "failed", over.total, 0, over.bad, str(over))
     except Exception as error:  # one table must not stop the rest
-        return Audit(job.name, "failed", error=str(error).splitlines()[0])
+        return Audit(job.name, "failed", error=_first_line(error))
 
 
 def copy_many(spark: SparkSession, jobs: list[CopyJob], channels: int = CHANNELS) -> DataFrame:
@@ -194,5 +204,5 @@ def create_tables(
             )
             rows.append((job.name, "success", None, None, None, None, None))
         except Exception as error:  # one table must not stop the rest
-            rows.append((job.name, "failed", None, None, None, str(error).splitlines()[0], None))
+            rows.append((job.name, "failed", None, None, None, _first_line(error), None))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

@@ -209,7 +209,7 @@ def test_copy_gates_before_it_writes(spark, tmp_path, staged):
     strict = copy_job(spark, tmp_path, rows, stage=stage)
     audit = copy_many(spark, [strict]).first()
     assert (audit["status"], audit["rows_in"], audit["rejected"]) == ("failed", 3, 2)
-    assert not (tmp_path / "t").exists()
+    assert not (tmp_path / "t").exists() and not (tmp_path / "stage").exists()
     lenient = copy_job(spark, tmp_path, rows, stage=stage, budget=ErrorBudget(2, None),
                        write_rejects=lambda df: rejects.extend(df.collect()))
     result = copy_table(spark, lenient)
@@ -238,6 +238,10 @@ def test_one_failure_does_not_stop_the_rest(spark, tmp_path, folder):
         return CopyJob(name, read or (lambda s: read_table(s, folder, name)),
                        lambda df: sink.overwrite_parquet(df, str(tmp_path / name)))
 
+    def silent(session):
+        raise RuntimeError
+
+    assert copy_many(spark, [job("silent", silent)]).first()["error"] == "RuntimeError"
     audit = copy_many(spark, [job("absent"), job("region"), job("empty", lambda s: s.range(0).select()), job("nation")])
     status = {r["table_name"]: r["status"] for r in audit.collect()}
     assert status == {"absent": "failed", "region": "success", "empty": "skipped", "nation": "success"}
