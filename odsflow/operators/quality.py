@@ -12,6 +12,8 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from odsflow.operators.metadata import ordered_columns
+
 REASONS = "_reasons"
 
 
@@ -93,6 +95,41 @@ def key_violations(df: DataFrame, keys: list[str], primary: bool = True) -> Data
     return counted.filter((F.col("row_cnt") > 1) | has_null) if primary else counted.filter("row_cnt > 1")
 
 
+@dataclass(frozen=True)
+class KeySpec:
+    """A declared key: its name, its columns in order, and whether it is the primary key."""
+
+    name: str
+    columns: tuple[str, ...]
+    primary: bool = False
+
+
+def key_specs(indexes: DataFrame, table: str) -> list[KeySpec]:
+    """The unique keys of a table out of an index listing (table_name, index_name, non_unique,
+    seq_in_index, column_name); one row per index reaches the driver."""
+    listing = indexes.toDF(*[name.lower() for name in indexes.columns])  # databases differ in case
+    unique = listing.filter((F.lower("table_name") == table.lower()) & (F.col("non_unique") == 0))
+    rows = ordered_columns(unique, ["index_name"], "seq_in_index", "column_name").orderBy("index_name").collect()
+    return [
+        KeySpec(row["index_name"], tuple(c.lower() for c in row["column_names"]), row["index_name"].upper() == "PRIMARY")
+        for row in rows
+    ]
+
+
+def key_report(df: DataFrame, specs: list[KeySpec]) -> DataFrame:
+    """One row per key: how many key values are broken and how many rows they hold."""
+    def of_key(spec: KeySpec) -> DataFrame:
+        broken = key_violations(df.select(*spec.columns), list(spec.columns), spec.primary)
+        return broken.agg(
+            F.count(F.lit(1)).alias("broken_keys"), F.coalesce(F.sum("row_cnt"), F.lit(0)).alias("rows_hit")
+        ).select(
+            F.lit(spec.name).alias("key_name"), F.lit(",".join(spec.columns)).alias("key_columns"),
+            "broken_keys", "rows_hit",
+        )
+
+    return reduce(DataFrame.unionByName, [of_key(spec) for spec in specs])
+
+
 def fits_budget(total, bad, budget: ErrorBudget):
     """Whether the counts (numbers or columns) stay within both limits."""
     fits = []

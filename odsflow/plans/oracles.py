@@ -135,6 +135,20 @@ def _audit(copied: tuple[str, ...]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _key_report() -> str:
+    keys = {
+        "PRIMARY": "l_orderkey,l_linenumber",
+        "uk_part": "l_orderkey,l_partkey,l_suppkey",
+        "uk_all": "l_orderkey,l_linenumber,l_partkey,l_suppkey,l_shipdate",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS key_name, '{columns}' AS key_columns, count(*) AS broken_keys, "
+        f"CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_hit FROM "
+        f"(SELECT count(*) AS n FROM lineitem GROUP BY {columns} HAVING count(*) > 1)"
+        for name, columns in keys.items()
+    )
+
+
 TYPE_STRINGS = """
     SELECT p_partkey, p_size, p_partkey % 13 AS m, p_partkey % 6 AS o,
         CASE p_partkey % 13
@@ -241,6 +255,7 @@ ORACLES = {
     "unique_violations": f"""
         SELECT s_int, s_date, count(*) AS row_cnt FROM ({UNTYPED})
         WHERE s_int IS NOT NULL AND s_date IS NOT NULL GROUP BY s_int, s_date HAVING count(*) > 1""",
+    "key_report": _key_report(),
     "default_fill": """
         SELECT c_custkey, c_mktsegment, 'ZZ' AS country_code, CAST(100.50 AS DECIMAL(12,2)) AS credit,
                CAST(NULL AS DATE) AS closed_on FROM customer""",

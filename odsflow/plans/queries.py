@@ -13,7 +13,8 @@ from odsflow.operators.changes import alerts, latest_state, normalise_changes
 from odsflow.operators.conform import Field, conform, fill_absent
 from odsflow.operators.metadata import column_inventory, exclude_names, ordered_columns
 from odsflow.operators.quality import (
-    REASONS, ErrorBudget, budget_report, in_domain, key_violations, max_length, not_null, split_good_bad,
+    REASONS, ErrorBudget, KeySpec, budget_report, in_domain, key_report, key_violations, max_length, not_null,
+    split_good_bad,
 )
 from odsflow.plans import fixtures
 from odsflow.plans.jobs import CopyJob, copy_many, tally
@@ -28,7 +29,6 @@ from odsflow.streaming.upsert import append_inserts, current_rows, load_snapshot
 
 USER_KEY, EVENT_ORDER = ["user_id"], ["ts", "event_id"]
 READ_SLICES = 8
-BUCKETS = 8
 INVENTORY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 COPY_TABLES = ("region", "nation", "customer", "orders", "lineitem")
 
@@ -141,7 +141,8 @@ def orc_append(spark: SparkSession, folder: str) -> DataFrame:
 def partitioned_bucketed_load(spark: SparkSession, folder: str) -> DataFrame:
     orders = fixtures.ods_orders(spark, folder).withColumnRenamed("order_status", "dt")
     table, path = f"ods_orders_{uuid.uuid4().hex}", f"{scratch_path(spark, 'bucketed')}/orders"
-    sink.save_bucketed(orders, table, path, BUCKETS, ["id"], partition_by=["dt"], sort_by=["id"])
+    buckets = sink.bucket_count(orders.count())  # the count comes from file footers
+    sink.save_bucketed(orders, table, path, buckets, ["id"], partition_by=["dt"], sort_by=["id"])
     spark.sql(f"DROP TABLE {table}")  # external: the files stay, the session catalog stays clean
     return spark.read.parquet(path)
 
@@ -270,6 +271,16 @@ def unique_key_violations(spark: SparkSession, folder: str) -> DataFrame:
     return key_violations(untyped, ["s_int", "s_date"], primary=False)
 
 
+def key_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """A primary and two unique keys of lineitem in one report."""
+    specs = [
+        KeySpec("PRIMARY", ("l_orderkey", "l_linenumber"), primary=True),
+        KeySpec("uk_part", ("l_orderkey", "l_partkey", "l_suppkey")),
+        KeySpec("uk_all", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")),
+    ]
+    return key_report(read_table(spark, folder, "lineitem"), specs)
+
+
 def default_fill(spark: SparkSession, folder: str) -> DataFrame:
     """Customers lack three declared columns and keep their own values of the others."""
     fields = [
@@ -431,6 +442,7 @@ QUERIES = {
     "length_violations": length_violations,
     "key_violations": primary_key_violations,
     "unique_violations": unique_key_violations,
+    "key_report": key_summary,
     "default_fill": default_fill,
     "error_budget": error_budget,
     "load_audit": load_audit,

@@ -17,6 +17,8 @@ from odsflow.session import child_names, delete_folder
 
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
+ROWS_PER_BUCKET = 5_000_000
+MOST_BUCKETS = 100_000
 DROP_AT_ONCE = 500
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -58,6 +60,11 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "pa
     df.hint("rebalance", *by).write.mode("overwrite").options(**DYNAMIC).partitionBy(*by).format(fmt).save(path)
 
 
+def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, least: int = 8) -> int:
+    """Buckets for a table of that many rows, within Spark's own limit."""
+    return min(max(least, -(-rows // rows_per_bucket)), MOST_BUCKETS)
+
+
 def save_bucketed(
     df: DataFrame,
     table: str,
@@ -71,8 +78,8 @@ def save_bucketed(
     """A catalog table in buckets of its key, optionally partitioned and sorted.
 
     Rows are first rebalanced by partition and bucket, so that a bucket gets few files and a hot
-    bucket is written by several tasks. Size the bucket count to the table: tens of thousands of
-    rows need none, 100 TB need thousands.
+    bucket is written by several tasks. A later join or grouping gives each bucket to one task, so
+    size their number to the table (`bucket_count`).
     """
     bucket = F.pmod(F.hash(*keys), F.lit(buckets))
     spread = df.withColumn(BUCKET, bucket).hint("rebalance", *(partition_by or []), BUCKET).drop(BUCKET)

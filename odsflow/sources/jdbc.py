@@ -31,6 +31,13 @@ ORACLE_TABLES = (
     "ON m.table_name = t.table_name"
 )
 
+HIVE_COLUMNS = (  # the metastore's own database
+    "SELECT d.NAME AS table_schema, t.TBL_NAME AS table_name, t.TBL_TYPE AS table_type, "
+    "c.INTEGER_IDX + 1 AS ordinal_position, c.COLUMN_NAME AS column_name, c.TYPE_NAME AS data_type, "
+    "c.COMMENT AS column_comment FROM DBS d JOIN TBLS t ON t.DB_ID = d.DB_ID JOIN SDS s ON s.SD_ID = t.SD_ID "
+    "JOIN COLUMNS_V2 c ON c.CD_ID = s.CD_ID"
+)
+
 
 def _properties(properties: dict[str, str] | None) -> dict[str, str]:
     return {"fetchsize": FETCH_SIZE, **(properties or {})}

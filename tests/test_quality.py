@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from odsflow.operators.conform import Field, conform, fields_from_metadata, fill_absent
 from odsflow.operators.quality import (
-    REASONS, BudgetExceeded, ErrorBudget, budget_report, enforce_budget, in_domain, key_violations, max_length,
-    not_null, split_good_bad, with_reasons,
+    REASONS, BudgetExceeded, ErrorBudget, KeySpec, budget_report, enforce_budget, in_domain, key_report, key_specs,
+    key_violations, max_length, not_null, split_good_bad, with_reasons,
 )
 
 
@@ -132,3 +132,17 @@ def test_budget(spark, budget, fits):
 
 def test_budget_of_an_empty_table(spark):
     assert enforce_budget(with_reasons(spark.range(0), []), ErrorBudget()) == (0, 0)
+
+
+def test_keys_declared_by_an_index_listing(spark):
+    listing = spark.createDataFrame(
+        [("Users", "PRIMARY", 0, 2, "B"), ("Users", "PRIMARY", 0, 1, "A"), ("Users", "uk_c", 0, 1, "C"),
+         ("Users", "ix", 1, 1, "A"), ("Other", "PRIMARY", 0, 1, "A")],
+        "TABLE_NAME string, INDEX_NAME string, NON_UNIQUE int, SEQ_IN_INDEX int, COLUMN_NAME string",
+    )
+    specs = key_specs(listing, "users")
+    assert specs == [KeySpec("PRIMARY", ("a", "b"), True), KeySpec("uk_c", ("c",))]
+    df = spark.createDataFrame([(1, 1, None), (1, 1, None), (1, 2, "x"), (None, 1, "x"), (3, 1, "y")], "a int, b int, c string")
+    rows = {r["key_name"]: (r["key_columns"], r["broken_keys"], r["rows_hit"]) for r in key_report(df, specs).collect()}
+    assert rows == {"PRIMARY": ("a,b", 2, 3), "uk_c": ("c", 1, 2)}
+    assert [r["broken_keys"] for r in key_report(df.limit(0), specs).collect()] == [0, 0]

@@ -87,6 +87,10 @@ def test_bucketed_table_groups_by_its_key_without_shuffle(spark, tmp_path):
         spark.sql("DROP TABLE bucketed_t")
 
 
+def test_bucket_count_follows_the_rows():
+    assert [sink.bucket_count(n) for n in (0, 60_000, 40_000_001, 10**12)] == [8, 8, 9, 100_000]
+
+
 def test_create_if_absent_with_default_and_comment(spark, tmp_path):
     for _ in range(2):
         sink.create_if_absent(
