@@ -51,13 +51,6 @@ def test_shuffles(spark, folder, name, shuffles):
     assert plan_of(spark, name, folder).count("Exchange hashpartitioning") == shuffles
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_joins(spark, folder, name):
-    plan = plan_of(spark, name, folder)
-    for word in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in plan
-
-
 def test_groups_are_reduced_before_the_shuffle(spark, folder):
     for name in ("daily_order_summary", "key_violations", "cdc_latest_state", "error_budget"):
         assert "partial_" in plan_of(spark, name, folder)
