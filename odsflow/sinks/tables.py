@@ -56,7 +56,10 @@ def append_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parq
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "parquet") -> None:
-    """Replaces only the partitions that occur in the load, so that a rerun of a day is idempotent."""
+    """Replaces only the partitions that occur in the load, so that a rerun of a day is idempotent.
+
+    A day without a row in the load stays as it is.
+    """
     df.hint("rebalance", *by).write.mode("overwrite").options(**DYNAMIC).partitionBy(*by).format(fmt).save(path)
 
 
