@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,16 +66,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as named in `spark.checkpoint.dir`.
-
-    Without the setting only a local master may use a folder of this machine.
-    """
+    """The folder every executor sees: `spark.checkpoint.dir`, else one in the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return os.path.join(tempfile.gettempdir(), "odsflow")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -363,16 +363,14 @@ def test_triggers():
 
 
 class FakeSession:
-    def __init__(self, master, setting):
-        self.sparkContext = type("Context", (), {"master": master})()
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: setting)})()
+    def __init__(self, **settings):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *default: settings.get(key.replace(".", "_"), *default))})()
 
 
 def test_shared_folder_comes_from_the_session():
-    assert shared_folder(FakeSession("yarn", "hdfs://all/ck/")) == "hdfs://all/ck"
-    assert shared_folder(FakeSession("local[2]", None))
-    with pytest.raises(ValueError):
-        shared_folder(FakeSession("yarn", None))
+    both = {"spark_checkpoint_dir": "hdfs://all/ck/", "spark_sql_warehouse_dir": "hdfs://all/wh"}
+    assert shared_folder(FakeSession(**both)) == "hdfs://all/ck"
+    assert shared_folder(FakeSession(spark_sql_warehouse_dir="file:/wh")) == "file:/wh/_scratch"
 
 
 def test_scratch_paths_differ(spark):
