@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.session import scratch_path
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def for_workers(run):
+    """A query or stage whose first argument is the session, with this package on the Python workers' path.
+
+    It serves sessions whose workers see the driver's code; elsewhere the package is shipped with --py-files.
+    """
+
+    @wraps(run)
+    def with_path(spark, *args):
+        environment = spark.sparkContext.environment
+        known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if ROOT not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([*known, ROOT])
+        return run(spark, *args)
+
+    return with_path
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of `df`, written once to the cluster's shared folder and read from there.

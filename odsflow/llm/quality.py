@@ -305,8 +305,9 @@ def counts_udf(model):
 BAND = 8.0
 #: The median deviation times this is a standard deviation, for normal data (fixed value).
 NORMAL = 1.4826
-#: No band is narrower than this part of the median.
-LEAST = 0.15
+#: No band reaches less far than these parts of the median, down and up. Up it is wider: a clean
+#: short text that quotes another language surprises much.
+LEAST_DOWN, LEAST_UP = 0.15, 0.35
 
 
 def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
@@ -320,8 +321,9 @@ def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
     spread = usable.join(middle, "slot").groupBy("slot", "middle").agg(
         F.percentile_approx(F.abs(F.col("surprise") - F.col("middle")), 0.5, 10_000).alias("spread")
     )
-    reach = F.greatest(F.lit(band * NORMAL) * F.col("spread"), F.lit(LEAST) * F.col("middle"))
-    return spread.select("slot", (F.col("middle") - reach).alias("lower"), (F.col("middle") + reach).alias("upper"))
+    middle_of, wide = F.col("middle"), F.lit(band * NORMAL) * F.col("spread")
+    down, up = (F.greatest(wide, F.lit(part) * middle_of) for part in (LEAST_DOWN, LEAST_UP))
+    return spread.select("slot", (middle_of - down).alias("lower"), (middle_of + up).alias("upper"))
 
 
 def quality_rules(

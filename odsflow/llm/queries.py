@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import mixing, packed, quality, simhash, tokens
-from odsflow.llm.common import written
+from odsflow.llm import classifier, mixing, packed, quality, simhash, tokens, urls
+from odsflow.llm.common import for_workers, written
 from odsflow.session import scratch_path
 from odsflow.sources.tables import read_table
 
@@ -62,7 +62,23 @@ def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return packed.read_digests(spark, path)
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    model = classifier.train(docs, read_table(spark, folder, "labels"))
+    scored = classifier.with_quality(docs, model, threshold=0.3)
+    return scored.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages", ["page_id", "url"])
+    judged = urls.judge_urls(pages, URL_RULES, urls.train(urls.labelled_table(spark)))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "wanted")
+
+
 QUERIES = {
-    query.__name__: query
-    for query in (op1_simhash, op2_token_counts, op3_mixing, op5_quality_rules, op7_token_ids)
+    query.__name__: for_workers(query)
+    for query in (op1_simhash, op2_token_counts, op3_mixing, op5_quality_rules, op7_token_ids, op9_quality_classifier, op10_url_filter)
 }
