@@ -35,4 +35,76 @@ ORACLES = {
         SELECT doc_id, size::BIGINT AS size, source_size, target,
                (size * (base + CASE WHEN 2 * (extra - before) >= size AND extra > before THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM ordered""",
+    "op4_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, row_number() OVER () AS row_no, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        windows AS (
+            SELECT doc_id, row_no, start, array_to_string(words[start:start + 49], ' ') AS run
+            FROM (SELECT *, unnest(range(1, len(words) - 48)) AS start FROM split WHERE len(words) >= 50)),
+        firsts AS (SELECT run, min(doc_id) AS first_id FROM windows GROUP BY run HAVING count(*) > 1),
+        gone AS (
+            SELECT DISTINCT row_no, unnest(range(start, start + 50)) AS place
+            FROM windows JOIN firsts USING (run) WHERE doc_id > first_id),
+        gone_lists AS (SELECT row_no, list(place) AS places FROM gone GROUP BY row_no),
+        placed AS (
+            SELECT row_no, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split WHERE len(words) > 0),
+        kept AS (
+            SELECT p.row_no, string_agg(word, ' ' ORDER BY place) AS line
+            FROM placed p ANTI JOIN gone USING (row_no, place) GROUP BY p.row_no)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+               sha256(coalesce(line, '')) AS kept_sha256
+        FROM split LEFT JOIN gone_lists USING (row_no) LEFT JOIN kept USING (row_no)""",
+    "op6_suffix_dedup": r"""
+        WITH bytes AS (SELECT doc_id, row_number() OVER () AS row_no, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+        strings AS (
+            SELECT row_no, start, md5(substr(digits, 2 * start - 1, 400)) AS string
+            FROM (SELECT *, unnest(range(1, length(digits) // 2 - 198)) AS start FROM bytes WHERE length(digits) >= 400)),
+        again AS (SELECT string FROM strings GROUP BY string HAVING count(*) > 1),
+        found AS (
+            SELECT row_no, start, start - row_number() OVER (PARTITION BY row_no ORDER BY start) AS run FROM strings SEMI JOIN again USING (string)),
+        runs AS (SELECT row_no, min(start) AS a, max(start) + 199 AS b FROM found GROUP BY row_no, run),
+        reached AS (
+            SELECT *, max(b) OVER (PARTITION BY row_no ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM runs),
+        numbered AS (
+            SELECT *, sum(CASE WHEN before IS NULL OR a > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY row_no ORDER BY a) AS span FROM reached),
+        spans AS (SELECT row_no, span, min(a) AS a, max(b) AS b FROM numbered GROUP BY row_no, span),
+        rests AS (
+            SELECT row_no, a, b, coalesce(lag(b) OVER (PARTITION BY row_no ORDER BY a), 0) AS last_b,
+                   row_number() OVER (PARTITION BY row_no ORDER BY a DESC) AS from_end FROM spans),
+        kept AS (
+            SELECT row_no, count(*) AS n_spans, sum(b - a + 1) AS n_removed,
+                   string_agg(substr(digits, 2 * last_b + 1, 2 * (a - last_b - 1)), '' ORDER BY a)
+                   || substr(max(digits), 2 * max(b) + 1) AS rest
+            FROM rests JOIN bytes USING (row_no) GROUP BY row_no)
+        SELECT doc_id, (length(digits) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, digits))) AS kept_sha256
+        FROM bytes LEFT JOIN kept USING (row_no)""",
+    "op8_decontamination": r"""
+        WITH split AS (
+            SELECT doc_id, row_number() OVER () AS row_no,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        phrases AS (
+            SELECT DISTINCT item_id, size, array_to_string(words[start:start + size - 1], ' ') AS phrase
+            FROM (SELECT *, least(len(words), 10) AS size, unnest(range(1, greatest(len(words) - 8, 2))) AS start FROM items WHERE len(words) > 0)),
+        sizes AS (SELECT DISTINCT size FROM phrases),
+        windows AS (
+            SELECT row_no, size, start, array_to_string(words[start:start + size - 1], ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS start FROM split, sizes WHERE len(words) >= size)),
+        found AS (SELECT row_no, start, size, item_id FROM windows JOIN phrases USING (phrase, size)),
+        hits AS (
+            SELECT row_no, count(DISTINCT place) AS n_hit
+            FROM (SELECT row_no, unnest(range(start, start + size)) AS place FROM found) GROUP BY row_no),
+        listed AS (
+            SELECT row_no, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM (SELECT DISTINCT row_no, item_id FROM found) GROUP BY row_no)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM split LEFT JOIN hits USING (row_no) LEFT JOIN listed USING (row_no)""",
 }

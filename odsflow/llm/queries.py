@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import classifier, mixing, packed, quality, simhash, tokens, urls
+from odsflow.llm import (
+    classifier, contamination, mixing, packed, quality, repeats, simhash, substrings, tokens, urls,
+)
 from odsflow.llm.common import for_workers, written
 from odsflow.session import scratch_path
 from odsflow.sources.tables import read_table
@@ -48,6 +50,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(read_table(spark, folder, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(read_table(spark, folder, "documents"))
     return judged.select(
@@ -56,12 +63,26 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeats.remove_repeats(read_table(spark, folder, "documents"), window=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_path(spark, 'token-ids')}/ids"
     packed.write_ids(read_table(spark, folder, "documents"), path, "word_bpe_49k.json", end_id=2)
     return packed.read_digests(spark, path)
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    found = contamination.contamination(docs, items, window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     model = classifier.train(docs, read_table(spark, folder, "labels"))
@@ -80,5 +101,8 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: for_workers(query)
-    for query in (op1_simhash, op2_token_counts, op3_mixing, op5_quality_rules, op7_token_ids, op9_quality_classifier, op10_url_filter)
+    for query in (
+        op1_simhash, op2_token_counts, op3_mixing, op4_substring_dedup, op5_quality_rules, op6_suffix_dedup, op7_token_ids,
+        op8_decontamination, op9_quality_classifier, op10_url_filter,
+    )
 }
