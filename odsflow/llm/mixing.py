@@ -199,11 +199,11 @@ def mix(
     plans = docs.sparkSession.createDataFrame(plan, "pattern string, base long, extra long")
     wanted = plans.where("extra > 0").select(F.col("pattern").alias("pattern_"), "extra")
     cuts = cut_points(rows.join(wanted, "pattern_").select("pattern_", "hash_", "size_", "extra"))
-    chosen = plans.join(cuts, plans["pattern"] == cuts["pattern_"], "left").select(
+    chosen = plans.join(cuts, plans["pattern"] == cuts["pattern_"], "left").select(  # at most MAX_PATTERNS rows
         F.col("pattern").alias("chosen_"), "base", F.coalesce("cut", F.lit("")).alias("cut_")
     )
     more = F.when(F.col("hash_") <= F.col("cut_"), 1).otherwise(0)
     taken = F.when(F.col("size_") > 0, F.col("base") + more).otherwise(0).cast("int")
-    return keyed.join(chosen, F.col("pattern_") == F.col("chosen_"), "left").select(
+    return keyed.join(F.broadcast(chosen), F.col("pattern_") == F.col("chosen_"), "left").select(
         *[named(c) for c in docs.columns if c != "copies_taken"], F.coalesce(taken, F.lit(0)).alias("copies_taken")
     )

@@ -44,8 +44,8 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sized = written(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sized")
     quotas, targets = source_targets(sized)
     mixed = mixing.mix(sized.withColumn("members", F.array("source")), quotas, copies=MOST)
-    named = targets.withColumnRenamed("source", "name")
-    return mixed.join(named, F.col("source").eqNullSafe(F.col("name"))).select(
+    named = targets.withColumnRenamed("source", "name")  # at most MAX_PATTERNS rows
+    return mixed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies_taken")).alias("taken")
     )
 
