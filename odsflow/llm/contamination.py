@@ -34,7 +34,7 @@ def checked_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def test_windows(items: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def phrase_windows(items: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, phrase, length) of each item's windows of `window` words; a shorter item is one window, one without words none."""
     words = items.select(named(id_col).alias("item_id"), words_of(named(text_col)).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
@@ -161,7 +161,7 @@ def contamination(
     item id hits words but is not listed. NULL texts have no words; an empty `items` table hits
     nothing. Repeated rows each get their row; other columns are ignored.
     """
-    windows = written(test_windows(items, window, item_id_col, item_text_col), "windows")
+    windows = written(phrase_windows(items, window, item_id_col, item_text_col), "windows")
     index, rarest = index_for(docs, windows, window - 1, id_col, text_col)
     matches = written(phrase_matches(index, rarest), "matches")
     key = ["doc_id", "text_key"]

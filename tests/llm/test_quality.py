@@ -1,0 +1,107 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from odsflow.llm import quality
+from odsflow.llm.quality import (
+    BITS, ORDER, HashArrays, WordScores, base_counts, count_grams, grams, hash_arrays, kneser_ney, quality_rules, symbol, word_symbols,
+)
+
+from .conftest import bag, prose
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def brute_counts(text):
+    text = text or ""
+    words = text.encode().split()
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    count = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if line.strip(WHITE)]
+    return (
+        len(words), sum(len(w.decode()) for w in words), sum(text.count(c) for c in "#*$%&|<>"),
+        sum(line in lines[:i] for i, line in enumerate(lines)), len(covered),
+    )
+
+
+def test_base_counts(rows):
+    for _, text, *_ in [*rows, (0, "a a a a"), (0, "x\nx\n x\n\n\n#|<>&%$*"), (0, "a b c a b c d a b")]:
+        body = (text or "").encode()
+        assert base_counts(body, body.split()) == brute_counts(text)
+
+
+def test_symbols_fold_case_accents_and_scripts():
+    assert [symbol(c) for c in "aZé7.#д日\u2028"] == [1, 26, 5, 27, 28, 29, 30, 30, 31]
+    assert grams(word_symbols(b"ab")) == [1, 1 << BITS | 2, (1 << BITS | 2) << BITS]
+
+
+def model_of(spark, words):
+    counts = Counter(g for w, n in words.items() for g in grams(word_symbols(w)) * n)
+    table = spark.createDataFrame([(0, g, n) for g, n in counts.items()], "slot int, gram long, n long")
+    return kneser_ney(table)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(2)
+    words = Counter("".join(rng.choice("abcde") for _ in range(rng.randint(1, 6))).encode() for _ in range(400))
+    return hash_arrays(model_of(spark, words))
+
+
+def test_probabilities_after_any_context_sum_to_one(model):
+    rng = np.random.default_rng(1)
+    contexts = np.append(rng.integers(0, 1 << BITS * (ORDER - 1), 40), [0, 1, 1 << BITS | 2, 33 + 1024])
+    for context in contexts.tolist():
+        top = (context << BITS) | np.arange(1 << BITS)
+        assert np.exp(model.log_p(0, top)).sum() == pytest.approx(1.0, abs=1e-4)
+
+
+def test_seen_words_surprise_less(model):
+    scores = WordScores(model, limit=2)
+    table = scores.learn(0, {b"abc", b"zzz"})
+    assert table[b"abc"][0] > table[b"zzz"][0]
+    again = scores.learn(0, {b"abc", b"q", b"r"})
+    assert again[b"abc"] == table[b"abc"]
+    assert scores.learn(0, {b"abc", b"s"})[b"abc"] == pytest.approx(table[b"abc"])
+
+
+def test_an_empty_model_is_uniform():
+    empty = HashArrays(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    assert np.exp(empty.log_p(0, np.array([5, 9]))).tolist() == pytest.approx([1 / 32, 1 / 32])
+
+
+def test_counts_do_not_depend_on_batches(spark, docs, rows, monkeypatch):
+    expected = Counter()
+    for _, text, *_ in rows:
+        expected.update(g for w in (text or "").encode().split() for g in grams(word_symbols(w)))
+    own = docs.selectExpr("0 AS slot", "CAST(coalesce(text, '') AS BINARY) AS body")
+    got = Counter()
+    for r in own.mapInArrow(count_grams, "slot int, gram long, n long").collect():
+        got[r["gram"]] += r["n"]
+    assert got == expected
+
+
+def test_rules_on_odd_rows(docs, rows, no_docs):
+    got = quality_rules(docs).collect()
+    found = bag((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in got)
+    expected = []
+    for doc_id, text, *_ in rows:
+        counts = brute_counts(text)
+        expected.append((doc_id, *counts, counts[0] < 50 or 100 * counts[4] > 50 * counts[0]))
+    assert found == bag(expected)
+    assert all(r["kept"] == (not r["base_failed"] and r["lower"] <= r["surprise"] <= r["upper"]) for r in got if r["surprise"])
+    assert not any(r["kept"] for r in got if r["base_failed"])
+    assert quality_rules(no_docs).collect() == []
+
+
+def test_bands_reject_what_is_far_from_the_language(spark):
+    rng = random.Random(9)
+    rows = [(i, prose(i, 120), "en") for i in range(120)]
+    rows += [(900, " ".join("".join(rng.choice("qxzjvwkg0129#") for _ in range(9)) for _ in range(120)), "en")]
+    rows += [(901, " ".join(["so"] + [w for w in (f"{a}{b}" for a in "qxz" for b in "0123456789")] * 3), "en")]
+    judged = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not judged[900]["kept"] and judged[900]["surprise"] > judged[900]["upper"]
+    assert sum(judged[i]["kept"] for i in range(120)) == sum(not judged[i]["base_failed"] for i in range(120))

@@ -1,0 +1,66 @@
+import numpy as np
+import public_tokenizers
+import pytest
+
+from odsflow.llm import packed, tokens
+from odsflow.llm.tokens import Remembered, counter, load_tokenizer, with_token_counts
+
+ODD = [
+    "", "a  b\n\n c \t", "don't DON'T it'll <|endoftext|> x", "日本 語 x", "a b  ", "é é ß İ ſ ŉ Σς", "½ ² x2²", "\x1c a \x85b", "'s's 're",
+    "x" * 5000, " " * 3000, "<|startoftext|>a <|endoftext|>", "A<|EndOfText|>", "ÀÉÎ Œuvre × ÷ ª º µ", "é ́", "a b c",
+]
+ALPHABET = [f"A{c}B {c} C{c}{c}9 {c}'s" for c in map(chr, [*range(1, 0x300), 0x3A3, 0x2028, 0x3000, 0xFFFD, 0x1F600])]
+
+
+@pytest.fixture
+def samples(spark, folder, rows):
+    texts = [r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()]
+    return texts + ODD + [t or "" for _, t, *_ in rows]
+
+
+def library_ids(name, text):
+    return load_tokenizer(public_tokenizers.path(name)).encode(text, add_special_tokens=False).ids
+
+
+def test_counts_are_the_library_s(samples):
+    count = counter(public_tokenizers.path("byte_bpe_50k.json")).count
+    for text in samples + ALPHABET:
+        assert count(text) == len(library_ids("byte_bpe_50k.json", text)), text[:80]
+
+
+def test_whole_tokens_encode_alone_as_one_token():
+    whole = sorted(counter(public_tokenizers.path("byte_bpe_50k.json")).whole)
+    assert len(whole) > 40_000
+    assert all(len(library_ids("byte_bpe_50k.json", w)) == 1 for w in whole[::97])
+
+
+def test_ids_are_the_library_s(samples):
+    encode = packed.encoder("word_bpe_49k.json")
+    assert isinstance(encode, packed.WordIds)
+    for text in samples + ALPHABET:
+        assert np.frombuffer(encode.ids(text.encode()), "<u4").tolist() == library_ids("word_bpe_49k.json", text), text[:80]
+
+
+def test_other_vocabularies_are_encoded_text_by_text():
+    encode = packed.encoder("byte_bpe_50k.json")
+    assert np.frombuffer(encode.ids("two words".encode()), "<u4").tolist() == library_ids("byte_bpe_50k.json", "two words")
+
+
+def test_remembered_moves_what_is_used_to_the_new_generation():
+    calls = []
+    table = Remembered(lambda k: calls.append(k) or k * 2, limit=2)
+    assert [table[k] for k in (1, 2, 3, 1, 3)] == [2, 4, 6, 2, 6]
+    assert calls == [1, 2, 3]
+    assert [table[k] for k in (4, 5, 6, 7, 1)] == [8, 10, 12, 14, 2] and calls.count(1) == 2
+
+
+def test_counts_of_a_table(docs, rows, no_docs):
+    counted = with_token_counts(docs.withColumnRenamed("size", "n_tokens"), limit=100)
+    assert set(counted.columns) == {*docs.columns, "n_tokens", "n_bytes", "over_limit"} - {"size"}
+    found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in counted.collect())
+    expected = []
+    for doc_id, text, *_ in rows:
+        n = len(library_ids("byte_bpe_50k.json", text or ""))
+        expected.append((doc_id is None, doc_id or 0, len((text or "").encode()), n, n > 100))
+    assert found == sorted(expected)
+    assert with_token_counts(no_docs).collect() == []

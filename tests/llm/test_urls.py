@@ -1,0 +1,75 @@
+import re
+
+import numpy as np
+import pytest
+
+from odsflow.llm import urls
+from odsflow.llm.queries import URL_RULES
+from odsflow.llm.urls import fit, gram_places, judge_urls, labelled_table, score, train
+
+ODD = [
+    None, "", "no scheme", "http://", "://", "HTTP://WWW.Example.COM/De/x", "http://a.net", "http://a.net/", "http://a.net/en/x#y", "x://example.net/en/",
+    "http://notexample.net/en/", "http://m.example.com/de/1?x=http://b.org/fr/", "https://é.org/fr/ü?q", "http://x.org/fr", "http://x.org/fr/\nz#", "http://org/fr/a",
+    "http://user@h.example.net:80/en/1", "a://b://c/d", "http://example.com?x/de/", "http://" + "long." * 3000 + "com/" + "p" * 9000,
+]
+
+
+def brute(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    best = None
+    for verdict, h, p in URL_RULES:
+        if (host == h or host.endswith("." + h)) and path.startswith(p) and (best is None or len(h + p) > len(best[0])):
+            best = (h + p, verdict)
+    return host, path, best
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return train(labelled_table(spark))
+
+
+def test_rules_and_parts(spark, weights):
+    pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(ODD)], "page_id long, url string, host string, verdict string")
+    judged = judge_urls(pages, URL_RULES, weights)
+    assert len(judged.columns) == len(set(judged.columns))
+    for r in judged.collect():
+        host, path, best = brute(r["url"])
+        assert (r["host"], r["path"]) == (host, path), r["url"]
+        assert r["rule"] == (best and best[0])
+        expected = best[1] if best else ("allow" if score(weights, host, path) >= 0.5 else "block")
+        assert r["verdict"] == expected
+
+
+def test_equally_long_rules_are_settled_by_text(spark, weights):
+    pages = spark.createDataFrame([("http://ab.com/xy",)], "url string")
+    rules = [("allow", "ab.com", "/x"), ("block", "com", "/xy"), ("block", "b.com", "/xy")]
+    assert [r["rule"] for r in judge_urls(pages, rules[:2], weights).collect()] == ["ab.com/x"]
+    assert [r["rule"] for r in judge_urls(pages, [*rules, ("allow", "ab.com", "/x")], weights).collect()] == ["ab.com/x"]
+
+
+def test_empty_tables(spark, weights):
+    assert judge_urls(spark.createDataFrame([], "url string"), URL_RULES, weights).collect() == []
+    nothing = train(spark.createDataFrame([], "url string, label int"))
+    assert not nothing.any() and score(nothing, "a", "/") == 0.5
+
+
+def test_the_classifier_tells_unseen_addresses_apart(weights):
+    good = [("www.city-museum.example.com", "/en/12"), ("blog.ththan.example.org", "/en/960"), ("news.example.com", "/fr/4")]
+    bad = [("www.cheap-pills.example.com", "/en/450"), ("spam-farm.example.org", "/es/728"), ("casino-bonus.example.com", "/en/1")]
+    assert min(score(weights, *u) for u in good) > 0.5 > max(score(weights, *u) for u in bad)
+
+
+def test_fit_lowers_the_loss():
+    rows = [("good.org", "/a", 1), ("bad.org", "/b", 0)]
+    weights = fit(rows, steps=50)
+    assert score(weights, "good.org", "/a") > 0.5 > score(weights, "bad.org", "/b")
+    assert len(gram_places("", "")) == 0 and np.isfinite(score(weights, "", ""))
+
+
+def test_large_labelled_tables_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MAX_LABELLED", 3)
+    with pytest.raises(ValueError):
+        train(labelled_table(spark))
