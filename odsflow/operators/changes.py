@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("insert", "update", "delete")
 OPS = {"insert": "I", "update": "U", "delete": "D"}
+#: Without it Spark leaves NULL fields out.
+ALL_FIELDS = {"ignoreNullFields": "false"}
 ALERT_NAMES = {"I": "INSERT", "U": "UPDATE", "D": "DELETE"}
 
 
@@ -36,14 +38,15 @@ def normalise_changes(
     """One row per changed row: op, database, table, seq, row_no, old, new.
 
     Feed: kind, db, tbl, seq, rows: array<struct<values, before_values, after_values>>. An insert has
-    `new`, a delete `old`, an update both. `row_no` orders the rows inside one event.
+    `new`, a delete `old`, an update both. `row_no` orders the rows inside one event. An event
+    without rows gives one row with neither and a NULL `row_no`, so that it can be counted.
     """
     wanted = F.col("kind").isin(list(kinds))
     if databases:
         wanted = wanted & F.col("db").isin(list(databases))
     if tables:
         wanted = wanted & F.col("tbl").isin(list(tables))
-    rows = feed.filter(wanted).select("kind", "db", "tbl", "seq", F.posexplode("rows").alias("row_no", "row"))
+    rows = feed.filter(wanted).select("kind", "db", "tbl", "seq", F.posexplode_outer("rows").alias("row_no", "row"))
     kind, row = F.col("kind"), F.col("row")
     return rows.select(
         _lookup(OPS, kind).alias("op"),
@@ -60,8 +63,9 @@ def to_changes(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Normalised rows as key changes with flat columns.
 
     An update that moves a row to another key becomes a delete of the old key and an update of the
-    new one, both with the same sequence.
+    new one, both with the same sequence. Events without rows change nothing.
     """
+    rows = rows.filter(F.col("old").isNotNull() | F.col("new").isNotNull())
     moved = F.lit(False)
     for key in keys:
         moved = moved | ~F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
@@ -74,9 +78,11 @@ def to_changes(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def alerts(rows: DataFrame) -> DataFrame:
-    """Normalised rows as readable records: event_type, database, table and the data as JSON text."""
-    old, new = F.to_json("old"), F.to_json("new")
-    both = F.to_json(F.struct(F.col("old"), F.col("new")))
+    """Normalised rows as readable records: event_type, database, table and the data as JSON text.
+
+    Fields that are NULL stay in the JSON as null.
+    """
+    old, new, both = (F.to_json(c, ALL_FIELDS) for c in ("old", "new", F.struct(F.col("old"), F.col("new"))))
     return rows.select(
         _lookup(ALERT_NAMES, F.col("op")).alias("event_type"),
         "db",

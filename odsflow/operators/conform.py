@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -29,10 +30,23 @@ def _whole(number) -> int | None:
     return None if number is None else int(number)
 
 
+def declared_length(type_text: str) -> int | None:
+    """n of char(n), varchar(n) and varchar2(n)."""
+    found = re.match(r"(?i)\s*n?(?:var)?char2?\s*\(\s*(\d+)", type_text or "")
+    return int(found[1]) if found else None
+
+
+def declared_domain(type_text: str) -> tuple[str, ...]:
+    """The values of enum('a','b')."""
+    found = re.match(r"(?is)\s*enum\s*\((.*)\)", type_text or "")
+    return tuple(v.replace("''", "'") for v in re.findall(r"'((?:[^']|'')*)'", found[1])) if found else ()
+
+
 def fields_from_metadata(rows: list[dict], dialect: str = "mysql", mode: str = "lossless") -> list[Field]:
     """Target columns from metadata rows (column_name, column_type, is_nullable, default, comment).
 
-    The rows describe one table, so their number is that of its columns.
+    The rows describe one table, so their number is that of its columns. Lengths and domains come from
+    the type text.
     """
     return [
         Field(
@@ -44,6 +58,8 @@ def fields_from_metadata(rows: list[dict], dialect: str = "mysql", mode: str = "
             required=str(row.get("is_nullable") or "YES").upper() not in ("YES", "Y"),
             default=row.get("column_default"),
             comment=row.get("column_comment") or "",
+            length=declared_length(row["column_type"]),
+            domain=declared_domain(row["column_type"]),
         )
         for row in rows
     ]
@@ -66,8 +82,23 @@ def fill_absent(df: DataFrame, fields: list[Field]) -> DataFrame:
 
 
 def _changed(source: Column, value: Column, source_type: T.DataType, target_type: T.DataType) -> Column | None:
-    """True where a number was cast but not kept, e.g. 12.345 to two places."""
+    """True where a value was cast but not kept, e.g. 12.345 to two places or a timestamp to its day."""
     integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    floating = (T.FloatType, T.DoubleType)
+    if isinstance(source_type, integral) and isinstance(target_type, floating):
+        return F.coalesce(value.try_cast("bigint") != source, value.isNotNull())  # back out of range: not kept
+    if isinstance(source_type, T.DoubleType) and isinstance(target_type, T.FloatType):
+        return source != value.cast(source_type)
+    if isinstance(source_type, T.DecimalType) and isinstance(target_type, floating):
+        return F.coalesce(value.try_cast(source_type) != source, value.isNotNull())
+    if isinstance(source_type, (T.TimestampType, T.TimestampNTZType)) and isinstance(target_type, T.DateType):
+        return source != value.cast(source_type)
+    if isinstance(source_type, T.StringType) and isinstance(target_type, T.DateType):
+        return source.try_cast("timestamp_ntz") != value.cast("timestamp_ntz")
+    if isinstance(source_type, T.StringType) and isinstance(target_type, floating):
+        return source.rlike(r"^\s*[+-]?\d+\s*$") & F.coalesce(
+            source.try_cast("bigint") != value.try_cast("bigint"), source.try_cast("bigint").isNotNull()
+        )
     if isinstance(source_type, T.StringType) and isinstance(target_type, T.DecimalType):
         whole = target_type.precision - target_type.scale
         if whole + target_type.scale == 38:
@@ -84,7 +115,7 @@ def conform(df: DataFrame, fields: list[Field], mode: str = "lossless") -> DataF
     """The declared columns in order, plus the broken rules of each row.
 
     A NULL out of a non-NULL input is a reject. `lossless` also rejects a number that the cast
-    rounded; `reference` lets it pass.
+    rounded and a time of day that a date cannot hold; `reference` lets them pass.
     """
     if mode not in ("lossless", "reference"):
         raise ValueError(f"unknown mode {mode!r}")

@@ -6,6 +6,7 @@ data before it writes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -116,6 +117,21 @@ def key_specs(indexes: DataFrame, table: str) -> list[KeySpec]:
     ]
 
 
+def with_key_reasons(df: DataFrame, specs: Sequence[KeySpec]) -> DataFrame:
+    """Adds `key:<name>` to the reasons of rows whose key value is broken (see `key_violations`).
+
+    Every row of a repeated key is named. The broken keys are joined back on equality; NULL parts of
+    a primary key count as equal.
+    """
+    for spec in specs:
+        broken = key_violations(df.select(*spec.columns), list(spec.columns), spec.primary)
+        broken = broken.select(F.struct(*spec.columns).alias("_broken"))
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_broken.{c}")) for c in spec.columns])
+        found = F.when(F.col("_broken").isNotNull(), F.array(F.lit(f"key:{spec.name}"))).otherwise(F.array().cast("array<string>"))
+        df = df.join(broken, same, "left").withColumn(REASONS, F.concat(F.col(REASONS), found)).drop("_broken")
+    return df
+
+
 def key_report(df: DataFrame, specs: list[KeySpec]) -> DataFrame:
     """One row per key: how many key values are broken and how many rows they hold."""
     def of_key(spec: KeySpec) -> DataFrame:

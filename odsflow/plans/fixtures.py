@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odsflow.sources.tables import read_table, stream_table
 
 MONEY = "decimal(18,2)"
+EVENT_FILES = 5
 FILES_PER_TRIGGER = 1000  # bounds a micro-batch while a long history is read for the first time
 
 
@@ -129,5 +130,63 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events")
 
 
+def event_batches(spark: SparkSession, folder: str, target: str, files: int = EVENT_FILES) -> DataFrame:
+    """Events written as several files and read as a stream of one file per micro-batch."""
+    rows = events(spark, folder)
+    rows.repartition(files, "event_id").write.parquet(target)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(target)
+
+
+def feed_batches(spark: SparkSession, folder: str, target: str, files: int = EVENT_FILES) -> DataFrame:
+    """The raw feed as a stream of several micro-batches; every third update moves a row to another key."""
+    return moving_feed(event_batches(spark, folder, target, files))
+
+
+def moving_feed(events: DataFrame) -> DataFrame:
+    """`raw_feed` of one database in which updates of every third event change the key, and one event in 90 has no rows."""
+    moves = F.when(F.col("event_id") % 3 == 0, 1_000_000).otherwise(0)
+    kind = F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete").otherwise("update")
+    amount = F.col("value").cast(MONEY)
+    after = F.struct((F.col("user_id") + moves).alias("user_id"), F.when(F.col("event_id") % 4 > 0, amount).alias("amount"))
+    before = F.struct(F.col("user_id").alias("user_id"), F.lit(None).cast(MONEY).alias("amount"))
+    row = F.struct(
+        F.when(kind != "update", F.struct(F.col("user_id").alias("user_id"), amount.alias("amount"))).alias("values"),
+        F.when(kind == "update", before).alias("before_values"), F.when(kind == "update", after).alias("after_values"),
+    )
+    return events.select(
+        kind.alias("kind"), F.lit("shop").alias("db"), F.lit("accounts").alias("tbl"), F.col("event_id").alias("seq"),
+        F.when(F.col("event_id") % 90 != 0, F.array(row)).alias("rows"),
+    )
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as `id|day|total` lines; of every 40, one has a bad day, one an empty total, one a field too many."""
+    kind = F.col("o_orderkey") % 40
+    key, day = F.col("o_orderkey").cast("string"), F.col("o_orderdate").cast("date").cast("string")
+    total = F.col("o_totalprice").cast(MONEY).cast("string")
+    value = (
+        F.when(kind == 0, F.concat_ws("|", key, F.lit("1999-02-30"), total)).when(kind == 1, F.concat_ws("|", key, day, F.lit("")))
+        .when(kind == 2, F.concat_ws("|", key, day, total, F.lit("more"))).otherwise(F.concat_ws("|", key, day, total))
+    )
+    return read_table(spark, folder, "orders").select("o_orderkey", value.alias("value"))
+
+
+def wide_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with whole numbers beyond a double's 53 bits, times of day, and text dates with a time."""
+    shift = F.when(F.col("o_orderkey") % 2 == 0, 9007199254740992).otherwise(0).cast("bigint")
+    hours = F.col("o_orderkey") % 3
+    stamp = F.timestamp_add("HOUR", hours.cast("int"), F.col("o_orderdate"))
+    return read_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), (F.col("o_orderkey") + shift).alias("big"), stamp.alias("stamp"),
+        F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("day_text"),
+    )
+
+
+def unmarked_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which one in 50 has no time."""
+    time = F.when(F.col("id") % 50 != 0, F.col("order_time"))
+    return ods_orders(spark, folder).withColumn("order_time", time)
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return stream_table(spark, folder, "events", FILES_PER_TRIGGER)

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odsflow.operators.conform import Field, conform, fields_from_metadata
 from odsflow.operators.metadata import exclude_names
 from odsflow.operators.quality import (
-    REASONS, BudgetExceeded, ErrorBudget, Rule, check_counts, enforce_budget, is_bad, split_good_bad, with_reasons,
+    REASONS, BudgetExceeded, ErrorBudget, KeySpec, Rule, check_counts, enforce_budget, is_bad, split_good_bad,
+    with_key_reasons, with_reasons,
 )
-from odsflow.session import delete_folder
+from odsflow.session import child_names, delete_folder
 from odsflow.sinks.tables import columns_ddl, create_if_absent
 from odsflow.sources.incremental import FIRST_LOAD, as_mark, read_mark, rows_above, rows_between, store_mark
 
@@ -22,7 +23,7 @@ CHANNELS = 3
 BAD = "_bad"
 AUDIT_SCHEMA = (
     "table_name string, status string, rows_in bigint, rows_out bigint, rejected bigint, "
-    "error string, seconds double"
+    "error string, seconds double, unmarked bigint"
 )
 
 
@@ -41,7 +42,7 @@ class CopyJob:
     `write` gets the good rows; for an incremental job also the mark they start after (see
     `sources.incremental.slice_writer`). `stage` names a shared folder to read the source only once
     (for databases, whose rows may change between two reads); without it the gate and the write each
-    scan the source.
+    scan the source. `keys` are the target's primary and unique keys; rows that break one are rejects.
     """
 
     name: str
@@ -49,6 +50,7 @@ class CopyJob:
     write: Callable[..., None]
     fields: list[Field] | None = None
     rules: tuple[Rule, ...] = ()
+    keys: tuple[KeySpec, ...] = ()
     mode: str = "lossless"
     budget: ErrorBudget = ErrorBudget()
     write_rejects: Callable[[DataFrame], None] | None = None
@@ -65,6 +67,7 @@ class Audit:
     rejected: int | None = None
     error: str | None = None
     seconds: float | None = None
+    unmarked: int | None = None
 
 
 def jobs_from_columns(
@@ -107,7 +110,7 @@ def _new_rows(spark: SparkSession, job: CopyJob, source: DataFrame) -> tuple[str
     """(stored mark, new mark, rows between them). The new mark is taken first, so rows that appear
     in the source during the load wait for the next one."""
     column = job.incremental.column
-    stored = read_mark(spark, job.incremental.marks, job.name, column)
+    stored = read_mark(spark, job.incremental.marks, job.name, column, source.schema[column].dataType)
     above = as_mark(source, column, stored)
     mark = rows_above(source, column, above).agg(F.max(column).cast("string")).first()[0]
     return stored, mark, rows_between(source, column, above, as_mark(source, column, mark))
@@ -125,16 +128,23 @@ def _stage(spark: SparkSession, checked: DataFrame, path: str) -> tuple[DataFram
 
 
 def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
-    """Copies one table; the error budget is checked before the target is touched."""
+    """Copies one table; the error budget is checked before the target is touched.
+
+    Rows of an incremental source without a mark load with the first copy only; every audit row says
+    how many there are (`unmarked`).
+    """
     started = time.monotonic()
+    if job.stage and child_names(spark, job.stage):  # it is deleted after the copy
+        raise ValueError(f"the stage {job.stage} is not empty")
     source = job.read(spark)
     if not source.columns:
         return Audit(job.name, "skipped", error="no columns")
-    stored, mark = None, None
+    stored, mark, unmarked = None, None, None
     if job.incremental:
+        unmarked = source.filter(F.col(job.incremental.column).isNull()).count()
         stored, mark, source = _new_rows(spark, job, source)
     checked = conform(source, job.fields, job.mode) if job.fields else source
-    checked = with_reasons(checked, list(job.rules))
+    checked = with_key_reasons(with_reasons(checked, list(job.rules)), job.keys)
     try:
         if job.stage:
             good, rejects, total, bad = _stage(spark, checked, job.stage)
@@ -153,11 +163,11 @@ def copy_table(spark: SparkSession, job: CopyJob) -> Audit:
     finally:
         if job.stage:
             delete_folder(spark, job.stage)
-    return Audit(job.name, "success", total, total - bad, bad, seconds=round(time.monotonic() - started, 3))
+    return Audit(job.name, "success", total, total - bad, bad, seconds=round(time.monotonic() - started, 3), unmarked=unmarked)
 
 
-def _first_line(error: Exception) -> str:
-    return (str(error).strip() or type(error).__name__).splitlines()[0]
+def _message(error: Exception) -> str:
+    return str(error).strip() or type(error).__name__
 
 
 def _copy_or_report(spark: SparkSession, job: CopyJob) -> Audit:
@@ -166,14 +176,14 @@ def _copy_or_report(spark: SparkSession, job: CopyJob) -> Audit:
     except BudgetExceeded as over:
         return Audit(job.name, "failed", over.total, 0, over.bad, str(over))
     except Exception as error:  # one table must not stop the rest
-        return Audit(job.name, "failed", error=_first_line(error))
+        return Audit(job.name, "failed", error=_message(error))
 
 
 def copy_many(spark: SparkSession, jobs: list[CopyJob], channels: int = CHANNELS) -> DataFrame:
     """Copies the tables, `channels` at a time, and returns the audit rows."""
     with ThreadPoolExecutor(max_workers=max(1, channels)) as pool:
         audits = list(pool.map(lambda job: _copy_or_report(spark, job), jobs))
-    rows = [(a.table_name, a.status, a.rows_in, a.rows_out, a.rejected, a.error, a.seconds) for a in audits]
+    rows = [(a.table_name, a.status, a.rows_in, a.rows_out, a.rejected, a.error, a.seconds, a.unmarked) for a in audits]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
@@ -194,7 +204,7 @@ def create_tables(
     for job in jobs:
         try:
             if not job.fields:
-                rows.append((job.name, "skipped", None, None, None, "no columns", None))
+                rows.append((job.name, "skipped", None, None, None, "no columns", None, None))
                 continue
             declared = {f.name for f in job.fields}
             extra = [Field(name, "string") for name in partition_by or [] if name not in declared]
@@ -202,7 +212,7 @@ def create_tables(
                 spark, job.name, columns_ddl(job.fields + extra), f"{folder}/{job.name}" if folder else None,
                 fmt, partition_by,
             )
-            rows.append((job.name, "success", None, None, None, None, None))
+            rows.append((job.name, "success", None, None, None, None, None, None))
         except Exception as error:  # one table must not stop the rest
-            rows.append((job.name, "failed", None, None, None, _first_line(error), None))
+            rows.append((job.name, "failed", None, None, None, _message(error), None, None))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

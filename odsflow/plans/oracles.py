@@ -65,6 +65,21 @@ ALERTS = f"""
                 ELSE concat('{{"user_id":', user_id, ',"amount":', amount, '}}') END AS data
     FROM ({FEED_ROWS})"""
 
+MOVED = """
+    SELECT *, CASE WHEN op = 'U' AND event_id % 3 = 0 THEN user_id + 1000000 ELSE user_id END AS new_id,
+           CASE WHEN op <> 'U' OR event_id % 4 > 0 THEN amount END AS new_amount
+    FROM (SELECT event_id, user_id, CAST(value AS DECIMAL(18,2)) AS amount,
+                 CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op FROM events)"""
+
+MOVED_ALERTS = f"""
+    SELECT CASE op WHEN 'I' THEN 'INSERT' WHEN 'U' THEN 'UPDATE' ELSE 'DELETE' END AS event_type, 'shop' AS db,
+           'accounts' AS tbl, event_id AS seq, CASE WHEN event_id % 90 <> 0 THEN 0 END AS row_no,
+           CASE WHEN event_id % 90 = 0 THEN CASE WHEN op = 'U' THEN '{{{{"old":null,"new":null}}}}' END
+                WHEN op = 'U' THEN concat('{{{{"old":{{{{"user_id":', user_id, ',"amount":null}}}},"new":{{{{"user_id":', new_id, ',"amount":',
+                    coalesce(CAST(new_amount AS VARCHAR), 'null'), '}}}}}}}}')
+                ELSE concat('{{{{"user_id":', user_id, ',"amount":', coalesce(CAST(amount AS VARCHAR), 'null'), '}}}}') END AS data
+    FROM ({MOVED})""".replace("{{", "{").replace("}}", "}")
+
 
 def _last_rows(changes: str) -> str:
     return f"""
@@ -103,6 +118,12 @@ INVENTORY_COLUMNS = {
                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
                 "l_linestatus string, l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
@@ -204,18 +225,21 @@ ORACLES = {
                CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_amount
         FROM lineitem WHERE l_quantity > 0 GROUP BY 1""",
     "range_split_read": """
-        SELECT CAST(LEAST(7, (8 * (o_orderkey - lo + 1) - 1) // (hi - lo + 1)) AS INTEGER) AS slice_no,
-               count(*) AS row_cnt, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_amount
-        FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders) GROUP BY 1""",
+        SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS supplier FROM lineitem""",
     "column_read": "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem",
     "incremental_load": f"SELECT * FROM ({ODS_ORDERS}) WHERE order_time > TIMESTAMP '2000-01-01'",
     "incremental_mark": f"""
         SELECT id, order_time, order_amount, CASE WHEN order_time < TIMESTAMP '2000-01-01' THEN 1 ELSE 2 END AS load_no
         FROM ({ODS_ORDERS})""",
+    "incremental_null_marks": f"""
+        SELECT id, CASE WHEN id % 50 <> 0 THEN order_time END AS order_time,
+               CASE WHEN id % 50 = 0 THEN 0 WHEN order_time < TIMESTAMP '2000-01-01' THEN 1 ELSE 2 END AS load_no,
+               (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0) AS unmarked_rows
+        FROM ({ODS_ORDERS})""",
     "table_append": ODS_ORDERS,
     "truncate_load": DAILY_SUMMARY,
     "text_overwrite": "SELECT * FROM customer",
+    "text_linefeeds": "SELECT * FROM documents",
     "orc_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "partitioned_bucketed_load": f"SELECT id, user_id, order_amount, order_time, order_status AS dt FROM ({ODS_ORDERS})",
     "partition_overwrite": f"""
@@ -244,6 +268,14 @@ ORACLES = {
         FROM (SELECT p_partkey, string_split(p_name, '') AS chars FROM part)""",
     "conform_types": _conform(lossless=True),
     "conform_types_reference": _conform(lossless=False),
+    "conform_lossless_numbers": f"""
+        SELECT id, CAST(CAST(big AS DOUBLE) AS DECIMAL(20,0)) AS as_double, CAST(stamp AS DATE) AS as_day,
+               CAST(stamp AS DATE) AS text_day,
+               concat_ws(',', CASE WHEN CAST(CAST(big AS DOUBLE) AS BIGINT) <> big THEN 'as_double:changed' END,
+                         CASE WHEN hours > 0 THEN 'as_day:changed' END, CASE WHEN hours > 0 THEN 'text_day:changed' END) AS reasons
+        FROM (SELECT o_orderkey AS id, o_orderkey % 3 AS hours,
+                     o_orderkey + CASE WHEN o_orderkey % 2 = 0 THEN 9007199254740992 ELSE 0 END AS big,
+                     o_orderdate + to_hours(o_orderkey % 3) AS stamp FROM orders)""",
     "not_null_violations": f"SELECT event_id, s_date, 's_int:null' AS reasons FROM ({UNTYPED}) WHERE s_int IS NULL",
     "domain_violations": """
         SELECT event_id, event_type, 'event_type:domain' AS reasons FROM events
@@ -262,10 +294,22 @@ ORACLES = {
     "error_budget": f"""
         SELECT count(*) AS total_rows, count(*) FILTER (WHERE rejected) AS bad_rows,
                count(*) FILTER (WHERE rejected) <= 0.02 * count(*) AS within_budget FROM ({PARSED})""",
-    "load_audit": _audit(("region", "nation", "customer", "orders", "lineitem")),
+    "load_audit": _audit(tuple(INVENTORY_COLUMNS)),
     "load_tally": f"""
-        SELECT status, count(*) AS table_cnt FROM ({_audit(("region", "nation", "customer"))}) GROUP BY status""",
+        SELECT status, count(*) AS table_cnt FROM ({_audit(tuple(INVENTORY_COLUMNS))}) GROUP BY status""",
+    "gated_copy": """
+        WITH rows AS (
+            SELECT CASE WHEN o_orderkey % 20 = 0 THEN o_orderkey - 1 ELSE o_orderkey END AS o_id,
+                   concat('order ', o_orderkey, repeat('!', (o_orderkey % 9)::INT)) AS o_name, o_orderstatus AS o_status FROM orders)
+        SELECT o_id, o_name, o_status, concat_ws(',', CASE WHEN length(o_name) > 15 THEN 'o_name:length' END,
+                   CASE WHEN o_status NOT IN ('F', 'O') THEN 'o_status:domain' END,
+                   CASE WHEN count(*) OVER (PARTITION BY o_id) > 1 THEN 'key:PRIMARY' END) AS reasons
+        FROM rows""",
     "delimited_parse": PARSED,
+    "delimited_orders": """
+        SELECT o_orderkey, CASE WHEN ok THEN o_orderkey END AS order_no, CASE WHEN ok THEN CAST(o_orderdate AS DATE) END AS day,
+               CASE WHEN ok THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total, NOT ok AS rejected
+        FROM (SELECT *, o_orderkey % 40 > 2 AS ok FROM orders)""",
     "stream_delimited_append": f"SELECT event_id, name, age FROM ({PARSED}) WHERE NOT rejected",
     "cdc_normalise": f"""
         SELECT op, db, tbl, seq, row_no,
@@ -275,10 +319,18 @@ ORACLES = {
                CASE WHEN op <> 'D' THEN amount END AS new_amount
         FROM ({FEED_ROWS})""",
     "change_alerts": ALERTS,
+    "alerts_with_nulls": MOVED_ALERTS,
     "stream_change_alerts": ALERTS,
     "stream_insert_append": f"SELECT ts, event_id, user_id, value FROM ({CHANGES}) WHERE op = 'I'",
     "cdc_latest_state": _last_rows(CHANGES),
     "cdc_snapshot_plus_changes": _last_rows(f"{SNAPSHOT} UNION ALL {CHANGES}"),
     "stream_cdc_upsert": _last_rows(CHANGES),
     "stream_cdc_snapshot": _last_rows(f"{SNAPSHOT} UNION ALL {CHANGES}"),
+    "stream_feed_upsert": f"""
+        SELECT seq, row_no, user_id, amount FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS nth FROM (
+                SELECT event_id AS seq, 0 AS row_no, new_id AS user_id, new_amount AS amount, op = 'D' AS gone FROM ({MOVED}) WHERE event_id % 90 <> 0
+                UNION ALL
+                SELECT event_id, 0, user_id, NULL, true FROM ({MOVED}) WHERE event_id % 90 <> 0 AND op = 'U' AND new_id <> user_id))
+        WHERE nth = 1 AND NOT gone""",
 }

@@ -6,31 +6,33 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.functions.ranges import even_edges, slice_number
+from odsflow.functions.ranges import quantiles, skewed_predicates
 from odsflow.functions.text import distinct_chars, scrub
 from odsflow.functions.types import target_type
-from odsflow.operators.changes import alerts, latest_state, normalise_changes
-from odsflow.operators.conform import Field, conform, fill_absent
+from odsflow.operators.changes import alerts, latest_state, normalise_changes, to_changes
+from odsflow.operators.conform import Field, conform, fields_from_metadata, fill_absent
 from odsflow.operators.metadata import column_inventory, exclude_names, ordered_columns
 from odsflow.operators.quality import (
     REASONS, ErrorBudget, KeySpec, budget_report, in_domain, key_report, key_violations, max_length, not_null,
     split_good_bad,
 )
 from odsflow.plans import fixtures
-from odsflow.plans.jobs import CopyJob, copy_many, tally
+from odsflow.plans.jobs import CopyJob, copy_many, copy_table, tally
 from odsflow.plans.steps import Step, daily_order_steps, run_steps
 from odsflow.session import scratch_path
 from odsflow.sinks import tables as sink
-from odsflow.sources.incremental import FIRST_LOAD, incremental_load, rows_above, slice_writer
-from odsflow.sources.tables import read_table, read_text_table
+from odsflow.sources.incremental import FIRST_LOAD, incremental_load, rows_above, slice_writer, unmarked_writer
+from odsflow.sources.tables import read_slices, read_table, read_text_table
 from odsflow.streaming.alerts import append_alerts
 from odsflow.streaming.delimited import append_lines, parse_lines, read_lines
-from odsflow.streaming.upsert import append_inserts, current_rows, load_snapshot, upsert_stream
+from odsflow.streaming.upsert import append_inserts, compact, current_rows, load_snapshot, upsert_stream
 
 USER_KEY, EVENT_ORDER = ["user_id"], ["ts", "event_id"]
 READ_SLICES = 8
-INVENTORY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-COPY_TABLES = ("region", "nation", "customer", "orders", "lineitem")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 # --- SQL steps -------------------------------------------------------------------------------
@@ -70,18 +72,12 @@ def sql_steps(spark: SparkSession, folder: str) -> DataFrame:
 # --- reads -----------------------------------------------------------------------------------
 
 def range_split_read(spark: SparkSession, folder: str) -> DataFrame:
-    """What each task of a key-range read takes, with the table's own bounds."""
-    orders = read_table(spark, folder, "orders", ["o_orderkey", "o_totalprice"])
-    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    return (
-        orders.groupBy(slice_number(F.col("o_orderkey"), even_edges(low, high, READ_SLICES)).alias("slice_no"))
-        .agg(
-            F.count(F.lit(1)).alias("row_cnt"),
-            F.min("o_orderkey").alias("min_key"),
-            F.max("o_orderkey").alias("max_key"),
-            F.sum(F.col("o_totalprice").cast(fixtures.MONEY)).alias("total_amount"),
-        )
-    )
+    """Line items read in slices of about equal size by supplier; a hot supplier is cut by the order key. Every row comes once."""
+    lines = read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    hot = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey")).alias("supplier")  # a third of the rows
+    skewed = lines.select("l_orderkey", "l_linenumber", hot)
+    predicates = skewed_predicates("supplier", quantiles(skewed, "supplier", READ_SLICES), "l_orderkey")
+    return read_slices(skewed, predicates).drop("slice_no")
 
 
 def column_read(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,6 +102,25 @@ def incremental_mark(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.select("id", "order_time", "order_amount", run.alias("load_no"))
 
 
+def incremental_null_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of a table of which some rows have no mark: those are kept aside by each load and counted (load_no 0)."""
+    orders = fixtures.unmarked_orders(spark, folder)
+    base = scratch_path(spark, "unmarked")
+    cut = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    early = orders.filter((F.col("order_time") < cut) | (F.col("order_time").isNull() & (F.col("id") % 100 == 0)))
+    for available in (early, orders):
+        result = incremental_load(
+            spark, available, "orders", "order_time", f"{base}/marks", slice_writer(f"{base}/rows"),
+            write_unmarked=unmarked_writer(f"{base}/aside"),
+        )
+    loaded = spark.read.parquet(f"{base}/rows")
+    run = F.when(F.col("loaded_after") == FIRST_LOAD, 1).otherwise(2)
+    aside = spark.read.schema(orders.schema).parquet(f"{base}/aside")
+    return loaded.select("id", "order_time", run.alias("load_no")).unionByName(
+        aside.select("id", "order_time", F.lit(0).alias("load_no"))
+    ).withColumn("unmarked_rows", F.lit(result.unmarked_rows).cast("bigint"))
+
+
 # --- writes ----------------------------------------------------------------------------------
 
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,6 +146,13 @@ def text_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return read_text_table(spark, path, customer.schema)
 
 
+def text_linefeeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line feeds, as a text table and back."""
+    documents, path = read_table(spark, folder, "documents"), f"{scratch_path(spark, 'text')}/documents"
+    sink.overwrite_text(documents, path)
+    return read_text_table(spark, path, documents.schema)
+
+
 def orc_append(spark: SparkSession, folder: str) -> DataFrame:
     customer, path = read_table(spark, folder, "customer"), f"{scratch_path(spark, 'orc')}/customer"
     sink.append_orc(customer, path)
@@ -149,12 +171,14 @@ def partitioned_bucketed_load(spark: SparkSession, folder: str) -> DataFrame:
 
 def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """Orders by month; then one month comes again with doubled amounts and replaces itself alone."""
-    orders = fixtures.ods_orders(spark, folder).select(
-        "id", "order_amount", F.date_format("order_time", "yyyy-MM").alias("dt")
-    )
+    orders = fixtures.ods_orders(spark, folder).select("id", "order_amount", "order_time")
     path = f"{scratch_path(spark, 'monthly')}/orders"
-    again = orders.filter(F.col("dt") == "1997-05").withColumn(
+    start, end = (F.lit(day).cast("timestamp_ntz") for day in ("1997-05-01 00:00:00", "1997-06-01 00:00:00"))
+    again = orders.filter((F.col("order_time") >= start) & (F.col("order_time") < end)).withColumn(
         "order_amount", (F.col("order_amount") * 2).cast(fixtures.MONEY)
+    )  # a range of the column itself, so the scan skips other months
+    orders, again = (
+        load.select("id", "order_amount", F.date_format("order_time", "yyyy-MM").alias("dt")) for load in (orders, again)
     )
     for load in (orders, again):
         sink.overwrite_partitions(load, path, ["dt"])
@@ -173,7 +197,7 @@ def retention_30d(spark: SparkSession, folder: str) -> DataFrame:
 # --- metadata and text -----------------------------------------------------------------------
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    return column_inventory({name: read_table(spark, folder, name) for name in INVENTORY_TABLES})
+    return column_inventory({name: read_table(spark, folder, name) for name in TABLES})
 
 
 def exclude_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -240,6 +264,21 @@ def conform_types_reference(spark: SparkSession, folder: str) -> DataFrame:
     return _conformed(spark, folder, "reference")
 
 
+WIDE_FIELDS = [
+    Field("id", "bigint"), Field("as_double", "double", source="big"), Field("as_day", "date", source="stamp"),
+    Field("text_day", "date", source="day_text"),
+]
+
+
+def conform_lossless_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers as doubles and timestamps as days: rows that a cast would change are named."""
+    checked = conform(fixtures.wide_numbers(spark, folder), WIDE_FIELDS, "lossless")
+    return checked.select(
+        "id", F.col("as_double").cast("decimal(20,0)").alias("as_double"), "as_day", "text_day",
+        F.array_join(REASONS, ",").alias("reasons"),
+    )
+
+
 def _rejects(df: DataFrame, rule, *columns: str) -> DataFrame:
     _, bad = split_good_bad(df, [rule])
     return bad.select(*columns, F.array_join(REASONS, ",").alias("reasons"))
@@ -329,12 +368,41 @@ def _copy_jobs(folder: str, base: str, names) -> list[CopyJob]:
 
 
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
-    audit = copy_many(spark, _copy_jobs(folder, scratch_path(spark, "copies"), COPY_TABLES))
+    audit = copy_many(spark, _copy_jobs(folder, scratch_path(spark, "copies"), TABLES))
     return audit.select("table_name", "status", "rows_in", "rows_out", "rejected")
 
 
 def load_tally(spark: SparkSession, folder: str) -> DataFrame:
-    return tally(copy_many(spark, _copy_jobs(folder, scratch_path(spark, "copies"), COPY_TABLES[:3])))
+    return tally(copy_many(spark, _copy_jobs(folder, scratch_path(spark, "copies"), TABLES)))
+
+
+DICTIONARY = [
+    {"column_name": "O_ID", "column_type": "bigint(20)", "is_nullable": "NO"},
+    {"column_name": "O_NAME", "column_type": "varchar(15)"},
+    {"column_name": "O_STATUS", "column_type": "enum('F','O')"},
+]
+
+
+def gated_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders copied under a dictionary's rules: repeated keys, long names and unknown states are rejects, the rest arrives."""
+    base = scratch_path(spark, "gated")
+    key = F.when(F.col("o_orderkey") % 20 == 0, F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey"))
+
+    def read(session: SparkSession) -> DataFrame:
+        return read_table(session, folder, "orders").select(
+            key.alias("O_ID"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.repeat(F.lit("!"), (F.col("o_orderkey") % 9).cast("int"))).alias("O_NAME"),
+            F.col("o_orderstatus").alias("O_STATUS"),
+        )
+
+    job = CopyJob(
+        "orders", read, lambda df: sink.overwrite_parquet(df, f"{base}/rows"), fields_from_metadata(DICTIONARY),
+        keys=(KeySpec("PRIMARY", ("o_id",), primary=True),), budget=ErrorBudget(records=None, share=1.0),
+        write_rejects=lambda df: sink.overwrite_parquet(df, f"{base}/rejects"), stage=f"{base}/stage",
+    )
+    copy_table(spark, job)
+    good = spark.read.parquet(f"{base}/rows").withColumn("reasons", F.lit(""))
+    bad = spark.read.parquet(f"{base}/rejects").withColumn("reasons", F.array_join(REASONS, ",")).drop(REASONS)
+    return good.unionByName(bad)
 
 
 # --- messages and changes --------------------------------------------------------------------
@@ -344,6 +412,14 @@ def delimited_parse(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select("event_id", "name", "age", "rejected")
 
 
+ORDER_LINE = (("order_no", "bigint"), ("day", "date"), ("total", fixtures.MONEY))
+
+
+def delimited_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of another declared schema: three typed fields and another delimiter."""
+    return parse_lines(fixtures.order_lines(spark, folder), "|", ORDER_LINE).drop("value")
+
+
 def stream_delimited_append(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "lines")
     lines = fixtures.delimited_lines(fixtures.event_stream(spark, folder))
@@ -368,6 +444,11 @@ def change_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return alerts(_normalised(spark, folder))
 
 
+def alerts_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of rows with NULL fields, which stay in the text, and of events without rows."""
+    return alerts(normalise_changes(fixtures.moving_feed(fixtures.events(spark, folder)), tables=["accounts"]))
+
+
 def stream_change_alerts(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "alerts")
     feed = fixtures.raw_feed(fixtures.event_stream(spark, folder))
@@ -397,12 +478,23 @@ def cdc_snapshot_plus_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_cdc_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """A change stream in several micro-batches, folded into a base, then read."""
     root = scratch_path(spark, "state")
-    changes = fixtures.change_log(fixtures.event_stream(spark, folder))
+    changes = fixtures.change_log(fixtures.event_batches(spark, folder, f"{root}-feed"))
     upsert_stream(changes, root, USER_KEY, EVENT_ORDER).awaitTermination()
+    compact(spark, root, USER_KEY, EVENT_ORDER)
     return current_rows(spark, root, USER_KEY, EVENT_ORDER).drop("op")
 
 
+def stream_feed_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw feed into a table by key, in several micro-batches; an update that moves a row deletes it under its old key."""
+    root = scratch_path(spark, "feed")
+    feed = fixtures.feed_batches(spark, folder, f"{root}-feed")
+    changes = to_changes(normalise_changes(feed, ["shop"], ["accounts"]), USER_KEY)
+    upsert_stream(changes, root, USER_KEY, ["seq", "row_no"]).awaitTermination()
+    return current_rows(spark, root, USER_KEY, ["seq", "row_no"]).drop("op")
+
+
 def stream_cdc_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The first full copy as the base of the table, then the change stream on top."""
     root = scratch_path(spark, "state")
@@ -421,9 +513,11 @@ QUERIES = {
     "column_read": column_read,
     "incremental_load": incremental_rows,
     "incremental_mark": incremental_mark,
+    "incremental_null_marks": incremental_null_marks,
     "table_append": table_append,
     "truncate_load": truncate_load,
     "text_overwrite": text_overwrite,
+    "text_linefeeds": text_linefeeds,
     "orc_append": orc_append,
     "partitioned_bucketed_load": partitioned_bucketed_load,
     "partition_overwrite": partition_overwrite,
@@ -437,6 +531,7 @@ QUERIES = {
     "distinct_chars": distinct_letters,
     "conform_types": conform_types,
     "conform_types_reference": conform_types_reference,
+    "conform_lossless_numbers": conform_lossless_numbers,
     "not_null_violations": not_null_violations,
     "domain_violations": domain_violations,
     "length_violations": length_violations,
@@ -447,14 +542,18 @@ QUERIES = {
     "error_budget": error_budget,
     "load_audit": load_audit,
     "load_tally": load_tally,
+    "gated_copy": gated_copy,
     "delimited_parse": delimited_parse,
+    "delimited_orders": delimited_orders,
     "stream_delimited_append": stream_delimited_append,
     "cdc_normalise": cdc_normalise,
     "change_alerts": change_alerts,
+    "alerts_with_nulls": alerts_with_nulls,
     "stream_change_alerts": stream_change_alerts,
     "stream_insert_append": stream_insert_append,
     "cdc_latest_state": cdc_latest_state,
     "cdc_snapshot_plus_changes": cdc_snapshot_plus_changes,
     "stream_cdc_upsert": stream_cdc_upsert,
     "stream_cdc_snapshot": stream_cdc_snapshot,
+    "stream_feed_upsert": stream_feed_upsert,
 }

@@ -9,13 +9,17 @@ from pyspark.sql import SparkSession
 
 SHUFFLE = "spark.sql.shuffle.partitions"
 PARTITIONS_PER_CORE = 3
+BYTES_PER_PARTITION = 128 << 20
 
 
-def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+def build_session(
+    app: str, master: str | None = None, conf: dict[str, str] | None = None, input_bytes: int | None = None
+) -> SparkSession:
     """A session with the settings the jobs expect; `conf` adds or replaces settings.
 
-    The number of shuffle partitions starts at three per core unless `conf` names one; AQE merges
-    the small ones.
+    Unless `conf` names a number, shuffles start with three partitions per core that is there at the
+    start, or with one per BYTES_PER_PARTITION of `input_bytes` if that is more (executors may still
+    come, and AQE merges small partitions but does not cut ordinary ones).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -32,7 +36,8 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if SHUFFLE not in settings:
-        spark.conf.set(SHUFFLE, str(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
+        by_size = -(-(input_bytes or 0) // BYTES_PER_PARTITION)
+        spark.conf.set(SHUFFLE, str(max(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism, by_size)))
     return spark
 
 
@@ -65,6 +70,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a written folder in the place of another one."""
+    fs, source = file_system(spark, fresh)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{fresh} could not be renamed to {path}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: `spark.checkpoint.dir`, else one in the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,12 +1,15 @@
 """Database writes, left to Spark's own JDBC sink.
 
 The sink commits per task, so a lost executor can repeat a task after its commit: a plain append is
-at-least-once. `jdbc_upsert` (staging table, then one MERGE guarded by the sequence) is not harmed
-by repeats.
+at-least-once. `jdbc_upsert` (a staging table of its own run, then one MERGE of the latest row per key,
+guarded by the sequence) is not harmed by repeats. Rows are dealt to the connections by a shuffle, so
+the work before the write keeps all its tasks.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH_SIZE = 5000
@@ -22,9 +25,9 @@ def jdbc_append(
     batch_size: int = BATCH_SIZE,
     connections: int = CONNECTIONS,
 ) -> None:
-    """Appends in batches; `connections` caps the tasks that write at once."""
+    """Appends in batches; `connections` is the number of tasks that write."""
     options = {"batchsize": str(batch_size), "numPartitions": str(connections), **(properties or {})}
-    df.write.mode("append").options(**options).jdbc(url, table)
+    df.repartition(connections).write.mode("append").options(**options).jdbc(url, table)
 
 
 def jdbc_truncate_load(
@@ -39,7 +42,7 @@ def jdbc_truncate_load(
     options = {
         "batchsize": str(batch_size), "numPartitions": str(connections), "truncate": "true", **(properties or {})
     }
-    df.write.mode("overwrite").options(**options).jdbc(url, table)
+    df.repartition(connections).write.mode("overwrite").options(**options).jdbc(url, table)
 
 
 def jdbc_execute(spark: SparkSession, url: str, statement: str, properties: dict[str, str] | None = None) -> None:
@@ -61,6 +64,8 @@ def merge_statement(
 ) -> str:
     """Standard MERGE of a staging table; a row changes only when the staged sequence is later.
 
+    Of several staged rows of a key only the latest counts, so rows staged twice do no harm.
+
     Deleted rows stay with op = 'D', so a late older update cannot bring them back; read the target
     through a view without them.
     """
@@ -71,8 +76,13 @@ def merge_statement(
     )
     sets = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys)
     names, values = ", ".join(columns), ", ".join(f"s.{c}" for c in columns)
+    latest = ", ".join(f"{c} DESC" for c in order)
+    once = (
+        f"(SELECT {names} FROM (SELECT {names}, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {latest}) AS nth "
+        f"FROM {staging}) d WHERE d.nth = 1)"
+    )
     return (
-        f"MERGE INTO {target} t USING {staging} s ON {on} "
+        f"MERGE INTO {target} t USING {once} s ON {on} "
         f"WHEN MATCHED AND ({later}) THEN UPDATE SET {sets} "
         f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
@@ -87,9 +97,14 @@ def jdbc_upsert(
     properties: dict[str, str] | None = None,
     staging: str | None = None,
 ) -> None:
-    """Upserts one row per key: executors fill a staging table, the database merges it."""
-    staging = staging or f"{target}_staging"
-    jdbc_truncate_load(latest, url, staging, properties, batch_size=BATCH_SIZE)
-    jdbc_execute(
-        latest.sparkSession, url, merge_statement(target, staging, latest.columns, keys, order), properties
-    )
+    """Upserts one row per key: executors fill a staging table, the database merges it.
+
+    Without a name the staging table belongs to this run alone and is dropped after it.
+    """
+    own = staging or f"{target}_staging_{uuid.uuid4().hex[:12]}"
+    try:
+        jdbc_truncate_load(latest, url, own, properties, batch_size=BATCH_SIZE)
+        jdbc_execute(latest.sparkSession, url, merge_statement(target, own, latest.columns, keys, order), properties)
+    finally:
+        if not staging:
+            jdbc_execute(latest.sparkSession, url, f"DROP TABLE {own}", properties)

@@ -7,13 +7,16 @@ AQE cuts a partition that holds most of the rows into several tasks.
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date, timedelta
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
+from odsflow.functions.text import escape_line_breaks
 from odsflow.operators.conform import Field
-from odsflow.session import child_names, delete_folder
+from odsflow.session import child_names, delete_folder, replace_folder
 
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
@@ -24,13 +27,15 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def overwrite_text(df: DataFrame, path: str, delimiter: str = ",", max_rows_per_file: int = 0) -> None:
-    """Delimited text, replaced each run. Fields holding the delimiter, quotes or line feeds are quoted.
+    """Delimited text, replaced each run; one row is one line, whatever its texts hold.
 
-    NULL is written as \\N, so a text that is just \\N reads back as NULL; all others survive, with
-    their blanks. `max_rows_per_file` bounds the files a multi-line reader cannot split.
+    Line breaks and backslashes in texts are escaped, fields holding the delimiter or quotes are
+    quoted, and NULL is written as \\N (the text \\N as \\\\N), so every text survives and the files can
+    be split. `read_text_table` undoes it.
     """
+    texts = {f.name: escape_line_breaks(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, StringType)}
     (
-        df.write.mode("overwrite")
+        df.withColumns(texts).write.mode("overwrite")
         .options(
             sep=delimiter, escape='"', nullValue="\\N", maxRecordsPerFile=max_rows_per_file,
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -48,7 +53,13 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replaces a path table. The new rows are written beside it first, so a write that fails leaves the old ones."""
+    spark, fresh = df.sparkSession, f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(fresh)
+        replace_folder(spark, fresh, path)
+    finally:
+        delete_folder(spark, fresh)
 
 
 def append_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet") -> None:
@@ -64,8 +75,14 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "pa
 
 
 def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, least: int = 8) -> int:
-    """Buckets for a table of that many rows, within Spark's own limit."""
-    return min(max(least, -(-rows // rows_per_bucket)), MOST_BUCKETS)
+    """Buckets for a table expected to hold that many rows; to be fixed once, when the table is made.
+
+    More than Spark allows is an error: the rows per bucket have to be raised then.
+    """
+    buckets = max(least, -(-rows // rows_per_bucket))
+    if buckets > MOST_BUCKETS:
+        raise ValueError(f"{buckets} buckets are more than Spark's {MOST_BUCKETS}; raise rows_per_bucket")
+    return buckets
 
 
 def save_bucketed(
@@ -169,13 +186,17 @@ def drop_expired(spark: SparkSession, table: str, day: str, as_of: str, days: in
 def delete_expired_folders(spark: SparkSession, path: str, day: str, as_of: date, days: int = 30) -> list[str]:
     """Deletes the `day=yyyy-MM-dd` folders of a path table that are older than the retention.
 
-    Folders whose value is no date stay. Returns the names of those that went.
+    The day may be any level of the partitioning. Folders whose value is no date stay. Returns the
+    names of those that went, from the table's folder on.
     """
     limit = as_of - timedelta(days=days)
     gone = []
     for name in sorted(child_names(spark, path)):
         column, _, value = name.partition("=")
-        if column == day and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and date.fromisoformat(value) < limit:
-            delete_folder(spark, f"{path}/{name}")
-            gone.append(name)
+        if column == day:
+            if re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and date.fromisoformat(value) < limit:
+                delete_folder(spark, f"{path}/{name}")
+                gone.append(name)
+        elif value:
+            gone += [f"{name}/{below}" for below in delete_expired_folders(spark, f"{path}/{name}", day, as_of, days)]
     return gone

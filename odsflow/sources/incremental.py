@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DataType
 
 from odsflow.session import child_names
 
@@ -50,11 +51,14 @@ def _folder(marks: str, table: str, column: str) -> str:
     return f"{marks}/{table}.{column}"
 
 
-def read_mark(spark: SparkSession, marks: str, table: str, column: str) -> str | None:
+def read_mark(spark: SparkSession, marks: str, table: str, column: str, kind: DataType | None = None) -> str | None:
+    """The largest stored mark, compared as `kind`; without a kind the one stored last."""
     folder = _folder(marks, table, column)
     if not any(name.endswith(".parquet") for name in child_names(spark, folder)):
         return None
-    return spark.read.schema(MARK_SCHEMA).parquet(folder).agg(F.max_by("mark", "loaded_at")).first()[0]
+    return spark.read.schema(MARK_SCHEMA).parquet(folder).agg(
+        F.max_by("mark", F.col("mark").cast(kind) if kind else F.col("loaded_at"))
+    ).first()[0]
 
 
 def store_mark(spark: SparkSession, marks: str, table: str, column: str, mark: str) -> None:
@@ -75,6 +79,11 @@ def slice_writer(target: str) -> Callable[[DataFrame, str], None]:
     return write
 
 
+def unmarked_writer(target: str) -> Callable[[DataFrame], None]:
+    """Keeps the rows without a mark in a folder of their own; each load replaces it with those there are now."""
+    return lambda df: df.write.mode("overwrite").parquet(target)
+
+
 def incremental_load(
     spark: SparkSession,
     df: DataFrame,
@@ -83,28 +92,34 @@ def incremental_load(
     marks: str,
     write: Callable[[DataFrame, str], None],
     overlap: Column | None = None,
+    write_unmarked: Callable[[DataFrame], None] | None = None,
 ) -> LoadResult:
     """Loads the rows above the stored mark, then stores the largest value among them.
 
     The new mark and the counts come out of the write itself (one pass over the source). `write`
     gets the rows and the start mark (`initial` at first); it has to be a file write without a
-    shuffle. Rows with a NULL in the column belong to the first load only and are counted. `overlap`
-    (a number or interval) reads that far below the mark again, for rows that arrive late; `write` then
-    has to upsert by key.
+    shuffle. `overlap` (a number or interval) reads that far below the mark again, for rows that
+    arrive late; `write` then has to upsert by key.
+
+    Rows with a NULL in the column have no place in the order, so no later load can tell new ones
+    from old. Every load counts all of them. With `write_unmarked` they are kept aside by every
+    load (the writer replaces what it kept before, see `unmarked_writer`); without it the first load
+    takes them along, and later ones only report them.
     """
-    stored = read_mark(spark, marks, table, column)
+    stored = read_mark(spark, marks, table, column, df.schema[column].dataType)
     mark = as_mark(df, column, stored)
     if mark is not None and overlap is not None:
         mark = mark - overlap
     seen = Observation()
-    wanted = rows_above(df, column, mark).observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(column).isNull()).alias("unmarked"),
-        F.max(F.col(column)).cast("string").alias("mark"),
-    )
+    unmarked = df.filter(F.col(column).isNull())
+    wanted = rows_above(df, column, mark)
+    if write_unmarked:
+        wanted = wanted.filter(F.col(column).isNotNull())
+    wanted = wanted.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(F.col(column)).cast("string").alias("mark"))
     write(wanted, stored or FIRST_LOAD)
-    result = seen.get
+    result, without = seen.get, unmarked.count()
+    if write_unmarked:
+        write_unmarked(unmarked)
     if result["mark"] is not None and result["mark"] != stored:
         store_mark(spark, marks, table, column, result["mark"])
-    return LoadResult(result["rows"], result["unmarked"], result["mark"] or stored)
+    return LoadResult(result["rows"], without, result["mark"] or stored)

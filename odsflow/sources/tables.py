@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
+
+from odsflow.functions.text import unescape_line_breaks
 from odsflow.session import is_directory
 
 
@@ -25,15 +28,28 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
+def read_slices(df: DataFrame, predicates: list[str]) -> DataFrame:
+    """A table read slice by slice, as `jdbc_sliced_read` reads one from a database; adds `slice_no`.
+
+    Each predicate reaches the scan of its own slice, so files and row groups outside it are not read.
+    """
+    parts = [df.filter(p).withColumn("slice_no", F.lit(i)) for i, p in enumerate(predicates)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_text_table(
-    spark: SparkSession, path: str, schema: str | StructType, delimiter: str = ",", line_breaks: bool = False
+    spark: SparkSession, path: str, schema: str | StructType, delimiter: str = ",", line_breaks: bool = False,
+    escaped: bool = True,
 ) -> DataFrame:
     """Delimited text as written by `sinks.tables.overwrite_text`.
 
-    `line_breaks` allows line feeds inside quoted fields, but then Spark cannot split a file.
+    Files of others may hold texts as they are (`escaped` False), and line feeds inside quoted
+    fields (`line_breaks`); with the latter Spark cannot split a file.
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(sep=delimiter, escape='"', nullValue="\\N", multiLine=line_breaks, lineSep="\n")
         .csv(path)
     )
+    texts = [f.name for f in rows.schema.fields if escaped and isinstance(f.dataType, StringType)]
+    return rows.withColumns({name: unescape_line_breaks(F.col(f"`{name}`")) for name in texts}) if texts else rows

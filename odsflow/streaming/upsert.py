@@ -19,7 +19,6 @@ from odsflow.session import child_names, delete_folder, path_exists
 from odsflow.sinks.jdbc import jdbc_upsert
 from odsflow.streaming.triggers import FLUSH_SECONDS, trigger_options
 
-COMPACT_EVERY = 100
 KEEP_BASES = 2
 
 
@@ -38,7 +37,12 @@ def write_batch(changes: DataFrame, batch_id: int, root: str, keys: list[str], o
 
 
 def load_snapshot(snapshot: DataFrame, root: str) -> None:
-    """The first full copy (one row per key, lowest sequence) as the base below all batches."""
+    """The first full copy (one row per key, lowest sequence) as the base below all batches.
+
+    Only for a new state: below a later base it would never be read.
+    """
+    if any(b >= 0 for b in _finished(snapshot.sparkSession, f"{root}/base", "upto")):
+        raise ValueError(f"{root} already has a base made from changes")
     snapshot.write.mode("overwrite").parquet(f"{root}/base/upto=-1")
 
 
@@ -90,15 +94,15 @@ def upsert_stream(
     keys: list[str],
     order: list[str],
     seconds: int | None = None,
-    compact_every: int | None = COMPACT_EVERY,
+    compact_every: int | None = None,
     keep_bases: int = KEEP_BASES,
 ) -> StreamingQuery:
     """Starts the upsert of a change stream into the lake table under `root`.
 
-    Every `compact_every` batches they are folded into a new base; data older than the newest
-    `keep_bases` bases goes away, so keep two for readers still on the last one. With None the stream
-    never stops for it: run `compact` and `drop_superseded` as a job of their own, also while the
-    stream goes on.
+    Every batch does the same work: it stores its last change per key. Run `compact` and
+    `drop_superseded` as a job of their own, also while the stream goes on. With `compact_every` the
+    stream itself folds its batches into a new base that often, which rewrites the whole state, and
+    drops data older than the newest `keep_bases` bases (keep two for readers still on the last one).
     """
     spark = changes.sparkSession
     checkpoint = f"{root}/_checkpoint"

@@ -41,18 +41,18 @@ def feed(spark):
 def test_normalise_keeps_named_tables_and_kinds(feed):
     rows = normalise_changes(feed, ["shop"], ["t"]).orderBy("seq", "row_no").collect()
     assert [(r["op"], r["seq"], r["row_no"]) for r in rows] == [
-        ("I", 1, 0), ("I", 1, 1), ("U", 2, 0), ("U", 3, 0), ("D", 4, 0),
+        ("I", 1, 0), ("I", 1, 1), ("U", 2, 0), ("U", 3, 0), ("D", 4, 0), ("I", 8, None),  # the last has no rows
     ]
     assert rows[0]["old"] is None and rows[0]["new"]["name"] == "a"
     assert rows[2]["old"]["name"] == "a" and rows[2]["new"]["name"] == "aa"
     assert rows[4]["old"]["name"] == "aa" and rows[4]["new"] is None
     assert normalise_changes(feed, ["shop"], ["t"], ["delete"]).count() == 1
-    assert normalise_changes(feed).count() == 7
+    assert normalise_changes(feed).count() == 8
 
 
 def test_alerts_are_readable(feed):
     rows = alerts(normalise_changes(feed, ["shop"], ["t"])).orderBy("seq", "row_no").collect()
-    assert [r["event_type"] for r in rows] == ["INSERT", "INSERT", "UPDATE", "UPDATE", "DELETE"]
+    assert [r["event_type"] for r in rows] == ["INSERT", "INSERT", "UPDATE", "UPDATE", "DELETE", "INSERT"]
     assert json.loads(rows[2]["data"]) == {"old": {"id": 1, "name": "a"}, "new": {"id": 1, "name": "aa"}}
     assert json.loads(rows[4]["data"]) == {"id": 1, "name": "aa"}
 

@@ -2,13 +2,15 @@ import random
 import re
 
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from odsflow.functions.ranges import (
-    even_edges, quantile_edges, quantiles, range_predicates, skewed_predicates, slice_number,
+    even_edges, quantile_edges, quantiles, range_predicates, skewed_predicates,
+)
+from odsflow.functions.text import (
+    distinct_chars, escape_line_breaks, scrub, split_fields, unescape_line_breaks, yes_flag,
 )
-from odsflow.functions.text import distinct_chars, scrub, split_name_age, yes_flag
 from odsflow.functions.types import base_word, spark_type, target_type, type_digits
 
 
@@ -38,13 +40,13 @@ def test_distinct_chars_keep_first_seen_order(spark):
         (None, None, None, False),
     ],
 )
-def test_split_name_age(spark, line, name, age, ok):
-    row = spark.createDataFrame([(line,)], "v string").select(split_name_age(F.col("v")).alias("p")).first()["p"]
+def test_split_fields(spark, line, name, age, ok):
+    row = spark.createDataFrame([(line,)], "v string").select(split_fields(F.col("v")).alias("p")).first()["p"]
     assert (row["name"], row["age"], row["ok"]) == (name, age, ok)
 
 
 def test_delimiter_is_no_pattern(spark):
-    row = spark.createDataFrame([("a|5",)], "v string").select(split_name_age(F.col("v"), "|").alias("p")).first()["p"]
+    row = spark.createDataFrame([("a|5",)], "v string").select(split_fields(F.col("v"), delimiter="|").alias("p")).first()["p"]
     assert row["ok"] and row["age"] == 5
 
 
@@ -143,20 +145,35 @@ def test_predicates_take_every_row_once(spark, edges):
     rows = spark.range(-20, 150).select(F.col("id").alias("k")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
     hits = sum((F.when(F.expr(p), 1).otherwise(0) for p in range_predicates("k", edges)), F.lit(0))
     assert rows.filter(hits != 1).count() == 0
-    for number, predicate in enumerate(range_predicates("k", edges)):
-        assert rows.filter(predicate).filter(slice_number(F.col("k"), edges) != number).count() == 0
 
 
 def test_quantile_edges_even_out_skew(spark):
     rows = spark.range(0, 4000).select((F.pow(F.col("id") / 4000, 6) * 1000000).cast("bigint").alias("k"))
-    sizes = [
-        r["count"] for r in rows.groupBy(slice_number(F.col("k"), quantile_edges(rows, "k", 8)).alias("s")).count().collect()
-    ]
+    sizes = [rows.filter(p).count() for p in range_predicates("k", quantile_edges(rows, "k", 8))]
     assert max(sizes) < 2 * 4000 / 8 + 500
     assert sum(sizes) == 4000
     assert quantile_edges(rows.limit(0), "k", 8) == []
 
 
+def test_declared_fields_are_typed_and_counted(spark):
+    fields = (("no", "bigint"), ("day", "date"), ("total", "decimal(8,2)"))
+    lines = ["7|2024-02-29|1.50", "7|2024-02-30|1.50", "7|2024-02-29|", "7|2024-02-29", "7|2024-02-29|1|2", "x|2024-02-29|1", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, v string")
+    got = rows.select("i", split_fields(F.col("v"), fields, "|").alias("p")).orderBy("i").collect()
+    assert [r["p"]["ok"] for r in got] == [True] + [False] * 7
+    assert (got[0]["p"]["no"], str(got[0]["p"]["day"]), str(got[0]["p"]["total"])) == (7, "2024-02-29", "1.50")
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("\\nr\n\rN ,a", max_size=12), min_size=1, max_size=20))
+def test_line_breaks_survive_escaping(spark, texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    escaped = escape_line_breaks(F.col("t"))
+    got = rows.select("i", escaped.alias("e"), unescape_line_breaks(escaped).alias("u")).orderBy("i").collect()
+    assert [r["u"] for r in got] == texts
+    assert not any("\n" in r["e"] or "\r" in r["e"] for r in got)
+
+
 def test_hot_value_is_cut_too(spark):
     rows = spark.range(0, 6000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 != 1, F.col("id") % 1000).alias("k")
@@ -175,7 +192,7 @@ def test_text_functions_against_plain_python(spark):
     texts = ["".join(rng.choice("ab#17 -+'\n\té") for _ in range(rng.randrange(12))) for _ in range(800)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = df.select("t", scrub(F.col("t")).alias("s"), distinct_chars(F.col("t")).alias("d"),
-                    split_name_age(F.col("t")).alias("p")).collect()
+                    split_fields(F.col("t")).alias("p")).collect()
     good = 0
     for row in got:
         text, fields = row["t"], row["t"].split("#")

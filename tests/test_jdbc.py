@@ -54,10 +54,13 @@ def test_column_and_sliced_reads():
 def test_append_and_reload_options():
     df = MagicMock()
     sink.jdbc_append(df, URL, "t", {"user": "u"}, connections=3)
+    df.repartition.assert_called_once_with(3)  # a shuffle: the work before it keeps its tasks
+    df = df.repartition.return_value
     df.write.mode.assert_called_once_with("append")
     df.write.mode.return_value.options.assert_called_once_with(batchsize="5000", numPartitions="3", user="u")
     df = MagicMock()
     sink.jdbc_truncate_load(df, URL, "t")
+    df = df.repartition.return_value
     df.write.mode.assert_called_once_with("overwrite")
     options = df.write.mode.return_value.options.call_args.kwargs
     assert (options["truncate"], options["batchsize"]) == ("true", "1024")
@@ -75,11 +78,18 @@ def test_statement_closes_its_connection_on_failure():
 def test_upsert_fills_the_staging_table_first():
     latest = MagicMock()
     latest.columns = ["id", "op", "seq"]
-    sink.jdbc_upsert(latest, URL, "t", ["id"], ["seq"])
-    writer = latest.write.mode.return_value.options.return_value
-    writer.jdbc.assert_called_once_with(URL, "t_staging")
     execute = latest.sparkSession._jvm.java.sql.DriverManager.getConnection.return_value.createStatement.return_value
-    assert execute.execute.call_args.args[0].startswith("MERGE INTO t t USING t_staging s")
+    writer, names = latest.repartition.return_value.write.mode.return_value.options.return_value, []
+    for _ in range(2):
+        sink.jdbc_upsert(latest, URL, "t", ["id"], ["seq"])
+        own = writer.jdbc.call_args.args[1]
+        merge, drop = (call.args[0] for call in execute.execute.call_args_list[-2:])
+        assert own.startswith("t_staging_") and merge.startswith("MERGE INTO t t USING (SELECT") and f"FROM {own})" in merge
+        assert drop == f"DROP TABLE {own}"
+        names.append(own)
+    assert names[0] != names[1]
+    sink.jdbc_upsert(latest, URL, "t", ["id"], ["seq"], staging="mine")
+    assert writer.jdbc.call_args.args[1] == "mine" and "DROP" not in execute.execute.call_args.args[0]
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -96,7 +106,7 @@ def test_merge_text_keeps_the_latest_row(seed):
         for row in sorted(rows[start:start + 10], key=lambda r: r[2:]):
             last[row[0]] = row
         con.execute("DELETE FROM s0")
-        con.executemany("INSERT INTO s0 VALUES (?, ?, ?, ?)", list(last.values()))
+        con.executemany("INSERT INTO s0 VALUES (?, ?, ?, ?)", list(last.values()) * 2)  # a task ran twice
         for _ in range(2):  # a replay changes nothing
             con.execute(merge)
     expected = {}
@@ -134,4 +144,10 @@ def test_line_stream_clears_its_batch_before_it_appends(spark, tmp_path, monkeyp
     (feed / "a.txt").write_text("ann#31\nbad\nzoe#9\n")
     delimited.append_lines_jdbc(
         spark.readStream.text(str(feed)), URL, "t", str(tmp_path / "c"), seconds=None).awaitTermination()
-    assert calls == ["DELETE FROM t WHERE batch_id = 0", [("ann", 31, 0), ("zoe", 9, 0)]]
+    own = delimited.stream_id(spark, str(tmp_path / "c"))
+    assert calls == [f"DELETE FROM t WHERE stream_id = '{own}' AND batch_id = 0", [("ann", 31, own, 0), ("zoe", 9, own, 0)]]
+    kept = spark.read.parquet(str(tmp_path / "c_rejects")).collect()
+    assert [(r["value"], r["stream_id"], r["batch_id"]) for r in kept] == [("bad", own, 0)]
+    delimited.append_lines_jdbc(
+        spark.readStream.text(str(feed)), URL, "t", str(tmp_path / "d"), seconds=None).awaitTermination()
+    assert own not in calls[2] and spark.read.parquet(str(tmp_path / "d_rejects")).count() == 1

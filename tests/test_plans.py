@@ -1,6 +1,7 @@
 """The physical plans: what reaches the scan, how often rows are shuffled."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from odsflow.plans.queries import QUERIES
 
@@ -41,7 +42,7 @@ def test_scans_read_only_what_is_used(spark, folder, name, columns):
 @pytest.mark.parametrize(
     "name, shuffles",
     [
-        ("daily_order_summary", 1), ("key_violations", 1), ("range_split_read", 1), ("cdc_latest_state", 1),
+        ("daily_order_summary", 1), ("key_violations", 1), ("range_split_read", 0), ("cdc_latest_state", 1),
         ("cdc_snapshot_plus_changes", 1), ("dwd_orders", 0), ("incremental_load", 0), ("conform_types", 0),
         ("text_scrub", 0), ("cdc_normalise", 0), ("delimited_parse", 0), ("type_lookup", 0), ("retention_30d", 0),
         ("not_null_violations", 0), ("default_fill", 0), ("distinct_chars", 0),
@@ -51,6 +52,18 @@ def test_shuffles(spark, folder, name, shuffles):
     assert plan_of(spark, name, folder).count("Exchange hashpartitioning") == shuffles
 
 
+def test_slices_reach_their_scans(spark, folder):
+    plan = plan_of(spark, "range_split_read", folder)
+    assert plan.count("FileScan") > 4 and "Sort" not in plan and "Aggregate" not in plan
+
+
+def test_the_month_range_reaches_the_scan(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    start, end = (F.lit(day).cast("timestamp_ntz") for day in ("1997-05-01 00:00:00", "1997-06-01 00:00:00"))
+    plan = orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1997-05-01T00:00)" in plan
+
+
 def test_groups_are_reduced_before_the_shuffle(spark, folder):
     for name in ("daily_order_summary", "key_violations", "cdc_latest_state", "error_budget"):
         assert "partial_" in plan_of(spark, name, folder)

