@@ -18,7 +18,7 @@ A stream, run every `seconds` (without it: once over all that is there):
     {"source": {"kind": "kafka", "servers": "...", "topic": "..."},
      "flow": {"kind": "lines", "delimiter": "#", "target": "...", "checkpoint": "..."}, "seconds": 10}
 
-Flows: `lines`, `lines_jdbc`, `changes` (lake), `changes_jdbc`, `inserts`, `alerts`; their other keys are the
+Flows: `lines`, `lines_jdbc`, `changes` (lake), `feed` (a raw feed into the lake), `changes_jdbc`, `inserts`, `alerts`; their other keys are the
 arguments of the function behind them. Messages of the last four are JSON of the schema in `source`.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from odsflow.operators.changes import from_json_lines
 from odsflow.operators.conform import Field
-from odsflow.operators.quality import ErrorBudget
+from odsflow.operators.quality import ErrorBudget, KeySpec
 from odsflow.plans.jobs import CHANNELS, CopyJob, Incremental, copy_many
 from odsflow.plans.steps import Step, run_steps
 from odsflow.sinks import jdbc as jdbc_sink, tables as table_sink
@@ -41,7 +41,7 @@ from odsflow.sources.incremental import rows_above, slice_writer
 from odsflow.sources.kafka import kafka_lines
 from odsflow.streaming.alerts import append_alerts
 from odsflow.streaming.delimited import append_lines, append_lines_jdbc
-from odsflow.streaming.upsert import append_inserts, upsert_stream, upsert_stream_jdbc
+from odsflow.streaming.upsert import append_inserts, upsert_feed, upsert_stream, upsert_stream_jdbc
 
 FILE_KINDS = ("parquet", "orc", "csv", "json")
 
@@ -90,6 +90,9 @@ def write_sink(df: DataFrame, entry: dict) -> None:
 
 
 def copy_job(entry: dict) -> CopyJob:
+    """A database may change between two reads, so its copy needs a `stage`: the rows that are written are those checked."""
+    if entry["source"]["kind"] == "jdbc" and not entry.get("stage"):
+        raise ValueError(f"the copy {entry['name']!r} reads a database and needs a stage")
     fields = [Field(**{**column, "domain": tuple(column.get("domain", ()))}) for column in entry.get("columns", [])]
     rejects, incremental = entry.get("rejects"), entry.get("incremental")
 
@@ -104,6 +107,7 @@ def copy_job(entry: dict) -> CopyJob:
         read=lambda spark: read_source(spark, entry["source"]),
         write=write,
         fields=fields or None,
+        keys=tuple(KeySpec(k["name"], tuple(k["columns"]), k.get("primary", False)) for k in entry.get("keys", [])),
         mode=entry.get("mode", "lossless"),
         budget=ErrorBudget(**entry.get("budget", {})),
         write_rejects=(lambda df: write_sink(df, rejects)) if rejects else None,
@@ -145,6 +149,7 @@ FLOWS: dict[str, Callable[..., StreamingQuery]] = {
     "lines": append_lines,
     "lines_jdbc": append_lines_jdbc,
     "changes": upsert_stream,
+    "feed": upsert_feed,
     "changes_jdbc": upsert_stream_jdbc,
     "inserts": append_inserts,
     "alerts": append_alerts,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odsflow.functions.ranges import quantiles, skewed_predicates
 from odsflow.functions.text import distinct_chars, scrub
 from odsflow.functions.types import target_type
-from odsflow.operators.changes import alerts, latest_state, normalise_changes, to_changes
+from odsflow.operators.changes import alerts, latest_state, normalise_changes
 from odsflow.operators.conform import Field, conform, fields_from_metadata, fill_absent
 from odsflow.operators.metadata import column_inventory, exclude_names, ordered_columns
 from odsflow.operators.quality import (
@@ -25,7 +25,9 @@ from odsflow.sources.incremental import FIRST_LOAD, incremental_load, rows_above
 from odsflow.sources.tables import read_slices, read_table, read_text_table
 from odsflow.streaming.alerts import append_alerts
 from odsflow.streaming.delimited import append_lines, parse_lines, read_lines
-from odsflow.streaming.upsert import append_inserts, compact, current_rows, load_snapshot, upsert_stream
+from odsflow.streaming.upsert import (
+    FEED_ORDER, append_inserts, compact, current_rows, load_snapshot, upsert_feed, upsert_stream,
+)
 
 USER_KEY, EVENT_ORDER = ["user_id"], ["ts", "event_id"]
 READ_SLICES = 8
@@ -490,9 +492,8 @@ def stream_feed_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """A raw feed into a table by key, in several micro-batches; an update that moves a row deletes it under its old key."""
     root = scratch_path(spark, "feed")
     feed = fixtures.feed_batches(spark, folder, f"{root}-feed")
-    changes = to_changes(normalise_changes(feed, ["shop"], ["accounts"]), USER_KEY)
-    upsert_stream(changes, root, USER_KEY, ["seq", "row_no"]).awaitTermination()
-    return current_rows(spark, root, USER_KEY, ["seq", "row_no"]).drop("op")
+    upsert_feed(feed, root, USER_KEY, ["shop"], ["accounts"]).awaitTermination()
+    return current_rows(spark, root, USER_KEY, FEED_ORDER).drop("op")
 
 
 def stream_cdc_snapshot(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,8 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from odsflow.functions.ranges import quantiles, skewed_predicates
+
 FETCH_SIZE = "1024"
+#: Slices of a small table, and rows per slice of a large one. How many are read at once is up to the executors' cores.
 SLICES = 8
+ROWS_PER_SLICE = 2_000_000
 
 # Metadata tables, to be read with `jdbc_query`; the column listings fit `plans.jobs.jobs_from_columns`.
 MYSQL_TABLES = "SELECT table_schema, table_name, table_type, table_comment FROM information_schema.tables"
@@ -51,11 +55,16 @@ def jdbc_query(spark: SparkSession, url: str, query: str, properties: dict[str,
 def column_bounds(
     spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str] | None = None
 ) -> tuple:
-    """Smallest and largest key, computed by the database."""
+    """Smallest and largest key and the number of rows, computed by the database."""
     row = jdbc_query(
-        spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}", properties
+        spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {table}", properties
     ).first()
-    return row[0], row[1]
+    return row[0], row[1], row[2]
+
+
+def slices_for(rows: int) -> int:
+    """Slices for a table of that many rows."""
+    return max(SLICES, -(-int(rows) // ROWS_PER_SLICE))
 
 
 def jdbc_partitioned_read(
@@ -65,16 +74,18 @@ def jdbc_partitioned_read(
     column: str,
     lower: int | None = None,
     upper: int | None = None,
-    slices: int = SLICES,
+    slices: int | None = None,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
     """Parallel read by key range. Bounds set the stride only: no row is filtered.
 
     Without bounds the table's own ones are asked for first, so that fixed guesses do not leave
-    most rows to one slice.
+    most rows to one slice; without a number of slices it follows the rows (`slices_for`). Strides are even, so
+    uneven keys need `jdbc_column_read` with a salt.
     """
-    if lower is None or upper is None:
-        low, high = column_bounds(spark, url, table, column, properties)
+    if lower is None or upper is None or slices is None:
+        low, high, rows = column_bounds(spark, url, table, column, properties)
+        slices = slices or slices_for(rows or 0)
         lower = low if lower is None else lower
         upper = high if upper is None else upper
     if lower is None or upper is None or lower >= upper:
@@ -98,11 +109,22 @@ def jdbc_column_read(
     table: str,
     columns: list[str],
     split_key: str | None = None,
-    slices: int = SLICES,
+    slices: int | None = None,
     properties: dict[str, str] | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
-    """The listed columns of a table, in parallel when a split key is given."""
-    if split_key:
+    """The listed columns of a table, in parallel when a split key is given.
+
+    With `salt` (a whole number column without NULLs) the slices are cut at the key's quantiles, and
+    a value that fills several slices alone is spread by the salt: first the key column is read for
+    that, in even strides, then the rows, a predicate per slice.
+    """
+    if split_key and salt:
+        keys = jdbc_partitioned_read(spark, url, table, split_key, slices=slices, properties=properties).select(split_key)
+        wanted = slices or keys.rdd.getNumPartitions()
+        predicates = skewed_predicates(split_key, quantiles(keys, split_key, wanted), salt)
+        df = jdbc_sliced_read(spark, url, table, predicates, properties)
+    elif split_key:
         df = jdbc_partitioned_read(spark, url, table, split_key, slices=slices, properties=properties)
     else:
         df = spark.read.jdbc(url, table, properties=_properties(properties))

@@ -14,12 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from odsflow.operators.changes import latest_per_key, live_rows, merge_state
+from odsflow.operators.changes import latest_per_key, live_rows, merge_state, normalise_changes, to_changes
 from odsflow.session import child_names, delete_folder, path_exists
 from odsflow.sinks.jdbc import jdbc_upsert
 from odsflow.streaming.triggers import FLUSH_SECONDS, trigger_options
 
 KEEP_BASES = 2
+FEED_ORDER = ["seq", "row_no"]
 
 
 def _finished(spark: SparkSession, folder: str, prefix: str) -> list[int]:
@@ -123,6 +124,22 @@ def upsert_stream(
     )
 
 
+def upsert_feed(
+    feed: DataFrame,
+    root: str,
+    keys: list[str],
+    databases: list[str] | None = None,
+    tables: list[str] | None = None,
+    seconds: int | None = None,
+) -> StreamingQuery:
+    """Starts the upsert of a raw change feed (see `operators.changes.normalise_changes`) into the lake table.
+
+    An update that moves a row to another key deletes it under the old one.
+    """
+    changes = to_changes(normalise_changes(feed, databases, tables), keys)
+    return upsert_stream(changes, root, keys, FEED_ORDER, seconds)
+
+
 def upsert_stream_jdbc(
     changes: DataFrame,
     url: str,

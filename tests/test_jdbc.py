@@ -18,7 +18,7 @@ URL = "jdbc:mysql://host/db"
 
 def test_partitioned_read_passes_the_bounds():
     spark = MagicMock()
-    source.jdbc_partitioned_read(spark, URL, "orders", "id", 1, 10_000_000, properties={"user": "u"})
+    source.jdbc_partitioned_read(spark, URL, "orders", "id", 1, 10_000_000, slices=8, properties={"user": "u"})
     spark.read.jdbc.assert_called_once_with(
         URL, "orders", column="id", lowerBound=1, upperBound=10_000_000, numPartitions=8,
         properties={"fetchsize": "1024", "user": "u"},
@@ -27,14 +27,14 @@ def test_partitioned_read_passes_the_bounds():
 
 def test_partitioned_read_asks_for_missing_bounds():
     spark = MagicMock()
-    spark.read.format.return_value.options.return_value.load.return_value.first.return_value = (5, 900)
+    spark.read.format.return_value.options.return_value.load.return_value.first.return_value = (5, 900, 896)
     source.jdbc_partitioned_read(spark, URL, "orders", "id", slices=4)
     assert "MIN(id)" in spark.read.format.return_value.options.call_args.kwargs["query"]
     kwargs = spark.read.jdbc.call_args.kwargs
     assert (kwargs["lowerBound"], kwargs["upperBound"], kwargs["numPartitions"]) == (5, 900, 4)
 
 
-@pytest.mark.parametrize("bounds", [(None, None), (7, 7)])
+@pytest.mark.parametrize("bounds", [(None, None, 0), (7, 7, 1)])
 def test_empty_or_single_key_tables_are_read_in_one_go(bounds):
     spark = MagicMock()
     spark.read.format.return_value.options.return_value.load.return_value.first.return_value = bounds
@@ -42,6 +42,23 @@ def test_empty_or_single_key_tables_are_read_in_one_go(bounds):
     spark.read.jdbc.assert_called_once_with(URL, "orders", properties={"fetchsize": "1024"})
 
 
+def test_slices_follow_the_rows():
+    spark = MagicMock()
+    spark.read.format.return_value.options.return_value.load.return_value.first.return_value = (1, 10**10, 10**9)
+    source.jdbc_partitioned_read(spark, URL, "orders", "id")
+    assert spark.read.jdbc.call_args.kwargs["numPartitions"] == 500
+    assert [source.slices_for(n) for n in (0, 10, 16_000_001)] == [8, 8, 9]
+
+
+def test_uneven_keys_are_cut_at_their_quantiles(monkeypatch):
+    spark = MagicMock()
+    spark.read.format.return_value.options.return_value.load.return_value.first.return_value = (1, 9, 100)
+    monkeypatch.setattr(source, "quantiles", lambda keys, column, slices: [5, 5, 9])
+    source.jdbc_column_read(spark, URL, "orders", ["id", "user_no"], "user_no", slices=4, salt="id")
+    predicates = spark.read.jdbc.call_args.kwargs["predicates"]
+    assert sum("MOD(ABS(id), 2)" in p for p in predicates) == 2 and len(predicates) == 5
+
+
 def test_column_and_sliced_reads():
     spark = MagicMock()
     source.jdbc_column_read(spark, URL, "orders", ["id", "total"])
