@@ -390,10 +390,12 @@ def gated_copy(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "gated")
     key = F.when(F.col("o_orderkey") % 20 == 0, F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey"))
 
+    marks = F.repeat(F.lit("!"), (F.col("o_orderkey") % 9).cast("int"))
+    name = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), marks)
+
     def read(session: SparkSession) -> DataFrame:
         return read_table(session, folder, "orders").select(
-            key.alias("O_ID"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.repeat(F.lit("!"), (F.col("o_orderkey") % 9).cast("int"))).alias("O_NAME"),
-            F.col("o_orderstatus").alias("O_STATUS"),
+            key.alias("O_ID"), name.alias("O_NAME"), F.col("o_orderstatus").alias("O_STATUS")
         )
 
     job = CopyJob(
