@@ -57,9 +57,12 @@ ORACLES = {
         FROM split LEFT JOIN gone_lists USING (row_no) LEFT JOIN kept USING (row_no)""",
     "op6_suffix_dedup": r"""
         WITH bytes AS (SELECT doc_id, row_number() OVER () AS row_no, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+        parts AS (
+            SELECT row_no, first, substr(digits, 2 * first + 1, 2 * (2000 + 199)) AS part
+            FROM (SELECT *, unnest(range(0, length(digits) // 2 - 199, 2000)) AS first FROM bytes WHERE length(digits) >= 400)),
         strings AS (
-            SELECT row_no, start, md5(substr(digits, 2 * start - 1, 400)) AS string
-            FROM (SELECT *, unnest(range(1, length(digits) // 2 - 198)) AS start FROM bytes WHERE length(digits) >= 400)),
+            SELECT row_no, first + start AS start, md5(substr(part, 2 * start - 1, 400)) AS string
+            FROM (SELECT *, unnest(range(1, length(part) // 2 - 198)) AS start FROM parts)),
         again AS (SELECT string FROM strings GROUP BY string HAVING count(*) > 1),
         found AS (
             SELECT row_no, start, start - row_number() OVER (PARTITION BY row_no ORDER BY start) AS run FROM strings SEMI JOIN again USING (string)),

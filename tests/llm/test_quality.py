@@ -4,9 +4,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from odsflow.llm import quality
 from odsflow.llm.quality import (
-    BITS, ORDER, HashArrays, WordScores, base_counts, count_grams, grams, hash_arrays, kneser_ney, quality_rules, symbol, word_symbols,
+    BITS, EDGE, ORDER, HashArrays, WordScores, base_counts, count_grams, hash_arrays, kneser_ney, quality_rules, spelled, symbol,
 )
 
 from .conftest import bag, prose
@@ -27,6 +26,21 @@ def brute_counts(text):
     )
 
 
+def grams(word):
+    """The longest n-grams of one word, symbol by symbol."""
+    padded = [EDGE] * (ORDER - 1) + [symbol(c) for c in word.decode()] + [EDGE]
+    return [sum(s << BITS * (ORDER - 1 - k) for k, s in enumerate(padded[i:i + ORDER])) for i in range(len(padded) - ORDER + 1)]
+
+
+def test_words_are_spelled(rows):
+    words = [w for _, t, *_ in rows for w in (t or "").encode().split()] + ["日本\u3042x", "\u2028", "\u00a0a", "\U0001f600"]
+    words = [w if isinstance(w, bytes) else w.encode() for w in words]
+    flat, lengths = spelled(words)
+    assert flat.tolist() == [g for w in words for g in grams(w)]
+    assert lengths.tolist() == [len(grams(w)) for w in words]
+    assert [len(x) for x in spelled([])] == [0, 0]
+
+
 def test_base_counts(rows):
     for _, text, *_ in [*rows, (0, "a a a a"), (0, "x\nx\n x\n\n\n#|<>&%$*"), (0, "a b c a b c d a b")]:
         body = (text or "").encode()
@@ -35,11 +49,11 @@ def test_base_counts(rows):
 
 def test_symbols_fold_case_accents_and_scripts():
     assert [symbol(c) for c in "aZé7.#д日\u2028"] == [1, 26, 5, 27, 28, 29, 30, 30, 31]
-    assert grams(word_symbols(b"ab")) == [1, 1 << BITS | 2, (1 << BITS | 2) << BITS]
+    assert grams(b"ab") == [1, 1 << BITS | 2, (1 << BITS | 2) << BITS]
 
 
 def model_of(spark, words):
-    counts = Counter(g for w, n in words.items() for g in grams(word_symbols(w)) * n)
+    counts = Counter(g for w, n in words.items() for g in grams(w) * n)
     table = spark.createDataFrame([(0, g, n) for g, n in counts.items()], "slot int, gram long, n long")
     return kneser_ney(table)
 
@@ -76,7 +90,7 @@ def test_an_empty_model_is_uniform():
 def test_counts_do_not_depend_on_batches(spark, docs, rows, monkeypatch):
     expected = Counter()
     for _, text, *_ in rows:
-        expected.update(g for w in (text or "").encode().split() for g in grams(word_symbols(w)))
+        expected.update(g for w in (text or "").encode().split() for g in grams(w))
     own = docs.selectExpr("0 AS slot", "CAST(coalesce(text, '') AS BINARY) AS body")
     got = Counter()
     for r in own.mapInArrow(count_grams, "slot int, gram long, n long").collect():

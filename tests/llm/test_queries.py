@@ -1,0 +1,78 @@
+"""The registered queries over the smallest tables: against DuckDB, or against plain Python where SQL cannot say it."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from check import connect, differences
+from odsflow.llm.oracles import ORACLES
+from odsflow.llm.queries import QUERIES
+
+from .conftest import bag
+from .test_packed import expected_ids
+from .test_quality import brute_counts
+from .test_simhash import brute_groups
+from .test_tokens import library_ids
+from .test_urls import brute as brute_url
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect("/root/testdata/sf0.001")
+
+
+@pytest.fixture
+def corpus(spark, folder):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+
+
+def test_all_ten_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, duck, folder, name):
+    assert differences(QUERIES[name](spark, folder), duck, ORACLES[name]) == []
+
+
+def test_simhash_query(spark, folder, corpus):
+    got = QUERIES["op1_simhash"](spark, folder).select("doc_id", "fingerprint", "component_id").collect()
+    assert bag(got) == bag(brute_groups(corpus))
+
+
+def test_token_count_query(spark, folder, corpus):
+    got = QUERIES["op2_token_counts"](spark, folder).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    counts = [(i, len(t.encode()), len(library_ids("byte_bpe_50k.json", t))) for i, t in corpus]
+    assert bag(got) == bag((*c, c[2] > 512) for c in counts)
+
+
+def test_quality_query(spark, folder, corpus):
+    rows = QUERIES["op5_quality_rules"](spark, folder).collect()
+    got = bag((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in rows)
+    counts = [(i, *brute_counts(t)) for i, t in corpus]
+    assert got == bag((*c, c[1] < 50 or 100 * c[5] > 50 * c[1]) for c in counts)
+    assert all(r["kept"] == (not r["base_failed"] and r["lowest"] <= r["perplexity"] <= r["highest"]) for r in rows)
+
+
+def test_token_id_query(spark, folder, corpus):
+    got = QUERIES["op7_token_ids"](spark, folder).collect()
+    expected = [(i, s, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, s, ids in expected_ids(corpus)]
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == expected
+
+
+def test_classifier_query(spark, folder, corpus):
+    rows = QUERIES["op9_quality_classifier"](spark, folder).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(i for i, _ in corpus)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    out = [r for r in rows if r["held_out"] and r["doc_id"] in quality]
+    assert np.mean([r["predicted"] == quality[r["doc_id"]] for r in out]) >= 0.8
+
+
+def test_url_query(spark, folder):
+    for r in QUERIES["op10_url_filter"](spark, folder).join(spark.read.parquet(f"{folder}/pages.parquet"), "page_id").collect():
+        host, path, best = brute_url(r["url"])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best and best[0])
+        assert r["verdict"] == (best[1] if best else "allow" if r["wanted"] >= 0.5 else "block")
