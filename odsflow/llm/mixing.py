@@ -116,7 +116,10 @@ def route(patterns: Sequence[tuple[frozenset, int]], quotas: dict, copies: int)
     end = 1 + len(patterns) + len(sources)
     net = FlowNetwork(end + 1)
     inward = [net.add(0, 1 + i, 0) for i in range(len(patterns))]
-    split = [{s: net.add(1 + i, place[s], size * copies) for s in members} for i, (members, size) in enumerate(patterns)]
+    split = [
+        {s: net.add(1 + i, place[s], size * copies) for s in sorted(members, key=_by_code_point)}  # the order decides ties
+        for i, (members, size) in enumerate(patterns)
+    ]
     for s in sources:
         net.add(place[s], end, int(quotas.get(s, 0) + 0.5))
     for _ in range(copies):
@@ -141,6 +144,7 @@ def cut_points(rows: DataFrame) -> DataFrame:
     is looked at more closely, some digits further, so no task ever orders a whole source. A
     document across the cut is taken if at least half of it is wanted.
     """
+    # The state has a row per pattern, so at most MAX_PATTERNS; every join to it is a broadcast of that bound.
     state = rows.groupBy("pattern_").agg(F.max("extra").alias("left"))
     state = state.select("pattern_", "left", F.lit("").alias("prefix"), F.lit("").alias("cut"), F.lit(False).alias("done"))
     for digits in range(BIN_DIGITS, HASH_DIGITS + BIN_DIGITS, BIN_DIGITS):
@@ -149,7 +153,7 @@ def cut_points(rows: DataFrame) -> DataFrame:
             break
         open_ones = state.where("NOT done").select(F.col("pattern_").alias("own"), "prefix", "left")
         bins = (
-            rows.join(open_ones, (F.col("pattern_") == F.col("own")) & F.col("hash_").startswith(F.col("prefix")))
+            rows.join(F.broadcast(open_ones), (F.col("pattern_") == F.col("own")) & F.col("hash_").startswith(F.col("prefix")))
             .groupBy("pattern_", "left", F.substring("hash_", 1, digits).alias("bin"))
             .agg(F.sum("size_").alias("size"), F.min("hash_").alias("first"), F.max("hash_").alias("last"))
         )
@@ -198,7 +202,7 @@ def mix(
     plan = [(r["pattern_"], *divmod(words, r["size"])) for r, (words, _) in zip(listed, sent)]
     plans = docs.sparkSession.createDataFrame(plan, "pattern string, base long, extra long")
     wanted = plans.where("extra > 0").select(F.col("pattern").alias("pattern_"), "extra")
-    cuts = cut_points(rows.join(wanted, "pattern_").select("pattern_", "hash_", "size_", "extra"))
+    cuts = cut_points(rows.join(F.broadcast(wanted), "pattern_").select("pattern_", "hash_", "size_", "extra"))
     chosen = plans.join(cuts, plans["pattern"] == cuts["pattern_"], "left").select(  # at most MAX_PATTERNS rows
         F.col("pattern").alias("chosen_"), "base", F.coalesce("cut", F.lit("")).alias("cut_")
     )
