@@ -216,6 +216,7 @@ def near_links(prints: DataFrame, radius: int) -> DataFrame:
         raise ValueError("slots of a radius over 15 bits are too short to keep candidates few")
     placed = prints.select(F.explode(slots(F.col("print"), radius)).alias("slot"), "print")
     sizes = placed.groupBy("slot").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = written(sizes, "slot-sizes")  # read anew, so that Spark splits hot slots in the join
     parts = F.ceil(F.col("size") / F.lit(SLOT_PART)).cast("int")
     dealt = (
         placed.join(sizes, "slot")

@@ -191,6 +191,7 @@ def repeated_spans(texts: DataFrame, units: type, window: int, gram: int, compar
     cells_of = written(found.withColumn("rank", rank_of(F.col("doc_id"))), "cells")
     several = F.min("rank") < F.max("rank") if earlier_only else F.count(F.lit(1)) > 1
     shared_anchors = cells_of.groupBy("anchor").agg(several.alias("several")).where("several").select("anchor")
+    shared_anchors = written(shared_anchors, "shared-anchors")  # read anew, so that Spark splits hot anchors in the join
     shared = written(cells_of.join(shared_anchors, "anchor"), "shared-cells")
     kinds = written(shared.groupBy("anchor", "digest").agg(
         F.min("rank").alias("least"), F.count(F.lit(1)).alias("copies"),
