@@ -48,7 +48,9 @@ def _repeated_words(words: list[bytes], size: int = 3) -> int:
 #: 28 sentence marks, 29 other ASCII signs, 30 letters of other scripts, 31 the rest. So n-grams of
 #: ORDER symbols are numbers below 32 ** ORDER, which bounds the model whatever the corpus.
 BITS, ORDER = 5, 4
-EDGE = 0
+EDGE, EDGES_BEFORE = 0, b" " * (ORDER - 1)
+#: Code points whose symbols are looked up in a table.
+TABLED = 0x3000
 #: Languages are dealt to this many models by a hash, so a made-up lang value cannot add models without end.
 LANGUAGE_SLOTS = 32
 
@@ -67,35 +69,49 @@ def symbol(char: str) -> int:
     return 30 if char.isalpha() else 31
 
 
-def word_symbols(word: bytes) -> list[int]:
-    return [EDGE, *[symbol(c) for c in word.decode()], EDGE]
+@lru_cache(maxsize=1)
+def _symbol_table() -> np.ndarray:
+    """Symbols of the code points below TABLED; the blank between words is an edge."""
+    table = np.array([symbol(chr(c)) for c in range(TABLED)], dtype=np.int64)
+    table[0x20] = EDGE
+    return table
 
 
-def grams(symbols: list[int], order: int = ORDER) -> list[int]:
-    """The word's longest n-grams as numbers: one per symbol after the first edge.
+def symbols_of(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    found = _symbol_table()[np.minimum(codes, TABLED - 1)]
+    rare = np.flatnonzero(codes >= TABLED)
+    if len(rare):
+        each, at = np.unique(codes[rare], return_inverse=True)
+        found[rare] = np.array([symbol(chr(c)) for c in each.tolist()])[at]
+    return found
+
+
+def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The longest n-grams of all words in a row, as numbers, and the number of each word's.
 
-    A gram at the word's start is short; the missing symbols before the edge count as edges.
+    A word gives one gram for each of its symbols and one for the edge behind it; what would reach
+    before its first symbol is edges.
     """
-    padded = [EDGE] * (order - 2) + symbols
-    number, keep, found = 0, (1 << BITS * order) - 1, []
-    for i, s in enumerate(padded):
-        number = (number << BITS | s) & keep
-        if i >= order - 1:
-            found.append(number)
-    return found
+    if not words:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    line = EDGES_BEFORE + (b" " + EDGES_BEFORE).join(words) + b" "
+    found = symbols_of(line.decode())
+    number = np.zeros(len(found) - ORDER + 1, dtype=np.int64)
+    for i in range(ORDER):
+        number = number << BITS | found[i:i + len(number)]
+    inside = found[ORDER - 1:] != EDGE
+    behind = ~inside
+    behind[1:] &= inside[:-1]
+    ends = np.flatnonzero(behind)
+    taken = inside | behind
+    return number[taken], np.diff(np.append(0, np.cumsum(taken)[ends]))
 
 
 def language_slot(lang: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(lang.cast("string"), F.lit("")).cast("binary")), F.lit(LANGUAGE_SLOTS)).cast("int")
 
 
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of all words in a row, and the number of each word's grams."""
-    each = [grams(word_symbols(w)) for w in words]
-    lengths = np.fromiter(map(len, each), np.int64, len(each))
-    return np.fromiter((g for gs in each for g in gs), np.int64, int(lengths.sum())), lengths
-
-
 def text_groups(slots: pa.Array, bodies: pa.Array, most: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes]]]:
     """Slots and texts in groups of some MB, so that the words of few texts are in memory at once."""
     held_slots, held, size = [], [], 0
@@ -114,7 +130,7 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The longest n-grams of a task's texts, by language slot, with their counts."""
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
-        for slots, texts in text_groups(batch.column("slot"), batch.column("body")):
+        for slots, texts in text_groups(batch.column("slot"), batch.column("body"), 1 << 24):
             words: dict[int, Counter] = {}
             for slot, text in zip(slots, texts):
                 words.setdefault(slot, Counter()).update(text.split())
@@ -314,11 +330,12 @@ def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
     """(slot, lower, upper): limits of the mean surprise per symbol in each language slot.
 
     Median and median deviation over all texts of the slot that pass the base rules, so a few
-    percent of odd texts hardly move them and no fixed share of the texts is rejected.
+    percent of odd texts hardly move them and no fixed share of the texts is rejected. There are at
+    most LANGUAGE_SLOTS rows, which are broadcast.
     """
     usable = scored.where("NOT base_failed AND surprise IS NOT NULL")
     middle = usable.groupBy("slot").agg(F.percentile_approx("surprise", 0.5, 10_000).alias("middle"))
-    spread = usable.join(middle, "slot").groupBy("slot", "middle").agg(
+    spread = usable.join(F.broadcast(middle), "slot").groupBy("slot", "middle").agg(
         F.percentile_approx(F.abs(F.col("surprise") - F.col("middle")), 0.5, 10_000).alias("spread")
     )
     middle_of, wide = F.col("middle"), F.lit(band * NORMAL) * F.col("spread")
@@ -354,7 +371,7 @@ def quality_rules(
         "surprise": F.when(F.col("n_spelled") > 0, -F.col("log_p") / F.col("n_spelled")),
     })
     scored = written(scored, "scored")
-    judged = scored.join(bands(scored, band), "slot", "left")
+    judged = scored.join(F.broadcast(bands(scored, band)), "slot", "left")
     inside = F.col("surprise").between(F.col("lower"), F.col("upper"))
     return judged.select(
         "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
