@@ -8,6 +8,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -81,9 +82,9 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [features(body.as_py()) for body in batch.column("body")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("positive"), pa.array([r[0] for r in rows], pa.list_(pa.int32())),
-             pa.array([r[1] for r in rows], pa.list_(pa.float32()))],
-            names=["doc_id", "positive", "places", "values"],
+            [batch.column("doc_id"), batch.column("positive"), pa.array([len(b.as_py()) for b in batch.column("body")], pa.int32()),
+             pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))],
+            names=["doc_id", "positive", "size", "places", "values"],
         )
 
 
@@ -105,14 +106,12 @@ class Model:
 
 
 class Sparse:
-    """Rows of (places, values) one after another."""
+    """Rows of (places, values) one after another, in flat arrays."""
 
-    def __init__(self, places_of: list[np.ndarray], values: list[np.ndarray]):
-        lengths = np.fromiter(map(len, places_of), np.int64, len(places_of))
-        self.places = np.concatenate(places_of) if places_of else np.zeros(0, np.int32)
-        self.values = np.concatenate(values).astype(np.float64) if values else np.zeros(0)
-        self.starts, self.n = np.cumsum(lengths) - lengths, len(places_of)
-        self.rows = np.repeat(np.arange(self.n), lengths)
+    def __init__(self, places_of: pa.ListArray, values: pa.ListArray):
+        lengths = pc.list_value_length(places_of).to_numpy(zero_copy_only=False)
+        self.places, self.values, self.n = places_of.flatten().to_numpy(), values.flatten().to_numpy(), len(places_of)
+        self.rows = np.repeat(np.arange(self.n, dtype=np.int32), lengths)
 
     def margins(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.rows, self.values * weights[self.places], self.n)
@@ -194,13 +193,14 @@ def train(
     texts = docs.select(key.alias("doc_id"), utf8(named(text_col)).alias("body")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("id")  # at most max_positive + max_unlabelled rows of 9 bytes
     ).select("doc_id", "positive", "body")
-    made = texts.mapInArrow(feature_rows, "doc_id long, positive boolean, places array<int>, values array<float>").toArrow()
-    order = np.argsort(made.column("doc_id").to_numpy(), kind="stable")  # the same sums whatever order the tasks end in
-    flags = made.column("positive").to_numpy(zero_copy_only=False)[order] if len(order) else np.zeros(0, bool)
-    each = [made.column(c).take(order).to_pylist() for c in ("places", "values")]
-    rows = [Sparse([np.array(each[0][i], np.int32) for i in np.flatnonzero(f)], [np.array(each[1][i]) for i in np.flatnonzero(f)])
-            for f in (flags, ~flags)]
-    return fit(rows[0], rows[1], class_prior(learnt))
+    made = texts.mapInArrow(feature_rows, "doc_id long, positive boolean, size int, places array<int>, values array<float>").toArrow()
+    made = made.sort_by([("doc_id", "ascending"), ("size", "ascending")])  # the same sums whatever order the tasks end in
+    positive, unlabelled = (
+        Sparse(*[pa.concat_arrays([*part.column(c).chunks, pa.array([], kind)])
+                 for c, kind in (("places", pa.list_(pa.int32())), ("values", pa.list_(pa.float32())))])
+        for part in (made.filter(pc.field("positive")), made.filter(~pc.field("positive")))
+    )
+    return fit(positive, unlabelled, class_prior(learnt))
 
 
 def score_udf(model):

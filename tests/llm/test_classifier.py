@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def test_held_out_labels_and_texts_are_not_looked_at(tables):
 
 def sparse_of(texts):
     made = [features(t.encode()) for t in texts]
-    return Sparse([m[0] for m in made], [m[1] for m in made])
+    return Sparse(pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made], pa.list_(pa.float32())))
 
 
 def test_the_risk_never_turns_the_negative_part_below_zero_for_long():
