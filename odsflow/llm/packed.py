@@ -43,17 +43,20 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.minimum((here // IDS_PER_OFFSET + 1) * IDS_PER_OFFSET, n).astype(np.int32)
     choice = np.full(n, ESCAPE, dtype=np.int8)
     for selector in range(ESCAPE - 1, -1, -1):  # the fullest that fits is set last
-        misfit = values >= np.uint64(1 << int(WIDTHS[selector]))
-        if n - np.count_nonzero(misfit) < min(COUNTS[selector], ends[-1] - (chunks - 1) * IDS_PER_OFFSET):
+        fits = values < np.uint64(1 << int(WIDTHS[selector]))
+        number = np.count_nonzero(fits)
+        if number < min(COUNTS[selector], ends[-1] - (chunks - 1) * IDS_PER_OFFSET):
             break  # too few values even for the shortest word; a fuller selector has fewer still
-        following = np.minimum.accumulate(np.where(misfit, here, np.int32(n))[::-1])[::-1]  # first misfit from here on
-        choice[np.minimum(here + np.int32(COUNTS[selector]), ends) <= following] = selector
-    step = np.minimum(here + COUNTS[choice], ends).tolist()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at = step[at]
-    starts = np.array(starts)
+        at = np.flatnonzero(fits) if 16 * number < n else here
+        following = _first_misfit(fits, at)
+        choice[at[np.minimum(at + COUNTS[selector].astype(np.int32), ends[at]) <= following]] = selector
+    step = np.minimum(here + COUNTS[choice].astype(np.int32), ends)
+    first, at = np.zeros(n, dtype=bool), here[::IDS_PER_OFFSET]
+    while len(at):  # the words of all stretches between offsets, side by side
+        first[at] = True
+        following = step[at]
+        at = following[following < ends[at]]
+    starts = np.flatnonzero(first)
     selectors = choice[starts].astype(np.int64)
     size = np.where(selectors == ESCAPE, 2, 1)
     places = np.cumsum(size) - size
@@ -75,6 +78,15 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, offsets.astype("<i8")
 
 
+def _first_misfit(fits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first place from each of `at` on where `fits` is false; `at` is every place, or just those that fit."""
+    n = np.int32(len(fits))
+    if len(at) == n:
+        return np.minimum.accumulate(np.where(fits, n, at)[::-1])[::-1]
+    last = np.append(at[1:] != at[:-1] + 1, True)  # of a run of places that fit
+    return np.minimum.accumulate(np.where(last, at + 1, n)[::-1])[::-1]
+
+
 def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     """The n values of packed words; all words of a selector are decoded at once."""
     if not n:
@@ -122,6 +134,8 @@ def _escaped(selectors: np.ndarray) -> np.ndarray:
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: The vocabulary's published pre-token pattern, for those characters (fixed value).
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+#: Pre-tokens whose ids one worker remembers per generation.
+PARTS_REMEMBERED = 500_000
 
 
 class WordIds:
@@ -136,7 +150,7 @@ class WordIds:
         self.tokenizer = load_tokenizer(path)
         self.symbols = byte_symbols()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts, self.odd = Remembered(self._part), Remembered(self._whole_chunk)
+        self.parts, self.odd = Remembered(self._part, PARTS_REMEMBERED), Remembered(self._whole_chunk)
 
     def _part(self, part: str) -> bytes:
         symbols = self.symbols
