@@ -317,30 +317,34 @@ def counts_udf(model):
     return counts
 
 
-#: The bands reach this many scaled median deviations from a language's median.
-BAND = 8.0
+#: The bands reach this many scaled median deviations from a language's median, down and up.
+BAND = 4.0
 #: The median deviation times this is a standard deviation, for normal data (fixed value).
 NORMAL = 1.4826
-#: No band reaches less far than these parts of the median, down and up. Up it is wider: a clean
-#: short text that quotes another language surprises much.
-LEAST_DOWN, LEAST_UP = 0.15, 0.35
+#: For a language of (nearly) equal texts only: a band reaches this part of the median at least.
+LEAST = 0.01
+#: With fewer texts a language's own deviation says little, so that of all languages counts if it is larger.
+FEW_TEXTS = 20
 
 
 def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
     """(slot, lower, upper): limits of the mean surprise per symbol in each language slot.
 
-    Median and median deviation over all texts of the slot that pass the base rules, so a few
-    percent of odd texts hardly move them and no fixed share of the texts is rejected. There are at
-    most LANGUAGE_SLOTS rows, which are broadcast.
+    Median and median deviation over the distinct texts of the slot that pass the base rules, so
+    copies and a few percent of odd texts hardly move them and no fixed share of the texts is
+    rejected. There is one row a slot; they are broadcast.
     """
-    usable = scored.where("NOT base_failed AND surprise IS NOT NULL")
+    usable = scored.where("NOT base_failed AND surprise IS NOT NULL").groupBy("slot", "text_key").agg(F.min("surprise").alias("surprise"))
     middle = usable.groupBy("slot").agg(F.percentile_approx("surprise", 0.5, 10_000).alias("middle"))
-    spread = usable.join(F.broadcast(middle), "slot").groupBy("slot", "middle").agg(
-        F.percentile_approx(F.abs(F.col("surprise") - F.col("middle")), 0.5, 10_000).alias("spread")
-    )
-    middle_of, wide = F.col("middle"), F.lit(band * NORMAL) * F.col("spread")
-    down, up = (F.greatest(wide, F.lit(part) * middle_of) for part in (LEAST_DOWN, LEAST_UP))
-    return spread.select("slot", (middle_of - down).alias("lower"), (middle_of + up).alias("upper"))
+    apart = F.abs(F.col("surprise") - F.col("middle"))
+    off = written(usable.join(F.broadcast(middle), "slot").select("slot", "middle", apart.alias("apart")), "apart")
+    spread = off.groupBy("slot", "middle").agg(F.percentile_approx("apart", 0.5, 10_000).alias("own"), F.count(F.lit(1)).alias("n"))
+    common = off.agg(F.percentile_approx(F.col("apart") / F.col("middle"), 0.5, 10_000).alias("common"))
+    middle_of, own = F.col("middle"), F.col("own")
+    reach = F.when(F.col("n") < FEW_TEXTS, F.greatest(own, F.col("common") * middle_of)).otherwise(own)
+    wide = F.greatest(F.lit(band * NORMAL) * reach, F.lit(LEAST) * middle_of)
+    limits = spread.crossJoin(F.broadcast(common))
+    return limits.select("slot", (middle_of - wide).alias("lower"), (middle_of + wide).alias("upper"))
 
 
 def quality_rules(

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from odsflow.llm.quality import (
-    BITS, EDGE, ORDER, HashArrays, WordScores, base_counts, count_grams, hash_arrays, kneser_ney, quality_rules, spelled, symbol,
+    BITS, EDGE, ORDER, HashArrays, WordScores, bands, base_counts, count_grams, hash_arrays, kneser_ney, quality_rules, spelled, symbol,
 )
 
 from .conftest import bag, prose
@@ -119,3 +119,35 @@ def test_bands_reject_what_is_far_from_the_language(spark):
     judged = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert not judged[900]["kept"] and judged[900]["surprise"] > judged[900]["upper"]
     assert sum(judged[i]["kept"] for i in range(120)) == sum(not judged[i]["base_failed"] for i in range(120))
+
+
+def scored_rows(spark, surprises, slot=0):
+    rows = [(slot, i, float(x), False) for i, x in enumerate(surprises)]
+    return spark.createDataFrame(rows, "slot int, text_key long, surprise double, base_failed boolean")
+
+
+def test_bands_follow_the_spread_of_the_language(spark):
+    rng = random.Random(4)
+    usual = [rng.gauss(1.5, 0.02) for _ in range(400)]
+    band = bands(scored_rows(spark, usual)).first()
+    assert 1.38 < band["lower"] < 1.45 and 1.55 < band["upper"] < 1.62  # floors of 15 % and 35 % reached from 1.28 to 2.03
+
+
+def test_bands_see_a_copied_text_once_and_few_texts_get_the_common_spread(spark):
+    rng = random.Random(5)
+    usual = scored_rows(spark, [rng.gauss(1.5, 0.02) for _ in range(400)])
+    copies = spark.createDataFrame([(0, -1, 1.5, False)] * 900, usual.schema)
+    few = scored_rows(spark, [1.0, 1.03], slot=1)
+    found = {r["slot"]: r for r in bands(usual.unionByName(copies).unionByName(few)).collect()}
+    assert found[0]["upper"] - found[0]["lower"] > 0.1
+    assert found[1]["lower"] < 1.0 and found[1]["upper"] > 1.03
+
+
+def test_junk_near_the_language_is_rejected(spark):
+    texts = [prose(i, 120) for i in range(120)]
+    rng = random.Random(6)
+    spoilt = [" ".join(w + rng.choice(("%%%", "&&&", "***", "$$$")) for w in prose(500 + i, 120).split()) for i in range(6)]
+    rows = [(i, t, "en") for i, t in enumerate(texts + spoilt)]
+    judged = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(judged[i]["kept"] for i in range(120) if not judged[i]["base_failed"])
+    assert not any(judged[i]["kept"] for i in range(120, 126))
