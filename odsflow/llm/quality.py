@@ -51,8 +51,6 @@ BITS, ORDER = 5, 4
 EDGE, EDGES_BEFORE = 0, b" " * (ORDER - 1)
 #: Code points whose symbols are looked up in a table.
 TABLED = 0x3000
-#: Languages are dealt to this many models by a hash, so a made-up lang value cannot add models without end.
-LANGUAGE_SLOTS = 32
 
 
 @lru_cache(maxsize=1 << 16)
@@ -108,8 +106,18 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return number[taken], np.diff(np.append(0, np.cumsum(taken)[ends]))
 
 
-def language_slot(lang: Column) -> Column:
-    return F.pmod(F.crc32(F.coalesce(lang.cast("string"), F.lit("")).cast("binary")), F.lit(LANGUAGE_SLOTS)).cast("int")
+def languages(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """(lang, slot): a number of its own for each lang value; NULL is the empty name.
+
+    The names are listed on the driver, which also gets each language's model.
+    """
+    found = docs.select(language(lang_col)).distinct().collect()
+    rows = [(name, slot) for slot, name in enumerate(sorted(r["lang"] for r in found))]
+    return docs.sparkSession.createDataFrame(rows, "lang string, slot int")
+
+
+def language(lang_col: str) -> Column:
+    return F.coalesce(named(lang_col).cast("string"), F.lit("")).alias("lang")
 
 
 def text_groups(slots: pa.Array, bodies: pa.Array, most: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -126,24 +134,35 @@ def text_groups(slots: pa.Array, bodies: pa.Array, most: int = 1 << 21) -> Itera
         yield held_slots, held
 
 
-def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The longest n-grams of a task's texts, by language slot, with their counts."""
+def count_grams(batches: Iterator[pa.RecordBatch], most: int = 16) -> Iterator[pa.RecordBatch]:
+    """The longest n-grams of a task's texts, by language slot, with their counts.
+
+    Counts of `most` languages are in memory at once; beyond that they go out and start anew, so a
+    gram can come in several rows.
+    """
     totals: dict[int, np.ndarray] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for slot, total in totals.items():
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(seen), slot, np.int32)), pa.array(seen), pa.array(total[seen])], names=["slot", "gram", "n"]
+            )
+        totals.clear()
+
     for batch in batches:
         for slots, texts in text_groups(batch.column("slot"), batch.column("body"), 1 << 24):
             words: dict[int, Counter] = {}
             for slot, text in zip(slots, texts):
                 words.setdefault(slot, Counter()).update(text.split())
             for slot, counts in words.items():
+                if slot not in totals and len(totals) >= most:
+                    yield from rows()
                 flat, lengths = spelled(list(counts))
                 weight = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), lengths)
                 total = totals.setdefault(slot, np.zeros(1 << BITS * ORDER, dtype=np.int64))
                 np.add.at(total, flat, weight)
-    for slot, total in totals.items():
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(seen), slot, np.int32)), pa.array(seen), pa.array(total[seen])], names=["slot", "gram", "n"]
-        )
+    yield from rows()
 
 
 # --- modified Kneser-Ney ---------------------------------------------------------------------
@@ -249,7 +268,7 @@ class HashArrays:
 
 
 def hash_arrays(model: DataFrame) -> HashArrays:
-    """The model's rows as arrays: at most LANGUAGE_SLOTS * 32 ** ORDER * 1.04 of them, a few MB a language in practice."""
+    """The model's rows as arrays: at most 32 ** ORDER * 1.04 of them a language, a few MB a language in practice."""
     rows = model.select(
         F.shiftleft(F.col("slot").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 24)).bitwiseOR(F.col("gram")).alias("key"),
         F.log("p").cast("float").alias("log"), F.log("backoff").cast("float").alias("backoff"),
@@ -356,14 +375,13 @@ def quality_rules(
     base_failed, surprise, perplexity, lower, upper, kept. The model of each language is made of
     the n-grams of all texts, counted by Spark. A text fails the base rules with fewer than
     MIN_WORDS words or more than MAX_REPEATED_PERCENT percent of them in repeated windows; others
-    are kept if their surprise lies in the band of their language. NULL texts are empty and fail;
-    a NULL lang is a language of its own (that of the empty name). Repeated rows each get
+    are kept if their surprise lies in the band of their language: each lang value has a model and a
+    band of its own, NULL those of the empty name. NULL texts are empty and fail. Repeated rows each get
     their row; other columns are ignored; an empty table gives no rows.
     """
     own = docs.select(
-        named(id_col).cast("long").alias("doc_id"), text_key(text_col), utf8(named(text_col)).alias("body"),
-        language_slot(named(lang_col)).alias("slot"),
-    )
+        named(id_col).cast("long").alias("doc_id"), text_key(text_col), utf8(named(text_col)).alias("body"), language(lang_col),
+    ).join(F.broadcast(languages(docs, lang_col)), "lang").drop("lang")  # one row a language
     counted = own.select("slot", "body").mapInArrow(count_grams, "slot int, gram long, n long")
     counted = written(counted.groupBy("slot", "gram").agg(F.sum("n").alias("n")), "grams")
     model = docs.sparkSession.sparkContext.broadcast(hash_arrays(kneser_ney(counted)))

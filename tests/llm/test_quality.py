@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from odsflow.llm.quality import (
@@ -151,3 +152,23 @@ def test_junk_near_the_language_is_rejected(spark):
     judged = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(judged[i]["kept"] for i in range(120) if not judged[i]["base_failed"])
     assert not any(judged[i]["kept"] for i in range(120, 126))
+
+
+def test_each_language_has_its_own_band(spark):
+    other = [a + b for a in ("vyö", "härkä", "pöly", "juusto") for b in ("ssa", "lle", "kin.", "tta")]
+    rng = random.Random(7)
+    rows = [(i, prose(i, 120), "en") for i in range(90)]  # en, fi and ro had one model when crc32 dealt languages to 32
+    rows += [(200 + i, " ".join(rng.choice(other) for _ in range(120)), "fi") for i in range(30)]
+    rows += [(300 + i, prose(300 + i, 120), f"x{i}") for i in range(40)]
+    judged = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(r["kept"] for r in judged.values() if not r["base_failed"])
+    assert judged[200]["upper"] - judged[200]["lower"] < 0.5 and judged[200]["lower"] != judged[0]["lower"]
+
+
+def test_many_languages_are_counted_in_few_arrays():
+    batch = pa.RecordBatch.from_pydict({"slot": pa.array(list(range(5)) * 2, pa.int32()), "body": [b"ab cd"] * 10})
+    total = Counter()
+    for part in count_grams(iter([batch, batch]), most=2):
+        for slot, gram, n in zip(*[c.to_pylist() for c in part.columns]):
+            total[slot, gram] += n
+    assert total == Counter({(s, g): 4 for s in range(5) for g in grams(b"ab") + grams(b"cd")})
