@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from odsflow.llm import ngrams
 from odsflow.llm.common import named, text_key, utf8, written
 
 SYMBOLS, WHITE = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
@@ -42,7 +43,7 @@ def _repeated_words(words: list[bytes], size: int = 3) -> int:
     return int(covered.sum())
 
 
-# --- letters of the model --------------------------------------------------------------------
+# --- letters of the model of single words; `ngrams` has the one across words -----------------
 
 #: The model's alphabet has 32 symbols: 0 word edge, 1-26 letters without case or accents, 27 digits,
 #: 28 sentence marks, 29 other ASCII signs, 30 letters of other scripts, 31 the rest. So n-grams of
@@ -106,14 +107,15 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return number[taken], np.diff(np.append(0, np.cumsum(taken)[ends]))
 
 
-def languages(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """(lang, slot): a number of its own for each lang value; NULL is the empty name.
+def languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, slot, blocks): a number of its own for each lang value, and of the blocks its texts are dealt to; NULL is the empty name.
 
-    The names are listed on the driver, which also gets each language's model.
+    The names are listed on the driver.
     """
-    found = docs.select(language(lang_col)).distinct().collect()
-    rows = [(name, slot) for slot, name in enumerate(sorted(r["lang"] for r in found))]
-    return docs.sparkSession.createDataFrame(rows, "lang string, slot int")
+    sizes = docs.select(language(lang_col), F.octet_length(utf8(named(text_col))).alias("size"))
+    found = sizes.groupBy("lang").agg(F.sum(F.col("size").cast("long")).alias("size")).collect()
+    rows = [(r["lang"], slot, 1 + r["size"] // ngrams.BLOCK) for slot, r in enumerate(sorted(found, key=lambda r: r["lang"]))]
+    return docs.sparkSession.createDataFrame(rows, "lang string, slot int, blocks long")
 
 
 def language(lang_col: str) -> Column:
@@ -309,31 +311,31 @@ class WordScores:
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_p double, n_spelled long"
 
 
-def counts_udf(model):
-    """Counts of a text and the logarithm of its probability; `model` is a broadcast of HashArrays."""
+def scored_blocks(model):
+    """A function that scores a block's texts; `model` is a broadcast of the words' HashArrays, `answers` has the block's n-grams."""
     scores: list[WordScores] = []
 
-    @F.arrow_udf(f"struct<{COUNTS.replace(' ', ':').replace(',:', ',')}>")
-    def counts(slots: pa.Array, texts: pa.Array) -> pa.Array:
+    def scored_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not scores:
             scores.append(WordScores(model.value))
+        bodies = [b.as_py() or b"" for b in texts.column("body")]
+        split = [b.split() for b in bodies]
+        slots = texts.column("slot").to_pylist()
+        known = scores[0].learn(slots[0], {w for words in split for w in words}) if slots else {}
         rows = []
-        for group_slots, group in text_groups(slots, texts):
-            split = [t.split() for t in group]
-            words: dict[int, set] = {}
-            for slot, own in zip(group_slots, split):
-                words.setdefault(slot, set()).update(own)
-            known = {slot: scores[0].learn(slot, own) for slot, own in words.items()}
-            for slot, text, own in zip(group_slots, group, split):
-                table = known[slot]
-                found = [table[w] for w in own]
-                rows.append((*base_counts(text, own), sum([f[0] for f in found]), sum([f[1] for f in found])))
-        names = [c.split()[0] for c in COUNTS.split(", ")]
-        kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64()]
+        for body, words in zip(bodies, split):
+            found = [known[w] for w in words]
+            rows.append((*base_counts(body, words), sum([f[0] for f in found]), sum([f[1] for f in found])))
+        across, n_across = ngrams.block_scores([ngrams.line_of(words) for words in split], texts.column("fold").to_numpy(), answers)
+        names, kinds = [c.split()[0] for c in COUNTS.split(", ")], [pa.int64()] * 5 + [pa.float64(), pa.int64()]
         columns = list(zip(*rows)) if rows else [()] * len(names)
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        kept = {name: texts.column(name) for name in ("doc_id", "text_key", "slot")}
+        return pa.table({
+            **kept, **{name: pa.array(c, k) for name, c, k in zip(names, columns, kinds)},
+            "log_across": pa.array(across, pa.float64()), "n_across": pa.array(n_across, pa.int64()),
+        })
 
-    return counts
+    return scored_block
 
 
 #: The bands reach this many scaled median deviations from a language's median, down and up.
@@ -366,14 +368,23 @@ def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
     return limits.select("slot", (middle_of - wide).alias("lower"), (middle_of + wide).alias("upper"))
 
 
+def off_middle(value: str, lower: str, upper: str) -> Column:
+    """How far a value lies from the middle of its band, in halves of the band's width: above 1 outside it."""
+    apart = F.try_divide(F.abs(2 * F.col(value) - F.col(lower) - F.col(upper)), F.col(upper) - F.col(lower))
+    return F.coalesce(apart, F.lit(0.0))
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", band: float = BAND
 ) -> DataFrame:
     """Per row the text's counts, `surprise`, its perplexity per symbol, the bands and the verdict.
 
     Columns: doc_id, text_key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, surprise, perplexity, lower, upper, kept. The model of each language is made of
-    the n-grams of all texts, counted by Spark. A text fails the base rules with fewer than
+    base_failed, surprise, perplexity, lower, upper, kept. Each language has two models, made of
+    all its texts: letters within words (a bounded table), and code points across words (see `ngrams`:
+    tables that grow with the input and stay with Spark; a text is scored by the counts of the fold
+    it is not in). A text has to lie in the bands of both; its row shows surprise and band of the one
+    in which it lies farther from the middle. A text fails the base rules with fewer than
     MIN_WORDS words or more than MAX_REPEATED_PERCENT percent of them in repeated windows; others
     are kept if their surprise lies in the band of their language: each lang value has a model and a
     band of its own, NULL those of the empty name. NULL texts are empty and fail. Repeated rows each get
@@ -381,19 +392,38 @@ def quality_rules(
     """
     own = docs.select(
         named(id_col).cast("long").alias("doc_id"), text_key(text_col), utf8(named(text_col)).alias("body"), language(lang_col),
-    ).join(F.broadcast(languages(docs, lang_col)), "lang").drop("lang")  # one row a language
-    counted = own.select("slot", "body").mapInArrow(count_grams, "slot int, gram long, n long")
-    counted = written(counted.groupBy("slot", "gram").agg(F.sum("n").alias("n")), "grams")
-    model = docs.sparkSession.sparkContext.broadcast(hash_arrays(kneser_ney(counted)))
-    got = counts_udf(model)(F.col("slot"), F.col("body"))
-    scored = own.select("doc_id", "text_key", "slot", got.alias("got")).select("doc_id", "text_key", "slot", "got.*")
+    ).join(F.broadcast(languages(docs, text_col, lang_col)), "lang")  # one row a language
+    place = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("blocks"))
+    fold = F.pmod("text_key", F.lit(ngrams.FOLDS)).cast("int")
+    own = own.select("doc_id", "text_key", "body", "slot", place.alias("block"), fold.alias("fold"))
+    spelt = own.select("slot", "body").mapInArrow(count_grams, "slot int, gram long, n long")
+    spelt = written(spelt.groupBy("slot", "gram").agg(F.sum("n").alias("n")), "word-grams")
+    model = docs.sparkSession.sparkContext.broadcast(hash_arrays(kneser_ney(spelt)))
+    found = own.select("body", "slot", "block", "fold").groupBy("slot", "block").applyInArrow(
+        ngrams.block_grams, "slot int, block long, gram string, c0 long, c1 long"
+    )
+    found = written(found, "grams")
+    counted = written(found.groupBy("slot", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts")
+    answers = found.select("slot", "block", "gram").join(ngrams.log_table(counted), ["slot", "gram"])
+    scored = own.groupBy("slot", "block").cogroup(answers.groupBy("slot", "block")).applyInArrow(
+        scored_blocks(model), f"doc_id long, text_key long, slot int, {COUNTS}, log_across double, n_across long"
+    )
     repeated = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT
     scored = scored.withColumns({
         "base_failed": (F.col("n_words") < MIN_WORDS) | repeated,
         "surprise": F.when(F.col("n_spelled") > 0, -F.col("log_p") / F.col("n_spelled")),
+        "across": F.when(F.col("n_across") > 0, -F.col("log_across") / F.col("n_across")),
     })
     scored = written(scored, "scored")
-    judged = scored.join(F.broadcast(bands(scored, band)), "slot", "left")
+    far = bands(scored.withColumn("surprise", F.col("across")), band).select(
+        "slot", F.col("lower").alias("lower_across"), F.col("upper").alias("upper_across")
+    )
+    judged = scored.join(F.broadcast(bands(scored, band)), "slot", "left").join(F.broadcast(far), "slot", "left")
+    farther = off_middle("across", "lower_across", "upper_across") > off_middle("surprise", "lower", "upper")
+    judged = judged.withColumns({
+        name: F.when(farther, F.col(other)).otherwise(F.col(name))
+        for name, other in (("surprise", "across"), ("lower", "lower_across"), ("upper", "upper_across"))
+    })
     inside = F.col("surprise").between(F.col("lower"), F.col("upper"))
     return judged.select(
         "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
