@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odsflow.session import scratch_path
 
@@ -84,6 +84,29 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
+def ranked(rows: DataFrame, order: list[Column], tree: str | None = None) -> DataFrame:
+    """The rows with `rank`, their place from 0 in the order within each value of `tree`, and `size`, the rows of that value.
+
+    The rows are written once, so that a repeated task sees the same ones, and sorted once, by range over all
+    values of `tree` (no NULLs), so one value with most of the rows is dealt to many tasks; what is summed apart
+    is one row a range and value. Rows equal in `order` are dealt by their place in the written table.
+    """
+    place, part, first = F.monotonically_increasing_id(), F.shiftright("place_", 33).alias("part_"), F.min("place_").alias("first_")
+    tree_ = (named(tree) if tree else F.lit("")).alias("tree_")
+    keys = [tree_, *[c.alias(f"order{i}_") for i, c in enumerate(order)], place.alias("mark_")]
+    names = ["tree_", *[f"order{i}_" for i in range(len(order))], "mark_"]
+    by = written(rows.select("*", *keys), "unsorted").repartitionByRange(*names).sortWithinPartitions(*names)
+    by = written(by.select(*[named(c) for c in rows.columns], "tree_", place.alias("place_")), "sorted")
+    parts = by.groupBy("tree_", part).agg(first, F.count(F.lit(1)).alias("n_"))
+    whole = Window.partitionBy("tree_")
+    before = F.sum("n_").over(whole.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1))
+    starts = written(parts.select(
+        "tree_", "part_", (F.coalesce(before, F.lit(0)) - F.col("first_")).alias("shift_"), F.sum("n_").over(whole).alias("size")
+    ), "starts")
+    found = by.withColumn("part_", part).join(starts, ["tree_", "part_"])
+    return found.select(*[named(c) for c in rows.columns], (F.col("place_") + F.col("shift_")).alias("rank"), "size")
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's long, bit for bit."""
     return np.ascontiguousarray(values, dtype=np.uint64).view(np.int64)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from string import ascii_lowercase, ascii_uppercase
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from odsflow.llm import (
-    classifier, contamination, mixing, packed, quality, repeats, simhash, substrings, tokens, urls,
+    brown, classifier, contamination, importance, merkle, mixing, packed, quality, repeats, simhash, substrings, tokens, urls,
 )
 from odsflow.llm.common import for_workers, written
 from odsflow.session import scratch_path
@@ -99,10 +101,38 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "wanted")
 
 
+def remainder(doc_id: Column, divisor: int) -> Column:
+    """The unsigned crc32 of the decimal id modulo `divisor`; NULL for a NULL id."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % divisor
+
+
+def op11_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored = brown.score_texts(docs, ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = read_table(spark, folder, "documents", ["doc_id", "text"]), read_table(spark, folder, "benchmark")
+    drawn = importance.resample(docs, target, longest=1, buckets=10_000, least_words=20, percent=10, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(remainder(F.col("doc_id"), 3) == 0, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    return merkle.manifest(
+        read_table(spark, folder, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), "lang", claimed={"text": tampered}
+    )
+
+
 QUERIES = {
     query.__name__: for_workers(query)
     for query in (
         op1_simhash, op2_token_counts, op3_mixing, op4_substring_dedup, op5_quality_rules, op6_suffix_dedup, op7_token_ids,
-        op8_decontamination, op9_quality_classifier, op10_url_filter,
+        op8_decontamination, op9_quality_classifier, op10_url_filter, op11_lm_scoring,
+        op12_importance_resampling, op13_merkle_manifest,
     )
 }
