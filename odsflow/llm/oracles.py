@@ -1,5 +1,24 @@
 """DuckDB counterparts of the queries that SQL can express."""
 
+#: crc32: `bytes` as one list of numbers becomes `crc`, with the table of its 256 steps in `steps`.
+CRC_STEPS = """steps AS (
+            SELECT list(step ORDER BY i) AS steps FROM (
+                SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS step
+                FROM (SELECT unnest(range(256)) AS i)))"""
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes}),
+                       lambda c, x: xor(steps[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::BIGINT)"""
+ID_CRC = CRC.format(bytes="list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)")
+WORD_CRC = CRC.format(bytes="list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)")
+CUT_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def _leaf(text: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
 ORACLES = {
     "op3_mixing": r"""
         WITH sized AS (
@@ -110,4 +129,83 @@ ORACLES = {
         SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM split LEFT JOIN hits USING (row_no) LEFT JOIN listed USING (row_no)""",
+    "op12_importance_resampling": f"""
+        WITH {CRC_STEPS},
+        docs AS (SELECT doc_id, row_number() OVER () AS row_no, {CUT_WORDS} AS words FROM documents),
+        own AS (SELECT row_no, unnest(words) AS word FROM docs),
+        wanted AS (SELECT unnest({CUT_WORDS}) AS word FROM benchmark),
+        buckets AS (
+            SELECT word, {WORD_CRC} % 10000 AS bucket
+            FROM (SELECT word FROM own UNION SELECT word FROM wanted), steps),
+        s AS (SELECT bucket, count(*) AS s FROM own JOIN buckets USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+                   / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        sums AS (SELECT row_no, sum(gain)::BIGINT AS total FROM own JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row_no),
+        weighed AS (
+            SELECT doc_id, row_no, len(words)::BIGINT AS n_features,
+                   CASE WHEN len(words) = 0 THEN 0
+                        ELSE total // len(words) - CASE WHEN total < 0 AND total % len(words) <> 0 THEN 1 ELSE 0 END END::BIGINT AS weight,
+                   ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+            FROM docs LEFT JOIN sums USING (row_no)),
+        scored AS (
+            SELECT *, weight + floor(-1000 * ln(-ln((h::DOUBLE + 0.5) / 4294967296)))::BIGINT AS score FROM weighed),
+        placed AS (
+            SELECT row_no, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place, count(*) OVER () AS n
+            FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (row_no)""",
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {CRC_STEPS},
+        docs AS (
+            SELECT *, row_number() OVER () AS row_no, {_leaf("text")} AS leaf,
+                   CASE WHEN {ID_CRC} % 3 = 0
+                        THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed_text
+            FROM documents, steps),
+        claims AS (
+            SELECT doc_id, row_no, leaf, coalesce('=' || lang, '-') AS tree, {_leaf("claimed_text")} AS claimed FROM docs),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS place,
+                   count(*) OVER (PARTITION BY tree) AS size
+            FROM claims),
+        nodes AS (
+            SELECT tree, 0 AS height, place, size, leaf AS node FROM leaves
+            UNION ALL
+            SELECT tree, height + 1, place // 8, (any_value(size) + 7) // 8, sha256(string_agg(node, '' ORDER BY place))
+            FROM nodes WHERE size > 1 GROUP BY tree, height, place // 8),
+        subroots AS (
+            SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS size FROM nodes WHERE size = 1),
+        upper_nodes AS (
+            SELECT 0 AS height, place, size, subroot AS node FROM subroots
+            UNION ALL
+            SELECT height + 1, place // 8, (any_value(size) + 7) // 8, sha256(string_agg(node, '' ORDER BY place))
+            FROM upper_nodes WHERE size > 1 GROUP BY height, place // 8),
+        steps_up AS (
+            SELECT l.row_no, n.height AS step,
+                   coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place < l.place // (8::BIGINT ** n.height)::BIGINT), '') AS before,
+                   coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place > l.place // (8::BIGINT ** n.height)::BIGINT), '') AS behind
+            FROM leaves l JOIN nodes n ON l.tree = n.tree AND n.size > 1 AND n.place // 8 = l.place // (8::BIGINT ** (n.height + 1))::BIGINT
+            GROUP BY l.row_no, n.height),
+        steps_top AS (
+            SELECT s.tree, n.height AS step,
+                   coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place < s.place // (8::BIGINT ** n.height)::BIGINT), '') AS before,
+                   coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place > s.place // (8::BIGINT ** n.height)::BIGINT), '') AS behind
+            FROM subroots s JOIN upper_nodes n ON n.size > 1 AND n.place // 8 = s.place // (8::BIGINT ** (n.height + 1))::BIGINT
+            GROUP BY s.tree, n.height),
+        paths AS (
+            SELECT row_no, row_number() OVER (PARTITION BY row_no ORDER BY part, step) AS step, before, behind
+            FROM (SELECT row_no, 0 AS part, step, before, behind FROM steps_up
+                  UNION ALL SELECT row_no, 1, step, before, behind FROM leaves JOIN steps_top USING (tree))),
+        folded AS (
+            SELECT row_no, 0::BIGINT AS step, claimed AS value FROM leaves
+            UNION ALL
+            SELECT f.row_no, p.step, sha256(p.before || f.value || p.behind)
+            FROM folded f JOIN paths p ON p.row_no = f.row_no AND p.step = f.step + 1),
+        proofs AS (SELECT row_no, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof_sha256 FROM paths GROUP BY row_no),
+        ends AS (SELECT row_no, arg_max(value, step) AS folded_root FROM folded GROUP BY row_no),
+        root AS (SELECT node AS root FROM upper_nodes WHERE size = 1)
+        SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM leaves JOIN subroots USING (tree) JOIN ends USING (row_no) LEFT JOIN proofs USING (row_no), root""",
 }
