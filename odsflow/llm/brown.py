@@ -23,7 +23,7 @@ BLOCK = 8 << 20
 #: A word's count is lowered by this at most for words never seen.
 MOST_OFF = 0.9
 #: Words whose best exchange is sought in one task.
-SHARD = 2048
+SHARD = 256
 
 CODED = "doc_id long, learnt boolean, block long, codes binary, rare string, n_rare long"
 
@@ -117,32 +117,37 @@ def neighbours(classes: np.ndarray) -> Callable:
             before += np.bincount(right * CLASSES + classes[left], minlength=n * CLASSES)
             behind += np.bincount(left * CLASSES + classes[right], minlength=n * CLASSES)
             twice += np.bincount(left[left == right], minlength=n)
-        before, behind = before.reshape(n, CLASSES), behind.reshape(n, CLASSES)
-        seen = np.flatnonzero(before.any(axis=1) | behind.any(axis=1))
-        for some in (seen[i:i + SHARD] for i in range(0, len(seen), SHARD)):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(some // SHARD), pa.array(some), pa.array([b.tobytes() for b in before[some].astype("<u4")], pa.binary()),
-                pa.array([b.tobytes() for b in behind[some].astype("<u4")], pa.binary()), pa.array(twice[some]),
-            ], names=["shard", "number", "before", "behind", "twice"])
+        for shard in range(-(-n // SHARD)):
+            own = slice(shard * SHARD, (shard + 1) * SHARD)
+            wide = slice(own.start * CLASSES, own.stop * CLASSES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard])] + [pa.array([part.astype(np.uint32).tobytes()], pa.binary()) for part in (before[wide], behind[wide], twice[own])],
+                names=["shard", "before", "behind", "twice"],
+            )
 
     return counted
 
 
-SUMS = "shard long, number long, before binary, behind binary, twice long"
+SUMS = "shard long, before binary, behind binary, twice binary"
 
 
 def add_up(shard: pa.Table) -> pa.Table:
     """The sums of a shard's words over all tasks."""
-    number = shard.column("number").to_numpy()
-    each, at = np.unique(number, return_inverse=True)
     sums = {}
-    for name in ("before", "behind"):
-        total = np.zeros((len(each), CLASSES), np.int64)
-        np.add.at(total, at, np.frombuffer(b"".join(shard.column(name).to_pylist()), "<u4").reshape(-1, CLASSES))
-        sums[name] = pa.array([row.tobytes() for row in total], pa.binary())
-    twice = np.zeros(len(each), np.int64)
-    np.add.at(twice, at, shard.column("twice").to_numpy())
-    return pa.table({"shard": pa.array(np.full(len(each), each[0] // SHARD)), "number": pa.array(each), **sums, "twice": pa.array(twice)})
+    for name in ("before", "behind", "twice"):
+        total = 0
+        for part in shard.column(name):
+            total = total + np.frombuffer(part.as_buffer(), np.uint32).astype(np.int64)
+        sums[name] = pa.array([total.tobytes()], pa.binary())
+    return pa.table({"shard": shard.column("shard").slice(0, 1), **sums})
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers, counts before and behind (a row a number) and twice of each shard."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            before, behind, twice = (np.frombuffer(row[c], np.int64) for c in ("before", "behind", "twice"))
+            yield row["shard"] * SHARD + np.arange(len(twice)), before.reshape(-1, CLASSES), behind.reshape(-1, CLASSES), twice
 
 
 def class_pairs(classes: np.ndarray) -> Callable:
@@ -150,10 +155,8 @@ def class_pairs(classes: np.ndarray) -> Callable:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((CLASSES, CLASSES), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                own = classes[batch.column("number").to_numpy()]
-                np.add.at(total, own, np.frombuffer(b"".join(batch.column("behind").to_pylist()), np.int64).reshape(-1, CLASSES))
+        for numbers, _, behind, _ in shards(batches):
+            np.add.at(total, classes[numbers], behind)
         yield pairs_batch(total.ravel())
 
     return counted
@@ -181,53 +184,67 @@ def log_likelihood(pairs: np.ndarray) -> float:
     return float(xlogx(pairs).sum() - xlogx(pairs.sum(axis=0)).sum() - xlogx(pairs.sum(axis=1)).sum())
 
 
-def moved(pairs: np.ndarray, own: int, before: np.ndarray, behind: np.ndarray, twice: int) -> np.ndarray:
-    """Changes `pairs` by the word that leaves `own`; returns its counts without itself, (before, behind)."""
-    before, behind = before.copy(), behind.copy()
+def alone(own: int, before: np.ndarray, behind: np.ndarray, twice: int) -> tuple[np.ndarray, np.ndarray]:
+    """A word's counts without itself as a neighbour."""
+    before, behind = before.astype(np.float64), behind.astype(np.float64)
     before[own] -= twice
     behind[own] -= twice
-    shift(pairs, own, before, behind, twice, -1)
-    return np.stack([before, behind])
-
-
-def shift(pairs: np.ndarray, own: int, before: np.ndarray, behind: np.ndarray, twice: int, sign: int) -> None:
-    pairs[own] += sign * behind
-    pairs[:, own] += sign * before
-    pairs[own, own] += sign * twice
-
-
-def gains_of(pairs: np.ndarray, before: np.ndarray, behind: np.ndarray, twice: int) -> np.ndarray:
-    """What the log likelihood gains when a word that is in no class joins each of them."""
-    rows, columns = xlogx(pairs + behind) - xlogx(pairs), xlogx(pairs + before[:, None]) - xlogx(pairs)
-    at = np.arange(CLASSES)
-    corner = xlogx(pairs[at, at] + before + behind + twice) - xlogx(pairs[at, at])
-    out, into = pairs.sum(axis=1), pairs.sum(axis=0)
-    gain = rows.sum(axis=1) - rows[at, at] + columns.sum(axis=0) - columns[at, at] + corner
-    gain -= xlogx(out + behind.sum() + twice) - xlogx(out)
-    return gain - (xlogx(into + before.sum() + twice) - xlogx(into))
+    return before, behind
+
+
+class Pairs:
+    """Counts of class pairs from which words leave and which they join; n * log n of each is at hand."""
+
+    def __init__(self, pairs: np.ndarray):
+        self.n = pairs.astype(np.float64)
+        self.f = xlogx(self.n)
+        self.out, self.into = self.n.sum(axis=1), self.n.sum(axis=0)
+
+    def move(self, own: int, before: np.ndarray, behind: np.ndarray, twice: int, sign: int) -> None:
+        """A word (its counts without itself as a neighbour) joins the class, or leaves it with sign -1."""
+        self.n[own] += sign * behind
+        self.n[:, own] += sign * before
+        self.n[own, own] += sign * twice
+        self.f[own], self.f[:, own] = xlogx(self.n[own]), xlogx(self.n[:, own])
+        self.out += sign * before
+        self.out[own] += sign * (behind.sum() + twice)
+        self.into += sign * behind
+        self.into[own] += sign * (before.sum() + twice)
+
+    def gains(self, before: np.ndarray, behind: np.ndarray, twice: int) -> np.ndarray:
+        """What the log likelihood gains when a word that is in no class joins each of them; only pairs that change are looked at."""
+        at, left, right = np.arange(CLASSES), np.flatnonzero(before), np.flatnonzero(behind)
+        rows = xlogx(self.n[:, right] + behind[right]) - self.f[:, right]
+        columns = xlogx(self.n[left] + before[left, None]) - self.f[left]
+        corner = np.diagonal(self.n)
+        gain = rows.sum(axis=1) + columns.sum(axis=0)
+        gain[right] -= rows[right, np.arange(len(right))]
+        gain[left] -= columns[np.arange(len(left)), left]
+        gain += xlogx(corner + before + behind + twice) - self.f[at, at]
+        gain -= xlogx(self.out + behind.sum() + twice) - xlogx(self.out)
+        return gain - (xlogx(self.into + before.sum() + twice) - xlogx(self.into))
 
 
 def exchange(classes: np.ndarray, pairs: np.ndarray) -> Callable:
-    """A function that gives each word of its rows the class of the highest likelihood, one word after the other.
+    """A function that gives each word of its shards the class of the highest likelihood, one word after the other.
 
     A task starts from the counts of all words and follows its own moves; those of other tasks show in the next pass.
     """
 
     def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current = pairs.astype(np.float64)
-        for batch in batches:
-            numbers, best = batch.column("number").to_numpy(), []
-            for number, before, behind, twice in zip(numbers, *(batch.column(c).to_pylist() for c in ("before", "behind", "twice"))):
-                own = int(classes[number])
-                if own != END and number:
-                    sides = [np.frombuffer(side, np.int64).astype(np.float64) for side in (before, behind)]
-                    others = moved(current, own, *sides, twice)
-                    gain = gains_of(current, *others, twice)
-                    to = FIRST + int(np.argmax(gain[FIRST:]))
-                    own = to if own == OTHER or gain[to] > gain[own] + 1e-6 else own
-                    shift(current, own, *others, twice, 1)
-                best.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(best, pa.int64())], names=["number", "class"])
+        current = Pairs(pairs)
+        for numbers, all_before, all_behind, all_twice in shards(batches):
+            best = classes[numbers]
+            for i, (own, twice) in enumerate(zip(best.tolist(), all_twice.tolist())):
+                if own == END or not numbers[i]:
+                    continue
+                sides = alone(own, all_before[i], all_behind[i], twice)
+                current.move(own, *sides, twice, -1)
+                gain = current.gains(*sides, twice)
+                to = FIRST + int(np.argmax(gain[FIRST:]))
+                best[i] = to if own == OTHER or gain[to] > gain[own] + 1e-6 else own
+                current.move(int(best[i]), *sides, twice, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(best)], names=["number", "class"])
 
     return exchanged
 
@@ -254,8 +271,9 @@ def frequent_classes(coded: DataFrame, n_frequent: int, passes: int = PASSES) ->
             break
         if step < passes:
             classes = classes.copy()
-            for row in sums.mapInArrow(exchange(classes.copy(), pairs), "number long, class long").collect():  # one row a frequent word
-                classes[row["number"]] = row["class"]
+            dealt = sums.repartition(-(-len(classes) // SHARD), "shard")  # a task a shard: it is little data and much work
+            found = dealt.mapInArrow(exchange(classes.copy(), pairs), "number long, class long").toArrow()  # one row a frequent word
+            classes[found.column("number").to_numpy()] = found.column("class").to_numpy()
     return (best or (0, classes, pairs))[1:]
 
 

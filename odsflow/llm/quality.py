@@ -1,341 +1,129 @@
-"""Quality rules: counts of a text, and perplexity under an n-gram model of its language."""
+"""Quality rules: counts of a text, and perplexity under n-gram models of its language."""
 
 from __future__ import annotations
 
-import unicodedata
-from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm import ngrams
 from odsflow.llm.common import named, text_key, utf8, written
+from odsflow.llm.ngrams import ACROSS, WITHIN, Grams, HashArrays, Words, word_lines
 
 SYMBOLS, WHITE = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 
-# --- counts of one text ----------------------------------------------------------------------
-
-
-def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text with these words."""
-    space = len(text) - len(text.translate(None, WHITE))
-    lines = [line for line in text.split(b"\n") if line and not line.isspace()]
-    return (
-        len(words), len(text.decode()) - space, len(text) - len(text.translate(None, SYMBOLS)),
-        len(lines) - len(set(lines)), _repeated_words(words),
-    )
-
-
-def _repeated_words(words: list[bytes], size: int = 3) -> int:
-    """Words inside windows of `size` words that the text has twice or more."""
-    windows = list(zip(*(words[i:] for i in range(size))))
-    found = Counter(windows)
-    if len(found) == len(windows):
-        return 0
-    again = np.fromiter((found[w] > 1 for w in windows), dtype=bool, count=len(windows))
-    covered = np.zeros(len(words), dtype=bool)
+# --- counts of some texts ----------------------------------------------------------------------
+
+
+def base_counts(bodies: pa.Array, words: Words) -> dict[str, np.ndarray]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
+    chars = pc.utf8_length(words.each).to_numpy()[words.which]
+    texts = [b.as_py().encode() for b in bodies]
+    lines = [[line for line in text.split(b"\n") if line and not line.isspace()] for text in texts]
+    return {
+        "n_words": words.sizes, "word_chars": np.bincount(words.text, chars, len(texts)).astype(np.int64),
+        "n_symbols": np.array([len(t) - len(t.translate(None, SYMBOLS)) for t in texts], np.int64),
+        "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64), "n_repeat_words": repeated_words(words),
+    }
+
+
+def repeated_words(words: Words, size: int = 3) -> np.ndarray:
+    """Words of each text inside windows of `size` words that the text has twice or more."""
+    n = len(words.which) - size + 1
+    if n < 1:
+        return np.zeros(len(words.sizes), np.int64)
+    number = words.text[:n].astype(np.int64)
+    for i in range(size):  # windows and their texts as numbers, dense again after each word
+        number = number * len(words.each) + words.which[i:i + n]
+        number = pa.array(number).dictionary_encode().indices.to_numpy().astype(np.int64)
+    whole = words.text[:n] == words.text[size - 1:]
+    again = whole & (np.bincount(number[whole], minlength=int(number.max()) + 1)[number] > 1)
+    covered = np.zeros(len(words.which), dtype=bool)
     for i in range(size):
-        covered[i:len(windows) + i] |= again
-    return int(covered.sum())
-
-
-# --- letters of the model of single words; `ngrams` has the one across words -----------------
-
-#: The model's alphabet has 32 symbols: 0 word edge, 1-26 letters without case or accents, 27 digits,
-#: 28 sentence marks, 29 other ASCII signs, 30 letters of other scripts, 31 the rest. So n-grams of
-#: ORDER symbols are numbers below 32 ** ORDER, which bounds the model whatever the corpus.
-BITS, ORDER = 5, 4
-EDGE, EDGES_BEFORE = 0, b" " * (ORDER - 1)
-#: Code points whose symbols are looked up in a table.
-TABLED = 0x3000
-
-
-@lru_cache(maxsize=1 << 16)
-def symbol(char: str) -> int:
-    base = unicodedata.normalize("NFKD", char)[0].lower()
-    if "a" <= base <= "z":
-        return ord(base) - 96
-    if char.isdigit():
-        return 27
-    if char in ".,;:!?'\"()-":
-        return 28
-    if char < "\x7f":
-        return 29
-    return 30 if char.isalpha() else 31
-
-
-@lru_cache(maxsize=1)
-def _symbol_table() -> np.ndarray:
-    """Symbols of the code points below TABLED; the blank between words is an edge."""
-    table = np.array([symbol(chr(c)) for c in range(TABLED)], dtype=np.int64)
-    table[0x20] = EDGE
-    return table
-
-
-def symbols_of(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
-    found = _symbol_table()[np.minimum(codes, TABLED - 1)]
-    rare = np.flatnonzero(codes >= TABLED)
-    if len(rare):
-        each, at = np.unique(codes[rare], return_inverse=True)
-        found[rare] = np.array([symbol(chr(c)) for c in each.tolist()])[at]
-    return found
-
-
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The longest n-grams of all words in a row, as numbers, and the number of each word's.
-
-    A word gives one gram for each of its symbols and one for the edge behind it; what would reach
-    before its first symbol is edges.
-    """
-    if not words:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    line = EDGES_BEFORE + (b" " + EDGES_BEFORE).join(words) + b" "
-    found = symbols_of(line.decode())
-    number = np.zeros(len(found) - ORDER + 1, dtype=np.int64)
-    for i in range(ORDER):
-        number = number << BITS | found[i:i + len(number)]
-    inside = found[ORDER - 1:] != EDGE
-    behind = ~inside
-    behind[1:] &= inside[:-1]
-    ends = np.flatnonzero(behind)
-    taken = inside | behind
-    return number[taken], np.diff(np.append(0, np.cumsum(taken)[ends]))
-
-
-def languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, slot, blocks): a number of its own for each lang value, and of the blocks its texts are dealt to; NULL is the empty name.
-
-    The names are listed on the driver.
-    """
-    sizes = docs.select(language(lang_col), F.octet_length(utf8(named(text_col))).alias("size"))
-    found = sizes.groupBy("lang").agg(F.sum(F.col("size").cast("long")).alias("size")).collect()
-    rows = [(r["lang"], slot, 1 + r["size"] // ngrams.BLOCK) for slot, r in enumerate(sorted(found, key=lambda r: r["lang"]))]
-    return docs.sparkSession.createDataFrame(rows, "lang string, slot int, blocks long")
+        covered[i:n + i] |= again
+    return np.bincount(words.text[covered], minlength=len(words.sizes))
 
 
 def language(lang_col: str) -> Column:
     return F.coalesce(named(lang_col).cast("string"), F.lit("")).alias("lang")
 
 
-def text_groups(slots: pa.Array, bodies: pa.Array, most: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Slots and texts in groups of some MB, so that the words of few texts are in memory at once."""
-    held_slots, held, size = [], [], 0
-    for slot, body in zip(slots, bodies):
-        held_slots.append(slot.as_py())
-        held.append(body.as_py() or b"")
-        size += len(held[-1])
-        if size >= most:
-            yield held_slots, held
-            held_slots, held, size = [], [], 0
-    if held:
-        yield held_slots, held
+# --- scores ------------------------------------------------------------------------------------
 
+COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+SCORED = f"row long, doc_id long, text_key long, lang string, fold int, {COUNTS}, across double, n_across long, within double, n_within long"
+#: A rarer n-gram of a text is a row of its own, with `row` and `fold` of the text.
+RARE = "slot string, gram string, n long"
 
-def count_grams(batches: Iterator[pa.RecordBatch], most: int = 16) -> Iterator[pa.RecordBatch]:
-    """The longest n-grams of a task's texts, by language slot, with their counts.
 
-    Counts of `most` languages are in memory at once; beyond that they go out and start anew, so a
-    gram can come in several rows.
-    """
-    totals: dict[int, np.ndarray] = {}
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        for slot, total in totals.items():
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(seen), slot, np.int32)), pa.array(seen), pa.array(total[seen])], names=["slot", "gram", "n"]
-            )
-        totals.clear()
-
-    for batch in batches:
-        for slots, texts in text_groups(batch.column("slot"), batch.column("body"), 1 << 24):
-            words: dict[int, Counter] = {}
-            for slot, text in zip(slots, texts):
-                words.setdefault(slot, Counter()).update(text.split())
-            for slot, counts in words.items():
-                if slot not in totals and len(totals) >= most:
-                    yield from rows()
-                flat, lengths = spelled(list(counts))
-                weight = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), lengths)
-                total = totals.setdefault(slot, np.zeros(1 << BITS * ORDER, dtype=np.int64))
-                np.add.at(total, flat, weight)
-    yield from rows()
-
-
-# --- modified Kneser-Ney ---------------------------------------------------------------------
-
-def _context(gram: Column) -> Column:
-    return F.shiftright(gram, BITS)
-
-
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """Rows (slot, n, gram, p, backoff) of an interpolated modified Kneser-Ney model.
-
-    `counts` has `slot`, `gram` (of `order` symbols), `n`. The top order uses the counts, lower
-    orders the number of different symbols before a gram. Discounts for 1, 2 and 3 or more come from
-    the counts of counts of slot and order. `p` is a gram's interpolated probability, `backoff` the
-    weight with which the order below speaks for symbols never seen after the gram. The lowest order
-    is mixed with the uniform distribution over the symbols.
+def _rare_rows(slot: str, found: Grams, lacking: np.ndarray, line: np.ndarray, which: np.ndarray, rows: np.ndarray, folds: np.ndarray) -> pa.Table:
+    """(row, fold, slot, gram, n) of the n-grams that the arrays lack; `line` and `which` are text and gram of each occurrence."""
+    at = np.flatnonzero(lacking[which])
+    pairs = pa.array(line[at].astype(np.int64) * len(found.codes) + which[at]).value_counts()
+    values = pairs.field("values").to_numpy()
+    text, gram = values // max(1, len(found.codes)), values % max(1, len(found.codes))
+    return pa.table({
+        "row": pa.array(rows[text]), "fold": pa.array(folds[text], pa.int32()),
+        "slot": pa.array([slot], pa.string()).take(pa.array(np.zeros(len(text), np.int32))),
+        "gram": ngrams.strings(found.codes[gram]), "n": pairs.field("counts"),
+    })
+
+
+def score_chunks(model) -> Callable:
+    """A function that measures texts and sums the logarithms of their frequent n-grams; rarer ones come as rows of their own.
+
+    `model` is a broadcast of the frequent rows' HashArrays.
     """
-    levels = [counts.select("slot", "gram", F.col("n").cast("double").alias("c"))]
-    for n in range(order - 1, 0, -1):
-        mask = F.lit((1 << BITS * n) - 1).cast("long")
-        levels.append(
-            levels[-1].groupBy("slot", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-        )
-    below = None
-    tables = []
-    for n, level in zip(range(1, order + 1), reversed(levels)):
-        of_counts = level.groupBy("slot").agg(
-            *[F.sum(F.when(F.col("c") == k, 1.0).otherwise(0.0)).alias(f"n{k}") for k in (1, 2, 3, 4)]
-        )
-        y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
-
-        def discount(k: int) -> Column:
-            usual = F.when(F.col(f"n{k}") > 0, k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}"))
-            return F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), F.coalesce(usual, F.lit(0.5 * k)))).alias(f"d{k}")
-
-        discounts = of_counts.select("slot", discount(1), discount(2), discount(3))
-        own = level.join(discounts, "slot").withColumn("context", _context(F.col("gram")))
-        taken = F.when(F.col("c") >= 3, F.col("d3")).when(F.col("c") >= 2, F.col("d2")).otherwise(F.col("d1"))
-        own = own.withColumn("off", F.least(taken, F.col("c")))
-        sums = own.groupBy("slot", "context").agg(F.sum("c").alias("total"), F.sum("off").alias("freed"))
-        own = own.join(sums, ["slot", "context"]).withColumn("spare", F.col("freed") / F.col("total"))
-        if below is None:
-            lower = F.lit(1.0 / (1 << BITS))
-        else:
-            mask = F.lit((1 << BITS * (n - 1)) - 1).cast("long")
-            own = own.withColumn("lower_gram", F.col("gram").bitwiseAND(mask)).join(below, ["slot", "lower_gram"])
-            lower = F.col("lower_p")
-        p = (F.col("c") - F.col("off")) / F.col("total") + F.col("spare") * lower
-        level_p = written(own.select("slot", "gram", p.alias("p"), "context", "spare"), f"order-{n}")
-        tables.append(level_p)
-        below = level_p.select("slot", F.col("gram").alias("lower_gram"), F.col("p").alias("lower_p"))
-    model = None
-    for n, level_p in enumerate(tables, 1):
-        grams_p = level_p.select("slot", F.lit(n).alias("n"), "gram", "p")
-        if n < order:
-            weights = tables[n].select("slot", F.col("context").alias("gram"), F.col("spare").alias("backoff")).distinct()
-            grams_p = grams_p.join(weights, ["slot", "gram"], "full_outer").select(
-                "slot", F.lit(n).alias("n"), "gram", "p", F.coalesce("backoff", F.lit(1.0)).alias("backoff")
-            )
-        else:
-            grams_p = grams_p.withColumn("backoff", F.lit(1.0))
-        model = grams_p if model is None else model.unionByName(grams_p)
-    empty = tables[0].select("slot", F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"), F.lit(1.0 / (1 << BITS)).alias("p"),
-                             F.col("spare").alias("backoff")).distinct()
-    return model.unionByName(empty)
-
-
-class HashArrays:
-    """The model in arrays sorted by key; key = slot, order and gram in one number."""
-
-    def __init__(self, keys: np.ndarray, logs: np.ndarray, backoffs: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.logs, self.backoffs = keys[order], logs[order], backoffs[order]
-
-    @staticmethod
-    def key(slot, n, gram):
-        return (np.int64(slot) << 32) | (np.int64(n) << 24) | gram
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        return at, self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
-
-    def log_p(self, slot: int, top: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probability of each gram's last symbol after the others."""
-        result = np.full(len(top), np.log(1.0 / (1 << BITS)))
-        if not len(self.keys):
-            return result
-        open_ones, weight = np.arange(len(top)), np.zeros(len(top))
-        for n in range(ORDER, -1, -1):
-            grams_n = top[open_ones] & ((1 << BITS * n) - 1)
-            at, there = self._find(self.key(slot, n, grams_n))
-            there &= ~np.isnan(self.logs[at])
-            result[open_ones[there]] = weight[open_ones[there]] + self.logs[at[there]]
-            open_ones, grams_n = open_ones[~there], grams_n[~there]
-            if not len(open_ones):
-                break
-            if n == 0:
-                result[open_ones] = weight[open_ones] + np.log(1.0 / (1 << BITS))
-            else:
-                at, there = self._find(self.key(slot, n - 1, grams_n >> BITS))
-                weight[open_ones] += np.where(there, self.backoffs[at], 0.0)
-        return result
-
-
-def hash_arrays(model: DataFrame) -> HashArrays:
-    """The model's rows as arrays: at most 32 ** ORDER * 1.04 of them a language, a few MB a language in practice."""
-    rows = model.select(
-        F.shiftleft(F.col("slot").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 24)).bitwiseOR(F.col("gram")).alias("key"),
-        F.log("p").cast("float").alias("log"), F.log("backoff").cast("float").alias("backoff"),
-    ).toArrow()
-    columns = [rows.column(c).to_numpy().astype(t) for c, t in (("key", np.int64), ("log", np.float64), ("backoff", np.float64))]
-    return HashArrays(*columns)
-
-
-class WordScores:
-    """Sums of logarithms per word under the model; recent words are remembered, new ones looked up together."""
-
-    def __init__(self, model: HashArrays, limit: int = 200_000):
-        self.model, self.limit = model, limit
-        self.known: dict[int, dict] = {}
-        self.older: dict[int, dict] = {}
-
-    def learn(self, slot: int, words: set[bytes]) -> dict[bytes, tuple[float, int]]:
-        """A table that has all the given words: (sum of logarithms, symbols)."""
-        known, older = self.known.setdefault(slot, {}), self.older.setdefault(slot, {})
-        if len(known) > self.limit:
-            self.older[slot], self.known[slot] = known, {}
-            known, older = self.known[slot], known
-        new = []
-        for word in words:
-            if word not in known:
-                value = older.get(word)
-                if value is None:
-                    new.append(word)
-                else:
-                    known[word] = value
-        if new:
-            flat, lengths = spelled(new)
-            sums = np.add.reduceat(self.model.log_p(slot, flat), np.cumsum(lengths) - lengths)
-            known.update(zip(new, zip(sums.tolist(), lengths.tolist())))
-        return known
-
-
-COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_p double, n_spelled long"
-
-
-def scored_blocks(model):
-    """A function that scores a block's texts; `model` is a broadcast of the words' HashArrays, `answers` has the block's n-grams."""
-    scores: list[WordScores] = []
-
-    def scored_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if not scores:
-            scores.append(WordScores(model.value))
-        bodies = [b.as_py() or b"" for b in texts.column("body")]
-        split = [b.split() for b in bodies]
-        slots = texts.column("slot").to_pylist()
-        known = scores[0].learn(slots[0], {w for words in split for w in words}) if slots else {}
-        rows = []
-        for body, words in zip(bodies, split):
-            found = [known[w] for w in words]
-            rows.append((*base_counts(body, words), sum([f[0] for f in found]), sum([f[1] for f in found])))
-        across, n_across = ngrams.block_scores([ngrams.line_of(words) for words in split], texts.column("fold").to_numpy(), answers)
-        names, kinds = [c.split()[0] for c in COUNTS.split(", ")], [pa.int64()] * 5 + [pa.float64(), pa.int64()]
-        columns = list(zip(*rows)) if rows else [()] * len(names)
-        kept = {name: texts.column(name) for name in ("doc_id", "text_key", "slot")}
-        return pa.table({
-            **kept, **{name: pa.array(c, k) for name, c, k in zip(names, columns, kinds)},
-            "log_across": pa.array(across, pa.float64()), "n_across": pa.array(n_across, pa.int64()),
-        })
-
-    return scored_block
+    names = [c.split()[0] for c in f"{SCORED}, {RARE}".split(", ")]
+    schema = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}[c.split()[1]])
+                        for n, c in zip(names, f"{SCORED}, {RARE}".split(", "))])
+
+    def whole(table: pa.Table) -> pa.Table:
+        """All columns; those that the table lacks are NULL."""
+        columns = [table.column(f.name).cast(f.type) if f.name in table.column_names else pa.nulls(len(table), f.type) for f in schema]
+        return pa.table(columns, schema=schema)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays: HashArrays = model.value
+        next_row = TaskContext.get().partitionId() << 40
+        for lang, batch in ngrams.by_language(batches):
+            rows = np.arange(next_row, next_row + batch.num_rows)
+            next_row += batch.num_rows
+            folds, bodies = batch.column("fold").to_numpy(), batch.column("body")
+            words = Words(bodies)
+            across, within = Grams(words.lines(), ngrams.folded), Grams(word_lines(words.each), ngrams.symbol)
+            sums, rare = {}, []
+
+            logs, lacking = ngrams.scored(across, ACROSS + lang, arrays)
+            line = across.line()
+            each = np.where(folds[line] == 0, logs[0][across.which], logs[1][across.which])
+            sums["across"], sums["n_across"] = np.bincount(line, each, len(rows)), across.counts
+            rare.append(_rare_rows(ACROSS + lang, across, lacking, line, across.which, rows, folds))
+
+            logs, lacking = ngrams.scored(within, WITHIN + lang, arrays)
+            word = within.line()
+            of_words = [np.bincount(word, log[within.which], len(words.each)) for log in logs]
+            each = np.where(folds[words.text] == 0, of_words[0][words.which], of_words[1][words.which])
+            sums["within"] = np.bincount(words.text, each, len(rows))
+            sums["n_within"] = np.bincount(words.text, within.counts[words.which], len(rows)).astype(np.int64)
+            starts = np.append(0, np.cumsum(within.counts))
+            odd = np.bincount(word, lacking[within.which], len(words.each)) > 0  # words with a gram that is lacking
+            at = np.flatnonzero(odd[words.which])
+            sizes = within.counts[words.which[at]]
+            places = np.repeat(starts[words.which[at]] - np.append(0, np.cumsum(sizes))[:-1], sizes) + np.arange(sizes.sum())
+            rare.append(_rare_rows(WITHIN + lang, within, lacking, np.repeat(words.text[at], sizes), within.which[places], rows, folds))
+
+            kept = {name: batch.column(name) for name in ("doc_id", "text_key", "lang", "fold")}
+            own = pa.table({"row": rows, **kept, **base_counts(bodies, words), **sums})
+            for table in (own, *rare):
+                yield from whole(table).to_batches()
+
+    return measured
 
 
 #: The bands reach this many scaled median deviations from a language's median, down and up.
@@ -349,23 +137,24 @@ FEW_TEXTS = 20
 
 
 def bands(scored: DataFrame, band: float = BAND) -> DataFrame:
-    """(slot, lower, upper): limits of the mean surprise per symbol in each language slot.
+    """(slot, lower, upper): limits of the mean surprise per code point in each language (`slot`).
 
     Median and median deviation over the distinct texts of the slot that pass the base rules, so
     copies and a few percent of odd texts hardly move them and no fixed share of the texts is
-    rejected. There is one row a slot; they are broadcast.
+    rejected. There is one row a language, in small written tables that Spark may broadcast by their size.
     """
     usable = scored.where("NOT base_failed AND surprise IS NOT NULL").groupBy("slot", "text_key").agg(F.min("surprise").alias("surprise"))
-    middle = usable.groupBy("slot").agg(F.percentile_approx("surprise", 0.5, 10_000).alias("middle"))
+    usable = written(usable, "usable")
+    middle = written(usable.groupBy("slot").agg(F.percentile_approx("surprise", 0.5, 10_000).alias("middle")), "middle")
     apart = F.abs(F.col("surprise") - F.col("middle"))
-    off = written(usable.join(F.broadcast(middle), "slot").select("slot", "middle", apart.alias("apart")), "apart")
+    off = written(usable.join(middle, "slot").select("slot", "middle", apart.alias("apart")), "apart")
     spread = off.groupBy("slot", "middle").agg(F.percentile_approx("apart", 0.5, 10_000).alias("own"), F.count(F.lit(1)).alias("n"))
     common = off.agg(F.percentile_approx(F.col("apart") / F.col("middle"), 0.5, 10_000).alias("common"))
     middle_of, own = F.col("middle"), F.col("own")
     reach = F.when(F.col("n") < FEW_TEXTS, F.greatest(own, F.col("common") * middle_of)).otherwise(own)
     wide = F.greatest(F.lit(band * NORMAL) * reach, F.lit(LEAST) * middle_of)
-    limits = spread.crossJoin(F.broadcast(common))
-    return limits.select("slot", (middle_of - wide).alias("lower"), (middle_of + wide).alias("upper"))
+    limits = spread.crossJoin(F.broadcast(common))  # one row
+    return written(limits.select("slot", (middle_of - wide).alias("lower"), (middle_of + wide).alias("upper")), "bands")
 
 
 def off_middle(value: str, lower: str, upper: str) -> Column:
@@ -377,48 +166,43 @@ def off_middle(value: str, lower: str, upper: str) -> Column:
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", band: float = BAND
 ) -> DataFrame:
-    """Per row the text's counts, `surprise`, its perplexity per symbol, the bands and the verdict.
+    """Per row the text's counts, `surprise`, its perplexity per code point, the bands and the verdict.
 
     Columns: doc_id, text_key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, surprise, perplexity, lower, upper, kept. Each language has two models, made of
-    all its texts: letters within words (a bounded table), and code points across words (see `ngrams`:
-    tables that grow with the input and stay with Spark; a text is scored by the counts of the fold
-    it is not in). A text has to lie in the bands of both; its row shows surprise and band of the one
-    in which it lies farther from the middle. A text fails the base rules with fewer than
+    base_failed, surprise, perplexity, lower, upper, kept. Each language has two modified Kneser-Ney models, made of all its
+    texts and stored in sorted hash arrays (see `ngrams`): over code points across words, and over 32 signs within words. A
+    text is scored by the counts of the fold it is not in, and has to lie in the bands of both models; its row shows surprise and band
+    of the one in which it lies farther from the middle. A text fails the base rules with fewer than
     MIN_WORDS words or more than MAX_REPEATED_PERCENT percent of them in repeated windows; others
-    are kept if their surprise lies in the band of their language: each lang value has a model and a
+    are kept if their surprise lies in the band of their language: each lang value has models and a
     band of its own, NULL those of the empty name. NULL texts are empty and fail. Repeated rows each get
     their row; other columns are ignored; an empty table gives no rows.
     """
     own = docs.select(
-        named(id_col).cast("long").alias("doc_id"), text_key(text_col), utf8(named(text_col)).alias("body"), language(lang_col),
-    ).join(F.broadcast(languages(docs, text_col, lang_col)), "lang")  # one row a language
-    place = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("blocks"))
-    fold = F.pmod("text_key", F.lit(ngrams.FOLDS)).cast("int")
-    own = own.select("doc_id", "text_key", "body", "slot", place.alias("block"), fold.alias("fold"))
-    spelt = own.select("slot", "body").mapInArrow(count_grams, "slot int, gram long, n long")
-    spelt = written(spelt.groupBy("slot", "gram").agg(F.sum("n").alias("n")), "word-grams")
-    model = docs.sparkSession.sparkContext.broadcast(hash_arrays(kneser_ney(spelt)))
-    found = own.select("body", "slot", "block", "fold").groupBy("slot", "block").applyInArrow(
-        ngrams.block_grams, "slot int, block long, gram string, c0 long, c1 long"
+        named(id_col).cast("long").alias("doc_id"), text_key(text_col), language(lang_col),
+        F.pmod(text_key(text_col), F.lit(ngrams.FOLDS)).cast("int").alias("fold"), utf8(named(text_col)).cast("string").alias("body"),
     )
-    found = written(found, "grams")
-    counted = written(found.groupBy("slot", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts")
-    answers = found.select("slot", "block", "gram").join(ngrams.log_table(counted), ["slot", "gram"])
-    scored = own.groupBy("slot", "block").cogroup(answers.groupBy("slot", "block")).applyInArrow(
-        scored_blocks(model), f"doc_id long, text_key long, slot int, {COUNTS}, log_across double, n_across long"
+    counted = own.select("lang", "fold", "body").mapInArrow(ngrams.count_grams, ngrams.COUNTED)
+    counted = written(counted.groupBy("slot", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts")
+    model = written(ngrams.log_table(counted), "model")
+    shared = docs.sparkSession.sparkContext.broadcast(ngrams.frequent_arrays(model, counted))
+    found = written(own.mapInArrow(score_chunks(shared), f"{SCORED}, {RARE}"), "scored")
+    rare = found.where("gram IS NOT NULL").select("row", "slot", "gram", "fold", "n")
+    more = ngrams.rarer_sums(rare, model, max(rare.count(), model.count()))
+    scored = found.where("gram IS NULL").drop("slot", "gram", "n").join(more, "row", "left")
+    zero, repeated = F.lit(0.0), F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT
+    scored = scored.select(
+        "doc_id", "text_key", F.col("lang").alias("slot"), *[c.split()[0] for c in COUNTS.split(", ")],
+        ((F.col("n_words") < MIN_WORDS) | repeated).alias("base_failed"), *[
+            F.when(F.col(f"n_{m}") > 0, -(F.col(m) + F.coalesce(f"more_{m}", zero)) / F.col(f"n_{m}")).alias(n)
+            for m, n in (("within", "surprise"), ("across", "across"))
+        ],
     )
-    repeated = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT
-    scored = scored.withColumns({
-        "base_failed": (F.col("n_words") < MIN_WORDS) | repeated,
-        "surprise": F.when(F.col("n_spelled") > 0, -F.col("log_p") / F.col("n_spelled")),
-        "across": F.when(F.col("n_across") > 0, -F.col("log_across") / F.col("n_across")),
-    })
-    scored = written(scored, "scored")
+    scored = written(scored, "judged")
     far = bands(scored.withColumn("surprise", F.col("across")), band).select(
         "slot", F.col("lower").alias("lower_across"), F.col("upper").alias("upper_across")
     )
-    judged = scored.join(F.broadcast(bands(scored, band)), "slot", "left").join(F.broadcast(far), "slot", "left")
+    judged = scored.join(bands(scored, band), "slot", "left").join(far, "slot", "left")
     farther = off_middle("across", "lower_across", "upper_across") > off_middle("surprise", "lower", "upper")
     judged = judged.withColumns({
         name: F.when(farther, F.col(other)).otherwise(F.col(name))

@@ -10,6 +10,7 @@ from odsflow.llm.oracles import ORACLES
 from odsflow.llm.queries import QUERIES
 
 from .conftest import bag
+from .test_brown import brute_base, same_counts
 from .test_packed import expected_ids
 from .test_quality import brute_counts
 from .test_simhash import brute_groups
@@ -27,8 +28,8 @@ def corpus(spark, folder):
     return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -76,3 +77,12 @@ def test_url_query(spark, folder):
         host, path, best = brute_url(r["url"])
         assert (r["host"], r["path"], r["rule"]) == (host, path, best and best[0])
         assert r["verdict"] == (best[1] if best else "allow" if r["wanted"] >= 0.5 else "block")
+
+
+def test_language_model_query(spark, folder, corpus):
+    rows = QUERIES["op11_lm_scoring"](spark, folder).collect()
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in corpus}
+    same_counts(rows, brute_base(corpus, lambda i: not out[i]))
+    assert all(r["held_out"] == out[r["doc_id"]] for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > 0.9 * sum(r["base_score"] for r in held)
