@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -13,19 +12,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm.common import named, utf8, written
+from odsflow.llm.ngrams import Words
 from odsflow.llm.tokens import Remembered
 
 #: Hashed features: words and the shapes of words share this many places; a few measured ones come first.
 PLACES = 1 << 15
 MEASURED = 10
-#: Rows that the fit looks at, at most: trusted positives and unlabelled texts, by the hash of their id.
-MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
-STEPS, RATE, RIDGE = 150, 0.05, 1e-5
+STEPS, RATE, RIDGE = 60, 0.1, 1e-5
 FOLDS = 5
+#: Bytes of text whose features are found together, and texts in one row of the feature table.
+CHUNK, TEXTS = 4 << 20, 512
+#: Pieces in which the gradients of all tasks are added up.
+PIECES = 16
 
 SHAPES = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256)
 )
+UPPER, SIGNS, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#*$%&|<>{}[]\\^~_=+@", b"0123456789"
 
 
 # --- features --------------------------------------------------------------------------------
@@ -50,42 +53,117 @@ def places(word: bytes) -> tuple[int, int]:
     )
 
 
-def measured(text: bytes, words: list[bytes]) -> list[float]:
-    """Measures of a whole text between 0 and about 1."""
-    n, lines = len(words), [line for line in text.split(b"\n") if line and not line.isspace()]
-    size = max(1, len(text))
-    upper = size - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    signs = size - len(text.translate(None, b"#*$%&|<>{}[]\\^~_=+@"))
-    digits = size - len(text.translate(None, b"0123456789"))
-    return [
-        min(1.0, np.log1p(n) / 10), len(set(words)) / max(1, n), 1 - len(set(lines)) / max(1, len(lines)), upper / size,
-        signs / size, digits / size, min(1.0, size / max(1, n) / 20), float(n == 0),
-        sum(map(eq, words, words[1:])) / max(1, n), 1 - len(set(zip(words, words[1:]))) / max(1, n - 1),
-    ]
-
-
-def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values: measures, then the share of the text's words and shapes that fall on each place."""
-    words = text.split()
-    first = measured(text, words)
-    found: dict[int, float] = {}
-    for word in words:
-        for place in places(word):
-            found[place] = found.get(place, 0.0) + 1.0
-    at = np.fromiter(found, np.int32, len(found))
-    values = np.fromiter(found.values(), np.float32, len(found)) / max(1, len(words))
-    order = np.argsort(at)
-    return np.concatenate((np.arange(MEASURED, dtype=np.int32), at[order])), np.concatenate((np.array(first, np.float32), values[order]))
+class Measures:
+    """Words and measures of some texts, found for all of them together.
+
+    `pair_text`, `pair_word`, `pair_n`: how often a text has a word; `values`: MEASURED numbers between 0 and about 1 a text.
+    """
+
+    def __init__(self, bodies: pa.Array):
+        self.words = words = Words(bodies)
+        texts = [b.as_py().encode() for b in bodies]
+        kinds, n = max(1, len(words.each)), words.sizes
+        pairs = pa.array(words.text.astype(np.int64) * kinds + words.which).value_counts()
+        values = pairs.field("values").to_numpy()
+        self.pair_text, self.pair_word, self.pair_n = values // kinds, values % kinds, pairs.field("counts").to_numpy()
+        own, behind = words.which[:-1].astype(np.int64), words.which[1:]
+        inside = words.text[:-1] == words.text[1:]
+        text = words.text[:-1][inside]
+        doubles = pa.array(((text.astype(np.int64) * kinds) + own[inside]) * kinds + behind[inside]).unique().to_numpy() // (kinds * kinds)
+        lines = [[line for line in t.split(b"\n") if line and not line.isspace()] for t in texts]
+        size = np.maximum(1, np.array([len(t) for t in texts], np.float64))
+        some = np.maximum(1, n)
+
+        def share(signs: bytes) -> np.ndarray:
+            return np.array([len(t) - len(t.translate(None, signs)) for t in texts], np.float64) / size
+
+        self.values = np.stack([
+            np.minimum(1.0, np.log1p(n) / 10), np.bincount(self.pair_text, minlength=len(texts)) / some,
+            np.array([1 - len(set(x)) / max(1, len(x)) for x in lines], np.float64), share(UPPER), share(SIGNS), share(DIGITS),
+            np.minimum(1.0, size / some / 20), n == 0,
+            np.bincount(text[(own == behind)[inside]], minlength=len(texts)) / some,
+            1 - np.bincount(doubles, minlength=len(texts)) / np.maximum(1, n - 1),
+        ], axis=1).astype(np.float32) if texts else np.zeros((0, MEASURED), np.float32)
+
+
+def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of each part have some MB."""
+    for batch in batches:
+        group = np.cumsum(pc.binary_length(batch.column("body")).to_numpy().astype(np.int64)) // CHUNK
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for first, end in zip(cuts, cuts[1:]):
+            yield batch.slice(first, end - first)
+
+
+FEATURES = "doc_id long, n_words long, measured binary, places binary, counts binary"
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row a text: its measures, and its places in rising order (as differences) with the words on each."""
+    known = Remembered(places)
+    for batch in in_chunks(batches):
+        found = Measures(batch.column("body"))
+        both = np.array([known[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.int64).reshape(-1, 2)
+        at = np.concatenate([found.pair_text * PLACES + both[found.pair_word, i] for i in (0, 1)])
+        each, which = np.unique(at, return_inverse=True)
+        counts = np.bincount(which, np.tile(found.pair_n, 2)).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
+        text, place = each // PLACES, each % PLACES
+        ends = np.append(0, np.cumsum(np.bincount(text, minlength=batch.num_rows)))
+        steps = np.diff(place, prepend=0)
+        firsts = ends[:-1][np.diff(ends) > 0]
+        steps[firsts] = place[firsts]
+        steps = steps.astype(np.uint16)
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array(found.words.sizes.astype(np.int64)), pa.array([v.tobytes() for v in found.values], pa.binary()),
+            *[pa.array([part[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()) for part in (steps, counts)],
+        ], names=["doc_id", "n_words", "measured", "places", "counts"])
+
+
+BLOCKS = "n long, good binary, n_words binary, measured binary, sizes binary, places binary, counts binary"
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some texts' features as one row, so that a step of the fit reads a few long arrays."""
     for batch in batches:
-        rows = [features(body.as_py()) for body in batch.column("body")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("positive"), pa.array([len(b.as_py()) for b in batch.column("body")], pa.int32()),
-             pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))],
-            names=["doc_id", "positive", "size", "places", "values"],
-        )
+        for first in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(first, TEXTS)
+            sizes = pc.binary_length(part.column("places")).to_numpy() // 2
+            steps = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint16).astype(np.int64)
+            whole = np.cumsum(steps)
+            starts = np.append(0, np.cumsum(sizes))[:-1]
+            before = np.repeat(np.where(sizes > 0, np.append(0, whole)[starts], 0), sizes)
+            cells = [
+                pc.fill_null(part.column("good"), False).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+                part.column("n_words").to_numpy().astype(np.int64).tobytes(), b"".join(part.column("measured").to_pylist()),
+                sizes.astype(np.int32).tobytes(), (whole - before).astype(np.uint16).tobytes(), b"".join(part.column("counts").to_pylist()),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part.num_rows]), *[pa.array([c], pa.binary()) for c in cells]],
+                names=["n", "good", "n_words", "measured", "sizes", "places", "counts"],
+            )
+
+
+class Block:
+    """The features of some texts, as flat arrays."""
+
+    def __init__(self, row: dict):
+        self.n, self.good = row["n"], np.frombuffer(row["good"], np.uint8).astype(bool)
+        sizes = np.frombuffer(row["sizes"], np.int32)
+        self.measured = np.frombuffer(row["measured"], np.float32).reshape(-1, MEASURED).astype(np.float64)
+        self.places = np.frombuffer(row["places"], np.uint16)
+        self.rows = np.repeat(np.arange(self.n), sizes)
+        words = np.maximum(1, np.frombuffer(row["n_words"], np.int64)).astype(np.float64)
+        self.values = np.frombuffer(row["counts"], np.uint32) / words[self.rows]
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        """`weights` has one a place, and the bias at the end."""
+        return weights[-1] + self.measured @ weights[:MEASURED] + np.bincount(self.rows, self.values * weights[self.places], self.n)
+
+    def pull(self, slopes: np.ndarray) -> np.ndarray:
+        """Sums of slope * feature of each place, and of the slopes."""
+        pulled = np.bincount(self.places, self.values * slopes[self.rows], PLACES)
+        pulled[:MEASURED] += slopes @ self.measured
+        return np.append(pulled, slopes.sum())
 
 
 # --- the fit ---------------------------------------------------------------------------------
@@ -97,62 +175,81 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, text: bytes, word_weight) -> float:
-        words = text.split()
-        margin = self.bias + float(np.dot(self.weights[:MEASURED], measured(text, words)))
-        if words:
-            margin += sum([word_weight[w] for w in words]) / len(words)
-        return 1.0 / (1.0 + np.exp(-min(30.0, max(-30.0, margin))))
+    def scores(self, bodies: pa.Array, word_weight) -> np.ndarray:
+        """Scores of some texts (strings without NULLs); `word_weight` gives the sum of a word's weights."""
+        found = Measures(bodies)
+        each = np.array([word_weight[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.float64)
+        sums = np.bincount(found.pair_text, each[found.pair_word] * found.pair_n, len(bodies)) if len(each) else np.zeros(len(bodies))
+        margins = self.bias + found.values.astype(np.float64) @ self.weights[:MEASURED] + sums / np.maximum(1, found.words.sizes)
+        return _sigmoid(margins)
 
 
-class Sparse:
-    """Rows of (places, values) one after another, in flat arrays."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
-    def __init__(self, places_of: pa.ListArray, values: pa.ListArray):
-        lengths = pc.list_value_length(places_of).to_numpy(zero_copy_only=False)
-        self.places, self.values, self.n = places_of.flatten().to_numpy(), values.flatten().to_numpy(), len(places_of)
-        self.rows = np.repeat(np.arange(self.n, dtype=np.int32), lengths)
 
-    def margins(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        return bias + np.bincount(self.rows, self.values * weights[self.places], self.n)
+@dataclass
+class Sums:
+    """What one step needs of all texts: numbers, losses and pulls of the positives and of the unlabelled texts."""
 
-    def pull(self, slopes: np.ndarray) -> np.ndarray:
-        return np.bincount(self.places, self.values * slopes[self.rows], PLACES)
+    n_positive: float
+    n_unlabelled: float
+    loss_positive: float  # of the positives, taken as 0
+    loss_unlabelled: float
+    pull_positive: np.ndarray  # sums of score * feature
+    pull_unlabelled: np.ndarray
 
+    SIZE = 4 + 2 * (PLACES + 1)
+
+    @classmethod
+    def of(cls, vector: np.ndarray) -> Sums:
+        return cls(*vector[:4].tolist(), vector[4:4 + PLACES + 1], vector[4 + PLACES + 1:cls.SIZE])
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
+def block_sums(blocks: Iterator[Block], weights: np.ndarray) -> np.ndarray:
+    """The sums of some blocks as one vector (see Sums). Every text is an unlabelled one, whatever its label says; the positives count as such too."""
+    total = np.zeros(Sums.SIZE)
+    for block in blocks:
+        margins = block.margins(weights)
+        scores, losses = _sigmoid(margins), np.logaddexp(0, margins)
+        total[:4] += (block.good.sum(), block.n, losses[block.good].sum(), losses.sum())
+        total[4:4 + PLACES + 1] += block.pull(np.where(block.good, scores, 0.0))
+        total[4 + PLACES + 1:] += block.pull(scores)
+    return total
 
-def fit(positive: Sparse, unlabelled: Sparse, prior: float, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE) -> Model:
+
+def fit(
+    sums_of: Callable[[np.ndarray], Sums], features_of_positives: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE,
+    ridge: float = RIDGE,
+) -> Model:
     """Minimises the non-negative unbiased risk of the logistic loss with Adam.
 
     risk = prior * loss(positives as 1) + max(0, loss(unlabelled as 0) - prior * loss(positives as 0)).
     Where the second part falls below zero, which no true negative risk can, the step goes back
-    along that part alone. Without positives or unlabelled texts the weights stay zero and the
-    prior alone speaks.
+    along that part alone. `sums_of` gives the sums over all texts for some weights, `features_of_positives` the
+    sums of the positives' features and their number at the end. Without positives the weights stay zero and the prior alone speaks.
     """
-    weights, bias = np.zeros(PLACES), float(np.log(prior / (1 - prior)))
-    if not positive.n or not unlabelled.n:
-        return Model(weights, bias)
+    weights = np.zeros(PLACES + 1)
+    weights[-1] = np.log(prior / (1 - prior))
+    if not features_of_positives[-1]:
+        return Model(weights[:-1], float(weights[-1]))
     scale = np.full(PLACES + 1, 1.0)
     scale[MEASURED:PLACES] = 20.0  # shares are small numbers, so their weights may move faster
+    kept = np.append(np.full(PLACES, ridge), 0.0)
     first, second = np.zeros(PLACES + 1), np.zeros(PLACES + 1)
     for step in range(1, steps + 1):
-        p, u = positive.margins(weights, bias), unlabelled.margins(weights, bias)
-        sp, su = _sigmoid(p), _sigmoid(u)
-        negative = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
-        up, down = prior * (sp - 1) / positive.n, prior * -sp / positive.n
+        sums = sums_of(weights)
+        positive, unlabelled = sums.pull_positive / sums.n_positive, sums.pull_unlabelled / sums.n_unlabelled
+        negative = sums.loss_unlabelled / sums.n_unlabelled - prior * sums.loss_positive / sums.n_positive
         if negative >= 0:
-            slope_p, slope_u = up + down, su / unlabelled.n
+            pull = unlabelled - prior * features_of_positives / sums.n_positive
         else:
-            slope_p, slope_u = -down, -su / unlabelled.n
-        pull = np.append(positive.pull(slope_p) + unlabelled.pull(slope_u) + ridge * weights, slope_p.sum() + slope_u.sum())
+            pull = prior * positive - unlabelled
+        pull = pull + kept * weights
         first = 0.9 * first + 0.1 * pull
         second = 0.999 * second + 0.001 * pull * pull
-        move = rate * scale * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        weights, bias = weights - move[:PLACES], bias - float(move[PLACES])
-    return Model(weights, bias)
+        weights = weights - rate * scale * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return Model(weights[:-1], float(weights[-1]))
 
 
 # --- on tables -------------------------------------------------------------------------------
@@ -168,39 +265,70 @@ def class_prior(labels: DataFrame) -> float:
     return min(0.99, max(0.01, (good or 0) / n)) if n else 0.5
 
 
+def _pieces(vector: np.ndarray) -> pa.RecordBatch:
+    parts = np.array_split(vector, PIECES)
+    return pa.RecordBatch.from_arrays([pa.array(range(PIECES)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["piece", "part"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield Block(row)
+
+
+def added(table: pa.Table) -> pa.Table:
+    """The sum of a piece over all tasks."""
+    total = 0
+    for part in table.column("part"):
+        total = total + np.frombuffer(part.as_buffer(), np.float64)
+    return pa.table({"piece": table.column("piece").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+
+
+def total_of(blocks: DataFrame, vector_of: Callable) -> np.ndarray:
+    """A vector summed over all blocks: per task, then piece by piece; one vector comes to the driver, whatever the input."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _pieces(vector_of(_blocks(batches)))
+
+    rows = blocks.mapInArrow(summed, "piece long, part binary").groupBy("piece").applyInArrow(added, "piece long, part binary").collect()
+    parts = {r["piece"]: np.frombuffer(r["part"], np.float64) for r in rows}
+    return np.concatenate([parts[i] for i in range(PIECES)]) if parts else np.zeros(0)
+
+
+def positive_features(blocks: Iterator[Block]) -> np.ndarray:
+    total = np.zeros(PLACES + 1)
+    for block in blocks:
+        total += block.pull(block.good.astype(np.float64))
+    return total
+
+
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", steps: int = STEPS
 ) -> Model:
-    """The classifier, from texts labelled 1 and texts without a label; held-out rows are not looked at.
+    """The classifier, from all texts, those labelled 1 being the trusted positives; held-out rows are not looked at.
 
-    The fit is on a bounded sample: the `max_positive` and `max_unlabelled` ids that come first by a
-    hash. Their ids (16 bytes each) are joined to the texts, features are made where the texts are,
-    and only these reach the driver. Labels of 0 serve the class prior alone. Several labels of one
-    id count by the largest; NULL ids or labels are left out.
+    Every row that is not held out is an unlabelled text, whatever its label, so junk is learnt from also where every
+    document has a label. Features are made once, where the texts are, and written (without the texts, some hundred bytes a
+    text); each step of the fit adds up risk and gradient over all of them on the executors. Only sums of PLACES numbers reach the
+    driver. Labels of 0 serve the class prior alone. Several labels of one id count by the largest; NULL ids or labels are
+    left out, and texts with a NULL id are held out.
     """
     key = named(id_col).cast("long")
     known = labels.select(named(id_col).cast("long").alias("id"), named(label_col).cast("int").alias("good")).where(
-        F.col("id").isNotNull() & F.col("good").isNotNull()
+        F.col("id").isNotNull() & F.col("good").isNotNull() & ~held_out(F.col("id"))
     ).groupBy("id").agg(F.max("good").alias("good"))
-    learnt = known.where(~held_out(F.col("id")))
-    ids = docs.select(key.alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id"))).distinct()
-    marked = written(ids.join(known, "id", "left"), "marked")
-    by_hash = F.xxhash64("id")
-    positives = marked.where("good = 1").orderBy(by_hash, "id").limit(max_positive).select("id", F.lit(True).alias("positive"))
-    others = marked.where("good IS NULL").orderBy(by_hash, "id").limit(max_unlabelled).select("id", F.lit(False).alias("positive"))
-    sample = written(positives.unionByName(others), "sample")
-    texts = docs.select(key.alias("doc_id"), utf8(named(text_col)).alias("body")).join(
-        F.broadcast(sample), F.col("doc_id") == F.col("id")  # at most max_positive + max_unlabelled rows of 9 bytes
-    ).select("doc_id", "positive", "body")
-    made = texts.mapInArrow(feature_rows, "doc_id long, positive boolean, size int, places array<int>, values array<float>").toArrow()
-    made = made.sort_by([("doc_id", "ascending"), ("size", "ascending")])  # the same sums whatever order the tasks end in
-    positive, unlabelled = (
-        Sparse(*[pa.concat_arrays([*part.column(c).chunks, pa.array([], kind)])
-                 for c, kind in (("places", pa.list_(pa.int32())), ("values", pa.list_(pa.float32())))])
-        for part in (made.filter(pc.field("positive")), made.filter(~pc.field("positive")))
-    )
-    return fit(positive, unlabelled, class_prior(learnt))
+    known = written(known, "labels")
+    texts = docs.select(key.alias("doc_id"), utf8(named(text_col)).cast("string").alias("body")).where(~held_out(F.col("doc_id")))
+    made = texts.mapInArrow(feature_rows, FEATURES).join(known, F.col("doc_id") == F.col("id"), "left")
+    packed = made.select((F.col("good") == 1).alias("good"), "n_words", "measured", "places", "counts").mapInArrow(pack, BLOCKS)
+    blocks = written(packed, "features")
+    base = total_of(blocks, positive_features)
+    if not len(base):
+        base = np.zeros(PLACES + 1)
+
+    def sums_of(weights: np.ndarray) -> Sums:
+        return Sums.of(total_of(blocks, lambda some: block_sums(some, weights)))
+
+    return fit(sums_of, base, class_prior(known), steps)
 
 
 def score_udf(model):
@@ -212,7 +340,9 @@ def score_udf(model):
         if not state:
             weights = model.value.weights
             state.append(Remembered(lambda w: float(weights[list(places(w))].sum())))
-        return pa.array(np.fromiter((model.value.score(t.as_py() or b"", state[0]) for t in texts), np.float64, len(texts)))
+        batch = pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], names=["body"])
+        found = [model.value.scores(part.column("body"), state[0]) for part in in_chunks(iter([batch]))]
+        return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return scores
 
@@ -226,5 +356,5 @@ def with_quality(
     columns stay; columns that already have one of the two names are replaced. Nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = docs.withColumn("score", score_udf(shared)(utf8(named(text_col))))
+    scored = docs.withColumn("score", score_udf(shared)(utf8(named(text_col)).cast("string")))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

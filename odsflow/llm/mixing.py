@@ -185,13 +185,15 @@ def mix(
     before second ones; within a pattern, documents are taken in the order of an MD5 hash of the
     seed and the id until the words sent are reached, to half a document. So a rerun takes the same
     documents, and rows with one id (or with none) are taken alike. NULL members or sizes are no
-    members or size 0: such documents are taken 0 times. An empty table gives no rows.
+    members or size 0: such documents are taken 0 times. An empty table gives no rows. Further columns, whatever
+    their names, stay as they are; one named `copies_taken` is replaced.
     """
     size = F.coalesce(named(size_col).cast("long"), F.lit(0))
     members = F.array_sort(F.array_distinct(F.coalesce(named(members_col).cast("array<string>"), F.array().cast("array<string>"))))
     hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(named(id_col).cast("string"), F.lit(""))))
     own = {"pattern_": F.to_json(members), "members_": members, "size_": size, "hash_": hashed}
-    keyed = docs.withColumns(own)
+    kept = [named(c) for c in docs.columns if c != "copies_taken"]
+    keyed = docs.select(F.struct(*kept).alias("row"), *[value.alias(name) for name, value in own.items()])  # names of the rows cannot clash
     rows = written(keyed.where(size > 0).select("pattern_", "members_", "size_", "hash_"), "sizes")
     by_pattern = rows.groupBy("pattern_").agg(F.first("members_").alias("members"), F.sum("size_").alias("size"))
     listed = by_pattern.limit(MAX_PATTERNS + 1).collect()
@@ -209,5 +211,5 @@ def mix(
     more = F.when(F.col("hash_") <= F.col("cut_"), 1).otherwise(0)
     taken = F.when(F.col("size_") > 0, F.col("base") + more).otherwise(0).cast("int")
     return keyed.join(F.broadcast(chosen), F.col("pattern_") == F.col("chosen_"), "left").select(
-        *[named(c) for c in docs.columns if c != "copies_taken"], F.coalesce(taken, F.lit(0)).alias("copies_taken")
+        "row.*", F.coalesce(taken, F.lit(0)).alias("copies_taken")
     )

@@ -118,3 +118,15 @@ def test_too_many_patterns_are_refused(spark, monkeypatch):
     rows = [(i, [str(i)], 1) for i in range(3)]
     with pytest.raises(ValueError):
         mix(spark.createDataFrame(rows, "doc_id long, members array<string>, size long"), {})
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["base", "cut_", "chosen_", "size_", "hash_", "pattern_", "members_", "row", "extra", "pattern", "copies_taken"]
+    rows = [(i, [f"s{i % 3}"], 10 + i, *[f"{n}{i}" for n in names]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, members array<string>, size long, " + ", ".join(f"{n} string" for n in names))
+    mixed = mix(docs, {"s0": 120, "s1": 400, "s2": 0})
+    assert mixed.columns == [c for c in docs.columns if c != "copies_taken"] + ["copies_taken"]
+    plain = mix(docs.select("doc_id", "members", "size"), {"s0": 120, "s1": 400, "s2": 0})
+    got = {r["doc_id"]: r for r in mixed.collect()}
+    assert {i: r["copies_taken"] for i, r in got.items()} == {r["doc_id"]: r["copies_taken"] for r in plain.collect()}
+    assert all(r[n] == f"{n}{i}" for i, r in got.items() for n in names[:-1])

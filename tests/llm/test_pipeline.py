@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -50,7 +51,8 @@ def brute_quality(spark, tables, corpus):
     docs = spark.createDataFrame([(i, t) for i, t, *_ in corpus], "doc_id long, text string")
     model = classifier.train(docs, spark.read.parquet(f"{tables[0]}/labels.parquet"))
     weight = Remembered(lambda w: float(model.weights[list(classifier.places(w))].sum()))
-    return [r for r in corpus if model.score((r[1] or "").encode(), weight) >= 0.3]
+    scores = model.scores(pa.array([r[1] or "" for r in corpus], pa.string()), weight)
+    return [r for r, score in zip(corpus, scores) if score >= 0.3]
 
 
 def brute_near(corpus):
