@@ -25,6 +25,7 @@ def tidy_columns(columns: DataFrame, tables: DataFrame, schema: str, kind: str =
             F.col("ordinal_position").cast("int").alias("ordinal_position"),
             F.lower("column_name").alias("column_name"),
             F.col("data_type"),
+            F.col("column_type" if "column_type" in columns.columns else "data_type").alias("column_type"),
             yes_flag(F.col("is_nullable")).alias("is_nullable"),
             scrub(F.col("column_comment")).alias("column_comment"),
             F.col("column_default"),

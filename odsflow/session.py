@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 SHUFFLE = "spark.sql.shuffle.partitions"
 PARTITIONS_PER_CORE = 3
 BYTES_PER_PARTITION = 128 << 20
+ASIDE = "__old_"
 
 
 def build_session(
@@ -71,12 +72,34 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Puts a written folder in the place of another one."""
+    """Puts a written folder in the place of another one.
+
+    The old folder is moved aside, deleted only once the new one is in place, and moved back if that fails; the new
+    rows then stay where they were written. What a crash between the two moves leaves is put right by `restore_folder`.
+    """
     fs, source = file_system(spark, fresh)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs.delete(target, True)
+    target, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}{ASIDE}{uuid.uuid4().hex}"))
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside; the new rows are in {fresh}")
     if not fs.rename(source, target):
-        raise OSError(f"{fresh} could not be renamed to {path}")
+        if had and not fs.rename(aside, target):
+            raise OSError(f"{fresh} could not be renamed to {path}; the old rows are in {aside.toString()}")
+        raise OSError(f"{fresh} could not be renamed to {path}, which is as it was")
+    if had:
+        fs.delete(aside, True)
+
+
+def restore_folder(spark: SparkSession, path: str) -> None:
+    """Moves a folder back that a crashed `replace_folder` had moved aside and not replaced."""
+    path = path.rstrip("/")
+    parent, _, name = path.rpartition("/")
+    if not parent or path_exists(spark, path):
+        return
+    for left in sorted(n for n in child_names(spark, parent) if n.startswith(f"{name}{ASIDE}")):
+        fs, source = file_system(spark, f"{parent}/{left}")
+        fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(path))
+        return
 
 
 def shared_folder(spark: SparkSession) -> str:

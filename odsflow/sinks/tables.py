@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 
 from odsflow.functions.text import escape_line_breaks
 from odsflow.operators.conform import Field
-from odsflow.session import child_names, delete_folder, replace_folder
+from odsflow.session import child_names, delete_folder, replace_folder, restore_folder
 
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 BUCKET = "_bucket"
@@ -53,13 +53,18 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
-    """Replaces a path table. The new rows are written beside it first, so a write that fails leaves the old ones."""
+    """Replaces a path table. The new rows are written beside it first, so a write that fails leaves the old ones.
+
+    If the folders cannot be exchanged, both versions are kept and the error names where they are.
+    """
     spark, fresh = df.sparkSession, f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    restore_folder(spark, path)
     try:
         df.write.parquet(fresh)
-        replace_folder(spark, fresh, path)
-    finally:
+    except Exception:
         delete_folder(spark, fresh)
+        raise
+    replace_folder(spark, fresh, path)
 
 
 def append_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet") -> None:

@@ -15,14 +15,18 @@ SLICES = 8
 ROWS_PER_SLICE = 2_000_000
 
 # Metadata tables, to be read with `jdbc_query`; the column listings fit `plans.jobs.jobs_from_columns`.
-MYSQL_TABLES = "SELECT table_schema, table_name, table_type, table_comment FROM information_schema.tables"
+# They list the database of the connection, not the whole server.
+MYSQL_TABLES = (
+    "SELECT table_schema, table_name, table_type, table_comment FROM information_schema.tables "
+    "WHERE table_schema = DATABASE()"
+)
 MYSQL_COLUMNS = (
     "SELECT table_schema, table_name, ordinal_position, column_name, data_type, column_type, "
-    "is_nullable, column_default, column_comment FROM information_schema.columns"
+    "is_nullable, column_default, column_comment FROM information_schema.columns WHERE table_schema = DATABASE()"
 )
 MYSQL_INDEXES = (
     "SELECT table_schema, table_name, index_name, non_unique, seq_in_index, column_name "
-    "FROM information_schema.statistics"
+    "FROM information_schema.statistics WHERE table_schema = DATABASE()"
 )
 ORACLE_COLUMNS = (
     "SELECT c.table_name, c.column_id AS ordinal_position, c.column_name, c.data_type AS column_type, "
@@ -115,7 +119,7 @@ def jdbc_column_read(
 ) -> DataFrame:
     """The listed columns of a table, in parallel when a split key is given.
 
-    With `salt` (a whole number column without NULLs) the slices are cut at the key's quantiles, and
+    With `salt` (a whole number column) the slices are cut at the key's quantiles, and
     a value that fills several slices alone is spread by the salt: first the key column is read for
     that, in even strides, then the rows, a predicate per slice.
     """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -28,15 +26,6 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def read_slices(df: DataFrame, predicates: list[str]) -> DataFrame:
-    """A table read slice by slice, as `jdbc_sliced_read` reads one from a database; adds `slice_no`.
-
-    Each predicate reaches the scan of its own slice, so files and row groups outside it are not read.
-    """
-    parts = [df.filter(p).withColumn("slice_no", F.lit(i)) for i, p in enumerate(predicates)]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def read_text_table(
     spark: SparkSession, path: str, schema: str | StructType, delimiter: str = ",", line_breaks: bool = False,
     escaped: bool = True,

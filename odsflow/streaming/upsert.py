@@ -23,7 +23,7 @@ KEEP_BASES = 2
 FEED_ORDER = ["seq", "row_no"]
 
 
-def _finished(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+def finished_folders(spark: SparkSession, folder: str, prefix: str) -> list[int]:
     """Numbers of the complete `prefix=N` folders, ascending."""
     names = [name for name in child_names(spark, folder) if name.startswith(f"{prefix}=")]
     complete = [name for name in names if path_exists(spark, f"{folder}/{name}/_SUCCESS")]
@@ -42,15 +42,15 @@ def load_snapshot(snapshot: DataFrame, root: str) -> None:
 
     Only for a new state: below a later base it would never be read.
     """
-    if any(b >= 0 for b in _finished(snapshot.sparkSession, f"{root}/base", "upto")):
+    if any(b >= 0 for b in finished_folders(snapshot.sparkSession, f"{root}/base", "upto")):
         raise ValueError(f"{root} already has a base made from changes")
     snapshot.write.mode("overwrite").parquet(f"{root}/base/upto=-1")
 
 
 def full_state(spark: SparkSession, root: str, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key ever seen, deleted keys included."""
-    bases = _finished(spark, f"{root}/base", "upto")
-    batches = [b for b in _finished(spark, f"{root}/changes", "batch_id") if not bases or b > bases[-1]]
+    bases = finished_folders(spark, f"{root}/base", "upto")
+    batches = [b for b in finished_folders(spark, f"{root}/changes", "batch_id") if not bases or b > bases[-1]]
     if not bases and not batches:
         raise ValueError(f"no state under {root}")
     base = spark.read.parquet(f"{root}/base/upto={bases[-1]}") if bases else None
@@ -68,8 +68,8 @@ def current_rows(spark: SparkSession, root: str, keys: list[str], order: list[st
 
 def compact(spark: SparkSession, root: str, keys: list[str], order: list[str]) -> int | None:
     """Folds the finished batches into a new base; old folders stay for readers still on them."""
-    batches = _finished(spark, f"{root}/changes", "batch_id")
-    bases = _finished(spark, f"{root}/base", "upto")
+    batches = finished_folders(spark, f"{root}/changes", "batch_id")
+    bases = finished_folders(spark, f"{root}/base", "upto")
     if not batches or (bases and batches[-1] <= bases[-1]):
         return None
     full_state(spark, root, keys, order).write.mode("overwrite").parquet(f"{root}/base/upto={batches[-1]}")
@@ -78,12 +78,12 @@ def compact(spark: SparkSession, root: str, keys: list[str], order: list[str]) -
 
 def drop_superseded(spark: SparkSession, root: str, keep: int = KEEP_BASES) -> int:
     """Deletes bases older than the newest `keep` ones and the batches those already hold."""
-    bases = _finished(spark, f"{root}/base", "upto")
+    bases = finished_folders(spark, f"{root}/base", "upto")
     if len(bases) <= keep:
         return 0
     oldest_kept = bases[-keep]
     old = [f"{root}/base/upto={b}" for b in bases[:-keep]]
-    old += [f"{root}/changes/batch_id={b}" for b in _finished(spark, f"{root}/changes", "batch_id") if b <= oldest_kept]
+    old += [f"{root}/changes/batch_id={b}" for b in finished_folders(spark, f"{root}/changes", "batch_id") if b <= oldest_kept]
     for folder in old:
         delete_folder(spark, folder)
     return len(old)

@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from odsflow.plans.queries import QUERIES
+from odsflow.plans.load_queries import QUERIES as LOAD_QUERIES
+from odsflow.plans.queries import QUERIES as BASE_QUERIES
+
+QUERIES = {**BASE_QUERIES, **LOAD_QUERIES}
 
 
 def plan_of(spark, name, folder):
@@ -52,9 +55,10 @@ def test_shuffles(spark, folder, name, shuffles):
     assert plan_of(spark, name, folder).count("Exchange hashpartitioning") == shuffles
 
 
-def test_slices_reach_their_scans(spark, folder):
-    plan = plan_of(spark, "range_split_read", folder)
-    assert plan.count("FileScan") > 4 and "Sort" not in plan and "Aggregate" not in plan
+@pytest.mark.parametrize("name", ["range_split_read", "composite_split_read"])
+def test_rows_are_dealt_to_slices_in_one_scan(spark, folder, name):
+    plan = plan_of(spark, name, folder)
+    assert plan.count("FileScan") == 1 and "Sort" not in plan and "Aggregate" not in plan and "Exchange" not in plan
 
 
 def test_the_month_range_reaches_the_scan(spark, folder):

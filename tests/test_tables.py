@@ -515,14 +515,6 @@ def test_broken_keys_are_rejected(spark, tmp_path):
     assert bad == {(1, "a"): ["key:PRIMARY"], (1, "b"): ["key:PRIMARY"], (None, "c"): ["key:PRIMARY"], (2, "d"): ["key:uk"], (3, "d"): ["key:uk"]}
 
 
-def test_a_stage_that_holds_something_is_refused(spark, tmp_path):
-    (tmp_path / "stage").mkdir()
-    (tmp_path / "stage" / "mine.txt").write_text("x")
-    job = CopyJob("t", lambda s: s.range(3).toDF("id"), lambda df: None, stage=str(tmp_path / "stage"))
-    audit = copy_many(spark, [job]).first()
-    assert audit["status"] == "failed" and "not empty" in audit["error"] and (tmp_path / "stage" / "mine.txt").exists()
-
-
 def test_lengths_and_domains_come_from_the_type_text():
     rows = [{"column_name": n, "column_type": t} for n, t in
             (("a", "varchar(20)"), ("b", "CHAR(3)"), ("c", "enum('x','it''s')"), ("d", "int(10)"), ("e", "varchar"), ("f", "VARCHAR2(7 BYTE)"))]
