@@ -18,10 +18,12 @@ CLASSES, END, OTHER, FIRST = 64, 0, 1, 2
 SHARE = 1e-5
 #: Passes over the training texts that exchange words between classes; the best of their outcomes is kept.
 PASSES = 5
-#: Bytes of text in one block: the rarer words of a block are looked up together.
-BLOCK = 8 << 20
+#: Bytes of text whose words are found together, and in one block: the rarer words of a block are looked up together.
+CHUNK, BLOCK = 4 << 20, 16 << 20
 #: A word's count is lowered by this at most for words never seen.
 MOST_OFF = 0.9
+#: Words that a task counts before it sends them on.
+HELD = 1 << 20
 #: Words whose best exchange is sought in one task.
 SHARD = 256
 
@@ -50,10 +52,22 @@ def in_groups(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iter
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of the training texts, counted by group of texts."""
-    for batch in in_groups(batches, "body", BLOCK):
+    """(word, n) of the training texts, counted by group of texts; a task holds up to HELD words before it sends them on."""
+    held: list[pa.Table] = []
+
+    def added() -> pa.Table:
+        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+    for batch in in_groups(batches, "body", CHUNK):
         counted = tokens_of(batch.column("body"))[0].value_counts()
-        yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["word", "n"])
+        held.append(pa.table({"word": counted.field("values"), "n": counted.field("counts")}))
+        if sum(map(len, held)) > HELD:
+            held = [added()]
+            if len(held[0]) > HELD // 2:
+                yield from held[0].to_batches()
+                held = []
+    if held:
+        yield from added().to_batches()
 
 
 # --- texts as numbers of the frequent words, beside their rarer words --------------------------
@@ -65,7 +79,7 @@ def code_texts(frequent: pa.Array) -> Callable:
         from pyspark import TaskContext
 
         block, filled = TaskContext.get().partitionId() << 32, 0
-        for batch in in_groups(batches, "body", BLOCK):
+        for batch in in_groups(batches, "body", CHUNK):
             words, sizes = tokens_of(batch.column("body"))
             found = words.dictionary_encode()
             number = pc.fill_null(pc.index_in(found.dictionary, value_set=frequent), -1).to_numpy().astype("<u4") + np.uint32(1)
@@ -111,7 +125,7 @@ def neighbours(classes: np.ndarray) -> Callable:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, behind, twice = np.zeros(n * CLASSES, np.int64), np.zeros(n * CLASSES, np.int64), np.zeros(n, np.int64)
-        for batch in in_groups(batches, "codes", BLOCK):
+        for batch in in_groups(batches, "codes", CHUNK):
             line = with_ends(*sequence(batch.column("codes")), n - 1)
             left, right = line[:-1], line[1:]
             before += np.bincount(right * CLASSES + classes[left], minlength=n * CLASSES)
@@ -318,49 +332,57 @@ def place_words(logs: np.ndarray) -> Callable:
     `logs` has the logarithm of each class behind each other. Sums of an open word are carried from batch to batch, with its
     blocks; a word that no training text has stays in OTHER.
     """
-    into = logs.astype(np.float64)  # into[l] is a row of the classes behind l
-    out = np.ascontiguousarray(logs.T.astype(np.float64))  # out[r] is a row of the classes before r
+    into = logs.astype(np.float32)  # into[l] is a row of the classes behind l
+    out = np.ascontiguousarray(logs.T.astype(np.float32))  # out[r] is a row of the classes before r
+
+    def rows(words: pa.Array, which: np.ndarray, blocks: pa.Array, classes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [blocks, words.take(pa.array(which)), pa.array(classes[which].astype(np.int32)), pa.array(counts[which])],
+            names=["block", "word", "class", "n"],
+        )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, blocks, total, n = None, [], np.zeros(CLASSES), 0
-        no_block = pa.array([None], pa.int64())
-
-        def rows(words, blocks, totals, counts):
-            best = np.where(counts > 0, FIRST + np.argmax(totals[:, FIRST:], axis=1), OTHER)
-            size = [len(b) + 1 for b in blocks]
-            each = pa.concat_arrays([part for b in blocks for part in (pa.array(b), no_block)])
-            return pa.RecordBatch.from_arrays([
-                each, pa.array(words, pa.string()).take(pa.array(np.repeat(np.arange(len(size)), size))),
-                pa.array(np.repeat(best, size).astype(np.int32)), pa.array(np.repeat(counts, size)),
-            ], names=["block", "word", "class", "n"])
+        word, blocks, total, n = None, [], np.zeros(CLASSES), 0  # of the open word
+
+        def closed(words: pa.Array, which: np.ndarray, own_blocks: np.ndarray, sums: np.ndarray, counts: np.ndarray):
+            classes = np.where(counts > 0, FIRST + np.argmax(sums[:, FIRST:], axis=1), OTHER)
+            yield rows(words, which, pa.array(own_blocks), classes, counts)
+            yield rows(words, np.arange(len(words)), pa.nulls(len(words), pa.int64()), classes, counts)
+
+        def open_word():
+            own = np.concatenate(blocks)
+            return closed(pa.array([word]), np.zeros(len(own), np.int64), own, total[None, :], np.array([n]))
 
         for batch in in_groups(batches, "contexts", 1 << 20):
-            words = batch.column("word").dictionary_encode()
-            which = words.indices.to_numpy()
-            starts = group_starts(which)
-            contexts = batch.column("contexts")
-            each = pc.binary_length(contexts).to_numpy() // 2
-            flat = np.frombuffer(b"".join(contexts.to_pylist()), np.uint8).reshape(-1, 2)
-            sums = np.zeros((len(starts), CLASSES))
-            group = np.repeat(np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(which)))), each)
-            for some in (slice(i, i + 65536) for i in range(0, len(flat), 65536)):
-                part = into[flat[some, 0]] + out[flat[some, 1]]
+            column = batch.column("word")
+            starts = group_starts(column.dictionary_encode().indices.to_numpy())
+            words = column.take(pa.array(starts))
+            each = pc.binary_length(batch.column("contexts")).to_numpy().astype(np.int64) // 2
+            flat = np.frombuffer(b"".join(batch.column("contexts").to_pylist()), np.uint8).reshape(-1, 2)
+            sums, sizes = np.zeros((len(starts), CLASSES)), np.diff(np.append(starts, len(column)))
+            row_word = np.repeat(np.arange(len(starts)), sizes)
+            group = np.repeat(row_word, each)
+            for some in (slice(i, i + 32768) for i in range(0, len(flat), 32768)):
+                part = into[flat[some, 0]]
+                part += out[flat[some, 1]]
                 cuts = group_starts(group[some])
                 sums[group[some][cuts]] += np.add.reduceat(part, cuts, axis=0)
-            counts = np.add.reduceat(each, starts).astype(np.int64)
-            texts = words.dictionary.take(pa.array(which[starts])).to_pylist()
-            own_blocks = np.split(batch.column("block").to_numpy(), starts[1:])
-            if texts[0] == word:
-                own_blocks[0] = np.concatenate([*blocks, own_blocks[0]])
-                sums[0] += total
-                counts[0] += n
-            elif word is not None:
-                yield rows([word], [np.concatenate(blocks)], total[None, :], np.array([n]))
-            word, blocks, total, n = texts[-1], [own_blocks[-1]], sums[-1], int(counts[-1])
-            if len(texts) > 1:
-                yield rows(texts[:-1], own_blocks[:-1], sums[:-1], counts[:-1])
+            counts, own_blocks = np.add.reduceat(each, starts), batch.column("block").to_numpy()
+            if word is not None and words[0].as_py() != word:
+                yield from open_word()
+                word, blocks, total, n = None, [], np.zeros(CLASSES), 0
+            sums[0] += total
+            counts[0] += n
+            last = int(starts[-1])
+            if len(starts) > 1:
+                carried = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+                which = np.concatenate([np.zeros(len(carried), np.int64), row_word[:last]])
+                yield from closed(words.slice(0, len(words) - 1), which, np.concatenate([carried, own_blocks[:last]]), sums[:-1], counts[:-1])
+                blocks = []
+            word, total, n = words[len(words) - 1].as_py(), sums[-1], int(counts[-1])
+            blocks.append(own_blocks[last:])
         if word is not None:
-            yield rows([word], [np.concatenate(blocks)], total[None, :], np.array([n]))
+            yield from open_word()
 
     return placed
 

@@ -47,9 +47,12 @@ def phrase_windows(items: DataFrame, window: int = WINDOW, id_col: str = "item_i
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n): how often each of `terms` stands in the documents; terms that never do are left out."""
-    found = docs.select(F.explode(words_of(named(text_col))).alias("term"))
-    return found.join(checked_broadcast(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    """(term, n): how often each of `terms` stands in the documents; terms that never do are left out.
+
+    Words are counted before the join, so what is shuffled is a row a task and different word, however many terms there are.
+    """
+    found = docs.select(F.explode(words_of(named(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(terms, "term")
 
 
 def rarest_terms(windows: DataFrame, counts: DataFrame) -> DataFrame:

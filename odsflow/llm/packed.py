@@ -269,7 +269,8 @@ def write_ids(
     """
     ordered = docs.select(named(id_col).cast("long").alias("doc_id"), utf8(named(text_col)).alias("body"))
     by_id = [F.col("doc_id").asc_nulls_last(), F.col("body").asc()]
-    spread = ordered.repartitionByRange(F.isnull("doc_id"), "doc_id").sortWithinPartitions(*by_id)
+    # rows of one id, or without one, are dealt by the beginning of their text, in the order they are written in
+    spread = ordered.repartitionByRange(F.isnull("doc_id"), "doc_id", F.substring("body", 1, 64)).sortWithinPartitions(*by_id)
     sharded = spread.select(F.spark_partition_id().alias("shard"), "doc_id", "body")
     sharded.mapInArrow(packer(tokenizer, end_id), BLOCK).write.parquet(path)
 

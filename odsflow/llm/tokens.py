@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from odsflow.llm.common import named
 
-#: Letters the quick path knows; a text with any character beyond these and printable ASCII goes to the library whole.
+#: Letters that are known without asking the library; characters beyond these and printable ASCII are classed by it, once each.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(rf"[\t\n\r -~{LETTERS}]*")
 #: The published pre-token pattern of byte-level BPE, for texts of those characters (fixed value).
@@ -64,14 +64,38 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Classes(dict):
+    """For `str.translate`: a known character of the same class for every character, found by asking the library's pre-tokeniser.
+
+    A letter joins two letters into one pre-token, a digit two digits, another sign two signs; white space joins none of
+    them and joins itself. A character of which none of this holds becomes UNKNOWN.
+    """
+
+    UNKNOWN = "\ufffe"
+
+    def __init__(self, pieces):
+        super().__init__({ord(c): c for c in map(chr, range(0x20, 0x7F))} | {ord(c): c for c in "\t\n\r"})
+        self.pieces = pieces
+
+    def __missing__(self, code: int) -> str:
+        char, found = chr(code), []
+        for known, text in (("a", "a{}a"), ("0", "0{}0"), ("!", "!{}!")):
+            if self.pieces(text.format(char)) == 1 and self.pieces(" " + char) == 1:
+                found.append(known)
+        if not found and all(self.pieces(f"{c}{char}{c}") == 3 for c in "a0!") and self.pieces(char * 2) == 1:
+            found.append("\t")
+        self[code] = found[0] if len(found) == 1 else self.UNKNOWN
+        return self[code]
+
+
 class TokenCounter:
     """Counts tokens as the library does, for byte-level BPE vocabularies.
 
     Offline, each vocabulary string that is a text is shown to the model alone; those that come
     back as exactly one token, their own, are whole tokens. A pre-token in that set counts one
-    without any merge; only the others are merged, once each while they are remembered. Texts with
-    characters outside the quick path's alphabet, or with the text of an added token, are left to
-    the library as a whole.
+    without any merge; only the others are merged, once each while they are remembered. A text of any script is cut into
+    pre-tokens by the classes of its characters (see Classes). Only texts with a character without a class, or with the
+    text of an added token, are left to the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -80,6 +104,7 @@ class TokenCounter:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = frozenset(self._whole_tokens())
         self.merged = Remembered(self._merge)
+        self.classes = Classes(lambda text: len(self.tokenizer.pre_tokenizer.pre_tokenize_str(text)))
 
     def _whole_tokens(self):
         byte_of = {s: b for b, s in self.symbols.items()}
@@ -96,10 +121,19 @@ class TokenCounter:
         mapped = "".join(self.symbols[b] for b in pre_token.encode())
         return len(self.tokenizer.model.tokenize(mapped))
 
+    def pre_tokens(self, text: str) -> list[str] | None:
+        """The pieces that are encoded on their own; None if a character has no class."""
+        if PLAIN.fullmatch(text):
+            return PRE_TOKENS.findall(text)
+        known = text.translate(self.classes)
+        if Classes.UNKNOWN in known:
+            return None
+        return [text[m.start():m.end()] for m in PRE_TOKENS.finditer(known)]
+
     def count(self, text: str) -> int:
-        if not PLAIN.fullmatch(text) or any(a in text for a in self.added):
+        pre_tokens = None if any(a in text for a in self.added) else self.pre_tokens(text)
+        if pre_tokens is None:
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        pre_tokens = PRE_TOKENS.findall(text)
         whole, merged = self.whole, self.merged
         rest = [p for p in pre_tokens if p not in whole]
         return len(pre_tokens) - len(rest) + sum([merged[p] for p in rest])

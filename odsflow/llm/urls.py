@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,34 +19,8 @@ STEPS, RATE, RIDGE = 400, 1.0, 1e-3
 #: The labelled table is read on the driver; a larger one is refused.
 MAX_LABELLED = 100_000
 
-#: A small table of invented addresses (fixed values): label 1 is wanted, 0 is not.
-LABELLED = (
-    ("https://www.city-library.example.com/en/opening-hours", 1), ("https://news.example.org/en/world/2024", 1),
-    ("https://blog.gardening.example.com/de/rosen", 1), ("http://museum.example.org/fr/expositions", 1),
-    ("https://docs.software.example.net/guide/install", 1), ("https://m.weather.example.com/es/madrid", 1),
-    ("http://university.example.org/research/physics", 1), ("https://wiki.history.example.org/en/305", 1),
-    ("https://www.recipes.example.com/fr/soupe.html", 1), ("http://school.example.net/calendar/12", 1),
-    ("https://blog.travel.example.org/en/77.html", 1), ("https://forum.cycling.example.com/thread/512?page=2", 1),
-    ("http://www.townhall.example.org/de/rathaus/", 1), ("https://theatre.example.com/en/420#top", 1),
-    ("https://m.science.example.net/en/98", 1), ("http://orchestra.example.org/es/671", 1),
-    ("https://www.nature.example.com/en/15?utm_source=feed", 1), ("https://blog.thought.example.com/en/853/", 1),
-    ("http://the-reader.example.org/fr/414", 1), ("https://www.other.example.org/en/471", 1),
-    ("https://thesis.example.net/de/612", 1), ("http://m.station.example.com/en/25#top", 1),
-    ("https://national-park.example.org/en/328/", 1), ("https://www.hospital.example.net/es/978?page=2&ref=x", 1),
-    ("http://www.cheap-pills.example.com/en/offer", 0), ("https://spam-farm.example.org/en/links", 0),
-    ("http://best-casino.example.net/en/bonus", 0), ("https://win-prize.example.com/claim-now", 0),
-    ("http://free-money.example.org/click", 0), ("https://hot-dates.example.net/xxx/1", 0),
-    ("http://buy-pills-online.example.com/cheap/77", 0), ("https://www.casino-slots.example.org/de/spin", 0),
-    ("http://porn-tube.example.com/video/9", 0), ("https://link-farm.example.net/en/450", 0),
-    ("http://cheap-loans.example.org/apply?ref=x", 0), ("https://payday-loans.example.com/fr/offer", 0),
-    ("http://replica-watches.example.net/sale", 0), ("https://free-download-crack.example.org/keygen", 0),
-    ("http://adult-cams.example.com/live", 0), ("https://betting-tips.example.net/en/odds", 0),
-    ("http://m.cheap-viagra.example.org/en/15", 0), ("https://lottery-winner.example.com/prize/728", 0),
-    ("http://seo-spam.example.net/en/728?utm_source=feed", 0), ("https://www.spam-links.example.com/es/98.html", 0),
-    ("http://malware-download.example.org/free.exe", 0), ("https://clickbait-farm.example.net/shock/5", 0),
-    ("http://pills-shop.example.com/en/671", 0), ("https://miracle-diet.example.org/buy-now", 0),
-)
-
+#: A small table of invented addresses, used unless another is named: label 1 is wanted, 0 is not.
+LABELLED = Path(__file__).with_name("labelled_urls.csv")
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -122,9 +98,13 @@ def score(weights: np.ndarray, host_text: str, path_text: str) -> float:
     return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
-def labelled_table(spark: SparkSession) -> DataFrame:
-    """The small table of labelled addresses that is used unless another is given."""
-    return spark.createDataFrame(list(LABELLED), "url string, label int")
+def labelled_table(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Labelled addresses (url, label) from a CSV file with a header; without a path, the small table beside this module."""
+    if path:
+        return spark.read.schema("url string, label int").csv(path, header=True)
+    with LABELLED.open(newline="") as lines:
+        rows = [(r["url"], int(r["label"])) for r in csv.DictReader(lines)]
+    return spark.createDataFrame(rows, "url string, label int")
 
 
 def train(labelled: DataFrame) -> np.ndarray:

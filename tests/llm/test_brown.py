@@ -46,6 +46,7 @@ def test_rarer_words_take_the_long_way_to_the_same_counts(spark, docs, rows, mon
     """With a share above most words', nearly all are rarer words; blocks of a few hundred bytes are looked up apart."""
     monkeypatch.setattr(brown, "SHARE", 0.01)
     monkeypatch.setattr(brown, "BLOCK", 500)
+    monkeypatch.setattr(brown, "CHUNK", 300)
     got = brown.score_texts(docs, F.col("doc_id") % 3 != 1).collect()
     same_counts(got, brute_base([(i, t) for i, t, _, _ in rows], lambda i: i is not None and i % 3 != 1))
 
@@ -131,3 +132,26 @@ def test_probabilities_sum_to_one_behind_every_word():
         known = 10 ** (logs[before, classes] + emissions.word_log(classes, counts))
         end = 10 ** (logs[before, 0] + emissions.word_log(np.array([0]), np.array([1]))[0])
         assert known.sum() + end + 10 ** logs[before, brown.OTHER] == pytest.approx(1)
+
+
+def test_rarer_words_are_placed_by_all_their_contexts():
+    """Words over any number of batches, against a plain sum."""
+    rng, logs = random.Random(1), np.log(np.random.default_rng(0).random((brown.CLASSES, brown.CLASSES)))
+    rows = [
+        (f"w{i:03}", rng.randrange(10), bytes(rng.randrange(brown.CLASSES) for _ in range(2 * rng.choice([0, 1, 3]))))
+        for i in range(200) for _ in range(rng.randint(1, 5))
+    ]
+    contexts, blocks, expected = {}, {}, []
+    for word, block, found in rows:
+        contexts[word] = contexts.get(word, b"") + found
+        blocks.setdefault(word, []).append(block)
+    for word, found in contexts.items():
+        n = len(found) // 2
+        sums = sum((logs[found[2 * i]] + logs[:, found[2 * i + 1]] for i in range(n)), np.zeros(brown.CLASSES))
+        own = brown.FIRST + int(np.argmax(sums[brown.FIRST:])) if n else brown.OTHER
+        expected += [(block, word, own, n) for block in [*blocks[word], None]]
+    schema = pa.schema([("word", pa.string()), ("block", pa.int64()), ("contexts", pa.binary())])
+    for size in (1, 2, 7, 5000):
+        parts = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + size]), schema)], schema=schema) for i in range(0, len(rows), size)]
+        got = [r for part in brown.place_words(logs)(iter(parts)) for r in zip(*[c.to_pylist() for c in part.columns])]
+        assert sorted(got, key=repr) == sorted(expected, key=repr)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -64,3 +66,14 @@ def test_counts_of_a_table(docs, rows, no_docs):
         expected.append((doc_id is None, doc_id or 0, len((text or "").encode()), n, n > 100))
     assert found == sorted(expected)
     assert with_token_counts(no_docs).collect() == []
+
+
+def test_texts_of_all_scripts_take_the_quick_path():
+    rng, count = random.Random(1), counter(public_tokenizers.path("byte_bpe_50k.json"))
+    ranges = ((1, 0x600), (0x900, 0xA00), (0x2000, 0x2100), (0x3000, 0x3100), (0x4E00, 0x4E80), (0xFE00, 0xFF60), (0x1F600, 0x1F640), (0x10FFFE, 0x110000))
+    pool = [chr(i) for a, b in ranges for i in range(a, b)] + list(" ᠎﻿￾")
+    for _ in range(4000):
+        text = "".join(rng.choice(pool) if rng.random() < 0.5 else rng.choice("ab 's'll  \n\t12!?") for _ in range(rng.randint(1, 25)))
+        assert count.count(text) == len(library_ids("byte_bpe_50k.json", text)), repr(text)
+    for text in ("Привет, мир — «как» дела’s 42½ 日本語テキスト “quote” it’s", "naïve – x…"):
+        assert count.pre_tokens(text) is not None and "".join(count.pre_tokens(text)) == text

@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from odsflow.llm import urls
 from odsflow.llm.queries import URL_RULES
@@ -62,6 +63,37 @@ def test_the_classifier_tells_unseen_addresses_apart(weights):
     assert min(score(weights, *u) for u in good) > 0.5 > max(score(weights, *u) for u in bad)
 
 
+#: Addresses of hosts that are not in the training table (fixed values).
+OTHERS = [
+    ("http://www.art-museum.example.com/en/1", 1), ("https://blog.cooking.example.org/fr/recettes", 1), ("https://library.example.net/catalog/8", 1),
+    ("http://m.football.example.com/es/77", 1), ("https://www.mountain.example.org/de/wandern", 1), ("http://physics.example.net/en/lecture", 1),
+    ("https://newspaper.example.com/world/3", 1), ("http://tionsh.example.org/en/90", 1), ("https://www.therapist.example.com/en/2", 1),
+    ("http://discount-pills.example.com/en/3", 0), ("https://www.casino-royal.example.org/es/4", 0), ("http://spam-mail.example.net/en/5", 0),
+    ("https://free-casino-bonus.example.com/de/6", 0), ("http://money-prize.example.org/claim", 0), ("https://best-loans.example.net/apply", 0),
+    ("http://porn-videos.example.com/en/7", 0), ("https://viagra-shop.example.org/buy", 0), ("http://cheap-watches.example.net/offer", 0),
+]
+
+
+def test_accuracy_on_hosts_that_are_not_in_the_table(spark, weights):
+    known = {r["h"] for r in labelled_table(spark).select(urls.host(F.col("url")).alias("h")).collect()}
+    parts = spark.createDataFrame(OTHERS, "url string, label int").select(urls.host(F.col("url")).alias("h"), urls.path(F.col("url")).alias("p"), "label").collect()
+    assert not known & {r["h"] for r in parts}
+    assert np.mean([(score(weights, r["h"], r["p"]) >= 0.5) == r["label"] for r in parts]) >= 0.85
+
+
+def test_no_host_of_the_test_pages_is_in_the_table(spark, folder):
+    known = {r["h"] for r in labelled_table(spark).select(urls.host(F.col("url")).alias("h")).collect()}
+    for sf in (folder, folder.replace("0.001", "0.1")):
+        pages = spark.read.parquet(f"{sf}/pages.parquet").select(urls.host(F.col("url")).alias("h")).distinct()
+        assert not known & {r["h"] for r in pages.collect()}
+
+
+def test_the_table_can_be_another_file(spark, tmp_path):
+    (tmp_path / "own.csv").write_text("url,label\nhttp://a.org/x,1\nhttp://b.org/y,0\n")
+    own = labelled_table(spark, str(tmp_path / "own.csv"))
+    assert [tuple(r) for r in own.collect()] == [("http://a.org/x", 1), ("http://b.org/y", 0)]
+
+
 def test_fit_lowers_the_loss():
     rows = [("good.org", "/a", 1), ("bad.org", "/b", 0)]
     weights = fit(rows, steps=50)
