@@ -235,8 +235,9 @@ class Pairs:
         gain[right] -= rows[right, np.arange(len(right))]
         gain[left] -= columns[np.arange(len(left)), left]
         gain += xlogx(corner + before + behind + twice) - self.f[at, at]
-        gain -= xlogx(self.out + behind.sum() + twice) - xlogx(self.out)
-        return gain - (xlogx(self.into + before.sum() + twice) - xlogx(self.into))
+        out, into = self.out + before, self.into + behind  # the word's neighbours have it beside them, whatever its class
+        gain -= xlogx(out + behind.sum() + twice) - xlogx(out)
+        return gain - (xlogx(into + before.sum() + twice) - xlogx(into))
 
 
 def exchange(classes: np.ndarray, pairs: np.ndarray) -> Callable:

@@ -161,7 +161,7 @@ class Block:
 
     def pull(self, slopes: np.ndarray) -> np.ndarray:
         """Sums of slope * feature of each place, and of the slopes."""
-        pulled = np.bincount(self.places, self.values * slopes[self.rows], PLACES)
+        pulled = np.bincount(self.places, self.values * slopes[self.rows], PLACES).astype(np.float64)
         pulled[:MEASURED] += slopes @ self.measured
         return np.append(pulled, slopes.sum())
 

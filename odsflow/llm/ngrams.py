@@ -21,7 +21,7 @@ from odsflow.llm.common import written
 
 #: Code points in the longest n-grams.
 ORDER = 5
-#: Texts are dealt to two folds by their hash; each is scored under the counts of the other fold, so no text
+#: Texts are dealt to two folds by their hash; across words each is scored under the counts of the other fold, so no text
 #: (nor a copy of it) vouches for itself.
 FOLDS = 2
 ACROSS, WITHIN = "a", "w"
@@ -105,7 +105,7 @@ class Grams:
         sizes = pc.utf8_length(lines).to_numpy().astype(np.int64)
         self.counts = np.maximum(sizes - ORDER + 1, 0)
         self.codes, self.which = np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
-        if not len(codes):
+        if len(codes) < ORDER:
             return
         top = int(codes.max()) + 1
         seen = np.zeros(top, dtype=bool)
@@ -286,8 +286,8 @@ def look_up(rows: pa.Table, model: pa.Table) -> pa.Table:
     each, row = np.unique(rows.column("row").to_numpy(), return_inverse=True)
     weighed = logs.astype(np.float64) * rows.column("n").to_numpy()
     return pa.table({
-        "row": pa.array(each), "more_across": pa.array(np.bincount(row, weighed * across, len(each))),
-        "more_within": pa.array(np.bincount(row, weighed * ~across, len(each))),
+        "row": pa.array(each), "more_across": pa.array(np.bincount(row, weighed * across, len(each)), pa.float64()),
+        "more_within": pa.array(np.bincount(row, weighed * ~across, len(each)), pa.float64()),
     })
 
 

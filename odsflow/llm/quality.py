@@ -170,9 +170,9 @@ def quality_rules(
 
     Columns: doc_id, text_key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, surprise, perplexity, lower, upper, kept. Each language has two modified Kneser-Ney models, made of all its
-    texts and stored in sorted hash arrays (see `ngrams`): over code points across words, and over 32 signs within words. A
-    text is scored by the counts of the fold it is not in, and has to lie in the bands of both models; its row shows surprise and band
-    of the one in which it lies farther from the middle. A text fails the base rules with fewer than
+    texts and stored in sorted hash arrays (see `ngrams`): over code points across words, where a text is scored by the counts of the
+    fold it is not in, and over 32 signs within words, by the counts of all texts. A text has to lie in the bands of both
+    models; its row shows surprise and band of the one in which it lies farther from the middle. A text fails the base rules with fewer than
     MIN_WORDS words or more than MAX_REPEATED_PERCENT percent of them in repeated windows; others
     are kept if their surprise lies in the band of their language: each lang value has models and a
     band of its own, NULL those of the empty name. NULL texts are empty and fail. Repeated rows each get
@@ -183,7 +183,10 @@ def quality_rules(
         F.pmod(text_key(text_col), F.lit(ngrams.FOLDS)).cast("int").alias("fold"), utf8(named(text_col)).cast("string").alias("body"),
     )
     counted = own.select("lang", "fold", "body").mapInArrow(ngrams.count_grams, ngrams.COUNTED)
-    counted = written(counted.groupBy("slot", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts")
+    counted = counted.groupBy("slot", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    own_fold, both = F.col("slot").startswith(ACROSS), F.col("c0") + F.col("c1")
+    counted = counted.select("slot", "gram", *[F.when(own_fold, F.col(c)).otherwise(both).alias(c) for c in ("c0", "c1")])
+    counted = written(counted, "counts")
     model = written(ngrams.log_table(counted), "model")
     shared = docs.sparkSession.sparkContext.broadcast(ngrams.frequent_arrays(model, counted))
     found = written(own.mapInArrow(score_chunks(shared), f"{SCORED}, {RARE}"), "scored")

@@ -171,7 +171,7 @@ def brute_verdicts(rows, fold_of):
     for model in (ACROSS, WITHIN):
         for lang in {x[2] for x in texts}:
             own = [x for x in texts if x[2] == lang]
-            counts = [Counter(g for _, t, _ in own if fold_of[t] == f for g in brute_grams(t)[model]) for f in (0, 1)]
+            counts = [Counter(g for _, t, _ in own if model == WITHIN or fold_of[t] == f for g in brute_grams(t)[model]) for f in (0, 1)]
             every = set(counts[0]) | set(counts[1])
             logs = [brute_log({g: counts[1 - f][g] for g in every}) if every else {} for f in (0, 1)]
             for _, t, _ in own:
