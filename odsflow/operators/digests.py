@@ -34,9 +34,23 @@ def _name(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def cell_of(ranges: Ranges, level: int = 0) -> Column:
-    """The range a row's leading key lies in; NULL has a range of its own, below all others."""
-    return F.coalesce(F.floor(_name(ranges.column) / (ranges.width * FANOUT ** level)).cast("long"), F.lit(-(1 << 62)))
+#: The cell of rows without a leading key, below all others.
+NO_KEY = -(1 << 62)
+
+
+def _floor_div(value: Column, by: int) -> Column:
+    """Whole division that rounds down, exact for all whole numbers (a plain division goes through doubles)."""
+    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+
+
+def cell_of(ranges: Ranges) -> Column:
+    """The lowest range a row's leading key lies in; NULL has a range of its own."""
+    return F.coalesce(_floor_div(_name(ranges.column).cast("long"), ranges.width), F.lit(NO_KEY))
+
+
+def above(cell: Column) -> Column:
+    """The cell of the next level."""
+    return F.when(cell == NO_KEY, cell).otherwise(_floor_div(cell, FANOUT))
 
 
 def row_hash(columns: list[str]) -> Column:
@@ -58,8 +72,7 @@ def leaf_digests(df: DataFrame, ranges: Ranges) -> DataFrame:
 
 def next_level(digests: DataFrame, level: int) -> DataFrame:
     """The level above: FANOUT ranges become one."""
-    up = F.when(F.col("cell") == -(1 << 62), F.col("cell")).otherwise(F.floor(F.col("cell") / FANOUT))
-    return digests.groupBy(up.alias("cell")).agg(
+    return digests.groupBy(above(F.col("cell")).alias("cell")).agg(
         F.sum("n").alias("n"), F.pmod(F.sum("low"), F.lit(MODULUS)).alias("low"), F.pmod(F.sum("high"), F.lit(MODULUS)).alias("high"),
         F.bit_xor("mixed").alias("mixed"),
     ).select(F.lit(level).alias("level"), "cell", "n", "low", "high", "mixed")
@@ -94,8 +107,7 @@ def differing_cells(spark, left: str, right: str, tops: tuple[int, int], ranges:
         for path, own_top in zip((left, right), tops):
             digests = _level(spark, path, level, own_top, ranges)
             if wanted is not None:
-                up = F.when(F.col("cell") == -(1 << 62), F.col("cell")).otherwise(F.floor(F.col("cell") / FANOUT))
-                digests = digests.join(wanted.select(F.col("cell").alias("_above")), up == F.col("_above"), "left_semi")
+                digests = digests.join(wanted.select(F.col("cell").alias("_above")), above(F.col("cell")) == F.col("_above"), "left_semi")
             sides.append(digests.select("cell", F.struct("n", "low", "high", "mixed").alias("digest")))
         a, b = sides
         wanted = a.join(b.withColumnRenamed("digest", "other"), "cell", "full_outer").filter(
@@ -119,11 +131,11 @@ def rows_in(df: DataFrame, cells: DataFrame, ranges: Ranges) -> DataFrame:
     """The rows of some cells. A few are named as key ranges, which reach the scan, so that files and row groups outside them
     are not read; more than MOST_RANGES are joined."""
     listed = [r[0] for r in cells.limit(MOST_RANGES * FANOUT + 1).collect()]
-    merged = merged_ranges([c for c in listed if c != -(1 << 62)], ranges.width)
+    merged = merged_ranges([c for c in listed if c != NO_KEY], ranges.width)
     if len(listed) > MOST_RANGES * FANOUT or len(merged) > MOST_RANGES:
         return df.join(cells.select(F.col("cell").alias("_cell")), cell_of(ranges) == F.col("_cell"), "left_semi")
     key = _name(ranges.column)
-    parts = [(key >= a) & (key < b) for a, b in merged] + ([key.isNull()] if -(1 << 62) in listed else [])
+    parts = [(key >= a) & (key < b) for a, b in merged] + ([key.isNull()] if NO_KEY in listed else [])
     return df.filter(reduce(or_, parts)) if parts else df.filter(F.lit(False))
 
 

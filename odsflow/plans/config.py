@@ -9,7 +9,8 @@ A table copy:
      "budget": {"records": 0, "share": 0.02}}
 
 With `"incremental": {"column": "changed_at", "marks": "..."}` only rows above the stored mark are read; the
-sink kind `slices` keeps such loads apart, so that a repeated one replaces itself.
+sink kind `slices` keeps such loads apart, so that a repeated one replaces itself. `"key_index": "..."` beside it names a folder for the
+keys of earlier loads; a row whose key (see `keys`) is there is a reject.
 
 An ETL: `{"sources": {view: source}, "steps": [{"view", "sql"}], "sink": {...}}`.
 
@@ -18,8 +19,9 @@ A stream, run every `seconds` (without it: once over all that is there):
     {"source": {"kind": "kafka", "servers": "...", "topic": "..."},
      "flow": {"kind": "lines", "delimiter": "#", "target": "...", "checkpoint": "..."}, "seconds": 10}
 
-Flows: `lines`, `lines_jdbc`, `changes` (lake), `feed` (a raw feed into the lake), `changes_jdbc`, `inserts`, `alerts`; their other keys are the
-arguments of the function behind them. Messages of the last four are JSON of the schema in `source`.
+Flows: `lines`, `lines_jdbc`, `changes` (lake), `feed` (a raw feed into the lake), `changes_jdbc`, `inserts`, `alerts`, `summary`
+(kept up from a raw feed; its key `summary` has `group`, `sums`, `unit` and `where`); their other keys are the
+arguments of the function behind them. Messages of all but the first two are JSON of the schema in `source`.
 """
 
 from __future__ import annotations
@@ -36,11 +38,13 @@ from odsflow.operators.quality import ErrorBudget, KeySpec
 from odsflow.plans.jobs import CHANNELS, CopyJob, Incremental, copy_many
 from odsflow.plans.steps import Step, run_steps
 from odsflow.sinks import jdbc as jdbc_sink, tables as table_sink
+from odsflow.sinks.clustered import save_clustered
 from odsflow.sources import jdbc as jdbc_source
 from odsflow.sources.incremental import rows_above, slice_writer
 from odsflow.sources.kafka import kafka_lines
 from odsflow.streaming.alerts import append_alerts
 from odsflow.streaming.delimited import append_lines, append_lines_jdbc
+from odsflow.streaming.summaries import Summary, summarise_feed
 from odsflow.streaming.upsert import append_inserts, upsert_feed, upsert_stream, upsert_stream_jdbc
 
 FILE_KINDS = ("parquet", "orc", "csv", "json")
@@ -80,6 +84,7 @@ SINKS: dict[str, Callable[..., None]] = {
     "partitions": table_sink.overwrite_partitions,
     "partitions_append": table_sink.append_partitioned,
     "bucketed": table_sink.save_bucketed,
+    "clustered": save_clustered,
 }
 
 
@@ -113,6 +118,7 @@ def copy_job(entry: dict) -> CopyJob:
         write_rejects=(lambda df: write_sink(df, rejects)) if rejects else None,
         stage=entry.get("stage"),
         incremental=Incremental(**incremental) if incremental else None,
+        key_index=entry.get("key_index"),
     )
 
 
@@ -145,6 +151,11 @@ def stream_source(spark: SparkSession, entry: dict) -> DataFrame:
     return from_json_lines(lines, entry["schema"]) if "schema" in entry else lines
 
 
+def summary_flow(rows: DataFrame, summary: dict, **options) -> StreamingQuery:
+    """The upkeep of a summary (see `streaming.summaries.Summary`) from a raw change feed."""
+    return summarise_feed(rows, summary=Summary(**summary), **options)
+
+
 FLOWS: dict[str, Callable[..., StreamingQuery]] = {
     "lines": append_lines,
     "lines_jdbc": append_lines_jdbc,
@@ -153,6 +164,7 @@ FLOWS: dict[str, Callable[..., StreamingQuery]] = {
     "changes_jdbc": upsert_stream_jdbc,
     "inserts": append_inserts,
     "alerts": append_alerts,
+    "summary": summary_flow,
 }
 
 

@@ -1,5 +1,6 @@
 """Loads that go on: keys across loads, chunked copies, summaries from changes, digests, feed positions, dictionaries."""
 
+import json
 import random
 import time
 from collections import Counter
@@ -9,12 +10,14 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from odsflow import session as session_module
 from odsflow.functions.ranges import literal, range_predicates, skewed_predicates, slices_of, sorted_cuts, tuple_predicates
 from odsflow.operators import digests, key_index, positions
 from odsflow.operators.quality import REASONS, BudgetExceeded, ErrorBudget, KeySpec
 from odsflow.plans import load_queries
+from odsflow.plans.config import run_copies, start_stream
 from odsflow.plans.dictionary import copy_plan, jobs_from_plan
 from odsflow.plans.jobs import CopyJob, Incremental, copy_table, jobs_from_columns
 from odsflow.sinks import clustered, tables as sink
@@ -316,6 +319,13 @@ def test_digest_differences_equal_a_full_comparison(spark, tmp_path, seed):
     assert compare(spark, tmp_path, old, new) == brute_differences(old, new)
 
 
+def test_keys_beyond_doubles(spark, tmp_path):
+    big = 2**62
+    old = [(big + i, 0, "x") for i in range(-9, 9)] + [(-big - 1, 0, "x"), (-1, 0, "x"), (-4, 0, "x")]
+    new = [(k, n, "y" if k in (big + 1, big + 4, -4) else v) for k, n, v in old]
+    assert compare(spark, tmp_path, old, new) == brute_differences(old, new)
+
+
 def test_equal_versions_are_not_read(spark, tmp_path):
     rows = [(i, 0, "x") for i in range(500)]
     assert compare(spark, tmp_path, rows, rows[::-1]) == {}
@@ -700,3 +710,43 @@ def test_flush_query(spark, folder):
     rows = load_queries.QUERIES["stream_count_or_time_flush"](spark, folder).collect()
     got = sorted((r["key"], r["flush_no"], r["reason"], r["payloads"]) for r in rows)
     assert got == sorted(brute_flushes(events, 20, 12 * 3600)[0])
+
+
+# --- the same as JSON ----------------------------------------------------------------------------
+
+def test_json_copies_know_earlier_keys(spark, tmp_path):
+    def run(rows):
+        spark.createDataFrame(rows, "id int, t int").write.mode("overwrite").parquet(f"{tmp_path}/source")
+        job = {
+            "name": "t", "source": {"kind": "parquet", "path": f"{tmp_path}/source"}, "sink": {"kind": "slices", "path": f"{tmp_path}/rows"},
+            "keys": [{"name": "PRIMARY", "columns": ["id"], "primary": True}], "budget": {"records": None, "share": 1.0},
+            "incremental": {"column": "t", "marks": f"{tmp_path}/marks"}, "key_index": f"{tmp_path}/index",
+        }
+        (tmp_path / "jobs.json").write_text(json.dumps({"copies": [job]}))
+        row = run_copies(spark, str(tmp_path / "jobs.json")).first()
+        return row["status"], row["rows_out"], row["rejected"]
+
+    assert run([(1, 1), (2, 2)]) == ("success", 2, 0)
+    assert run([(1, 1), (2, 2), (2, 3), (3, 4)]) == ("success", 1, 1)
+
+
+def test_json_summary_stream(spark, tmp_path):
+    lines = [
+        {"seq": i, "kind": "insert", "db": "d", "tbl": "sales", "rows": [{"values": {"id": i, "amount": "1.50", "time": f"2024-01-0{i}T10:00:00"}}]}
+        for i in (1, 2, 3)
+    ]
+    lines.append({"seq": 4, "kind": "delete", "db": "d", "tbl": "sales", "rows": [{"values": {"id": 3, "amount": "1.50", "time": "2024-01-03T10:00:00"}}]})
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.txt").write_text("\n".join(map(json.dumps, [*lines, lines[0]])))
+    image = "struct<id: int, amount: decimal(10,2), time: timestamp_ntz>"
+    config = {
+        "source": {"kind": "files", "path": str(tmp_path / "feed"),
+                   "schema": f"seq long, kind string, db string, tbl string, rows array<struct<values: {image}, before_values: {image}, after_values: {image}>>"},
+        "flow": {"kind": "summary", "root": str(tmp_path / "state"),
+                 "summary": {"group": {"day": "CAST(time AS DATE)"}, "sums": {"amount": "amount"}, "unit": "date_format(time, 'yyyy-MM')"}},
+    }
+    (tmp_path / "stream.json").write_text(json.dumps(config))
+    start_stream(spark, str(tmp_path / "stream.json")).awaitTermination()
+    schema = StructType.fromDDL("unit string, day date, row_cnt bigint, amount decimal(38,2)")
+    got = summaries.current_summary(spark, str(tmp_path / "state"), schema).orderBy("day").collect()
+    assert [(str(r["day"]), r["row_cnt"], r["amount"]) for r in got] == [("2024-01-01", 1, Decimal("1.50")), ("2024-01-02", 1, Decimal("1.50"))]
