@@ -22,8 +22,8 @@ STEPS, RATE, RIDGE = 60, 0.1, 1e-5
 FOLDS = 5
 #: Bytes of text whose features are found together, and texts in one row of the feature table.
 CHUNK, TEXTS = 4 << 20, 512
-#: Pieces in which the gradients of all tasks are added up.
-PIECES = 16
+#: Pieces in which the gradients of all tasks are added up, and rows of the feature table that a task of a step reads at least.
+PIECES, ROWS_A_TASK = 16, 64
 
 SHAPES = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256)
@@ -321,6 +321,8 @@ def train(
     made = texts.mapInArrow(feature_rows, FEATURES).join(known, F.col("doc_id") == F.col("id"), "left")
     packed = made.select((F.col("good") == 1).alias("good"), "n_words", "measured", "places", "counts").mapInArrow(pack, BLOCKS)
     blocks = written(packed, "features")
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, blocks.count() // ROWS_A_TASK)  # each leaves a vector a step
+    blocks = blocks.coalesce(tasks)
     base = total_of(blocks, positive_features)
     if not len(base):
         base = np.zeros(PLACES + 1)
