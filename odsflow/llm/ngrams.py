@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from odsflow.llm.common import written
+from odsflow.llm.common import group_starts, written
 
 #: Code points in the longest n-grams.
 ORDER = 5
@@ -28,9 +28,13 @@ ACROSS, WITHIN = "a", "w"
 #: Rows with at least this share of all counted n-grams are frequent: at most 10 million, 160 MB.
 FREQUENT = 1e-7
 #: Bytes of text whose n-grams are found together, and counted n-grams a task holds before it sends them on.
-CHUNK, HELD = 2 << 20, 1 << 20
+CHUNK, HELD = 1 << 20, 1 << 20
 #: Rows of the model in one hash partition, about.
 PART = 400_000
+#: A text's row number is its scan task's number above this many bits, and its place in the task.
+ROW_BITS = 40
+#: What rarer n-grams add to a text's sums.
+MORE = ("more_across", "more_within")
 
 
 # --- signs -------------------------------------------------------------------------------------
@@ -114,14 +118,14 @@ class Grams:
         signs, dense_of = np.unique([sign(c) for c in each.tolist()], return_inverse=True)
         to = np.zeros(top, dtype=np.int64)
         to[each] = dense_of
-        dense = to[codes]
+        bits = max(1, int(len(signs) - 1).bit_length())
+        dense = to.astype(np.int32 if ORDER * bits < 32 else np.int64)[codes]  # half the memory for all but the largest alphabets
         inside = np.ones(len(codes) - ORDER + 1, dtype=bool)
         ends = np.cumsum(sizes)[:-1]
         for back in range(1, ORDER):  # windows that reach from one line into the next
             at = ends - back
             inside[at[(at >= 0) & (at < len(inside))]] = False
-        number, bits = dense[:len(inside)], max(1, int(len(signs) - 1).bit_length())
-        width = bits
+        number, width = dense[:len(inside)], bits
         for i in range(1, ORDER):
             if width + bits > 62:
                 number = pa.array(number).dictionary_encode().indices.to_numpy().astype(np.int64)
@@ -275,7 +279,7 @@ def scored(found: Grams, slot: str, arrays: HashArrays) -> tuple[list[np.ndarray
 
 
 def look_up(rows: pa.Table, model: pa.Table) -> pa.Table:
-    """The sums of n * log of a hash partition's rarer n-grams, by row of the texts and model."""
+    """The sums of n * log of a hash partition's rarer n-grams, by row of the texts and model, packed by scan task."""
     arrays = HashArrays.of(model)
     at, there = arrays.find(table_hashes(rows))
     if not there.all():
@@ -283,26 +287,36 @@ def look_up(rows: pa.Table, model: pa.Table) -> pa.Table:
     fold = rows.column("fold").to_numpy()
     logs = np.where(fold == 0, *[log[at] for log in arrays.logs]) if len(at) else np.zeros(0)
     across = pc.starts_with(rows.column("slot"), ACROSS).to_numpy()
-    each, row = np.unique(rows.column("row").to_numpy(), return_inverse=True)
     weighed = logs.astype(np.float64) * rows.column("n").to_numpy()
-    return pa.table({
-        "row": pa.array(each), "more_across": pa.array(np.bincount(row, weighed * across, len(each)), pa.float64()),
-        "more_within": pa.array(np.bincount(row, weighed * ~across, len(each)), pa.float64()),
-    })
+    each, row = np.unique(rows.column("row").to_numpy(), return_inverse=True)
+    sums = [np.bincount(row, weighed * part, len(each)).astype(np.float64) for part in (across, ~across)]
+    source = each >> ROW_BITS
+    cuts = [*group_starts(source), len(each)] if len(each) else []
+    cells = [[column[i:j].tobytes() for i, j in zip(cuts, cuts[1:])] for column in (each, *sums)]
+    return pa.table({"source": pa.array(source[np.array(cuts[:-1], np.int64)], pa.int64()), **{n: pa.array(c, pa.binary()) for n, c in zip(("rows", *MORE), cells)}})
+
+
+def add_rows(sums: pa.Table) -> pa.Table:
+    """The sums of the rows of one scan task over all hash partitions."""
+    rows = np.frombuffer(b"".join(sums.column("rows").to_pylist()), np.int64)
+    each, at = np.unique(rows, return_inverse=True)
+    added = [np.bincount(at, np.frombuffer(b"".join(sums.column(n).to_pylist()), np.float64), len(each)) for n in MORE]
+    return pa.table({"row": pa.array(each), **{n: pa.array(v, pa.float64()) for n, v in zip(MORE, added)}})
 
 
 def rarer_sums(rare: DataFrame, model: DataFrame, n_rows: int) -> DataFrame:
     """(row, more_across, more_within): what the rarer n-grams (row, slot, gram, fold, n) add to their texts' sums.
 
-    Both sides are dealt to hash partitions of about PART of the `n_rows` rows of the larger one.
+    Both sides are dealt to hash partitions of about PART of the `n_rows` rows of the larger one. What a partition answers is
+    packed by the scan task that the rows come from, and added up there.
     """
     parts = max(1, -(-n_rows // PART))
 
     def dealt(df: DataFrame):
         return df.withColumn("part", F.pmod(F.xxhash64("slot", "gram"), F.lit(parts))).groupBy("part")
 
-    found = dealt(rare).cogroup(dealt(model)).applyInArrow(look_up, "row long, more_across double, more_within double")
-    return found.groupBy("row").agg(F.sum("more_across").alias("more_across"), F.sum("more_within").alias("more_within"))
+    found = dealt(rare).cogroup(dealt(model)).applyInArrow(look_up, "source long, rows binary, more_across binary, more_within binary")
+    return found.groupBy("source").applyInArrow(add_rows, "row long, more_across double, more_within double")
 
 
 # --- modified Kneser-Ney, each fold by the other's counts ------------------------------------

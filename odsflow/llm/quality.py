@@ -90,7 +90,7 @@ def score_chunks(model) -> Callable:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays: HashArrays = model.value
-        next_row = TaskContext.get().partitionId() << 40
+        next_row = TaskContext.get().partitionId() << ngrams.ROW_BITS
         for lang, batch in ngrams.by_language(batches):
             rows = np.arange(next_row, next_row + batch.num_rows)
             next_row += batch.num_rows
