@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm.common import named, utf8, written
@@ -21,9 +22,12 @@ MEASURED = 10
 STEPS, RATE, RIDGE = 60, 0.1, 1e-5
 FOLDS = 5
 #: Bytes of text whose features are found together, and texts in one row of the feature table.
-CHUNK, TEXTS = 4 << 20, 512
-#: Pieces in which the gradients of all tasks are added up, and rows of the feature table that a task of a step reads at least.
-PIECES, ROWS_A_TASK = 16, 64
+CHUNK, TEXTS = 1 << 20, 512
+#: Words whose places a task remembers.
+KNOWN = 60_000
+#: Pieces in which the gradients of all tasks are added up, rows of the feature table in a batch and in a task of a step at least, and
+#: steps that every text is in at least.
+PIECES, ROWS_A_BATCH, ROWS_A_TASK, LEAST_STEPS = 16, 64, 16, 4
 
 SHAPES = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256)
@@ -100,7 +104,7 @@ FEATURES = "doc_id long, n_words long, measured binary, places binary, counts bi
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a text: its measures, and its places in rising order (as differences) with the words on each."""
-    known = Remembered(places)
+    known = Remembered(places, KNOWN)
     for batch in in_chunks(batches):
         found = Measures(batch.column("body"))
         both = np.array([known[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.int64).reshape(-1, 2)
@@ -119,11 +123,13 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "n_words", "measured", "places", "counts"])
 
 
-BLOCKS = "n long, good binary, n_words binary, measured binary, sizes binary, places binary, counts binary"
+BLOCKS = "number long, n long, good binary, n_words binary, measured binary, sizes binary, places binary, counts binary"
 
 
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Some texts' features as one row, so that a step of the fit reads a few long arrays."""
+    """Some texts' features as one row, so that a step of the fit reads a few long arrays; rows are numbered on from the task's number."""
+    context = TaskContext.get()
+    number = context.partitionId() if context else 0
     for batch in batches:
         for first in range(0, batch.num_rows, TEXTS):
             part = batch.slice(first, TEXTS)
@@ -138,9 +144,10 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.astype(np.int32).tobytes(), (whole - before).astype(np.uint16).tobytes(), b"".join(part.column("counts").to_pylist()),
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part.num_rows]), *[pa.array([c], pa.binary()) for c in cells]],
-                names=["n", "good", "n_words", "measured", "sizes", "places", "counts"],
+                [pa.array([number]), pa.array([part.num_rows]), *[pa.array([c], pa.binary()) for c in cells]],
+                names=["number", "n", "good", "n_words", "measured", "sizes", "places", "counts"],
             )
+            number += 1
 
 
 class Block:
@@ -148,9 +155,9 @@ class Block:
 
     def __init__(self, row: dict):
         self.n, self.good = row["n"], np.frombuffer(row["good"], np.uint8).astype(bool)
-        sizes = np.frombuffer(row["sizes"], np.int32)
+        sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
         self.measured = np.frombuffer(row["measured"], np.float32).reshape(-1, MEASURED).astype(np.float64)
-        self.places = np.frombuffer(row["places"], np.uint16)
+        self.places = np.frombuffer(row["places"], np.uint16).astype(np.int64)
         self.rows = np.repeat(np.arange(self.n), sizes)
         words = np.maximum(1, np.frombuffer(row["n_words"], np.int64)).astype(np.float64)
         self.values = np.frombuffer(row["counts"], np.uint32) / words[self.rows]
@@ -219,30 +226,33 @@ def block_sums(blocks: Iterator[Block], weights: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    sums_of: Callable[[np.ndarray], Sums], features_of_positives: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE,
+    sums_of: Callable[[np.ndarray, int], Sums], features_of_positives: list[np.ndarray], prior: float, steps: int = STEPS, rate: float = RATE,
     ridge: float = RIDGE,
 ) -> Model:
     """Minimises the non-negative unbiased risk of the logistic loss with Adam.
 
     risk = prior * loss(positives as 1) + max(0, loss(unlabelled as 0) - prior * loss(positives as 0)).
     Where the second part falls below zero, which no true negative risk can, the step goes back
-    along that part alone. `sums_of` gives the sums over all texts for some weights, `features_of_positives` the
-    sums of the positives' features and their number at the end. Without positives the weights stay zero and the prior alone speaks.
+    along that part alone. The texts are dealt to batches, which the steps take in turn: `sums_of` gives the sums over a batch for some
+    weights, `features_of_positives` each batch's sums of the positives' features, with their number at the end. A batch
+    without positives is passed over; without any the weights stay zero and the prior alone speaks.
     """
     weights = np.zeros(PLACES + 1)
     weights[-1] = np.log(prior / (1 - prior))
-    if not features_of_positives[-1]:
+    usable = [i for i, features in enumerate(features_of_positives) if features[-1]]
+    if not usable:
         return Model(weights[:-1], float(weights[-1]))
     scale = np.full(PLACES + 1, 1.0)
     scale[MEASURED:PLACES] = 20.0  # shares are small numbers, so their weights may move faster
     kept = np.append(np.full(PLACES, ridge), 0.0)
     first, second = np.zeros(PLACES + 1), np.zeros(PLACES + 1)
     for step in range(1, steps + 1):
-        sums = sums_of(weights)
+        batch = usable[step % len(usable)]
+        sums = sums_of(weights, batch)
         positive, unlabelled = sums.pull_positive / sums.n_positive, sums.pull_unlabelled / sums.n_unlabelled
         negative = sums.loss_unlabelled / sums.n_unlabelled - prior * sums.loss_positive / sums.n_positive
         if negative >= 0:
-            pull = unlabelled - prior * features_of_positives / sums.n_positive
+            pull = unlabelled - prior * features_of_positives[batch] / sums.n_positive
         else:
             pull = prior * positive - unlabelled
         pull = pull + kept * weights
@@ -272,8 +282,8 @@ def _pieces(vector: np.ndarray) -> pa.RecordBatch:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
-        for row in batch.to_pylist():
-            yield Block(row)
+        for i in range(batch.num_rows):  # one row's arrays at a time
+            yield Block({name: batch.column(name)[i].as_py() for name in batch.schema.names})
 
 
 def added(table: pa.Table) -> pa.Table:
@@ -308,8 +318,8 @@ def train(
 
     Every row that is not held out is an unlabelled text, whatever its label, so junk is learnt from also where every
     document has a label. Features are made once, where the texts are, and written (without the texts, some hundred bytes a
-    text); each step of the fit adds up risk and gradient over all of them on the executors. Only sums of PLACES numbers reach the
-    driver. Labels of 0 serve the class prior alone. Several labels of one id count by the largest; NULL ids or labels are
+    text); the steps of the fit add up risk and gradient on the executors, over batches of ROWS_A_BATCH * TEXTS texts or more in turn, so that every
+    text is in LEAST_STEPS steps or more. Only sums of PLACES numbers reach the driver. Labels of 0 serve the class prior alone. Several labels of one id count by the largest; NULL ids or labels are
     left out, and texts with a NULL id are held out.
     """
     key = named(id_col).cast("long")
@@ -321,14 +331,15 @@ def train(
     made = texts.mapInArrow(feature_rows, FEATURES).join(known, F.col("doc_id") == F.col("id"), "left")
     packed = made.select((F.col("good") == 1).alias("good"), "n_words", "measured", "places", "counts").mapInArrow(pack, BLOCKS)
     blocks = written(packed, "features")
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, blocks.count() // ROWS_A_TASK)  # each leaves a vector a step
-    blocks = blocks.coalesce(tasks)
-    base = total_of(blocks, positive_features)
-    if not len(base):
-        base = np.zeros(PLACES + 1)
+    n_rows = blocks.count()
+    n_batches = max(1, min(steps // LEAST_STEPS, n_rows // ROWS_A_BATCH))
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, n_rows // n_batches // ROWS_A_TASK)  # each leaves a vector a step
+    parts = [blocks.where(F.col("number") % n_batches == i).coalesce(tasks) for i in range(n_batches)]
+    none = np.zeros(PLACES + 1)
+    base = [found if len(found) else none for found in (total_of(part, positive_features) for part in parts)]
 
-    def sums_of(weights: np.ndarray) -> Sums:
-        return Sums.of(total_of(blocks, lambda some: block_sums(some, weights)))
+    def sums_of(weights: np.ndarray, batch: int) -> Sums:
+        return Sums.of(total_of(parts[batch], lambda some: block_sums(some, weights)))
 
     return fit(sums_of, base, class_prior(known), steps)
 
@@ -341,7 +352,7 @@ def score_udf(model):
     def scores(texts: pa.Array) -> pa.Array:
         if not state:
             weights = model.value.weights
-            state.append(Remembered(lambda w: float(weights[list(places(w))].sum())))
+            state.append(Remembered(lambda w: float(weights[list(places(w))].sum()), 2 * KNOWN))
         batch = pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], names=["body"])
         found = [model.value.scores(part.column("body"), state[0]) for part in in_chunks(iter([batch]))]
         return pa.array(np.concatenate(found) if found else np.zeros(0))

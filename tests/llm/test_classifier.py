@@ -118,7 +118,7 @@ def test_fit_equals_a_dense_gradient(prior):
     texts = [prose(i, 40) for i in range(12)] + [junk(i, 40) for i in range(8)]
     good = [i % 3 == 0 and i < 12 for i in range(20)]
     blocks = blocks_of(texts, good)
-    model = fit(lambda w: Sums.of(block_sums(iter(blocks), w)), positive_features(iter(blocks)), prior, steps=25)
+    model = fit(lambda w, _: Sums.of(block_sums(iter(blocks), w)), [positive_features(iter(blocks))], prior, steps=25)
     expected = dense_fit(np.array([brute_features(t) for t in texts]), np.array(good), prior, 25, classifier.RATE, classifier.RIDGE)
     assert np.allclose(np.append(model.weights, model.bias), expected, atol=1e-5)
 
@@ -129,7 +129,7 @@ def test_spark_adds_up_what_one_array_does(tables):
     own = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5]
     blocks = blocks_of([r["text"] for r in own], [known.get(r["doc_id"]) == 1 for r in own])
     learnt = [q for i, q in known.items() if zlib.crc32(str(i).encode()) % 5]
-    alone = fit(lambda w: Sums.of(block_sums(iter(blocks), w)), positive_features(iter(blocks)), sum(learnt) / len(learnt), steps=8)
+    alone = fit(lambda w, _: Sums.of(block_sums(iter(blocks), w)), [positive_features(iter(blocks))], sum(learnt) / len(learnt), steps=8)
     model = train(docs.repartition(5), labels, steps=8)
     assert np.allclose(model.weights, alone.weights, atol=1e-6) and model.bias == pytest.approx(alone.bias)
 
@@ -146,7 +146,7 @@ def test_the_risk_never_turns_the_negative_part_below_zero_for_long():
     """With a prior far too high, unlabelled junk still scores lower than the positives."""
     texts = [prose(i, 50) for i in range(40)] + [prose(100 + i, 50) for i in range(20)] + [junk(i, 50) for i in range(20)]
     blocks = blocks_of(texts, [i < 40 for i in range(80)])
-    model = fit(lambda w: Sums.of(block_sums(iter(blocks), w)), positive_features(iter(blocks)), prior=0.95)
+    model = fit(lambda w, _: Sums.of(block_sums(iter(blocks), w)), [positive_features(iter(blocks))], prior=0.95)
     margins = blocks[0].margins(np.append(model.weights, model.bias))
     assert margins[:40].mean() > margins[60:].mean() and np.isfinite(model.weights).all()
 
@@ -173,3 +173,30 @@ def test_no_labels_no_texts(spark, docs, no_docs, rows):
     assert scored.columns.count("score") == 1 and scored.count() == len(rows)
     labels = spark.createDataFrame([(0, 1), (1, 1), (1, 0), (None, 1), (2, None)], "doc_id long, quality int")
     assert len(train(docs, labels).weights) == PLACES
+
+
+def test_batches_take_turns():
+    """Two batches in turn: each step sees its own batch alone; one without positives is passed over."""
+    texts = [prose(i, 40) for i in range(12)] + [junk(i, 40) for i in range(8)]
+    halves = [blocks_of(texts[i::2], [k < 6 for k in range(10)]) for i in (0, 1)] + [blocks_of(texts[:4], [False] * 4)]
+    seen = []
+
+    def sums_of(weights, batch):
+        seen.append(batch)
+        return Sums.of(block_sums(iter(halves[batch]), weights))
+
+    model = fit(sums_of, [positive_features(iter(h)) for h in halves], 0.6, steps=40)
+    assert set(seen) == {0, 1} and seen.count(0) == seen.count(1) == 20
+    margins = [h[0].margins(np.append(model.weights, model.bias)) for h in halves[:2]]
+    assert min(m[:6].min() for m in margins) > max(m[6:].max() for m in margins)
+
+
+def test_many_texts_are_fitted_in_batches(spark, tables, monkeypatch):
+    docs, labels = tables
+    monkeypatch.setattr(classifier, "ROWS_A_BATCH", 1)
+    made = []
+    plain = classifier.fit
+    monkeypatch.setattr(classifier, "fit", lambda sums, base, *more: made.append(len(base)) or plain(sums, base, *more))
+    scored = with_quality(docs, train(docs.repartition(6), labels, steps=24)).join(labels, "doc_id").where(held_out(F.col("doc_id"))).collect()
+    assert made[0] > 1
+    assert np.mean([r["predicted"] == r["quality"] for r in scored]) >= 0.9
