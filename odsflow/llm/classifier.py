@@ -22,12 +22,12 @@ MEASURED = 10
 STEPS, RATE, RIDGE = 60, 0.1, 1e-5
 FOLDS = 5
 #: Bytes of text whose features are found together, and texts in one row of the feature table.
-CHUNK, TEXTS = 1 << 20, 512
+CHUNK, TEXTS = 1 << 19, 256
 #: Words whose places a task remembers.
-KNOWN = 60_000
+KNOWN = 12_000
 #: Pieces in which the gradients of all tasks are added up, rows of the feature table in a batch and in a task of a step at least, and
 #: steps that every text is in at least.
-PIECES, ROWS_A_BATCH, ROWS_A_TASK, LEAST_STEPS = 16, 64, 16, 4
+PIECES, ROWS_A_BATCH, ROWS_A_TASK, LEAST_STEPS = 16, 128, 32, 4
 
 SHAPES = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256)
@@ -352,7 +352,7 @@ def score_udf(model):
     def scores(texts: pa.Array) -> pa.Array:
         if not state:
             weights = model.value.weights
-            state.append(Remembered(lambda w: float(weights[list(places(w))].sum()), 2 * KNOWN))
+            state.append(Remembered(lambda w: float(weights[list(places(w))].sum()), 4 * KNOWN))
         batch = pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], names=["body"])
         found = [model.value.scores(part.column("body"), state[0]) for part in in_chunks(iter([batch]))]
         return pa.array(np.concatenate(found) if found else np.zeros(0))
