@@ -96,7 +96,8 @@ def incremental_load(
 ) -> LoadResult:
     """Loads the rows above the stored mark, then stores the largest value among them.
 
-    The new mark and the counts come out of the write itself (one pass over the source). `write`
+    The new mark and the counts come out of the write itself; rows without a mark are counted, and kept,
+    by scans of their own, which a source may answer from its statistics or an index. `write`
     gets the rows and the start mark (`initial` at first); it has to be a file write without a
     shuffle. `overlap` (a number or interval) reads that far below the mark again, for rows that
     arrive late; `write` then has to upsert by key.
