@@ -13,6 +13,8 @@ from odsflow.session import child_names, path_exists
 
 #: Positions in one block of the running sum; each block is summed by itself.
 BLOCK = 1 << 20
+#: The same where whole events are put in order.
+FRESH_BLOCK = 1 << 16
 BOUNDARIES = "feed string, position long, step long"
 RUNS = "feed string, first_seq long, last_seq long, times long"
 
@@ -95,23 +97,23 @@ def fold_seen(spark: SparkSession, root: str) -> int | None:
     return batches[-1]
 
 
-def fresh(events: DataFrame, position: str, steps: DataFrame, feed: Column | None = None, block: int = BLOCK) -> DataFrame:
+def fresh(events: DataFrame, position: str, steps: DataFrame, feed: Column | None = None, block: int = FRESH_BLOCK) -> DataFrame:
     """The events whose position the boundaries do not hold. An event without a position is always fresh.
 
-    The runs are cut at the blocks that the events lie in, so that events and runs meet by an equal block.
+    Events and boundaries are put in one order, block by block, and the running sum of the steps up to an event is the number of times its
+    position came; so the work grows with their number, however many runs they make.
     """
-    name = F.lit("") if feed is None else feed.cast("string")
-    place = F.floor(F.col(position).cast("long") / block)
-    blocks = events.select(name.alias("feed"), place.alias("block")).filter("block IS NOT NULL").distinct()
-    held = runs(steps, block).filter("times > 0")
-    first, last = F.floor(F.col("first_seq") / block), F.floor(F.col("last_seq") / block)
-    edges = blocks.groupBy("feed").agg(F.min("block").alias("low"), F.max("block").alias("high"))
-    held = held.join(edges, "feed").withColumn("block", F.explode(F.when(
-        F.greatest(first, "low") <= F.least(last, "high"), F.sequence(F.greatest(first, "low"), F.least(last, "high"))
-    ).otherwise(F.array().cast("array<long>"))))
-    held = held.join(blocks, ["feed", "block"], "left_semi").select(
-        F.struct("feed", "block", "first_seq", "last_seq").alias("_run")
-    )
-    known = (F.col("_run.feed") == name) & (F.col("_run.block") == place) & F.col(position).between(F.col("_run.first_seq"), F.col("_run.last_seq"))
-    return events.join(held, known, "left_anti")
-
+    name, place = F.lit("") if feed is None else feed.cast("string"), F.col(position).cast("long")
+    unplaced = name.isNull() | place.isNull()
+    asked = events.filter(~unplaced).select(name.alias("feed"), place.alias("position"), F.struct("*").alias("_event"), F.lit(0).cast("long").alias("step"))
+    held = steps.filter("feed IS NOT NULL").select("feed", "position", F.lit(None).cast(asked.schema["_event"].dataType).alias("_event"), "step")
+    both = asked.unionByName(held).withColumn("block", F.floor(F.col("position") / block))
+    totals = steps.withColumn("block", F.floor(F.col("position") / block)).groupBy("feed", "block").agg(F.sum("step").alias("total"))
+    asked_blocks = asked.select("feed", F.floor(F.col("position") / block).alias("block")).distinct().withColumn("total", F.lit(0).cast("long"))
+    earlier = Window.partitionBy("feed").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
+    before = totals.unionByName(asked_blocks).withColumn("before", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+    before = before.groupBy("feed", "block").agg(F.max("before").alias("before")).filter("before <> 0")
+    inside = Window.partitionBy("feed", "block").orderBy("position").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = both.withColumn("times", F.sum("step").over(inside)).filter("_event IS NOT NULL")
+    new = counted.join(before, ["feed", "block"], "left").filter(F.col("times") + F.coalesce("before", F.lit(0)) <= 0)
+    return new.select("_event.*").unionByName(events.filter(unplaced))

@@ -414,6 +414,19 @@ def test_fresh_events(spark, tmp_path):
     assert positions.fresh(asked, "seq", none, F.col("feed")).count() == len(rows)
 
 
+def test_fresh_events_of_a_feed_with_a_run_for_every_position(spark):
+    """100,000 runs of one position each in one block meet 150,000 events, 200 of them at one position: no event may be compared with every run."""
+    n = 200_000
+    steps = positions.boundaries(spark.range(0, n, 2).toDF("seq"), "seq")
+    asked = spark.range(0, n * 3 // 4).toDF("seq").unionByName(spark.range(100).select(F.lit(4).cast("long").alias("seq")))
+    asked = asked.unionByName(spark.range(100).select(F.lit(5).cast("long").alias("seq")))
+    started = time.monotonic()
+    got = positions.fresh(asked, "seq", steps)
+    assert got.agg(F.count("*"), F.min(F.col("seq") % 2)).first() == (n * 3 // 8 + 100, 1)
+    assert time.monotonic() - started < 60
+    assert "NestedLoop" not in positions.fresh(asked, "seq", steps)._jdf.queryExecution().toString()
+
+
 def test_a_clean_feed_is_two_rows(spark):
     assert positions.boundaries(spark.range(5, 100_000).toDF("seq"), "seq").count() == 2
 
