@@ -700,6 +700,23 @@ def test_flushes_end_by_count_or_time_also_after_a_restart(spark, tmp_path):
     assert {r for _, _, r, _ in flushed(spark, out)} == {"count", "time"}
 
 
+def test_a_flush_query_over_what_is_there_ends(spark, tmp_path):
+    """Also with rows left waiting, of a key that is NULL too; a second run on the same checkpoint adds nothing."""
+    schema = "k string, p string, t timestamp"
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    rows = [(k, str(i), datetime(2024, 1, 1)) for k in ("a", None) for i in range(5)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(feed)
+    for _ in range(2):
+        found = flush.count_or_time_flush(spark.readStream.schema(schema).parquet(feed), F.col("k"), F.col("p"), "t", rows=3, seconds=600)
+        query = found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out)
+        try:
+            assert query.awaitTermination(120)
+        finally:
+            query.stop()
+        assert {(r["key"], r["flush_no"], r["reason"], *r["payloads"]) for r in spark.read.schema(flush.FLUSHES).parquet(out).collect()} == {
+            ("a", 0, "count", "0", "1", "2"), (None, 0, "count", "0", "1", "2")}
+
+
 def test_what_waits_is_handed_on_by_the_clock(spark, tmp_path):
     schema = "k string, p string, t timestamp"
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
