@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROWS_PER_FILE = 2_000_000
+#: Rows a task of the write sorts at least, once there are TASKS_PER_CORE tasks for every core.
+ROWS_PER_TASK, TASKS_PER_CORE = 1_000_000, 3
 INDEX = "_files"
 
 
@@ -19,14 +21,17 @@ def _name(column: str) -> Column:
 def save_clustered(df: DataFrame, path: str, by: list[str], rows: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> int:
     """Writes a new table in ranges of `by` (leading key first, then what cuts a hot key); returns the number of its files.
 
-    Spark samples the whole tuple for its ranges, so a key that fills several of them is cut by the columns behind it. Rows with
-    a NULL key come first. `rows` saves the count.
+    Spark samples the whole tuple for its ranges, so a key that fills several of them is cut by the columns behind it. A task's
+    range is sorted and cut every `rows_per_file` rows, so the sample and the task results that reach the driver go by the tasks, not by
+    the files. Rows with a NULL key come first. `rows` saves the count.
     """
     if rows is None:
         rows = df.count()
     files = max(1, -(-rows // rows_per_file))
+    tasks = min(files, max(-(-rows // ROWS_PER_TASK), TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism))
     keys = [_name(c) for c in by]
-    df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(f"{path}/rows")
+    ranges = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    ranges.write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/rows")
     return index_files(df.sparkSession, path, by)
 
 

@@ -656,6 +656,19 @@ def test_a_point_filter_opens_few_files(spark, tmp_path):
         assert got.count() == rows.filter(wanted).count() == got.filter(wanted).count()
 
 
+def test_the_driver_sees_tasks_not_files(spark, tmp_path, monkeypatch):
+    """400 files are written by a few tasks, each a range of its own; before, every file was a task and 100 rows of the driver's sample."""
+    monkeypatch.setattr(clustered, "ROWS_PER_TASK", 10_000, raising=False)
+    rows, asked = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("k")), []
+    ranges = type(rows).repartitionByRange
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda self, n, *by: asked.append(n) or ranges(self, n, *by))
+    files = clustered.save_clustered(rows, str(tmp_path), ["k"], rows_per_file=100)
+    assert 400 <= files <= 400 + asked[0] and asked[0] <= max(4, 3 * spark.sparkContext.defaultParallelism)
+    index = sorted((r["low"]["k"], r["high"]["k"], r["n"]) for r in spark.read.parquet(f"{tmp_path}/_files").collect())
+    assert all(a[1] < b[0] for a, b in zip(index, index[1:])) and max(n for *_, n in index) <= 100 and sum(n for *_, n in index) == 40_000
+    assert sorted(r["k"] for r in clustered.read_between(spark, str(tmp_path), "k", 950, 1249).collect()) == list(range(950, 1250))
+
+
 # --- flush by count or time ----------------------------------------------------------------------
 
 def brute_flushes(rows, most, seconds):
