@@ -128,10 +128,9 @@ def tuple_predicates(columns: Sequence[str], cuts: list[tuple]) -> list[str]:
 
 
 def _salted(salt: str, times: int, part: int) -> str:
-    """One of `times` parts by a whole number; NULLs go to part 0. The remainder has the number's sign, so no ABS, which can overflow."""
-    if part == 0:
-        return f"(MOD({salt}, {times}) = 0 OR {salt} IS NULL)"
-    return f"MOD({salt}, {times}) IN ({part}, {part - times})"
+    """One of `times` parts by the size of a whole number's remainder; NULLs go to part 0. ABS never meets a negative number, of which the least would overflow."""
+    own = f"CASE WHEN {salt} < 0 THEN -MOD({salt}, {times}) ELSE MOD(ABS({salt}), {times}) END = {part}"
+    return f"({own} OR {salt} IS NULL)" if part == 0 else own
 
 
 def skewed_predicates(column: str, cuts: list, salt: str) -> list[str]:

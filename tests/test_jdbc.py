@@ -59,6 +59,16 @@ def test_uneven_keys_are_cut_at_their_quantiles(monkeypatch):
     assert sum("MOD(ABS(id), 2)" in p for p in predicates) == 2 and len(predicates) == 5
 
 
+def test_salted_slices_take_every_row_once(spark):
+    """Also negative salts, the least long (whose ABS overflows) and NULL."""
+    salts = [*range(-7, 8), -(1 << 63), (1 << 63) - 1, None]
+    rows = spark.createDataFrame([(5, n) for n in salts], "user_no long, id long")
+    predicates = source.skewed_predicates("user_no", [5, 5, 5, 9], "id")
+    assert [sum(rows.filter(p).filter("id <=> %s" % ("NULL" if n is None else f"{n}L" if n > -(1 << 63) else "-9223372036854775807L - 1")).count() for p in predicates)
+            for n in (salts[0], 0, 4, salts[-3], salts[-2], None)] == [1] * 6
+    assert sum(rows.filter(p).count() for p in predicates) == len(salts)
+
+
 def test_column_and_sliced_reads():
     spark = MagicMock()
     source.jdbc_column_read(spark, URL, "orders", ["id", "total"])
