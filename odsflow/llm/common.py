@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odsflow.session import scratch_path
@@ -107,6 +108,15 @@ def ranked(rows: DataFrame, order: list[Column], tree: str | None = None) -> Dat
     return found.select(*[named(c) for c in rows.columns], (F.col("place_") + F.col("shift_")).alias("rank"), "size")
 
 
+def in_chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts (`body`) of each part have about `size` bytes."""
+    for batch in batches:
+        group = np.cumsum(pc.binary_length(batch.column("body")).to_numpy().astype(np.int64)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for first, end in zip(cuts, cuts[1:]):
+            yield batch.slice(first, end - first)
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's long, bit for bit."""
     return np.ascontiguousarray(values, dtype=np.uint64).view(np.int64)

@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from odsflow.llm.common import named, utf8
+from odsflow.llm.common import in_chunks, named, utf8
+from odsflow.llm.ngrams import Words
 from odsflow.llm.tokens import Remembered, byte_symbols, load_tokenizer, tokenizer_path
 
 # --- the word code ---------------------------------------------------------------------------
@@ -41,15 +42,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype="<u8"), np.zeros(0, dtype="<i8")
     here = np.arange(n, dtype=np.int32)
     ends = np.minimum((here // IDS_PER_OFFSET + 1) * IDS_PER_OFFSET, n).astype(np.int32)
-    choice = np.full(n, ESCAPE, dtype=np.int8)
-    for selector in range(ESCAPE - 1, -1, -1):  # the fullest that fits is set last
-        fits = values < np.uint64(1 << int(WIDTHS[selector]))
-        number = np.count_nonzero(fits)
-        if number < min(COUNTS[selector], ends[-1] - (chunks - 1) * IDS_PER_OFFSET):
-            break  # too few values even for the shortest word; a fuller selector has fewer still
-        at = np.flatnonzero(fits) if 16 * number < n else here
-        following = _first_misfit(fits, at)
-        choice[at[np.minimum(at + COUNTS[selector].astype(np.int32), ends[at]) <= following]] = selector
+    choice = _fullest(values, chunks)
     step = np.minimum(here + COUNTS[choice].astype(np.int32), ends)
     first, at = np.zeros(n, dtype=bool), here[::IDS_PER_OFFSET]
     while len(at):  # the words of all stretches between offsets, side by side
@@ -78,13 +71,29 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, offsets.astype("<i8")
 
 
-def _first_misfit(fits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The first place from each of `at` on where `fits` is false; `at` is every place, or just those that fit."""
-    n = np.int32(len(fits))
-    if len(at) == n:
-        return np.minimum.accumulate(np.where(fits, n, at)[::-1])[::-1]
-    last = np.append(at[1:] != at[:-1] + 1, True)  # of a run of places that fit
-    return np.minimum.accumulate(np.where(last, at + 1, n)[::-1])[::-1]
+def _fullest(values: np.ndarray, chunks: int) -> np.ndarray:
+    """The fullest selector for a word that starts at each value: the one of most values whose largest still fits.
+
+    The values between two offsets are a row with zeros behind it, as short last words are padded with them.
+    """
+    n, most = len(values), int(COUNTS[0])
+    kind = np.uint32 if values.max() < 1 << 32 else np.uint64
+    rows = np.zeros((chunks, IDS_PER_OFFSET + most), kind)
+    whole = n // IDS_PER_OFFSET
+    rows[:whole, :IDS_PER_OFFSET] = values[:whole * IDS_PER_OFFSET].reshape(whole, IDS_PER_OFFSET)
+    rows[whole:, :n % IDS_PER_OFFSET] = values[whole * IDS_PER_OFFSET:]
+    choice = np.full((chunks, IDS_PER_OFFSET), ESCAPE, dtype=np.int8)
+    top, span = rows, 1  # the largest of the `span` values from each place on
+    for selector in range(ESCAPE - 1, -1, -1):  # the fullest that fits is set last
+        count = int(COUNTS[selector])
+        while 2 * span <= count:
+            top, span = np.maximum(top[:, :-span], top[:, span:]), 2 * span
+        largest = np.maximum(top[:, :IDS_PER_OFFSET], top[:, count - span:count - span + IDS_PER_OFFSET])
+        fits = largest < kind(1 << int(WIDTHS[selector]))
+        if not fits.any():
+            break  # a fuller selector takes more values of fewer bits
+        choice[fits] = selector
+    return choice.ravel()[:n]
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
@@ -134,27 +143,26 @@ def _escaped(selectors: np.ndarray) -> np.ndarray:
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: The vocabulary's published pre-token pattern, for those characters (fixed value).
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-#: Pre-tokens whose ids one worker remembers per generation.
-PARTS_REMEMBERED = 500_000
+#: Pre-tokens whose ids one worker remembers per generation, and bytes of text whose ids are found together.
+PARTS_REMEMBERED, CHUNK = 250_000, 1 << 22
 
 
 class WordIds:
     """Ids of a text as little-endian 32-bit bytes, each pre-token's worked out once while it is remembered.
 
-    The vocabulary's normaliser and pattern never join what white space parts. So a text with odd
-    characters or the text of an added token is cut at white space, and the library encodes just
-    the chunks concerned.
+    The vocabulary's normaliser and pattern never join what white space parts. So texts are cut at white space, and the
+    library encodes just the chunks with odd characters or the text of an added token as a whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.symbols = byte_symbols()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts, self.odd = Remembered(self._part, PARTS_REMEMBERED), Remembered(self._whole_chunk)
+        self.parts, self.odd = Remembered(self._part, PARTS_REMEMBERED), Remembered(self._whole_chunk, PARTS_REMEMBERED)
 
     def _part(self, part: str) -> bytes:
-        symbols = self.symbols
-        return array("I", [t.id for t in self.tokenizer.model.tokenize("".join([symbols[b] for b in part.encode()]))]).tobytes()
+        symbols = part if part.isascii() else "".join([self.symbols[b] for b in part.encode()])  # printable ASCII stands for itself
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
 
     def _whole_chunk(self, chunk: str) -> bytes:
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -162,18 +170,31 @@ class WordIds:
     def _plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and not any(a in text for a in self.added)
 
+    def _plain_chunks(self, lower: list[str]) -> list[bytes]:
+        parts, cut = self.parts, PRE_TOKENS.findall
+        return [parts[c] if c.isalpha() else b"".join([parts[p] for p in cut(c)]) for c in lower]  # letters alone are one pre-token
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of some chunks without white space."""
+        whole = "\n".join(chunks)
+        if chunks and self._plain(whole):
+            return self._plain_chunks(whole.lower().split("\n"))
+        plain = iter(self._plain_chunks([c.lower() for c in chunks if self._plain(c)]))
+        return [next(plain) if self._plain(c) else self.odd[c] for c in chunks]
+
     def ids(self, text: bytes) -> bytes:
-        whole, parts = text.decode(), self.parts
-        if self._plain(whole):
-            return b"".join([parts[p] for p in PRE_TOKENS.findall(whole.lower())])
-        found = []
-        for chunk in text.split():
-            chunk = chunk.decode()
-            if self._plain(chunk):
-                found += [parts[p] for p in PRE_TOKENS.findall(chunk.lower())]
-            else:
-                found.append(self.odd[chunk])
-        return b"".join(found)
+        return b"".join(self._chunks([c.decode() for c in text.split()]))
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (strings), one behind the other, and how many each has; each different chunk is worked out once."""
+        words = Words(texts)
+        found = self._chunks(words.each.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[words.which]
+        ends = np.cumsum(n)
+        ids = each[np.repeat(starts[words.which] - ends + n, n) + np.arange(n.sum())]
+        return ids, np.diff(np.append(0, ends)[np.append(0, np.cumsum(words.sizes))])
 
 
 @lru_cache(maxsize=2)
@@ -190,6 +211,11 @@ class WholeTextIds:
     def ids(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (strings), one behind the other, and how many each has."""
+        found = [self.ids(t) for t in texts.cast(pa.binary()).to_numpy(zero_copy_only=False)]
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(f) // 4 for f in found], np.int64)
+
 
 def encoder(name: str):
     """The encoder of a vocabulary: by chunks where its file says that white space parts all tokens."""
@@ -217,12 +243,12 @@ BLOCK = (
 )
 
 
-def _block(shard: int, number: int, start: int, docs: list[tuple[int | None, bytes]]) -> dict:
-    ids = np.frombuffer(b"".join(ids for _, ids in docs), dtype="<u4")
+def _block(shard: int, number: int, start: int, docs: list[tuple[int | None, np.ndarray]]) -> dict:
+    ids = np.concatenate([ids for _, ids in docs])
     words, offsets = pack(ids)
     return {
         "shard": shard, "block": number, "local_start": start, "doc_ids": [d for d, _ in docs],
-        "counts": [len(ids) // 4 for _, ids in docs], "n_ids": len(ids),
+        "counts": [len(ids) for _, ids in docs], "n_ids": len(ids),
         "word_offsets": offsets.tobytes(), "words": words.astype("<u8").tobytes(),
     }
 
@@ -238,17 +264,19 @@ def packer(tokenizer: str, end_id: int):
     """For mapInArrow over (shard, doc_id, body) in id order: tokenises and packs, a block at a time."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, schema, end = encoder(tokenizer).ids, _block_schema(), np.array([end_id], dtype="<u4").tobytes()
+        encode, schema = encoder(tokenizer).many, _block_schema()
         docs, size, start, number, shard = [], 0, 0, 0, 0
-        for batch in batches:
-            for shard_no, doc_id, body in zip(batch.column("shard"), batch.column("doc_id"), batch.column("body")):
-                shard = shard_no.as_py()
-                ids = encode(body.as_py()) + end
-                if docs and size + len(ids) // 4 > IDS_PER_BLOCK:
+        for batch in in_chunks(batches, CHUNK):
+            shard = batch.column("shard")[0].as_py()  # a partition is one shard
+            ids, counts = encode(batch.column("body").cast(pa.string()))
+            ids = np.insert(ids, np.cumsum(counts), end_id)
+            parts = np.split(ids, np.cumsum(counts + 1)[:-1])
+            for doc_id, part in zip(batch.column("doc_id").to_pylist(), parts):
+                if docs and size + len(part) > IDS_PER_BLOCK:
                     yield pa.RecordBatch.from_pylist([_block(shard, number, start, docs)], schema)
                     docs, size, start, number = [], 0, start + size, number + 1
-                docs.append((doc_id.as_py(), ids))
-                size += len(ids) // 4
+                docs.append((doc_id, part))
+                size += len(part)
         if docs:
             yield pa.RecordBatch.from_pylist([_block(shard, number, start, docs)], schema)
 

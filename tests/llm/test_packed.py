@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -36,6 +37,10 @@ def test_words_hold_what_their_selector_says():
     assert len(round_trip([(1 << 64) - 1])[0]) == 2  # the escape and its value
 
 
+def test_a_short_last_word_is_the_fullest_too():
+    assert len(round_trip([1 << 29, *[0] * 50])[0]) == 2
+
+
 def test_each_offset_decodes_alone():
     values = np.random.default_rng(4).integers(0, 50_000, 5 * IDS_PER_OFFSET + 9, dtype=np.uint64)
     words, offsets = pack(values)
@@ -68,6 +73,18 @@ def test_files_hold_all_documents_in_order(spark, docs, rows, tmp_path, monkeypa
     assert [tuple(r) for r in digests] == crcs
 
 
+def test_each_different_chunk_is_encoded_once_for_all_texts(monkeypatch):
+    texts = ["The cat, the HAT.", "", "the cat, the\x0bhat. \n", "x<|endoftext|>y Kelvin ÀÉ×÷ª", "  ", "日本 the cat, x<|endoftext|>y", "'s don't 12"]
+    encode, asked = packed.encoder("word_bpe_49k.json"), []
+    plain = encode._chunks
+    monkeypatch.setattr(encode, "_chunks", lambda chunks: asked.extend(chunks) or plain(chunks))
+    for some in (texts, texts[:3], [""], []):
+        asked.clear()
+        ids, counts = encode.many(pa.array(some, pa.string()))
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts))[:-1]] == [library_ids("word_bpe_49k.json", t) for t in some]
+        assert sorted(asked) == sorted({c for t in some for c in t.split()})
+
+
 def test_no_documents_no_blocks(spark, no_docs, tmp_path):
     write_ids(no_docs, str(tmp_path / "ids"))
     assert spark.read.schema(BLOCK).parquet(str(tmp_path / "ids")).count() == 0
