@@ -10,11 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from odsflow.llm.common import named, utf8, written
+from odsflow.llm.common import in_chunks, named, utf8, written
 from odsflow.llm.ngrams import Words
-from odsflow.llm.tokens import Remembered
 
 #: Hashed features: words and the shapes of words share this many places; a few measured ones come first.
 PLACES = 1 << 15
@@ -23,8 +22,8 @@ STEPS, RATE, RIDGE = 60, 0.1, 1e-5
 FOLDS = 5
 #: Bytes of text whose features are found together, and texts in one row of the feature table.
 CHUNK, TEXTS = 1 << 19, 256
-#: Words whose places a task remembers.
-KNOWN = 12_000
+#: Bytes of rows that a Python worker is given at once.
+BATCH_SETTING, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 22
 #: Pieces in which the gradients of all tasks are added up, rows of the feature table in a batch and in a task of a step at least, and
 #: steps that every text is in at least.
 PIECES, ROWS_A_BATCH, ROWS_A_TASK, LEAST_STEPS = 16, 128, 32, 4
@@ -57,6 +56,17 @@ def places(word: bytes) -> tuple[int, int]:
     )
 
 
+def all_places(words: pa.Array) -> np.ndarray:
+    """The places of some words (strings) and of their shapes, a row a word; a shape is worked out once for all words drawn alike."""
+    spread, each = PLACES - MEASURED, words.cast(pa.binary())
+    own = [xxhash.xxh64_intdigest(w, 1) % spread for w in pc.ascii_lower(words).cast(pa.binary()).to_numpy(zero_copy_only=False)]
+    ends = np.append(0, np.cumsum(pc.binary_length(each).to_numpy())).astype(np.int32)
+    flat = pa.py_buffer(b"".join(each.to_numpy(zero_copy_only=False)).translate(SHAPES))
+    drawn = pa.Array.from_buffers(pa.binary(), len(each), [None, pa.py_buffer(ends), flat]).dictionary_encode()
+    shapes = np.array([xxhash.xxh64_intdigest(shape(d), 2) % spread for d in drawn.dictionary.to_pylist()], np.int64)
+    return MEASURED + np.stack([np.array(own, np.int64), shapes[drawn.indices.to_numpy()]], axis=1)
+
+
 class Measures:
     """Words and measures of some texts, found for all of them together.
 
@@ -65,7 +75,7 @@ class Measures:
 
     def __init__(self, bodies: pa.Array):
         self.words = words = Words(bodies)
-        texts = [b.as_py().encode() for b in bodies]
+        texts = bodies.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         kinds, n = max(1, len(words.each)), words.sizes
         pairs = pa.array(words.text.astype(np.int64) * kinds + words.which).value_counts()
         values = pairs.field("values").to_numpy()
@@ -90,24 +100,14 @@ class Measures:
         ], axis=1).astype(np.float32) if texts else np.zeros((0, MEASURED), np.float32)
 
 
-def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of each part have some MB."""
-    for batch in batches:
-        group = np.cumsum(pc.binary_length(batch.column("body")).to_numpy().astype(np.int64)) // CHUNK
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
-        for first, end in zip(cuts, cuts[1:]):
-            yield batch.slice(first, end - first)
-
-
 FEATURES = "doc_id long, n_words long, measured binary, places binary, counts binary"
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a text: its measures, and its places in rising order (as differences) with the words on each."""
-    known = Remembered(places, KNOWN)
-    for batch in in_chunks(batches):
+    for batch in in_chunks(batches, CHUNK):
         found = Measures(batch.column("body"))
-        both = np.array([known[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.int64).reshape(-1, 2)
+        both = all_places(found.words.each)
         at = np.concatenate([found.pair_text * PLACES + both[found.pair_word, i] for i in (0, 1)])
         each, which = np.unique(at, return_inverse=True)
         counts = np.bincount(which, np.tile(found.pair_n, 2)).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
@@ -182,10 +182,13 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def scores(self, bodies: pa.Array, word_weight) -> np.ndarray:
-        """Scores of some texts (strings without NULLs); `word_weight` gives the sum of a word's weights."""
+    def scores(self, bodies: pa.Array, word_weight=None) -> np.ndarray:
+        """Scores of some texts (strings without NULLs); `word_weight`, if given, has the sum of a word's weights."""
         found = Measures(bodies)
-        each = np.array([word_weight[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.float64)
+        if word_weight is None:
+            each = self.weights[all_places(found.words.each)].sum(axis=1)
+        else:
+            each = np.array([word_weight[w] for w in found.words.each.cast(pa.binary()).to_pylist()], np.float64)
         sums = np.bincount(found.pair_text, each[found.pair_word] * found.pair_n, len(bodies)) if len(each) else np.zeros(len(bodies))
         margins = self.bias + found.values.astype(np.float64) @ self.weights[:MEASURED] + sums / np.maximum(1, found.words.sizes)
         return _sigmoid(margins)
@@ -311,6 +314,14 @@ def positive_features(blocks: Iterator[Block]) -> np.ndarray:
     return total
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the Python workers BATCH bytes at a time from now on, or fewer if the session says so: by Spark's default some ten
+    thousand texts of any length are held at once, by the executor beside its heap and by the worker."""
+    said = spark.conf.get(BATCH_SETTING).lower().removesuffix("b")
+    held = int(said) if said.lstrip("-").isdigit() else 0
+    spark.conf.set(BATCH_SETTING, str(min(held, BATCH) if held > 0 else BATCH))
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", steps: int = STEPS
 ) -> Model:
@@ -322,6 +333,7 @@ def train(
     text is in LEAST_STEPS steps or more. Only sums of PLACES numbers reach the driver. Labels of 0 serve the class prior alone. Several labels of one id count by the largest; NULL ids or labels are
     left out, and texts with a NULL id are held out.
     """
+    small_batches(docs.sparkSession)
     key = named(id_col).cast("long")
     known = labels.select(named(id_col).cast("long").alias("id"), named(label_col).cast("int").alias("good")).where(
         F.col("id").isNotNull() & F.col("good").isNotNull() & ~held_out(F.col("id"))
@@ -346,15 +358,10 @@ def train(
 
 def score_udf(model):
     """Scores of texts; `model` is a broadcast of a Model."""
-    state: list = []
-
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
-        if not state:
-            weights = model.value.weights
-            state.append(Remembered(lambda w: float(weights[list(places(w))].sum()), 4 * KNOWN))
         batch = pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], names=["body"])
-        found = [model.value.scores(part.column("body"), state[0]) for part in in_chunks(iter([batch]))]
+        found = [model.value.scores(part.column("body")) for part in in_chunks(iter([batch]), CHUNK)]
         return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return scores
@@ -368,6 +375,7 @@ def with_quality(
     Only the text is looked at; a NULL text is the empty text, which has a score like any other. All other
     columns stay; columns that already have one of the two names are replaced. Nothing is shuffled.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = docs.withColumn("score", score_udf(shared)(utf8(named(text_col)).cast("string")))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

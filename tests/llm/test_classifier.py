@@ -160,10 +160,35 @@ def test_scores_are_the_sum_over_features(rows):
     assert np.allclose(got, 1 / (1 + np.exp(-np.clip(margins, -30, 30))), atol=1e-5)
 
 
+def test_places_of_many_words_are_those_of_each(rows, monkeypatch):
+    words = sorted({w for _, t, *_ in rows for w in (t or "").split(" ")} | {"", "ABC!!", "x1234", "*****", "É́é", "Foo", "fOO"} | {f"{w}x" for w in ("Bar", "Baz")})
+    drawn = []
+    monkeypatch.setattr(classifier, "shape", lambda w: drawn.append(w) or shape(w))
+    found = classifier.all_places(pa.array(["no", *words], pa.string()).slice(1))
+    assert len(drawn) == len(set(drawn)) < len(words)  # one shape of words drawn alike
+    assert [tuple(f) for f in found.tolist()] == [places(w.encode()) for w in words]
+    assert classifier.all_places(pa.array([], pa.string())).shape == (0, 2)
+
+
 def test_shapes():
     assert [shape(w) for w in (b"Hello,", b"ABC!!", b"x1234", b"***", b"*****", "é".encode())] == [b"Aaa,", b"AA!!", b"a00", b"***", b"***", b"aa"]
 
 
+def test_texts_reach_the_workers_in_small_batches(spark, monkeypatch):
+    before = spark.conf.get(classifier.BATCH_SETTING)
+    monkeypatch.setattr(classifier, "BATCH", 1 << 14)
+    try:
+        classifier.small_batches(spark)
+        docs = spark.range(0, 400, 1, 1).select(F.lpad(F.lit("a"), 1000, "b").alias("body"))
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r["n"] for r in sizes) == 400 and max(r["n"] for r in sizes) <= 40
+        spark.conf.set(classifier.BATCH_SETTING, "100")
+        classifier.small_batches(spark)
+        assert spark.conf.get(classifier.BATCH_SETTING) == "100"
+    finally:
+        spark.conf.set(classifier.BATCH_SETTING, before)
+
+
 def test_no_labels_no_texts(spark, docs, no_docs, rows):
     nothing = spark.createDataFrame([], "doc_id long, quality int")
     model = train(docs, nothing)
