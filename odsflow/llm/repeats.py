@@ -13,7 +13,7 @@ from odsflow.llm.windows import ByteUnits, covered_units, piece_groups, repeated
 
 WINDOW, GRAM = 200, 32
 #: Bytes of the pieces that make one shard, and of the shards merged at once.
-SHARD, MERGED = 1 << 17, 1 << 21
+SHARD, MERGED = 1 << 16, 1 << 18
 
 
 class Shard:
@@ -33,67 +33,98 @@ class Shard:
         text[starts + lengths - 1] = 0
         self.piece = np.repeat(np.array(numbers), lengths)
         self.at = np.arange(len(text)) - np.repeat(starts, lengths)
-        wrap = np.repeat(starts, lengths), np.repeat(lengths, lengths)
-        order = self._sorted_rotations(text, *wrap, int(lengths.max()))
-        before = wrap[0] + (self.at - 1) % wrap[1]
-        self.bwt = text[before][order].astype(np.int16)
+        after, before = np.arange(1, len(text) + 1), np.arange(-1, len(text) - 1)
+        after[starts + lengths - 1], before[starts] = starts, starts + lengths - 1
+        order = self._sorted_rotations(text, after, int(lengths.max()))
+        self.bwt = text.take(before.take(order)).astype(np.int16)
         self.piece, self.at = self.piece[order], self.at[order]
         # The k-th row with some symbol before it comes back as the k-th row that begins with that symbol.
         self.back = np.empty(len(order), dtype=np.int64)
         self.back[np.argsort(self.bwt, kind="stable")] = np.arange(len(order))
 
     @staticmethod
-    def _sorted_rotations(text: np.ndarray, start: np.ndarray, length: np.ndarray, longest: int) -> np.ndarray:
-        """Positions by the rotation of their piece, by doubling the length that ranks tell apart."""
-        place = np.arange(len(text)) - start
+    def _sorted_rotations(text: np.ndarray, after: np.ndarray, longest: int) -> np.ndarray:
+        """Positions by the rotation of their piece, by doubling the length that ranks tell apart; those alone in their block are in place.
+
+        `after` is the position behind each one in its piece, where the mark comes before the first.
+        """
         keys, size = text, 1
         while size < 4:
-            keys = keys * 257**size + keys[start + (place + size) % length]
-            size *= 2
+            keys = keys * 257**size + keys.take(after)
+            after, size = after.take(after), 2 * size
+        order, ranks = np.empty(len(text), dtype=np.int64), np.empty(len(text), dtype=np.int64)
+        rows = slots = np.arange(len(text))
         while True:
-            order = np.argsort(keys)
-            in_order = keys[order]
-            new = np.ones(len(text), dtype=np.int64)
-            new[1:] = in_order[1:] != in_order[:-1]
-            ranks = np.empty(len(text), dtype=np.int64)
-            ranks[order] = np.cumsum(new) - 1
-            if size >= longest or new.all():
-                return np.argsort(ranks, kind="stable") if not new.all() else order
-            keys = ranks * len(text) + ranks[start + (place + size) % length]
-            size *= 2
+            deal, border = in_blocks(keys)
+            rows = rows[deal]
+            order[slots] = rows
+            firsts = np.flatnonzero(border[:-1])
+            ranks[rows] = np.repeat(slots[firsts], np.diff(np.append(firsts, len(rows))))
+            together = ~(border[:-1] & border[1:])
+            rows, slots = rows[together], slots[together]
+            if size >= longest or not len(rows):
+                return order
+            keys = ranks.take(rows) * len(text) + ranks.take(after.take(rows))
+            after, size = after.take(after), 2 * size
+
+
+def in_blocks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of some keys (0 or above), stable, and whether a new key begins at each place of that order (and at its end)."""
+    n = len(keys)
+    low = max(1, (n - 1).bit_length())
+    if n and int(keys.max()) < 1 << (63 - low):  # key and place in one number, which numpy sorts several times as fast as places by keys
+        both = np.sort(keys.astype(np.int64) << low | np.arange(n))
+        order, keys = both & ((1 << low) - 1), both >> low
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    border = np.ones(n + 1, dtype=bool)
+    border[1:-1] = keys[1:] != keys[:-1]
+    return order, border
 
 
 def repeated_starts(shards: list[Shard], window: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece and place of every string of `window` bytes that the shards' pieces have twice or more.
 
     The shards' transforms are merged by refining their interleave: rows stand in blocks of equal
-    prefixes; dealing them out by the symbol before, stably, gives the rows of prefixes one symbol
-    longer in sorted order. So after k rounds a block holds the rows that agree in k symbols, and
-    a block's border marks a common prefix shorter than k. No suffix is compared with another, and
-    none sorted again. Rows alone in their block stay alone and are set aside. Only rows with
-    `window` symbols before them are followed, and two symbols are dealt per round.
+    prefixes, numbered in sorted order. A row whose prefix of k symbols is followed, k rows back, by
+    another prefix of k symbols has the pair of both blocks as its prefix of 2 k symbols, so each
+    round doubles what the blocks tell apart (the last one overlaps, to make `window` symbols), and
+    a block holds the rows of all shards that agree in that many symbols. No suffix is compared with
+    another. Rows alone in their block stay alone and are set aside, with all whose prefix holds
+    theirs. Only rows with so many symbols before them in their piece are followed.
     """
     sizes = [len(s.bwt) for s in shards]
     offsets = np.cumsum([0, *sizes[:-1]])
     bwt = np.concatenate([s.bwt for s in shards])
     back = np.concatenate([s.back + o for s, o in zip(shards, offsets.tolist())])
     piece, at = (np.concatenate([getattr(s, k) for s in shards]) for k in ("piece", "at"))
-    before = (bwt - 1).astype(np.uint16)  # of the rows followed, none meets a mark within `window` symbols
-    pair, twice = before[back] << np.uint16(8) | before & np.uint16(0xFF), back[back]
-    rows = np.flatnonzero(at >= window)
-    blocks = np.zeros(len(rows), dtype=np.int32)
-    left = window
-    while left and len(rows):
-        symbols, step, left = (pair, twice, left - 2) if left > 1 else (before, back, left - 1)
-        symbols = symbols[rows]
-        deal = np.argsort(symbols, kind="stable")  # a counting sort of 16-bit symbols
-        symbols, blocks, rows = symbols[deal], blocks[deal], step[rows[deal]]
-        border = np.ones(len(rows) + 1, dtype=bool)
-        border[1:-1] = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
+    rest = window - (1 << window.bit_length() - 1)  # what doubling leaves to the last round
+    symbols, size = (bwt - 1).astype(np.uint8).astype(np.int64), 1  # of the rows followed, none meets a mark
+    power, far = back, np.arange(len(bwt))  # the rows `size` symbols back, and as many of `rest` as `size` has passed
+    while size < 4 and 2 * size <= window:
+        symbols = symbols.take(power) << 8 * size | symbols
+        far = power.take(far) if rest & size else far
+        power, size = power.take(power), 2 * size
+    rows = np.flatnonzero(at >= size)
+    symbols = symbols[rows]
+    while True:
+        deal, border = in_blocks(symbols)
         together = ~(border[:-1] & border[1:])
-        blocks = np.cumsum(border[:-1], dtype=np.int32)[together]
-        rows = rows[together]
-    return piece[rows], at[rows]
+        rows = rows[deal[together]]
+        if size == window or not len(rows):
+            return piece.take(rows), at.take(rows) - window
+        block = np.full(len(bwt), -1, dtype=np.int32)
+        block[rows] = np.cumsum(border[:-1][together]) - 1
+        ahead = (power if 2 * size <= window else far).take(rows)
+        both = block.take(ahead) >= 0
+        rows, ahead = rows[both], ahead[both]
+        symbols = block.take(ahead).astype(np.int64) << len(bwt).bit_length() | block.take(rows)
+        if 2 * size <= window:
+            far = power.take(far) if rest & size else far
+            power, size = power.take(power), 2 * size
+        else:
+            size = window
 
 
 def _runs(pieces: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -111,6 +111,34 @@ def test_merged_transforms_find_all_repeats(monkeypatch):
         assert sorted(found) == sorted(x for v in where.values() if len(v) > 1 for x in v)
 
 
+def test_the_interleave_is_refined_by_doubling(monkeypatch):
+    rng, rounds = random.Random(5), []
+    base = bytes(rng.choice(b"abcd ") for _ in range(700))
+    pieces = [base[:400], base[100:500], base[90:300] + b"x" + base[301:700], b"y" * 450, base[250:449], base[250:450]]
+    deal = repeats.in_blocks
+    shards = [repeats.Shard(pieces[:3], [0, 1, 2]), repeats.Shard(pieces[3:], [3, 4, 5])]
+    monkeypatch.setattr(repeats, "in_blocks", lambda keys: rounds.append(len(keys)) or deal(keys))
+    for window in (200, 128, 199, 256):
+        where = {}
+        for i, p in enumerate(pieces):
+            for a in range(len(p) - window + 1):
+                where.setdefault(p[a:a + window], []).append((i, a))
+        rounds.clear()
+        found = repeats.repeated_starts(shards, window)
+        assert sorted(zip(*(x.tolist() for x in found))) == sorted(x for v in where.values() if len(v) > 1 for x in v)
+        assert len(rounds) <= 8 and rounds == sorted(rounds, reverse=True)
+
+
+@pytest.mark.parametrize("top", [1 << 8, 1 << 62])
+def test_blocks_of_narrow_and_wide_keys(top):
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 40, 500) * (top // 64)
+    order, border = repeats.in_blocks(keys)
+    assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+    assert np.flatnonzero(border).tolist() == [*np.unique(np.sort(keys), return_index=True)[1].tolist(), 500]
+    assert [len(x) for x in repeats.in_blocks(keys[:0])] == [0, 1]
+
+
 def test_a_transform_can_be_read_back():
     pieces = [b"banana", b"ananas", b"", b"\x00\xff"]
     shard = repeats.Shard(pieces, [0, 1, 2, 3])
