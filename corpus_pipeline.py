@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.llm import classifier, contamination, mixing, packed, simhash
-from odsflow.llm.common import for_workers, named, written
+from odsflow.llm.common import for_workers, lean_workers, named, written
 from odsflow.llm.queries import MOST, source_targets
 from odsflow.session import scratch_path
 from odsflow.sources.tables import read_table
@@ -25,6 +25,7 @@ def _rows(docs: DataFrame, **columns) -> DataFrame:
 
 
 @for_workers
+@lean_workers
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out what the classifier rejects (a score below 0.3), fitted on the labelled and unlabelled rows of `docs`."""
     model = classifier.train(docs, read_table(spark, sf_dir, "labels"))
@@ -33,18 +34,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 @for_workers
+@lean_workers
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves the document of the smallest id of each near-duplicate group: 3-word shingles, at most 3 differing bits."""
     return simhash.keep_one(docs, shingle=3, radius=3)
 
 
 @for_workers
+@lean_workers
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents in which a ten-word window of `benchmark` occurs."""
     return contamination.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 @for_workers
+@lean_workers
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document 0, 1 or 2 times, so that the sources come near their shares of 150 % of all words; twice means two rows."""
     own = _rows(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=mixing.word_count(F.col("text")))
@@ -54,6 +58,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 @for_workers
+@lean_workers
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and returns (doc_id, start, n_tokens, ids_crc32) of every row, read back from them."""
     path = f"{scratch_path(spark, 'token-ids')}/ids"

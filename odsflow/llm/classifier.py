@@ -12,7 +12,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from odsflow.llm.common import in_chunks, named, utf8, written
+from odsflow.llm.common import forget, in_chunks, named, utf8, written
 from odsflow.llm.ngrams import Words
 
 #: Hashed features: words and the shapes of words share this many places; a few measured ones come first.
@@ -23,7 +23,7 @@ FOLDS = 5
 #: Bytes of text whose features are found together, and texts in one row of the feature table.
 CHUNK, TEXTS = 1 << 19, 256
 #: Bytes of rows that a Python worker is given at once.
-BATCH_SETTING, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 22
+BATCH_SETTING, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 21
 #: Pieces in which the gradients of all tasks are added up, rows of the feature table in a batch and in a task of a step at least, and
 #: steps that every text is in at least.
 PIECES, ROWS_A_BATCH, ROWS_A_TASK, LEAST_STEPS = 16, 128, 32, 4
@@ -105,6 +105,7 @@ FEATURES = "doc_id long, n_words long, measured binary, places binary, counts bi
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a text: its measures, and its places in rising order (as differences) with the words on each."""
+    forget()
     for batch in in_chunks(batches, CHUNK):
         found = Measures(batch.column("body"))
         both = all_places(found.words.each)
@@ -340,7 +341,7 @@ def train(
     ).groupBy("id").agg(F.max("good").alias("good"))
     known = written(known, "labels")
     texts = docs.select(key.alias("doc_id"), utf8(named(text_col)).cast("string").alias("body")).where(~held_out(F.col("doc_id")))
-    made = texts.mapInArrow(feature_rows, FEATURES).join(known, F.col("doc_id") == F.col("id"), "left")
+    made = texts.mapInArrow(feature_rows, FEATURES).join(known.hint("merge"), F.col("doc_id") == F.col("id"), "left")  # sorted, so that `pack` is in another stage
     packed = made.select((F.col("good") == 1).alias("good"), "n_words", "measured", "places", "counts").mapInArrow(pack, BLOCKS)
     blocks = written(packed, "features")
     n_rows = blocks.count()

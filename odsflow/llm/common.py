@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
-from functools import wraps
+from functools import lru_cache, wraps
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from odsflow.session import scratch_path
 
@@ -34,6 +35,49 @@ def for_workers(run):
     return with_path
 
 
+#: For Python workers that share an executor's memory with a full heap: arrays of a megabyte or more go back to the system once they are
+#: freed (by glibc's defaults a worker keeps some hundred MB of them), Arrow's too.
+LEAN = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 22), "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def lean_workers(stage):
+    """A stage whose first argument is the session, with LEAN for its Python functions where the session's environment does not say otherwise."""
+
+    @wraps(stage)
+    def with_settings(spark, *args):
+        environment = spark.sparkContext.environment
+        added = {k: v for k, v in LEAN.items() if k not in environment}
+        environment.update(added)
+        try:
+            return stage(spark, *args)
+        finally:
+            for name in added:
+                del environment[name]
+
+    return with_settings
+
+
+_remembering = []
+
+
+def remembered(most: int):
+    """`lru_cache` for what a worker keeps from task to task; `forget` drops it."""
+    def kept(function):
+        cached = lru_cache(maxsize=most)(function)
+        _remembering.append(cached)
+        return cached
+
+    return kept
+
+
+def forget() -> None:
+    """Drops what this worker has kept for tasks of other operators."""
+    if any(cached.cache_info().currsize for cached in _remembering):
+        for cached in _remembering:
+            cached.cache_clear()
+        gc.collect()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of `df`, written once to the cluster's shared folder and read from there.
 
@@ -45,6 +89,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    """A few rows of the driver as a table, by Arrow: no Python process of the executors unpacks them (and stays)."""
+    cells = zip(*rows) if rows else [()] * len(columns)
+    return spark.createDataFrame(pa.table({name: pa.array(each, kind) for (name, kind), each in zip(columns.items(), cells)}))
+
+
 def named(column: str) -> Column:
     """A column by its exact name, whatever characters the name holds."""
     return F.col("`" + column.replace("`", "``") + "`")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from odsflow.llm.common import named, written
+from odsflow.llm.common import named, small_table, written
 
 #: Hash positions told apart per step when the cut of a pattern is searched.
 BIN_DIGITS, HASH_DIGITS = 3, 32
@@ -202,7 +203,7 @@ def mix(
     listed.sort(key=lambda r: r["pattern_"])
     sent = route([(frozenset(r["members"]), r["size"]) for r in listed], quotas, copies)
     plan = [(r["pattern_"], *divmod(words, r["size"])) for r, (words, _) in zip(listed, sent)]
-    plans = docs.sparkSession.createDataFrame(plan, "pattern string, base long, extra long")
+    plans = small_table(docs.sparkSession, plan, pattern=pa.string(), base=pa.int64(), extra=pa.int64())
     wanted = plans.where("extra > 0").select(F.col("pattern").alias("pattern_"), "extra")
     cuts = cut_points(rows.join(F.broadcast(wanted), "pattern_").select("pattern_", "hash_", "size_", "extra"))
     chosen = plans.join(cuts, plans["pattern"] == cuts["pattern_"], "left").select(  # at most MAX_PATTERNS rows

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from odsflow.llm.common import in_chunks, named, utf8
+from odsflow.llm.common import in_chunks, named, remembered, utf8
 from odsflow.llm.ngrams import Words
 from odsflow.llm.tokens import Remembered, byte_symbols, load_tokenizer, tokenizer_path
 
@@ -144,7 +144,7 @@ PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: The vocabulary's published pre-token pattern, for those characters (fixed value).
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 #: Pre-tokens whose ids one worker remembers per generation, and bytes of text whose ids are found together.
-PARTS_REMEMBERED, CHUNK = 250_000, 1 << 22
+PARTS_REMEMBERED, CHUNK = 100_000, 1 << 22
 
 
 class WordIds:
@@ -197,7 +197,7 @@ class WordIds:
         return ids, np.diff(np.append(0, ends)[np.append(0, np.cumsum(words.sizes))])
 
 
-@lru_cache(maxsize=2)
+@remembered(2)
 def _quick(path: str) -> WordIds:
     return WordIds(path)
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from odsflow.llm import (
     brown, classifier, contamination, importance, merkle, mixing, packed, quality, repeats, simhash, substrings, tokens, urls,
 )
-from odsflow.llm.common import for_workers, written
+from odsflow.llm.common import for_workers, small_table, written
 from odsflow.session import scratch_path
 from odsflow.sources.tables import read_table
 
@@ -37,7 +38,7 @@ def source_targets(sized: DataFrame) -> tuple[dict, DataFrame]:
     weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(listed))]
     targets = mixing.share_targets(sizes, weights, MIXED * sum(sizes), MOST)
     table = [(r["source"], r["size"], t) for r, t in zip(listed, targets)]
-    frame = sized.sparkSession.createDataFrame(table, "source string, source_size long, target double")
+    frame = small_table(sized.sparkSession, table, source=pa.string(), source_size=pa.int64(), target=pa.float64())
     return {name: target for name, _, target in table}, frame
 
 

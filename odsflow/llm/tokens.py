@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from odsflow.llm.common import named
+from odsflow.llm.common import named, remembered
 
 #: Letters that are known without asking the library; characters beyond these and printable ASCII are classed by it, once each.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -48,7 +47,7 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=4)
+@remembered(4)
 def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -139,7 +138,7 @@ class TokenCounter:
         return len(pre_tokens) - len(rest) + sum([merged[p] for p in rest])
 
 
-@lru_cache(maxsize=2)
+@remembered(2)
 def counter(path: str) -> TokenCounter:
     return TokenCounter(path)
 

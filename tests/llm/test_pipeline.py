@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version of its stages, on a small folder of tables."""
 
+import os
 import zlib
 
 import numpy as np
@@ -7,7 +8,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from odsflow.llm import classifier, mixing
+from odsflow.llm import classifier, mixing, packed
+from odsflow.llm.common import LEAN, forget, lean_workers, small_table
 from odsflow.llm.tokens import Remembered
 
 from .conftest import SCHEMA, bag, prose
@@ -116,3 +118,32 @@ def test_sources_beyond_the_bound_are_refused(spark, tables, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_PATTERNS", 1)
     with pytest.raises(ValueError):
         stage_rows(spark, tables, tables[1], 3)
+
+
+def test_stages_give_their_python_workers_lean_settings(spark):
+    def seen(session):
+        return session.range(2).repartition(2).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([",".join(f"{k}={os.environ.get(k)}" for k in LEAN)])], names=["x"]) for _ in batches), "x string"
+        )
+
+    before = dict(spark.sparkContext.environment)
+    got = {r["x"] for r in lean_workers(seen)(spark).collect()}
+    assert got == {",".join(f"{k}={v}" for k, v in LEAN.items())}
+    assert dict(spark.sparkContext.environment) == before
+    assert all(hasattr(stage, "__wrapped__") and hasattr(stage.__wrapped__, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+
+def test_features_drop_what_the_token_ids_remember():
+    packed.encoder("word_bpe_49k.json").ids(b"some words")
+    assert packed._quick.cache_info().currsize == 1
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a text"])], names=["doc_id", "body"])
+    assert [b.num_rows for b in classifier.feature_rows(iter([batch]))] == [1]
+    assert packed._quick.cache_info().currsize == 0
+    forget()
+
+
+def test_a_small_table_needs_no_python_worker(spark):
+    made = small_table(spark, [(None, 2), ("b", None)], x=pa.string(), y=pa.int64())
+    assert bag(made.collect()) == bag([(None, 2), ("b", None)])
+    assert [t for _, t in made.dtypes] == ["string", "bigint"] and "Python" not in made._jdf.queryExecution().toString()
+    assert small_table(spark, [], x=pa.string(), y=pa.int64()).collect() == []
