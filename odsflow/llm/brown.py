@@ -27,7 +27,13 @@ HELD = 1 << 20
 #: Words whose best exchange is sought in one task.
 SHARD = 256
 
-CODED = "doc_id long, learnt boolean, block long, codes binary, rare string, n_rare long"
+#: Of the tables that lie on disk beside the shuffles.
+COMPRESSION = "zstd"
+#: Bytes of placed words that a task holds before it packs them.
+PACKED = 8 << 20
+
+CODED = "doc_id long, learnt boolean, block long, low binary, high binary, rare string, n_rare long"
+PLACED = "block long, words string, classes binary, counts binary, class int, n long, v long"
 
 
 # --- tokens ------------------------------------------------------------------------------------
@@ -73,7 +79,10 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- texts as numbers of the frequent words, beside their rarer words --------------------------
 
 def code_texts(frequent: pa.Array) -> Callable:
-    """A function that writes texts as numbers: 0 for a rarer word, i + 1 for `frequent[i]`; rarer words follow in `rare`."""
+    """A function that writes texts as numbers: 0 for a rarer word, i + 1 for `frequent[i]`; rarer words follow in `rare`.
+
+    The halves of the numbers are apart, two bytes a word each: `high` is nearly always 0 and takes next to no room once compressed.
+    """
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -85,14 +94,16 @@ def code_texts(frequent: pa.Array) -> Callable:
             number = pc.fill_null(pc.index_in(found.dictionary, value_set=frequent), -1).to_numpy().astype("<u4") + np.uint32(1)
             codes = number[found.indices.to_numpy()]
             is_rare = codes == 0
-            ends = np.cumsum(sizes)
+            low, high = (half.astype("<u2").tobytes() for half in (codes & 0xFFFF, codes >> 16))
+            ends = 2 * np.cumsum(sizes)
+            starts = ends - 2 * sizes
             text = np.repeat(np.arange(len(sizes)), sizes)
             n_rare = np.bincount(text[is_rare], minlength=len(sizes))
             rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_rare)).astype(np.int32)), words.filter(pa.array(is_rare)))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("learnt"), pa.array(np.full(len(sizes), block, np.int64)),
-                pa.array([codes[e - n:e].tobytes() for n, e in zip(sizes, ends)], pa.binary()), pc.binary_join(rare, " "), pa.array(n_rare),
-            ], names=["doc_id", "learnt", "block", "codes", "rare", "n_rare"])
+                *[pa.array([half[a:b] for a, b in zip(starts, ends)], pa.binary()) for half in (low, high)], pc.binary_join(rare, " "), pa.array(n_rare),
+            ], names=["doc_id", "learnt", "block", "low", "high", "rare", "n_rare"])
             filled += int(pc.sum(pc.binary_length(batch.column("body"))).as_py() or 0)
             if filled >= BLOCK:
                 block, filled = block + 1, 0
@@ -100,10 +111,13 @@ def code_texts(frequent: pa.Array) -> Callable:
     return coded
 
 
-def sequence(codes: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def sequence(texts: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all texts in a row and how many each has."""
-    sizes = pc.binary_length(codes).to_numpy() // 4
-    return np.frombuffer(b"".join(codes.to_pylist()), "<u4").astype(np.int64), sizes
+    low, high = (np.frombuffer(b"".join(texts.column(half).to_pylist()), "<u2") for half in ("low", "high"))
+    numbers = low.astype(np.int64)
+    if high.any():
+        numbers += high.astype(np.int64) << 16
+    return numbers, pc.binary_length(texts.column("low")).to_numpy() // 2
 
 
 def with_ends(values: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
@@ -125,8 +139,8 @@ def neighbours(classes: np.ndarray) -> Callable:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, behind, twice = np.zeros(n * CLASSES, np.int64), np.zeros(n * CLASSES, np.int64), np.zeros(n, np.int64)
-        for batch in in_groups(batches, "codes", CHUNK):
-            line = with_ends(*sequence(batch.column("codes")), n - 1)
+        for batch in in_groups(batches, "low", CHUNK // 2):
+            line = with_ends(*sequence(batch), n - 1)
             left, right = line[:-1], line[1:]
             before += np.bincount(right * CLASSES + classes[left], minlength=n * CLASSES)
             behind += np.bincount(left * CLASSES + classes[right], minlength=n * CLASSES)
@@ -274,10 +288,10 @@ def frequent_classes(coded: DataFrame, n_frequent: int, passes: int = PASSES) ->
     classes[-1] = END
     seeds = min(CLASSES - FIRST, n_frequent)
     classes[1:1 + seeds] = np.arange(FIRST, FIRST + seeds)
-    learnt, best = coded.where("learnt").select("codes"), None
+    learnt, best = coded.where("learnt").select("low", "high"), None
     for step in range(passes + 1):
         sums = learnt.mapInArrow(neighbours(classes), SUMS).groupBy("shard").applyInArrow(add_up, SUMS)
-        sums = written(sums, "neighbours")
+        sums = written(sums, "neighbours", COMPRESSION)
         pairs = pair_matrix(sums.mapInArrow(class_pairs(classes), "pair long, n long"))
         likelihood = log_likelihood(pairs)
         if step and (best is None or likelihood > best[0]):
@@ -298,8 +312,8 @@ def rare_contexts(classes: np.ndarray) -> Callable:
     """A function that gives, by block and rarer word, the classes around its training occurrences, two bytes each."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_groups(batches, "codes", BLOCK):
-            numbers = with_ends(*sequence(batch.column("codes")), len(classes) - 1)
+        for batch in in_groups(batches, "low", BLOCK // 2):
+            numbers = with_ends(*sequence(batch), len(classes) - 1)
             line, at = classes[numbers].astype(np.uint8), np.flatnonzero(numbers == 0)
             around = np.stack([line[at - 1], line[at + 1]], axis=1)
             n_rare = batch.column("n_rare").to_numpy()
@@ -388,6 +402,63 @@ def place_words(logs: np.ndarray) -> Callable:
     return placed
 
 
+def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of `place_words` as few: a block's words in one row for about PACKED bytes, and (class, n, v), its tokens and words, without block.
+
+    The words are space-joined, their classes have a byte each, their counts follow as planes of their eight bytes: most are 0
+    and take next to no room once compressed.
+    """
+    schema = pa.schema([
+        ("block", pa.int64()), ("words", pa.string()), ("classes", pa.binary()), ("counts", pa.binary()), ("class", pa.int32()), ("n", pa.int64()), ("v", pa.int64()),
+    ])
+    tokens, kinds, held, size = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64), [], 0
+
+    def packed() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        blocks = rows.column("block").to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        starts = group_starts(blocks[order])
+        cuts = list(zip(starts, np.append(starts[1:], len(order))))
+        words = rows.column("word").combine_chunks().take(pa.array(order))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), words)
+        classes, counts = rows.column("class").to_numpy()[order].astype(np.uint8), rows.column("n").to_numpy()[order]
+        nothing = [pa.nulls(len(starts), kind) for kind in (pa.int32(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([
+            pa.array(blocks[order][starts]), pc.binary_join(lists, " "), pa.array([classes[a:b].tobytes() for a, b in cuts], pa.binary()),
+            pa.array([planes(counts[a:b]) for a, b in cuts], pa.binary()), *nothing,
+        ], schema=schema)
+
+    for batch in batches:
+        if batch.column("block").null_count:  # a row a word
+            own, n = batch.column("class").to_numpy(), batch.column("n").to_numpy()
+            np.add.at(tokens, own, n)
+            np.add.at(kinds, own, n > 0)
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PACKED:
+            yield packed()
+            held, size = [], 0
+    if size:
+        yield packed()
+    seen = np.flatnonzero(kinds)
+    nothing = [pa.nulls(len(seen), kind) for kind in schema.types[:4]]
+    yield pa.RecordBatch.from_arrays([*nothing, pa.array(seen.astype(np.int32)), pa.array(tokens[seen]), pa.array(kinds[seen])], schema=schema)
+
+
+def planes(counts: np.ndarray) -> bytes:
+    """The first bytes of all counts, then the second ones, and so on."""
+    return counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(words: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words, classes and counts of a block's packed rows."""
+    counts = [np.frombuffer(row, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for row in words.column("counts").to_pylist()]
+    classes = np.frombuffer(b"".join(words.column("classes").to_pylist()), np.uint8)
+    each = pc.list_flatten(pc.split_pattern(words.column("words").combine_chunks(), " "))
+    return each, classes.astype(np.int64), np.concatenate([np.zeros(0, np.int64), *counts])
+
+
 def transition_logs(pairs: np.ndarray) -> np.ndarray:
     """Logarithms of the probability of each class behind each other, discounted and mixed with the classes' own shares.
 
@@ -444,19 +515,20 @@ SCORED = "doc_id long, learnt boolean, n_tokens long, n_known long, base_score d
 def spell(classes: np.ndarray, counts: np.ndarray, emissions: Emissions) -> Callable:
     """A function that turns a block's texts into their classes, with the sums over their tokens that need counts.
 
-    `classes` and `counts` have those of the frequent numbers; the block's rarer words come in the second table.
+    `classes` and `counts` have those of the frequent numbers; the block's rarer words come packed in the second table.
     """
 
     def spelt(texts: pa.Table, words: pa.Table) -> pa.Table:
         texts, words = texts.combine_chunks(), words.combine_chunks()
-        numbers, sizes = sequence(texts.column("codes").combine_chunks())
+        numbers, sizes = sequence(texts)
         own, n = classes[numbers], counts[numbers]
         rare_texts = texts.column("rare").combine_chunks().filter(pa.array(texts.column("n_rare").to_numpy() > 0))
         rare = pc.list_flatten(pc.split_pattern(rare_texts, " "))
         if len(rare):
-            at = pc.index_in(rare, value_set=words.column("word").combine_chunks()).to_numpy(zero_copy_only=False)
-            own[numbers == 0] = words.column("class").to_numpy()[at]
-            n[numbers == 0] = words.column("n").to_numpy()[at]
+            listed, placed, seen = unpacked(words)
+            at = pc.index_in(rare, value_set=listed).to_numpy(zero_copy_only=False)
+            own[numbers == 0] = placed[at]
+            n[numbers == 0] = seen[at]
         text = np.repeat(np.arange(len(sizes)), sizes)
         ended = np.append(0, np.cumsum(sizes))
         line = own.astype(np.uint8).tobytes()
@@ -526,7 +598,7 @@ def score_texts(docs: DataFrame, learnt: Column, id_col: str = "doc_id", text_co
         named(id_col).cast("long").alias("doc_id"), F.coalesce(learnt, F.lit(False)).alias("learnt"), utf8(named(text_col)).cast("string").alias("body")
     )
     counted = own.where("learnt").select("body").mapInArrow(count_words, "word string, n long")
-    vocabulary = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    vocabulary = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary", COMPRESSION)
     counts_of = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in (1, 2)]
     sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), *counts_of).first()
     ends = own.where("learnt").count()
@@ -536,25 +608,26 @@ def score_texts(docs: DataFrame, learnt: Column, id_col: str = "doc_id", text_co
     listed = frequent.column("word").combine_chunks()
     counts = np.concatenate([[0], frequent.column("n").to_numpy(), [ends]]).astype(np.int64)
 
-    coded = written(own.mapInArrow(code_texts(listed), CODED), "coded")
+    coded = written(own.mapInArrow(code_texts(listed), CODED), "coded", COMPRESSION)
     classes, pairs = frequent_classes(coded, len(listed))
     contexts = coded.where("n_rare > 0").mapInArrow(rare_contexts(classes), "word string, block long, contexts binary")
     logs = np.maximum(transition_logs(pairs), -1e9)
     at_once = contexts.repartition("word").sortWithinPartitions("word")
-    placed = written(at_once.mapInArrow(place_words(logs), "block long, word string, class int, n long"), "placed")
+    place = place_words(logs)
+    placed = written(at_once.mapInArrow(lambda batches: pack_words(place(batches)), PLACED), "placed", COMPRESSION)
 
     totals, kinds = np.bincount(classes, counts, CLASSES).astype(np.int64), np.bincount(classes[1:], minlength=CLASSES)
     totals[OTHER], kinds[OTHER] = 0, 0
-    each = placed.where("block IS NULL AND n > 0")
-    for row in each.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # one row a class
+    each = placed.where("block IS NULL")
+    for row in each.groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():  # one row a class
         totals[row["class"]] += row["n"]
         kinds[row["class"]] += row["v"]
     if not ends:
         kinds[END] = 0
     off = min(sums["n1"] / (sums["n1"] + 2 * sums["n2"]), MOST_OFF) if sums["n1"] else 0.5
     emissions = Emissions(int(n), int(sums["v"] + (ends > 0)), float(off), totals, kinds)
-    blocks = coded.groupBy("block").cogroup(placed.where("block IS NOT NULL").groupBy("block"))
-    scored = written(blocks.applyInArrow(spell(classes, counts, emissions), SCORED), "classes")
+    blocks = coded.groupBy("block").cogroup(placed.where("block IS NOT NULL").select("block", "words", "classes", "counts").groupBy("block"))
+    scored = written(blocks.applyInArrow(spell(classes, counts, emissions), SCORED), "classes", COMPRESSION)
     pairs = pair_matrix(scored.where("learnt").select("classes").mapInArrow(count_pairs, "pair long, n long"))
     found = scored.mapInArrow(
         add_transitions(score_logs(pairs, emissions)),

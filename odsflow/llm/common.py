@@ -78,14 +78,14 @@ def forget() -> None:
         gc.collect()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows of `df`, written once to the cluster's shared folder and read from there.
 
-    It cuts the lineage, survives lost executors, and nothing behind it runs twice.
+    It cuts the lineage, survives lost executors, and nothing behind it runs twice. Without `compression`, the session's is used.
     """
     spark = df.sparkSession
     path = f"{scratch_path(spark, label)}/rows"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -155,3 +155,54 @@ def test_rarer_words_are_placed_by_all_their_contexts():
         parts = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + size]), schema)], schema=schema) for i in range(0, len(rows), size)]
         got = [r for part in brown.place_words(logs)(iter(parts)) for r in zip(*[c.to_pylist() for c in part.columns])]
         assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("most", [1, 30, 5000])
+def test_packed_words_are_the_placed_ones(monkeypatch, most):
+    """However much is packed at once: each block's words with class and count, and the sums of each class over the words."""
+    monkeypatch.setattr(brown, "PACKED", most)
+    rng = random.Random(2)
+    words = [(f"w{i}é", rng.randrange(brown.FIRST, 6), rng.choice([1, 3, 255, 256, 70_000, 1 << 40])) for i in range(120)] + [("never", brown.OTHER, 0)]
+    rows = [(rng.choice([0, 1, 1 << 32, (7 << 32) + 5]), *w) for w in words for _ in range(3)]
+    parts = [(rows[i:i + 17], pa.int64()) for i in range(0, len(rows), 17)] + [([(None, *w) for w in words], pa.int64())]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (kind, pa.string(), pa.int32(), pa.int64()))], names=["block", "word", "class", "n"])
+        for part, kind in parts
+    ]
+    got = pa.Table.from_batches(brown.pack_words(iter(batches)))
+    found = []
+    for block in {b for b, *_ in rows}:
+        each, classes, counts = brown.unpacked(got.filter(pa.compute.equal(got.column("block"), block)))
+        found += zip([block] * len(each), each.to_pylist(), classes.tolist(), counts.tolist())
+    assert sorted(found) == sorted(rows)
+    sums = got.filter(pa.compute.is_null(got.column("block"))).to_pylist()
+    expected = {c: (sum(n for _, k, n in words if k == c), sum(k == c for _, k, _ in words)) for c in range(brown.FIRST, 6)}
+    assert {r["class"]: (r["n"], r["v"]) for r in sums} == expected and len(sums) == len(expected)
+
+
+def test_numbers_are_whole_from_their_halves():
+    numbers, lists = np.array([0, 1, 65_535, 65_536, 99_999, 0, 131_072], "<u4"), [(0, 2), (2, 2), (2, 7)]
+    halves = [[h[a:b].astype("<u2").tobytes() for a, b in lists] for h in (numbers & 0xFFFF, numbers >> 16)]
+    got, sizes = brown.sequence(pa.table({"low": pa.array(halves[0], pa.binary()), "high": pa.array(halves[1], pa.binary())}))
+    assert got.tolist() == numbers.tolist() and sizes.tolist() == [2, 0, 5]
+
+
+def test_tables_on_disk_are_small(spark, monkeypatch, tmp_path):
+    """Texts take less than two bytes a frequent word; the words placed are a few rows a task and block, not one a word and block."""
+    made, own = {}, brown.written
+
+    def seen(df, label, *args):
+        made[label] = own(df, label, *args)
+        return made[label]
+
+    monkeypatch.setattr(brown, "written", seen)
+    monkeypatch.setattr(brown, "SHARE", 1e-4)
+    rng = random.Random(8)
+    texts = [(i, " ".join([*(f"w{rng.randrange(4000)}" for _ in range(900)), *(f"r{rng.randrange(1 << 30)}" for _ in range(20))])) for i in range(240)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/texts")
+    got = brown.score_texts(spark.read.parquet(f"{tmp_path}/texts"), F.lit(True)).collect()
+    same_counts(got, brute_base(texts, lambda i: True))
+    size = sum(spark._jvm.java.io.File(f.split(":", 1)[1]).length() for f in made["coded"].inputFiles())
+    rare = sum(len(w) + 1 for _, t in texts for w in t.split() if w[0] == "r")
+    assert size < 2 * 900 * len(texts) + rare
+    assert made["placed"].count() < 200  # rarer words: about 4,800
